@@ -171,6 +171,9 @@ def u32_to_big(u32: list, neg: Column | None = None) -> BigCol:
         terms = [u32[j] * F.lit(_POW2_32[j][k]) for j in range(8) if _POW2_32[j][k]]
         if k == 0 and one is not None:
             terms.append(one)
+        if not terms:
+            dec.append(F.lit(0).cast("bigint"))
+            continue
         acc = terms[0]
         for t in terms[1:]:
             acc = acc + t
@@ -199,3 +202,65 @@ def format_units(digits: Column, neg: Column, decimals: Column) -> Column:
     fixed = F.concat(padded.substr(F.lit(1), m - d), F.lit("."), padded.substr(m - d + 1, d))
     body = F.when(d <= 0, digits).otherwise(fixed)
     return F.when(neg & (digits != "0"), F.concat(F.lit("-"), body)).otherwise(body)
+
+
+# Base-10^18 chunks of 2^(64*j), j = 0..3, derived from the rule.
+_C18 = 10 ** 18
+_P64 = [[(2 ** (64 * j) // _C18 ** k) % _C18 for k in range(5)] for j in range(4)]
+_U64_MAX = 2 ** 64 - 1
+
+
+def with_hex_text(df, specs: dict):
+    """Add exact decimal text columns for 64-digit hex words, in staged projections.
+
+    ``specs`` maps an output column name to (word, neg): ``word`` a Column
+    holding the hex word (NULL gives NULL), ``neg`` a boolean Column telling
+    that the word is a negative int256 (or None for unsigned).
+
+    A word is read as four unsigned 64-bit parts (``conv``), each part is
+    multiplied by the base-10^18 chunks of 2^(64 j) in DECIMAL(38,0) (ten
+    products, every chunk sum < 7.3e37), and carries run over five chunks.
+    A negative int256 uses its magnitude ~x + 1.  Each stage reads only
+    columns materialised by the previous one, so expressions stay small and
+    whole-stage codegen stays on.
+    """
+    keep = list(df.columns)
+    names = list(specs)
+    a = df.select(*keep, *[specs[n][0].alias(f"_hw_{n}") for n in names],
+                  *[(specs[n][1] if specs[n][1] is not None else F.lit(False)).alias(f"_hn_{n}")
+                    for n in names])
+    part_cols = []
+    for n in names:
+        for j in range(4):
+            p = F.conv(F.col(f"_hw_{n}").substr(1 + 16 * (3 - j), 16), 16, 10).cast("decimal(20,0)")
+            p = F.when(F.col(f"_hn_{n}"), F.lit(str(_U64_MAX)).cast("decimal(20,0)") - p).otherwise(p)
+            part_cols.append(p.alias(f"_hp_{n}_{j}"))
+    b = a.select(*keep, *[f"_hn_{n}" for n in names], *part_cols)
+    sum_cols = []
+    for n in names:
+        for k in range(5):
+            terms = [F.col(f"_hp_{n}_{j}").cast(_DEC) * F.lit(str(_P64[j][k])).cast(_DEC)
+                     for j in range(4) if _P64[j][k]]
+            if k == 0:
+                terms.append(F.when(F.col(f"_hn_{n}"), F.lit(1)).otherwise(F.lit(0)).cast(_DEC))
+            if not terms:
+                terms = [F.lit(0).cast(_DEC)]
+            acc = terms[0]
+            for t in terms[1:]:
+                acc = acc + t
+            sum_cols.append(acc.alias(f"_hs_{n}_{k}"))
+    c = b.select(*keep, *[f"_hn_{n}" for n in names], *sum_cols)
+    unit = F.lit(str(_C18)).cast(_DEC)
+    txt_cols = []
+    for n in names:
+        parts, carry = [], None
+        for k in range(5):
+            t = F.col(f"_hs_{n}_{k}") if carry is None else F.col(f"_hs_{n}_{k}") + carry
+            digit = t % unit
+            parts.append(F.lpad(digit.cast("string"), 18, "0"))
+            carry = ((t - digit) / unit).cast(_DEC)
+        s_ = F.ltrim(F.concat(carry.cast("string"), *reversed(parts)), F.lit("0"))
+        txt_cols.append(F.when(F.col(f"_hs_{n}_0").isNotNull(),
+                               F.when(s_ == "", F.lit("0")).otherwise(s_)).alias(f"_ht_{n}"))
+    d = c.select(*keep, *[f"_hn_{n}" for n in names], *txt_cols)
+    return d.select(*keep, *[signed_text(F.col(f"_ht_{n}"), F.col(f"_hn_{n}")).alias(n) for n in names])

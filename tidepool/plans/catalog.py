@@ -51,3 +51,65 @@ ORACLES: dict[str, str] = {
     "window_metrics_full": O.window_metrics_full(DAY),
     "window_metrics_1h": O.window_metrics_full(HOUR),
 }
+
+
+# ---------------------------------------------------------------------------
+# Decoding (adapter R).
+
+from tidepool.operators import decode as D  # noqa: E402
+
+_DEC_KEYS = ["chain_id", "block_number", "tx_hash", "log_index", "address"]
+_DEC_FIELDS = {
+    "Swap": ["sender", "recipient", "amount0", "amount1", "sqrt_price_x96", "liquidity", "tick"],
+    "Mint": ["owner", "sender", "tick_lower", "tick_upper", "amount", "amount0", "amount1"],
+    "Burn": ["owner", "tick_lower", "tick_upper", "amount", "amount0", "amount1"],
+    "Collect": ["owner", "recipient", "tick_lower", "tick_upper", "amount0", "amount1"],
+}
+
+
+def decoded_logs(spark: SparkSession, sf_dir: str, faults: bool = False,
+                 extra_map: dict | None = None) -> DataFrame:
+    routes = D.routing_map(extra_map)
+    return D.decode_logs(X.raw_logs(spark, sf_dir, faults), X.pool_meta(spark, sf_dir), routes)
+
+
+def decode_event(kind: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        te = D.typed_events(decoded_logs(spark, sf_dir))
+        return te.where(F.col("event_name") == kind).select(
+            *_DEC_KEYS, *[F.col(f"decoded.{c}").alias(c) for c in _DEC_FIELDS[kind]],
+            *[F.col(f"pool_meta.{c}").alias(c) for c in ("token0", "token1", "fee", "tick_spacing")])
+    return run
+
+
+def decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decode_errors(decoded_logs(spark, sf_dir, faults=True))
+
+
+def decode_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decode_counters(decoded_logs(spark, sf_dir, faults=True))
+
+
+def route_topics(extra: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = {X.FORK_SWAP_TOPIC0: " swap "} if extra else None
+        d = decoded_logs(spark, sf_dir, faults=True, extra_map=m)
+        return d.groupBy("event_name", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    return run
+
+
+for _k in ("Swap", "Mint", "Burn", "Collect"):
+    QUERIES[f"decode_{_k.lower()}"] = decode_event(_k)
+    ORACLES[f"decode_{_k.lower()}"] = O.decode_event(_k)
+QUERIES.update({
+    "decode_errors": decode_errors,
+    "decode_counters": decode_counters,
+    "route_topics": route_topics(False),
+    "route_topics_extra_map": route_topics(True),
+})
+ORACLES.update({
+    "decode_errors": O.decode_errors(),
+    "decode_counters": O.decode_counters(),
+    "route_topics": O.route_topics(False),
+    "route_topics_extra_map": O.route_topics(True),
+})

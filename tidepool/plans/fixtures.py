@@ -185,3 +185,92 @@ def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BALANCE_STEP = (1_000_003, 999_983)
+
+
+# ---------------------------------------------------------------------------
+# Adapter R: E encoded as raw logs.
+
+FAULT_MOD = 101              # fault kind of an event = event_id % FAULT_MOD (with faults on)
+UNKNOWN_TOPIC0 = "0x" + "ab" * 32
+# Topic0 of a fork's Swap that carries two more uint128 words; routed only
+# through an extra topic map.
+FORK_SWAP_TOPIC0 = "0x19b47279256b2a23a1665c810c8d55a1758940ee09377d4f8d26497a3577dc83"
+UNKNOWN_POOL = "0x" + "dead".rjust(40, "0")
+INT24_OVERFLOW_WORD = "800000".rjust(64, "0")
+
+
+def int_word(x: Column) -> Column:
+    """Two's-complement 256-bit word of a BIGINT."""
+    h = F.lower(F.hex(x))
+    return F.when(x < 0, F.lpad(h, 64, "f")).otherwise(F.lpad(h, 64, "0"))
+
+
+def addr_word(a: Column) -> Column:
+    return F.lpad(a.substr(3, 40), 64, "0")
+
+
+def raw_logs(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """Adapter R: every event as a raw log (RAW_LOG schema).
+
+    With ``faults`` the event with event_id % 101 = f is damaged by kind f:
+    1 no topics, 2 unknown topic0, 3 bad pool address, 4 pool without
+    metadata, 5 one topic short, 6 33-byte topic, 7 non-hex topic, 8 odd data
+    length, 9 data cut to two words, 10 empty data, 11 int24 out of range,
+    12 upper-case topic0 (still routed), 13 one extra data word (ignored),
+    14 fork Swap topic0 with two extra words (routed only by an extra map).
+    """
+    from tidepool.operators.decode import EVENTS
+
+    b = event_base(spark, sf_dir)
+    b = b.withColumn("decoded", _decoded(b))
+    f = (F.col("event_id") % FAULT_MOD) if faults else F.lit(0)
+    name = F.col("event_name")
+    dcd = lambda c: F.col(f"decoded.{c}")
+    is_swap = name == "Swap"
+    sig = None
+    for n, e in EVENTS.items():
+        sig = F.when(name == n, F.lit(e.topic0)) if sig is None else sig.when(name == n, F.lit(e.topic0))
+    t0 = (F.when(f == 2, F.lit(UNKNOWN_TOPIC0)).when(f == 12, F.upper(sig))
+          .when((f == 14) & is_swap, F.lit(FORK_SWAP_TOPIC0)).otherwise(sig))
+    first = F.when(is_swap, addr_word(dcd("sender"))).otherwise(addr_word(dcd("owner")))
+    t1 = (F.when(f == 6, F.lit("0x" + "ab" * 33)).when(f == 7, F.lit("0xzz"))
+          .otherwise(F.concat(F.lit("0x"), first)))
+    tl = F.when((f == 11) & ~is_swap, F.lit(INT24_OVERFLOW_WORD)).otherwise(int_word(dcd("tick_lower")))
+    t2 = F.concat(F.lit("0x"), F.when(is_swap, addr_word(dcd("recipient"))).otherwise(tl))
+    t3 = F.concat(F.lit("0x"), int_word(dcd("tick_upper")))
+    topics = F.when(is_swap, F.array(t0, t1, t2)).otherwise(F.array(t0, t1, t2, t3))
+    topics = (F.when(f == 1, F.array().cast("array<string>"))
+              .when(f == 5, F.slice(topics, 1, F.size(topics) - 1)).otherwise(topics))
+
+    cents = F.col("cents")
+    sqrtp = F.concat(F.lpad(F.lower(F.hex(F.col("k") + 1)), 40, "0"), F.lit("0" * 24))
+    liq = F.concat(F.lpad(F.lower(F.hex(F.col("user_id") + 1)), 48, "0"),
+                   F.lpad(F.lower(F.hex(F.col("event_id"))), 16, "0"))
+    tick = F.when(f == 11, F.lit(INT24_OVERFLOW_WORD)).otherwise(int_word(dcd("tick").cast("bigint")))
+    abs0, abs1 = int_word(F.abs(F.col("a0"))), int_word(F.abs(F.col("a1")))
+    amount = int_word(cents * 1000)
+    words = (F.when(is_swap, F.concat(int_word(F.col("a0")), int_word(F.col("a1")), sqrtp, liq, tick))
+             .when(name == "Mint", F.concat(addr_word(dcd("sender")), amount, abs0, abs1))
+             .when(name == "Burn", F.concat(amount, abs0, abs1))
+             .otherwise(F.concat(addr_word(dcd("recipient")), abs0, abs1)))
+    extra = F.lpad(F.lower(F.hex(F.col("event_id"))), 64, "0")
+    words = (F.when(f == 8, F.concat(words, F.lit("0"))).when(f == 9, words.substr(1, 128))
+             .when(f == 10, F.lit("")).when((f == 13) | ((f == 14) & is_swap), F.concat(words, extra, extra))
+             .otherwise(words))
+    address = (F.when(f == 3, F.lit("0x1234")).when(f == 4, F.lit(UNKNOWN_POOL))
+               .otherwise(F.col("address")))
+    return b.select(
+        "chain_id", "block_number", "block_hash", "tx_hash",
+        (F.col("event_id") % 3).alias("tx_index"), "log_index",
+        address.alias("address"), topics.alias("topics"),
+        F.concat(F.lit("0x"), words).alias("data"),
+        F.lit(False).alias("removed"), "timestamp",
+        F.lit("2024-01-01T00:00:00Z").alias("ingested_at"),
+    )
+
+
+def pool_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pool metadata snapshot for every fixture pool present in events."""
+    p = pools(spark, sf_dir)
+    return p.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"), hex_address(F.col("pool")).alias("address"),
+                    *pool_meta_cols(F.col("pool")))

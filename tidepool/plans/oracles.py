@@ -194,3 +194,97 @@ SELECT chain_id, pool_address, CAST({w} AS BIGINT) AS window_size_seconds, windo
             THEN {fixed18(f'((2 * rsel * {YEAR_SECONDS} + {w}) // (2 * {w}))')} END AS apr,
        'approx_from_feeTier' AS fee_method, tvl_method, decimals_known
 FROM wa"""
+
+
+# ---------------------------------------------------------------------------
+# Decoding (adapter R): the oracle restates E's plain values.
+
+ED_CTE = f"""
+ed AS (
+  SELECT e.*,
+         {hexaddr(f'user_id * 2 + {X.PARTY_BASE}')} AS party0,
+         {hexaddr(f'user_id * 2 + {X.PARTY_BASE + 1}')} AS party1,
+         CAST(event_id % 1000 - 500 AS INTEGER) AS tick,
+         CAST(-(k * 10) AS INTEGER) AS tick_lower,
+         CAST(k * 10 + 10 AS INTEGER) AS tick_upper,
+         CAST(CAST(user_id + 1 AS HUGEINT) * {X.Q64} + event_id AS VARCHAR) AS liquidity,
+         CAST(CAST(k + 1 AS HUGEINT) * {X.Q96} AS VARCHAR) AS sqrt_price_x96,
+         CAST(cents * 1000 AS VARCHAR) AS amount,
+         event_id % {X.FAULT_MOD} AS f
+  FROM e)"""
+
+_DEC_KEYS = "chain_id, block_number, tx_hash, log_index, address"
+
+
+def decode_event(kind: str) -> str:
+    cols = {
+        "Swap": "party0 AS sender, party1 AS recipient, CAST(a0 AS VARCHAR) AS amount0, "
+                "CAST(a1 AS VARCHAR) AS amount1, sqrt_price_x96, liquidity, tick",
+        "Mint": "party1 AS owner, party0 AS sender, tick_lower, tick_upper, amount, "
+                "CAST(abs(a0) AS VARCHAR) AS amount0, CAST(abs(a1) AS VARCHAR) AS amount1",
+        "Burn": "party1 AS owner, tick_lower, tick_upper, amount, "
+                "CAST(abs(a0) AS VARCHAR) AS amount0, CAST(abs(a1) AS VARCHAR) AS amount1",
+        "Collect": "party1 AS owner, party0 AS recipient, tick_lower, tick_upper, "
+                   "CAST(abs(a0) AS VARCHAR) AS amount0, CAST(abs(a1) AS VARCHAR) AS amount1",
+    }[kind]
+    return f"""WITH {E_CTE}, {ED_CTE}
+SELECT {_DEC_KEYS}, {cols}, token0, token1, fee, tick_spacing
+FROM ed WHERE event_name = '{kind}'"""
+
+
+_N_TOPICS = "(CASE WHEN event_name = 'Swap' THEN 3 ELSE 4 END)"
+_N_WORDS = "(CASE event_name WHEN 'Swap' THEN 5 WHEN 'Mint' THEN 4 ELSE 3 END)"
+_ERROR_SQL = f"""CASE f
+    WHEN 1 THEN 'missing topic0'
+    WHEN 3 THEN 'invalid pool address: 0x1234'
+    WHEN 4 THEN 'pool meta not found: {X.UNKNOWN_POOL}'
+    WHEN 5 THEN 'expected ' || {_N_TOPICS} || ' topics, got ' || ({_N_TOPICS} - 1)
+    WHEN 6 THEN 'topic length 33'
+    WHEN 7 THEN 'invalid topic: invalid hex string'
+    WHEN 8 THEN 'invalid data: hex string of odd length'
+    WHEN 9 THEN 'unpack ' || event_name || ': abi: cannot marshal in to go type: length insufficient 64 require 96'
+    WHEN 10 THEN 'unpack ' || event_name || ': abi: attempting to unmarshall an empty string while arguments are expected'
+    WHEN 11 THEN 'int24 overflow: 8388608'
+  END"""
+_TOPIC0_SQL = ("CASE WHEN f = 1 THEN '' WHEN f = 12 THEN upper(sig) "
+               f"WHEN f = 14 AND event_name = 'Swap' THEN '{X.FORK_SWAP_TOPIC0}' ELSE sig END")
+
+
+def _sig_sql() -> str:
+    from tidepool.operators.decode import EVENTS
+    return "CASE event_name " + " ".join(f"WHEN '{n}' THEN '{e.topic0}'" for n, e in EVENTS.items()) + " END"
+
+
+FAULTY_CTE = f"""
+fr AS (
+  SELECT ed.*, {_sig_sql()} AS sig,
+         CASE f WHEN 3 THEN '0x1234' WHEN 4 THEN '{X.UNKNOWN_POOL}' ELSE address END AS log_address
+  FROM ed),
+fo AS (
+  SELECT fr.*, {_TOPIC0_SQL} AS topic0, {_ERROR_SQL} AS error,
+         CASE WHEN f = 2 THEN 'skipped'
+              WHEN f = 14 AND event_name = 'Swap' THEN 'skipped'
+              WHEN f BETWEEN 1 AND 11 THEN 'failed' ELSE 'decoded' END AS outcome
+  FROM fr)"""
+
+
+def decode_errors() -> str:
+    return f"""WITH {E_CTE}, {ED_CTE}, {FAULTY_CTE}
+SELECT chain_id, block_number, tx_hash, log_index, log_address AS address, topic0, error
+FROM fo WHERE outcome = 'failed'"""
+
+
+def decode_counters() -> str:
+    return f"""WITH {E_CTE}, {ED_CTE}, {FAULTY_CTE}
+SELECT outcome AS counter, CAST(count(*) AS BIGINT) AS value FROM fo GROUP BY outcome
+UNION ALL SELECT 'total', CAST(count(*) AS BIGINT) FROM fo"""
+
+
+def route_topics(extra_map: bool) -> str:
+    fork = "f = 14 AND event_name = 'Swap'"
+    name = (f"CASE WHEN f IN (1, 2) THEN NULL WHEN {fork} THEN {'event_name' if extra_map else 'NULL'} "
+            "ELSE event_name END")
+    outcome = f"CASE WHEN {fork} THEN '{'decoded' if extra_map else 'skipped'}' ELSE outcome END"
+    return f"""WITH {E_CTE}, {ED_CTE}, {FAULTY_CTE}
+SELECT {name} AS event_name, {outcome} AS outcome, CAST(count(*) AS BIGINT) AS n
+FROM fo GROUP BY ALL"""
