@@ -34,7 +34,7 @@ def _limb_cols(prefix: str, limbs, guard: Column) -> list:
     return [F.when(guard, limb).otherwise(F.lit(0)).alias(f"{prefix}{i}") for i, limb in enumerate(limbs)]
 
 
-def event_terms(events: DataFrame, window_seconds: int) -> DataFrame:
+def event_terms(events: DataFrame, window_seconds: int, carry: tuple = ()) -> DataFrame:
     """Row-level projection: keys, flags and the limbs each event contributes.
 
     Three projections, each materialising what the next one reads several
@@ -58,6 +58,7 @@ def event_terms(events: DataFrame, window_seconds: int) -> DataFrame:
         F.coalesce(F.col("pool_meta.fee"), F.lit(0)).cast("bigint").alias("fee"),
         F.coalesce(F.col("pool_meta.tick_spacing"), F.lit(0)).alias("tick_spacing"),
         F.col("block_number"),
+        *[F.col(c) for c in carry],
         ts.alias("ts"),
         valid_swap.alias("valid_swap"),
         (~is_swap | valid_swap).alias("accepted"),
@@ -150,6 +151,22 @@ def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Col
     )
 
 
+def swap_fees(events: DataFrame) -> DataFrame:
+    """Per-swap fee of each side, floored per swap (A4): raw integer text."""
+    t = event_terms(events.where(F.lower(F.col("event_name")) == "swap"), 1, carry=("log_index",))
+    n = B.LIMBS + 1
+    return t.select("chain_id", "block_number", "log_index", "pool_address",
+                    B.to_text([F.col(f"f0_{i}") for i in range(n)]).alias("fee0"),
+                    B.to_text([F.col(f"f1_{i}") for i in range(n)]).alias("fee1"))
+
+
+def align_start(resume_ts: int, window_seconds: int) -> int:
+    """Exclusive start for a run resuming after ``resume_ts``: the whole window
+    holding the first unprocessed second is recomputed (fixes Q2)."""
+    first = resume_ts + 1
+    return max(first - first % int(window_seconds) - 1, 0)
+
+
 def drop_missing_meta(windows: DataFrame) -> DataFrame:
     """Windows whose pool has no token0/token1 produce no metric and no pool row."""
     return windows.where((F.col("token0") != "") & (F.col("token1") != ""))

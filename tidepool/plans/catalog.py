@@ -113,3 +113,182 @@ ORACLES.update({
     "route_topics": O.route_topics(False),
     "route_topics_extra_map": O.route_topics(True),
 })
+
+
+# ---------------------------------------------------------------------------
+# Aggregation details, state, upserts.
+
+from tidepool.operators import ingest as I  # noqa: E402
+from tidepool.operators import upsert as U  # noqa: E402
+from tidepool.sources import snapshots as SN  # noqa: E402
+
+
+def window_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = A.window_aggregate(X.typed_events(spark, sf_dir), DAY)
+    return w.select("chain_id", "pool_address", "window_start", "first_block", "last_block", "n_events")
+
+
+def pool_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.pool_registry(A.window_aggregate(X.typed_events(spark, sf_dir), HOUR))
+
+
+def fee_floor_per_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.swap_fees(X.typed_events(spark, sf_dir))
+
+
+def fee_rate_and_apr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_metrics_full(spark, sf_dir, DAY).select(
+        "chain_id", "pool_address", "window_start", "fee_rate0", "fee_rate1", "apr")
+
+
+def tvl_asof_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_metrics_full(spark, sf_dir, HOUR).select(
+        "pool_address", "window_start", "tvl0", "tvl1", "tvl_method")
+
+
+def _resume_point(events: DataFrame) -> int:
+    """A stored high-water mark for the demo runs: the middle of the data's time span."""
+    from tidepool.functions.bigint import idiv
+    r = events.agg(idiv(F.min("timestamp") + F.max("timestamp"), 2).alias("s")).first()
+    return int(r["s"])
+
+
+def _swap_metrics(windows: DataFrame, tokens: DataFrame) -> DataFrame:
+    d = N.attach_decimals(A.drop_missing_meta(windows), tokens)
+    return d.select(
+        "chain_id", "pool_address", "window_start", "window_end", "swap_count",
+        N.format_raw(F.col("volume0_raw"), F.col("decimals0")).alias("volume0"),
+        N.format_raw(F.col("volume1_raw"), F.col("decimals1")).alias("volume1"),
+        N.format_raw(F.col("fee0_raw"), F.col("decimals0")).alias("fee0"),
+        N.format_raw(F.col("fee1_raw"), F.col("decimals1")).alias("fee1"))
+
+
+def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run resuming after a stored high-water mark: whole windows from the
+    boundary of the first unprocessed second (P11, W4, W5)."""
+    ev = X.typed_events(spark, sf_dir)
+    start = A.align_start(_resume_point(ev), DAY)
+    return _swap_metrics(A.window_aggregate(ev, DAY, start_ts=start), X.tokens(spark, sf_dir))
+
+
+def state_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pipeline_state after a full run: highest accepted timestamp."""
+    w = A.window_aggregate(X.typed_events(spark, sf_dir), DAY)
+    hw = w.agg(F.coalesce(F.max("max_ts"), F.lit(0)).alias("ts"))
+    return hw.select(F.lit(f"aggregator:{DAY}").alias("name"), F.col("ts").cast("bigint").alias("last_processed_ts"))
+
+
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.run_counters(X.typed_events(spark, sf_dir), DAY)
+
+
+def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs written as versions (the second re-computes from a window
+    boundary); the reader view keeps the latest row per key (S7, W6, W9)."""
+    ev, tok = X.typed_events(spark, sf_dir), X.tokens(spark, sf_dir)
+    s = _resume_point(ev)
+    first = _swap_metrics(A.window_aggregate(ev.where(F.col("timestamp") <= s), DAY), tok)
+    second = _swap_metrics(A.window_aggregate(ev, DAY, start_ts=A.align_start(s, DAY)), tok)
+    versions = (first.withColumn("batch_id", F.lit(1)).unionByName(second.withColumn("batch_id", F.lit(2))))
+    return U.latest_versions(versions, ["chain_id", "pool_address", "window_start"]).drop("batch_id")
+
+
+def bad_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = A.window_aggregate(X.typed_events_bad_amounts(spark, sf_dir), DAY)
+    return w.select("pool_address", "window_start", "swap_count", "volume0_raw", "volume1_raw",
+                    "fee0_raw", "fee1_raw", "n_events")
+
+
+# ---------------------------------------------------------------------------
+# Ingest and snapshots.
+
+SCAN_POOLS = 10              # address list of the scan: pools 0..9
+SCAN_TOPICS = ("Swap", "Mint")
+
+
+def log_scan_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = I.normalize_logs(X.raw_logs(spark, sf_dir))
+    latest = logs.agg(F.max("block_number").alias("m")).first()["m"]
+    start = I.resume_from(1, latest // 4)
+    addrs = ["0x" + format(p, "x").rjust(40, "0") for p in range(SCAN_POOLS)]
+    topics = [D.EVENTS[n].topic0 for n in SCAN_TOPICS]
+    s = I.scan_logs(logs, start, 0, addrs, topics)
+    return s.select("chain_id", "block_number", "tx_hash", "log_index", "address",
+                    F.get(F.col("topics"), 0).alias("topic0"), F.size("topics").cast("bigint").alias("n_topics"))
+
+
+_LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+def dedup_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = X.logs_from_lineitem(spark, sf_dir)
+    d = I.dedup_logs(logs, order_by=[F.col(c) for c in _LINEITEM_ORDER])
+    return d.select("chain_id", "block_number", "tx_hash", "log_index", "l_partkey", "l_suppkey")
+
+
+BLOCK_BATCH = 1000
+
+
+def block_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    b = o.agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    return b.select(F.explode(I.split_range_cols(F.col("lo"), F.col("hi"), BLOCK_BATCH)).alias("r")).select("r.*")
+
+
+def log_with_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = I.attach_block_time(X.raw_logs(spark, sf_dir), X.blocks_from_orders(spark, sf_dir))
+    return logs.select("chain_id", "block_number", "log_index", "timestamp", "block_time_missing")
+
+
+def token_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = SN.build_tokens(X.token_calls(spark, sf_dir))
+    return t.select("chain_id", "address", F.col("decimals").cast("bigint").alias("decimals"), "symbol", "name")
+
+
+def live_meta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = D.decode_logs(X.raw_logs(spark, sf_dir), X.pool_meta(spark, sf_dir),
+                      pool_live=X.pool_live(spark, sf_dir))
+    te = D.typed_events(d)
+    return te.select("chain_id", "block_number", "log_index",
+                     F.col("pool_meta.liquidity").alias("liquidity"),
+                     F.col("pool_meta.slot0.sqrt_price_x96").alias("sqrt_price_x96"),
+                     F.col("pool_meta.slot0.tick").alias("tick"))
+
+
+QUERIES.update({
+    "window_block_bounds": window_block_bounds,
+    "pool_registry": pool_registry,
+    "fee_floor_per_swap": fee_floor_per_swap,
+    "fee_rate_and_apr": fee_rate_and_apr,
+    "tvl_asof_fallback": tvl_asof_fallback,
+    "incremental_recompute": incremental_recompute,
+    "state_after_run": state_after_run,
+    "run_counters": run_counters,
+    "upsert_latest_wins": upsert_latest_wins,
+    "bad_amounts": bad_amounts,
+    "log_scan_filtered": log_scan_filtered,
+    "dedup_logs": dedup_logs,
+    "block_ranges": block_ranges,
+    "log_with_timestamp": log_with_timestamp,
+    "token_dim": token_dim,
+    "live_meta_asof": live_meta_asof,
+})
+ORACLES.update({
+    "window_block_bounds": O.window_block_bounds(),
+    "pool_registry": O.pool_registry(),
+    "fee_floor_per_swap": O.fee_floor_per_swap(),
+    "fee_rate_and_apr": O.window_metrics_full(DAY, "chain_id, pool_address, window_start, fee_rate0, fee_rate1, apr"),
+    "tvl_asof_fallback": O.window_metrics_full(HOUR, "pool_address, window_start, tvl0, tvl1, tvl_method"),
+    "incremental_recompute": O.incremental_recompute(),
+    "state_after_run": O.state_after_run(),
+    "run_counters": O.run_counters(),
+    "upsert_latest_wins": O.window_swap_metrics(DAY),
+    "bad_amounts": O.bad_amounts(),
+    "log_scan_filtered": O.log_scan_filtered(SCAN_POOLS, SCAN_TOPICS),
+    "dedup_logs": O.dedup_logs(_LINEITEM_ORDER),
+    "block_ranges": O.block_ranges(BLOCK_BATCH),
+    "log_with_timestamp": O.log_with_timestamp(),
+    "token_dim": O.token_dim(),
+    "live_meta_asof": O.live_meta_asof(),
+})

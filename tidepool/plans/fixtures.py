@@ -59,7 +59,7 @@ def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     a0 = cents * F.lit(1_000_000) * F.when(odd, F.lit(-1)).otherwise(F.lit(1))
     a1 = (k + 1) * F.lit(10_000_000) * F.when(odd, F.lit(1)).otherwise(F.lit(-1))
     return ev.select(
-        F.col("event_id"), F.col("user_id"),
+        F.col("event_id"), F.col("user_id"), F.col("event_type"),
         pool.alias("pool"),
         F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
         (F.col("event_id") + 1).alias("block_number"),
@@ -274,3 +274,79 @@ def pool_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pools(spark, sf_dir)
     return p.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"), hex_address(F.col("pool")).alias("address"),
                     *pool_meta_cols(F.col("pool")))
+
+
+# ---------------------------------------------------------------------------
+# Further adapters.
+
+BAD_AMOUNT_MOD = 101         # swap payload damaged by kind event_id % 101 (15..19)
+
+
+def typed_events_bad_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter E with damaged swap payloads: 15 amount0 "1.5" (unreadable),
+    16 amount0 "" (zero), 17 amount0 with a "+" sign, 18 decoded NULL (a swap
+    of zero), 19 amount1 "12a" (unreadable)."""
+    te = typed_events(spark, sf_dir)
+    f = (F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")) % BAD_AMOUNT_MOD
+    d = F.col("decoded")
+    swap = F.col("event_name") == "Swap"
+    a0 = (F.when(swap & (f == 15), F.lit("1.5")).when(swap & (f == 16), F.lit(""))
+          .when(swap & (f == 17), F.concat(F.lit("+"), F.regexp_replace(d["amount0"], "^-", "")))
+          .otherwise(d["amount0"]))
+    a1 = F.when(swap & (f == 19), F.lit("12a")).otherwise(d["amount1"])
+    new = d.withField("amount0", a0).withField("amount1", a1)
+    return te.withColumn("decoded", F.when(swap & (f == 18), F.lit(None)).otherwise(new))
+
+
+LIVE_TYPES = ("click",)      # event types whose blocks carry a pool_live snapshot
+NO_LIVE_POOL_MOD4 = 1        # pools with pool % 4 = 1 have no live snapshots
+
+
+def pool_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live pool state snapshots (J5) at the blocks of 'click' events."""
+    b = event_base(spark, sf_dir)
+    b = b.where(F.col("event_type").isin(*LIVE_TYPES) & (F.col("pool") % 4 != NO_LIVE_POOL_MOD4))
+    return b.select("chain_id", "address", "block_number",
+                    (F.col("block_number") * 7919).cast("string").alias("liquidity"),
+                    (F.col("block_number") * 13).cast("string").alias("sqrt_price_x96"),
+                    (F.col("block_number") % 100 - 50).cast("int").alias("tick"))
+
+
+def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block headers: block o_orderkey * 2 at the order date (odd blocks have none)."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
+                    (F.col("o_orderkey") * 2).alias("block_number"),
+                    F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("timestamp"))
+
+
+def logs_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log keys from lineitem: (orderkey, linenumber) repeats, so copies exist."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return li.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
+                     F.col("l_orderkey").alias("block_number"),
+                     F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("l_orderkey")), 64, "0")).alias("tx_hash"),
+                     F.col("l_linenumber").cast("bigint").alias("log_index"), "*")
+
+
+TOKEN_ADDRESS_BASE = 1 << 20
+DECIMALS_SCALE = 7           # decimals word = p_size * 7 (values over 255 are not uint8)
+
+
+def token_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw token call results derived from part: decimals word p_size * 7;
+    symbol as string (even partkey) else bytes32 of p_brand; name as string
+    p_type (partkey % 3 = 1), bytes32 p_name (% 3 = 2), none (% 3 = 0)."""
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    k = F.col("p_partkey")
+
+    def b32(c):
+        return F.rpad(F.lower(F.hex(c)), 64, "0")
+    return p.select(
+        F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
+        hex_address(k + TOKEN_ADDRESS_BASE).alias("address"),
+        F.lpad(F.lower(F.hex(F.col("p_size") * DECIMALS_SCALE)), 64, "0").alias("decimals_word"),
+        F.when(k % 2 == 0, F.col("p_brand")).alias("symbol_text"),
+        F.concat(F.lit("0x"), b32(F.col("p_brand"))).alias("symbol_word"),
+        F.when(k % 3 == 1, F.col("p_type")).alias("name_text"),
+        F.when(k % 3 == 2, F.concat(F.lit("0x"), b32(F.col("p_name")))).alias("name_word"))

@@ -130,8 +130,8 @@ wd AS (
   WHERE w.token0 <> '' AND w.token1 <> '')"""
 
 
-def window_swap_metrics(w: int = 86400) -> str:
-    return f"""WITH {E_CTE}, {TOKENS_CTE}, {window_agg_cte(w)}, {DEC_CTE}
+def window_swap_metrics(w: int = 86400, where: str = "timestamp > 0", pre: str = "") -> str:
+    return f"""WITH {E_CTE}, {pre}{TOKENS_CTE}, {window_agg_cte(w, where)}, {DEC_CTE}
 SELECT chain_id, pool_address, window_start, CAST(window_start + {w} AS BIGINT) AS window_end, swap_count,
        {fmt_units('v0', 'd0')} AS volume0, {fmt_units('v1', 'd1')} AS volume1,
        {fmt_units('f0', 'd0')} AS fee0, {fmt_units('f1', 'd1')} AS fee1
@@ -178,9 +178,9 @@ wa AS (
   FROM wr)"""
 
 
-def window_metrics_full(w: int = 86400) -> str:
+def window_metrics_full(w: int = 86400, cols: str = "*") -> str:
     return f"""WITH {E_CTE}, {TOKENS_CTE}, {window_agg_cte(w)}, {DEC_CTE}, {_tvl_ctes()}
-SELECT chain_id, pool_address, CAST({w} AS BIGINT) AS window_size_seconds, window_start,
+SELECT {cols} FROM (SELECT chain_id, pool_address, CAST({w} AS BIGINT) AS window_size_seconds, window_start,
        CAST(window_start + {w} AS BIGINT) AS window_end, swap_count,
        {fmt_units('v0', 'd0')} AS volume0, {fmt_units('v1', 'd1')} AS volume1,
        {fmt_units('f0', 'd0')} AS fee0, {fmt_units('f1', 'd1')} AS fee1,
@@ -193,7 +193,7 @@ SELECT chain_id, pool_address, CAST({w} AS BIGINT) AS window_size_seconds, windo
        CASE WHEN rsel IS NOT NULL
             THEN {fixed18(f'((2 * rsel * {YEAR_SECONDS} + {w}) // (2 * {w}))')} END AS apr,
        'approx_from_feeTier' AS fee_method, tvl_method, decimals_known
-FROM wa"""
+FROM wa) full_row"""
 
 
 # ---------------------------------------------------------------------------
@@ -288,3 +288,122 @@ def route_topics(extra_map: bool) -> str:
     return f"""WITH {E_CTE}, {ED_CTE}, {FAULTY_CTE}
 SELECT {name} AS event_name, {outcome} AS outcome, CAST(count(*) AS BIGINT) AS n
 FROM fo GROUP BY ALL"""
+
+
+# ---------------------------------------------------------------------------
+# Aggregation details, state, upserts, ingest, snapshots.
+
+def window_block_bounds(w: int = 86400) -> str:
+    return f"""WITH {E_CTE}, {window_agg_cte(w)}
+SELECT chain_id, pool_address, window_start, first_block, last_block, n_events FROM wagg"""
+
+
+def pool_registry(w: int = 3600) -> str:
+    return f"""WITH {E_CTE}, {window_agg_cte(w)}
+SELECT chain_id, pool_address, token0, token1, fee, tick_spacing,
+       CAST(min(first_block) AS BIGINT) AS first_seen_block
+FROM wagg WHERE token0 <> '' AND token1 <> '' GROUP BY ALL"""
+
+
+def fee_floor_per_swap() -> str:
+    return f"""WITH {E_CTE}
+SELECT chain_id, block_number, log_index, address AS pool_address,
+       CAST(CASE WHEN fee > 0 AND a1 < 0 AND a0 > 0 THEN abs(a0) * fee // 1000000 ELSE 0 END AS VARCHAR) AS fee0,
+       CAST(CASE WHEN fee > 0 AND a0 < 0 AND a1 > 0 THEN abs(a1) * fee // 1000000 ELSE 0 END AS VARCHAR) AS fee1
+FROM e WHERE event_name = 'Swap'"""
+
+
+_RESUME = "rp AS (SELECT (min(timestamp) + max(timestamp)) // 2 AS s FROM e),"
+
+
+def incremental_recompute(w: int = 86400) -> str:
+    where = f"timestamp > (SELECT greatest((s + 1) - (s + 1) % {w} - 1, 0) FROM rp) AND timestamp > 0"
+    return window_swap_metrics(w, where, pre=_RESUME)
+
+
+def state_after_run(w: int = 86400) -> str:
+    return f"""WITH {E_CTE}
+SELECT 'aggregator:{w}' AS name, CAST(coalesce(max(timestamp), 0) AS BIGINT) AS last_processed_ts
+FROM e WHERE timestamp > 0"""
+
+
+def run_counters(w: int = 86400) -> str:
+    return f"""WITH {E_CTE}, {window_agg_cte(w)}
+SELECT 'total' AS counter, CAST(count(*) AS BIGINT) AS value FROM e
+UNION ALL SELECT 'skipped', CAST(count(*) FILTER (WHERE timestamp <= 0) AS BIGINT) FROM e
+UNION ALL SELECT 'failed', CAST(0 AS BIGINT)
+UNION ALL SELECT 'decoded', CAST(count(*) AS BIGINT) FROM wagg WHERE token0 <> '' AND token1 <> ''"""
+
+
+def bad_amounts(w: int = 86400) -> str:
+    m = X.BAD_AMOUNT_MOD
+    return f"""WITH {E_CTE},
+eb AS (
+  SELECT e.*, event_id % {m} AS f,
+         NOT (event_name = 'Swap' AND event_id % {m} IN (15, 19)) AS ok,
+         CASE WHEN event_name <> 'Swap' THEN a0 WHEN event_id % {m} IN (16, 18) THEN 0
+              WHEN event_id % {m} = 17 THEN abs(a0) ELSE a0 END AS b0,
+         CASE WHEN event_name = 'Swap' AND event_id % {m} = 18 THEN 0 ELSE a1 END AS b1
+  FROM e)
+SELECT address AS pool_address, timestamp - timestamp % {w} AS window_start,
+       CAST(count(*) FILTER (WHERE event_name = 'Swap' AND ok) AS BIGINT) AS swap_count,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND ok THEN abs(b0) ELSE 0 END) AS VARCHAR) AS volume0_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND ok THEN abs(b1) ELSE 0 END) AS VARCHAR) AS volume1_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND ok AND fee > 0 AND b1 < 0 AND b0 > 0
+                     THEN abs(b0) * fee // 1000000 ELSE 0 END) AS VARCHAR) AS fee0_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND ok AND fee > 0 AND b0 < 0 AND b1 > 0
+                     THEN abs(b1) * fee // 1000000 ELSE 0 END) AS VARCHAR) AS fee1_raw,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM eb WHERE timestamp > 0
+GROUP BY ALL"""
+
+
+def log_scan_filtered(n_pools: int, kinds: tuple) -> str:
+    names = ", ".join(f"'{k}'" for k in kinds)
+    return f"""WITH {E_CTE}, mx AS (SELECT max(block_number) // 4 AS c FROM e)
+SELECT chain_id, block_number, tx_hash, log_index, address, {_sig_sql()} AS topic0,
+       CAST(CASE WHEN event_name = 'Swap' THEN 3 ELSE 4 END AS BIGINT) AS n_topics
+FROM e WHERE pool < {n_pools} AND event_name IN ({names})
+  AND block_number >= (SELECT CASE WHEN c >= 1 THEN c + 1 ELSE 1 END FROM mx)"""
+
+
+def dedup_logs(order: list) -> str:
+    return f"""SELECT CAST({X.CHAIN_ID} AS BIGINT) AS chain_id, l_orderkey AS block_number,
+       '0x' || lpad(lower(hex(l_orderkey)), 64, '0') AS tx_hash, CAST(l_linenumber AS BIGINT) AS log_index,
+       l_partkey, l_suppkey
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(order)}) = 1"""
+
+
+def block_ranges(batch: int) -> str:
+    return f"""SELECT r AS from_block, least(r + {batch - 1}, hi) AS to_block
+FROM (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders) b,
+     generate_series(b.lo, b.hi, {batch}) AS t(r)"""
+
+
+def log_with_timestamp() -> str:
+    return f"""WITH {E_CTE}
+SELECT e.chain_id, e.block_number, e.log_index, o.ts AS timestamp, o.ts IS NULL AS block_time_missing
+FROM e LEFT JOIN (SELECT o_orderkey * 2 AS bn, epoch_us(o_orderdate) // 1000000 AS ts FROM orders) o
+  ON o.bn = e.block_number"""
+
+
+def token_dim() -> str:
+    d = f"p_size * {X.DECIMALS_SCALE}"
+    return f"""SELECT CAST({X.CHAIN_ID} AS BIGINT) AS chain_id, {hexaddr(f'p_partkey + {X.TOKEN_ADDRESS_BASE}')} AS address,
+       CAST(CASE WHEN {d} <= 255 THEN {d} ELSE 0 END AS BIGINT) AS decimals,
+       CASE WHEN {d} <= 255 THEN p_brand ELSE '' END AS symbol,
+       CASE WHEN {d} > 255 THEN '' WHEN p_partkey % 3 = 1 THEN p_type
+            WHEN p_partkey % 3 = 2 THEN p_name ELSE '' END AS name
+FROM part"""
+
+
+def live_meta_asof() -> str:
+    types = ", ".join(f"'{t}'" for t in X.LIVE_TYPES)
+    return f"""WITH {E_CTE},
+pl AS (
+  SELECT address, block_number, CAST(block_number * 7919 AS VARCHAR) AS liquidity,
+         CAST(block_number * 13 AS VARCHAR) AS sqrt_price_x96, CAST(block_number % 100 - 50 AS INTEGER) AS tick
+  FROM e WHERE event_type IN ({types}) AND pool % 4 <> {X.NO_LIVE_POOL_MOD4})
+SELECT e.chain_id, e.block_number, e.log_index, pl.liquidity, pl.sqrt_price_x96, pl.tick
+FROM e ASOF LEFT JOIN pl ON e.address = pl.address AND e.block_number >= pl.block_number"""
