@@ -96,44 +96,34 @@ def _digits(prefix: str, n: int) -> Column:
     return B.to_text([F.col(f"{prefix}{i}") for i in range(n)])
 
 
-def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Column = 0,
-                     dedup: bool = False) -> DataFrame:
-    """Aggregate typed events into one row per (chain, pool, window).
+N_FEE = B.LIMBS + 1
 
-    Output: chain_id, pool_address, window_size_seconds, window_start,
-    window_end, token0, token1, fee, tick_spacing, swap_count, volume0_raw,
-    volume1_raw, fee0_raw, fee1_raw (exact unscaled integer text),
-    first_block, last_block, max_ts (highest accepted timestamp), n_events.
 
-    ``start_ts``: only events with timestamp > start_ts are used (P11); the
-    value 0 therefore always skips ts = 0, as the reference does.
-    ``dedup``: drop repeated (chain, block, tx, log_index) first.  Off by
-    default because logs are deduplicated at ingest; when on, the dedup
-    shuffle is hashed on the log key, which spreads hot pools evenly.
+def agg_columns() -> list:
+    """The aggregate buffers of a window (shared by batch and streaming).
+
+    All fixed width: BIGINT limb sums, a packed DECIMAL for the last block.
     """
-    w = int(window_seconds)
-    start = start_ts if isinstance(start_ts, Column) else F.lit(int(start_ts))
-    ev = events.where(F.col("timestamp") > start)
-    if dedup:
-        ev = ev.dropDuplicates(["chain_id", "block_number", "tx_hash", "log_index"])
-    terms = event_terms(ev, w)
-    n_fee = B.LIMBS + 1
     # Last block: block of the latest timestamp, ties -> later block (A6),
     # packed into one DECIMAL so that max() keeps a fixed-width buffer.
     ord_key = (F.col("ts").cast("decimal(38,0)") * F.lit(_ORD_SHIFT)
                + F.col("block_number").cast("decimal(38,0)"))
-    aggs = [
+    return [
         F.sum(F.col("valid_swap").cast("bigint")).alias("swap_count"),
         *[F.sum(f"a0_{i}").alias(f"a0_{i}") for i in range(B.LIMBS)],
         *[F.sum(f"a1_{i}").alias(f"a1_{i}") for i in range(B.LIMBS)],
-        *[F.sum(f"f0_{i}").alias(f"f0_{i}") for i in range(n_fee)],
-        *[F.sum(f"f1_{i}").alias(f"f1_{i}") for i in range(n_fee)],
+        *[F.sum(f"f0_{i}").alias(f"f0_{i}") for i in range(N_FEE)],
+        *[F.sum(f"f1_{i}").alias(f"f1_{i}") for i in range(N_FEE)],
         F.min(F.when(F.col("block_number") > 0, F.col("block_number"))).alias("first_block"),
         F.max(ord_key).alias("last_ord"),
         F.max(F.when(F.col("accepted"), F.col("ts"))).alias("max_ts"),
         F.count(F.lit(1)).alias("n_events"),
     ]
-    g = terms.groupBy(*GROUP_KEYS).agg(*aggs)
+
+
+def render_windows(g: DataFrame, window_seconds: int) -> DataFrame:
+    """Aggregated buffers -> window rows with exact integer text."""
+    w = int(window_seconds)
     return g.select(
         "chain_id", "pool_address",
         F.lit(w).cast("bigint").alias("window_size_seconds"),
@@ -143,14 +133,38 @@ def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Col
         "swap_count",
         _digits("a0_", B.LIMBS).alias("volume0_raw"),
         _digits("a1_", B.LIMBS).alias("volume1_raw"),
-        _digits("f0_", n_fee).alias("fee0_raw"),
-        _digits("f1_", n_fee).alias("fee1_raw"),
+        _digits("f0_", N_FEE).alias("fee0_raw"),
+        _digits("f1_", N_FEE).alias("fee1_raw"),
         F.coalesce(F.col("first_block"), F.lit(0)).cast("bigint").alias("first_block"),
         (F.col("last_ord") % F.lit(_ORD_SHIFT)).cast("bigint").alias("last_block"),
         "max_ts", "n_events",
     )
 
 
+def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Column = 0,
+                     dedup: bool = False) -> DataFrame:
+    """Aggregate typed events into one row per (chain, pool, window).
+
+    Output: chain_id, pool_address, window_size_seconds, window_start,
+    window_end, token0, token1, fee, tick_spacing, swap_count, volume0_raw,
+    volume1_raw, fee0_raw, fee1_raw (exact unscaled integer text),
+    first_block, last_block, max_ts (highest accepted timestamp), n_events.
+
+    ``start_ts``: only events with timestamp > start_ts are used (P11); the
+    value 0 therefore always skips ts = 0, as the reference does.
+    ``dedup``: drop repeated (chain, block, tx, log_index) first.  Off by
+    default because logs are deduplicated at ingest; when on, the dedup
+    shuffle is hashed on the log key, which spreads hot pools evenly.
+    """
+    w = int(window_seconds)
+    start = start_ts if isinstance(start_ts, Column) else F.lit(int(start_ts))
+    ev = events.where(F.col("timestamp") > start)
+    if dedup:
+        ev = ev.dropDuplicates(["chain_id", "block_number", "tx_hash", "log_index"])
+    g = event_terms(ev, w).groupBy(*GROUP_KEYS).agg(*agg_columns())
+    return render_windows(g, w)
+
+
 def swap_fees(events: DataFrame) -> DataFrame:
     """Per-swap fee of each side, floored per swap (A4): raw integer text."""
     t = event_terms(events.where(F.lower(F.col("event_name")) == "swap"), 1, carry=("log_index",))

@@ -292,3 +292,33 @@ ORACLES.update({
     "token_dim": O.token_dim(),
     "live_meta_asof": O.live_meta_asof(),
 })
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming.
+
+STREAM_FILES = 4
+
+
+def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw logs landed as time-ordered files, consumed one file per micro-batch
+    by the streaming job; the keyed table then equals the batch result (W1-W3, W8)."""
+    import uuid
+
+    from tidepool.session import checkpoint_subdir
+    from tidepool.streaming import stream as ST
+
+    work = checkpoint_subdir(spark, "stream-demo", uuid.uuid4().hex)
+    src = f"{work}/landing"
+    logs = X.raw_logs(spark, sf_dir)
+    lo, hi = logs.agg(F.min("block_number"), F.max("block_number")).first()
+    step = (hi - lo) // STREAM_FILES + 1
+    for i in range(STREAM_FILES):      # files arrive one after another, in block order
+        part = logs.where(F.col("block_number").between(lo + i * step, lo + (i + 1) * step - 1))
+        ST.append_file(part, src)
+    return ST.run_once(spark, src, X.pool_meta(spark, sf_dir), X.tokens(spark, sf_dir),
+                       X.balances(spark, sf_dir), work, DAY, lateness="1 day", max_files_per_trigger=1)
+
+
+QUERIES["stream_window_metrics"] = stream_window_metrics
+ORACLES["stream_window_metrics"] = O.window_metrics_full(DAY)
