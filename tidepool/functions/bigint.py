@@ -115,7 +115,7 @@ def signed_text(digits: Column, neg: Column) -> Column:
     return F.when(neg & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
 
 
-def _spread(values: list) -> list:
+def spread(values: list) -> list:
     """One carry level without a chain: v_i = hi_i * BASE + lo_i -> lo_i + hi_(i-1).
 
     Returns len(values) + 1 limbs, each < BASE + max(hi).
@@ -135,11 +135,15 @@ def scale_floor(limbs: list, factor: Column, shift: int = 6) -> list:
     the limbs can be summed like parsed ones.  Returns LIMBS + 1 limbs.
     """
     assert 0 < shift < DIGITS
+    m = spread([limb * factor for limb in limbs])            # < 4.4e9 each
+    return spread(shift_down(m, shift))[: LIMBS + 1]
+
+
+def shift_down(m: list, shift: int = 6) -> list:
+    """floor(N / 10^shift) of N = sum m_i BASE^i (limbs may exceed BASE)."""
     unit = 10 ** shift
     up = 10 ** (DIGITS - shift)
-    m = _spread([limb * factor for limb in limbs])           # < 4.4e9 each
-    q = [idiv(m[0], unit) + m[1] * up] + [m[i + 1] * up for i in range(1, len(m) - 1)]
-    return _spread(q)[: LIMBS + 1]
+    return [idiv(m[0], unit) + m[1] * up] + [m[i + 1] * up for i in range(1, len(m) - 1)]
 
 
 # Base-10^8 digits of 2^(32*j), j = 0..7: derived from the rule, not typed in.

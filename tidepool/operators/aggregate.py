@@ -22,6 +22,7 @@ _ORD_SHIFT = 10 ** 12          # block numbers stay far below 10^12
 # group, and it keeps string values out of the aggregate buffers (string
 # buffers would force a sort-based aggregate).
 META_KEYS = ("token0", "token1", "fee", "tick_spacing")
+N_FEE = B.LIMBS + 1
 GROUP_KEYS = ("chain_id", "pool_address", "window_start") + META_KEYS
 
 
@@ -80,13 +81,18 @@ def event_terms(events: DataFrame, window_seconds: int, carry: tuple = ()) -> Da
         *[x.alias(f"a0_{i}") for i, x in enumerate(l0)],
         *[x.alias(f"a1_{i}") for i, x in enumerate(l1)],
     )
+    # Fee limbs in three small projections (products -> one carry level ->
+    # shift + second carry level), so each generated method stays small.
     side = F.col("_side")
     fee_in = [F.when(side == 1, F.col(f"a1_{i}")).otherwise(F.col(f"a0_{i}")) for i in range(B.LIMBS)]
-    fee_limbs = B.scale_floor(fee_in, F.col("fee"))
-    return stage1.select(
-        *keys,
-        *[F.col(f"a0_{i}") for i in range(B.LIMBS)],
-        *[F.col(f"a1_{i}") for i in range(B.LIMBS)],
+    limbs = [F.col(f"a0_{i}") for i in range(B.LIMBS)] + [F.col(f"a1_{i}") for i in range(B.LIMBS)]
+    m = B.spread([x * F.col("fee") for x in fee_in])
+    stage2 = stage1.select(*keys, "_side", *limbs, *[x.alias(f"_m{i}") for i, x in enumerate(m)])
+    q = B.shift_down([F.col(f"_m{i}") for i in range(len(m))])
+    stage3 = stage2.select(*keys, "_side", *limbs, *[x.alias(f"_q{i}") for i, x in enumerate(q)])
+    fee_limbs = B.spread([F.col(f"_q{i}") for i in range(len(q))])[: N_FEE]
+    return stage3.select(
+        *keys, *limbs,
         *_limb_cols("f0_", fee_limbs, side.isNotNull() & (side == 0)),
         *_limb_cols("f1_", fee_limbs, side.isNotNull() & (side == 1)),
     )
@@ -96,9 +102,6 @@ def _digits(prefix: str, n: int) -> Column:
     return B.to_text([F.col(f"{prefix}{i}") for i in range(n)])
 
 
-N_FEE = B.LIMBS + 1
-
-
 def agg_columns() -> list:
     """The aggregate buffers of a window (shared by batch and streaming).
 

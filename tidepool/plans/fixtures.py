@@ -31,6 +31,20 @@ Q96 = 2 ** 96
 Q64 = 2 ** 64
 
 
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, spread over the cluster's cores when the scan yields fewer splits.
+
+    A small file holding one Parquet row group is read by a single task; the
+    per-row work after it would then use one core.  On large inputs the scan
+    already has more splits than cores and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
 def hex_address(n: Column) -> Column:
     return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 40, "0"))
 
@@ -51,7 +65,7 @@ def _kind(event_type: Column) -> Column:
 
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain per-event values shared by adapters E and R."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_driver_table(spark, sf_dir, "events")
     pool = F.col("user_id") % N_POOLS
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     odd = F.col("event_id") % 2 == 1
@@ -131,7 +145,7 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct fixture pools present in the events table."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_driver_table(spark, sf_dir, "events")
     return ev.select((F.col("user_id") % N_POOLS).alias("pool")).distinct()
 
 
@@ -165,7 +179,7 @@ def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     with pool % 10 = 2 keep only a snapshot at their last event block; pools
     with pool % 11 = 3 have none.  balance = 10^15 * (side + 1) + block * m.
     """
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_driver_table(spark, sf_dir, "events")
     b = ev.select((F.col("user_id") % N_POOLS).alias("pool"), (F.col("event_id") + 1).alias("block_number"),
                   "event_type")
     b = b.where(F.col("pool") % 11 != NO_BALANCE_POOL_MOD11)
@@ -314,7 +328,7 @@ def pool_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block headers: block o_orderkey * 2 at the order date (odd blocks have none)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = read_driver_table(spark, sf_dir, "orders")
     return o.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
                     (F.col("o_orderkey") * 2).alias("block_number"),
                     F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("timestamp"))
@@ -322,7 +336,7 @@ def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logs_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log keys from lineitem: (orderkey, linenumber) repeats, so copies exist."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = read_driver_table(spark, sf_dir, "lineitem")
     return li.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
                      F.col("l_orderkey").alias("block_number"),
                      F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("l_orderkey")), 64, "0")).alias("tx_hash"),
@@ -337,7 +351,7 @@ def token_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw token call results derived from part: decimals word p_size * 7;
     symbol as string (even partkey) else bytes32 of p_brand; name as string
     p_type (partkey % 3 = 1), bytes32 p_name (% 3 = 2), none (% 3 = 0)."""
-    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    p = read_driver_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
 
     def b32(c):
