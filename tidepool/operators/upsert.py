@@ -15,9 +15,17 @@ from tidepool import schemas as S
 
 
 def latest_versions(versions: DataFrame, key: list[str], version_col: str = "batch_id") -> DataFrame:
-    """Keep the row of the highest version per key (reader view of the table)."""
+    """Keep the row of the highest version per key (reader view of the table).
+
+    With a ``written_at`` column, ``created_at`` is the key's first write and
+    ``updated_at`` its latest one (the reference's insert / on-conflict times).
+    """
     w = Window.partitionBy(*key).orderBy(F.col(version_col).desc())
-    return versions.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    out = versions.withColumn("_rn", F.row_number().over(w))
+    if "written_at" in versions.columns:
+        out = (out.withColumn("created_at", F.min("written_at").over(Window.partitionBy(*key)))
+               .withColumnRenamed("written_at", "updated_at"))
+    return out.where(F.col("_rn") == 1).drop("_rn")
 
 
 def merge_pools(versions: DataFrame) -> DataFrame:
@@ -30,7 +38,7 @@ def merge_pools(versions: DataFrame) -> DataFrame:
 
 def write_version(df: DataFrame, path: str, batch_id: int) -> None:
     """Append (or replace) one version folder of a keyed table."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    (df.withColumn("written_at", F.current_timestamp())
        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}"))
 
 

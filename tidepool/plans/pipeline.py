@@ -125,9 +125,16 @@ def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, bal
 
 def read_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current pool_window_metrics (latest version per key)."""
+    return U.read_latest(spark, os.path.join(out_dir, "metrics"), list(S.WINDOW_METRICS_KEY)).drop(
+        "batch_id", "created_at", "updated_at")
+
+
+def read_metrics_with_times(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Metrics with created_at (first write of the key) and updated_at (latest)."""
     return U.read_latest(spark, os.path.join(out_dir, "metrics"), list(S.WINDOW_METRICS_KEY)).drop("batch_id")
 
 
 def read_pools(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current pools with first_seen_block = LEAST over versions."""
-    return U.merge_pools(spark.read.parquet(os.path.join(out_dir, "pools"))).drop("batch_id")
+    return U.merge_pools(spark.read.parquet(os.path.join(out_dir, "pools"))).drop(
+        "batch_id", "created_at", "updated_at")

@@ -80,7 +80,7 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
 
 
 def read_stream_metrics(spark: SparkSession, table_path: str) -> DataFrame:
-    return U.read_latest(spark, table_path, list(S.WINDOW_METRICS_KEY)).drop("batch_id")
+    return U.read_latest(spark, table_path, list(S.WINDOW_METRICS_KEY)).drop("batch_id", "created_at", "updated_at")
 
 
 def append_file(df: DataFrame, path: str) -> None:
