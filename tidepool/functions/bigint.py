@@ -268,3 +268,61 @@ def with_hex_text(df, specs: dict):
                                F.when(s_ == "", F.lit("0")).otherwise(s_)).alias(f"_ht_{n}"))
     d = c.select(*keep, *[f"_hn_{n}" for n in names], *txt_cols)
     return d.select(*keep, *[signed_text(F.col(f"_ht_{n}"), F.col(f"_hn_{n}")).alias(n) for n in names])
+
+
+# ---------------------------------------------------------------------------
+# The same arithmetic as SQL text over column names.  Hot paths build their
+# projections with ``selectExpr`` from these, which parses each expression
+# once in the JVM instead of composing it from many driver-side calls.
+
+def sql_decimal_parts(text: str) -> tuple[str, str, str]:
+    """(digits, neg, ok) SQL for base-10 integer text (see ``decimal_parts``)."""
+    s = f"coalesce({text}, '')"
+    body = f"(CASE WHEN substr({s}, 1, 1) IN ('+', '-') THEN substr({s}, 2) ELSE {s} END)"
+    digits = f"trim(LEADING '0' FROM {body})"
+    ok = f"(({s} = '' OR {s} RLIKE '^[+-]?[0-9]+$') AND length({digits}) <= {WIDTH})"
+    neg = f"({ok} AND substr({s}, 1, 1) = '-' AND {digits} != '')"
+    return f"(CASE WHEN {ok} THEN {digits} ELSE '' END)", neg, ok
+
+
+def sql_digit_limbs(digits: str) -> list:
+    return [f"CAST(substr(lpad({digits}, {WIDTH}, '0'), {WIDTH - DIGITS * (i + 1) + 1}, {DIGITS}) AS BIGINT)"
+            for i in range(LIMBS)]
+
+
+def sql_spread(values: list) -> list:
+    lo = [f"(({v}) % {BASE})" for v in values]
+    hi = [f"(({v}) div {BASE})" for v in values]
+    return [lo[0]] + [f"({lo[i]} + {hi[i - 1]})" for i in range(1, len(values))] + [hi[-1]]
+
+
+def sql_shift_down(m: list, shift: int = 6) -> list:
+    unit, up = 10 ** shift, 10 ** (DIGITS - shift)
+    return [f"(({m[0]}) div {unit} + ({m[1]}) * {up})"] + [f"(({m[i + 1]}) * {up})" for i in range(1, len(m) - 1)]
+
+
+def sql_to_text(limbs: list) -> str:
+    """Digit text of non-negative limbs (each < 2^63), DECIMAL chunks as in ``to_text``."""
+    dec = "DECIMAL(38,0)"
+    chunks = []
+    for j in range(0, len(limbs), _CHUNK):
+        terms = [f"CAST({x} AS {dec})" if t == 0 else f"CAST({x} AS {dec}) * CAST({BASE ** t} AS {dec})"
+                 for t, x in enumerate(limbs[j:j + _CHUNK])]
+        chunks.append("(" + " + ".join(terms) + ")")
+    unit = f"CAST('{10 ** _CHUNK_DIGITS}' AS {dec})"
+    parts, k = [], None
+    for c in chunks:
+        t = c if k is None else f"({c} + {k})"
+        parts.append(f"lpad(CAST({t} % {unit} AS STRING), {_CHUNK_DIGITS}, '0')")
+        k = f"({t} div {unit})"
+    s = f"trim(LEADING '0' FROM concat(CAST({k} AS STRING), {', '.join(reversed(parts))}))"
+    return f"(CASE WHEN {s} = '' THEN '0' ELSE {s} END)"
+
+
+def sql_format_units(digits: str, decimals: str) -> str:
+    """Fixed-point text of unsigned digit text scaled by 10^-decimals (M1)."""
+    d = f"CAST({decimals} AS INT)"
+    padded = f"(CASE WHEN length({digits}) <= {d} THEN lpad({digits}, {d} + 1, '0') ELSE {digits} END)"
+    fixed = (f"concat(substr({padded}, 1, length({padded}) - {d}), '.', "
+             f"substr({padded}, length({padded}) - {d} + 1, {d}))")
+    return f"(CASE WHEN {d} <= 0 THEN {digits} ELSE {fixed} END)"

@@ -38,68 +38,54 @@ def _limb_cols(prefix: str, limbs, guard: Column) -> list:
 def event_terms(events: DataFrame, window_seconds: int, carry: tuple = ()) -> DataFrame:
     """Row-level projection: keys, flags and the limbs each event contributes.
 
-    Three projections, each materialising what the next one reads several
-    times (digit text, limbs), so that no expression is rebuilt per limb.
+    Staged projections, each materialising what the next one reads several
+    times (digit text, limbs, carry levels), so that every generated method
+    stays small; the limb arithmetic is SQL text parsed once per stage.
     """
     w = int(window_seconds)
     if w <= 0:
         raise ValueError("window seconds must be > 0")
-    decoded_ok = F.col("decoded_ok") if "decoded_ok" in events.columns else F.lit(True)
-    ts = F.col("timestamp")
-    d0, n0, ok0 = B.decimal_parts(F.col("decoded.amount0"))
-    d1, n1, ok1 = B.decimal_parts(F.col("decoded.amount1"))
-    is_swap = F.lower(F.col("event_name")) == "swap"
-    valid_swap = is_swap & decoded_ok & ok0 & ok1
-    stage0 = events.select(
-        F.col("chain_id"),
-        F.lower(F.col("address")).alias("pool_address"),
-        window_start(ts, w).alias("window_start"),
-        F.coalesce(F.col("pool_meta.token0"), F.lit("")).alias("token0"),
-        F.coalesce(F.col("pool_meta.token1"), F.lit("")).alias("token1"),
-        F.coalesce(F.col("pool_meta.fee"), F.lit(0)).cast("bigint").alias("fee"),
-        F.coalesce(F.col("pool_meta.tick_spacing"), F.lit(0)).alias("tick_spacing"),
-        F.col("block_number"),
-        *[F.col(c) for c in carry],
-        ts.alias("ts"),
-        valid_swap.alias("valid_swap"),
-        (~is_swap | valid_swap).alias("accepted"),
-        F.when(valid_swap, d0).otherwise(F.lit("")).alias("_d0"), n0.alias("_n0"),
-        F.when(valid_swap, d1).otherwise(F.lit("")).alias("_d1"), n1.alias("_n1"),
+    decoded_ok = "decoded_ok" if "decoded_ok" in events.columns else "true"
+    d0, n0, ok0 = B.sql_decimal_parts("decoded.amount0")
+    d1, n1, ok1 = B.sql_decimal_parts("decoded.amount1")
+    is_swap = "lower(event_name) = 'swap'"
+    valid = f"({is_swap} AND {decoded_ok} AND {ok0} AND {ok1})"
+    keys = ["chain_id", "pool_address", "window_start", *META_KEYS, "block_number", *carry, "ts",
+            "valid_swap", "accepted"]
+    stage0 = events.selectExpr(
+        "chain_id", "lower(address) AS pool_address", f"timestamp - timestamp % {w} AS window_start",
+        "coalesce(pool_meta.token0, '') AS token0", "coalesce(pool_meta.token1, '') AS token1",
+        "CAST(coalesce(pool_meta.fee, 0) AS BIGINT) AS fee",
+        "coalesce(pool_meta.tick_spacing, 0) AS tick_spacing", "block_number", *carry, "timestamp AS ts",
+        f"{valid} AS valid_swap", f"(NOT {is_swap} OR {valid}) AS accepted",
+        f"CASE WHEN {valid} THEN {d0} ELSE '' END AS _d0", f"{n0} AS _n0",
+        f"CASE WHEN {valid} THEN {d1} ELSE '' END AS _d1", f"{n1} AS _n1",
     )
-    keys = [c for c in stage0.columns if not c.startswith("_")]
-    vs, fee = F.col("valid_swap"), F.col("fee")
-    neg0, neg1 = F.col("_n0"), F.col("_n1")
-    pos0 = ~neg0 & (F.col("_d0") != "")
-    pos1 = ~neg1 & (F.col("_d1") != "")
     # Input side of the swap pays the fee; same-sign swaps and fee tier 0 pay none (A4, Q9).
-    fee_side = (F.when(vs & (fee > 0) & neg0 & pos1, F.lit(1))
-                .when(vs & (fee > 0) & neg1 & pos0, F.lit(0)))
-    l0 = B.digit_limbs(F.col("_d0"))
-    l1 = B.digit_limbs(F.col("_d1"))
-    stage1 = stage0.select(
-        *keys, fee_side.alias("_side"),
-        *[x.alias(f"a0_{i}") for i, x in enumerate(l0)],
-        *[x.alias(f"a1_{i}") for i, x in enumerate(l1)],
+    side = ("CASE WHEN valid_swap AND fee > 0 AND _n0 AND NOT _n1 AND _d1 != '' THEN 1 "
+            "WHEN valid_swap AND fee > 0 AND _n1 AND NOT _n0 AND _d0 != '' THEN 0 END")
+    limbs = [f"a0_{i}" for i in range(B.LIMBS)] + [f"a1_{i}" for i in range(B.LIMBS)]
+    stage1 = stage0.selectExpr(
+        *keys, "fee", f"{side} AS _side",
+        *[f"{x} AS a0_{i}" for i, x in enumerate(B.sql_digit_limbs("_d0"))],
+        *[f"{x} AS a1_{i}" for i, x in enumerate(B.sql_digit_limbs("_d1"))],
     )
-    # Fee limbs in three small projections (products -> one carry level ->
-    # shift + second carry level), so each generated method stays small.
-    side = F.col("_side")
-    fee_in = [F.when(side == 1, F.col(f"a1_{i}")).otherwise(F.col(f"a0_{i}")) for i in range(B.LIMBS)]
-    limbs = [F.col(f"a0_{i}") for i in range(B.LIMBS)] + [F.col(f"a1_{i}") for i in range(B.LIMBS)]
-    m = B.spread([x * F.col("fee") for x in fee_in])
-    stage2 = stage1.select(*keys, "_side", *limbs, *[x.alias(f"_m{i}") for i, x in enumerate(m)])
-    q = B.shift_down([F.col(f"_m{i}") for i in range(len(m))])
-    stage3 = stage2.select(*keys, "_side", *limbs, *[x.alias(f"_q{i}") for i, x in enumerate(q)])
-    fee_limbs = B.spread([F.col(f"_q{i}") for i in range(len(q))])[: N_FEE]
-    return stage3.select(
+    # Fee limbs: products -> one carry level -> shift + second carry level.
+    prod = [f"(CASE WHEN _side = 1 THEN a1_{i} ELSE a0_{i} END) * fee" for i in range(B.LIMBS)]
+    m = B.sql_spread(prod)
+    stage2 = stage1.selectExpr(*keys, "_side", *limbs, *[f"{x} AS _m{i}" for i, x in enumerate(m)])
+    q = B.sql_shift_down([f"_m{i}" for i in range(len(m))])
+    stage3 = stage2.selectExpr(*keys, "_side", *limbs, *[f"{x} AS _q{i}" for i, x in enumerate(q)])
+    fee = B.sql_spread([f"_q{i}" for i in range(len(q))])[:N_FEE]
+    return stage3.selectExpr(
         *keys, *limbs,
-        *_limb_cols("f0_", fee_limbs, side.isNotNull() & (side == 0)),
-        *_limb_cols("f1_", fee_limbs, side.isNotNull() & (side == 1)),
+        *[f"CASE WHEN _side = 0 THEN {x} ELSE 0 END AS f0_{i}" for i, x in enumerate(fee)],
+        *[f"CASE WHEN _side = 1 THEN {x} ELSE 0 END AS f1_{i}" for i, x in enumerate(fee)],
     )
 
 
 def _digits(prefix: str, n: int) -> Column:
-    return B.to_text([F.col(f"{prefix}{i}") for i in range(n)])
+    return F.expr(B.sql_to_text([f"{prefix}{i}" for i in range(n)]))
 
 
 def agg_columns() -> list:

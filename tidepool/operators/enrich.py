@@ -46,8 +46,10 @@ def attach_decimals(windows: DataFrame, tokens: DataFrame) -> DataFrame:
             .drop("_known0", "_known1"))
 
 
-def format_raw(raw: Column, decimals: Column) -> Column:
-    """M1 on unsigned raw digit text."""
+def format_raw(raw, decimals) -> Column:
+    """M1 on unsigned raw digit text (column names, or Columns)."""
+    if isinstance(raw, str) and isinstance(decimals, str):
+        return F.expr(B.sql_format_units(raw, decimals))
     return B.format_units(raw, F.lit(False), decimals)
 
 
@@ -94,15 +96,15 @@ def metrics_row(w: DataFrame) -> DataFrame:
     return staged.select(
         "chain_id", "pool_address", "window_size_seconds", "window_start", "window_end",
         "swap_count",
-        format_raw(F.col("volume0_raw"), d0).alias("volume0"),
-        format_raw(F.col("volume1_raw"), d1).alias("volume1"),
-        format_raw(F.col("fee0_raw"), d0).alias("fee0"),
-        format_raw(F.col("fee1_raw"), d1).alias("fee1"),
+        format_raw("volume0_raw", "decimals0").alias("volume0"),
+        format_raw("volume1_raw", "decimals1").alias("volume1"),
+        format_raw("fee0_raw", "decimals0").alias("fee0"),
+        format_raw("fee1_raw", "decimals1").alias("fee1"),
         F.lit(None).cast("string").alias("fee_usd"),
         F.col("_rates.fee_rate0").alias("fee_rate0"),
         F.col("_rates.fee_rate1").alias("fee_rate1"),
-        F.when(F.col("tvl0_raw").isNotNull(), format_raw(F.col("tvl0_raw"), d0)).alias("tvl0"),
-        F.when(F.col("tvl1_raw").isNotNull(), format_raw(F.col("tvl1_raw"), d1)).alias("tvl1"),
+        F.when(F.col("tvl0_raw").isNotNull(), format_raw("tvl0_raw", "decimals0")).alias("tvl0"),
+        F.when(F.col("tvl1_raw").isNotNull(), format_raw("tvl1_raw", "decimals1")).alias("tvl1"),
         F.lit(None).cast("string").alias("tvl_usd"),
         F.col("_rates.apr").alias("apr"),
         F.lit(FEE_METHOD).alias("fee_method"),

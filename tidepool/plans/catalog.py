@@ -28,10 +28,10 @@ def window_swap_metrics(spark: SparkSession, sf_dir: str, w: int = DAY) -> DataF
     d = N.attach_decimals(windows, X.tokens(spark, sf_dir))
     return d.select(
         "chain_id", "pool_address", "window_start", "window_end", "swap_count",
-        N.format_raw(F.col("volume0_raw"), F.col("decimals0")).alias("volume0"),
-        N.format_raw(F.col("volume1_raw"), F.col("decimals1")).alias("volume1"),
-        N.format_raw(F.col("fee0_raw"), F.col("decimals0")).alias("fee0"),
-        N.format_raw(F.col("fee1_raw"), F.col("decimals1")).alias("fee1"))
+        N.format_raw("volume0_raw", "decimals0").alias("volume0"),
+        N.format_raw("volume1_raw", "decimals1").alias("volume1"),
+        N.format_raw("fee0_raw", "decimals0").alias("fee0"),
+        N.format_raw("fee1_raw", "decimals1").alias("fee1"))
 
 
 def window_metrics_full(spark: SparkSession, sf_dir: str, w: int = DAY) -> DataFrame:
@@ -157,10 +157,10 @@ def _swap_metrics(windows: DataFrame, tokens: DataFrame) -> DataFrame:
     d = N.attach_decimals(A.drop_missing_meta(windows), tokens)
     return d.select(
         "chain_id", "pool_address", "window_start", "window_end", "swap_count",
-        N.format_raw(F.col("volume0_raw"), F.col("decimals0")).alias("volume0"),
-        N.format_raw(F.col("volume1_raw"), F.col("decimals1")).alias("volume1"),
-        N.format_raw(F.col("fee0_raw"), F.col("decimals0")).alias("fee0"),
-        N.format_raw(F.col("fee1_raw"), F.col("decimals1")).alias("fee1"))
+        N.format_raw("volume0_raw", "decimals0").alias("volume0"),
+        N.format_raw("volume1_raw", "decimals1").alias("volume1"),
+        N.format_raw("fee0_raw", "decimals0").alias("fee0"),
+        N.format_raw("fee1_raw", "decimals1").alias("fee1"))
 
 
 def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
