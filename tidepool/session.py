@@ -26,6 +26,21 @@ _DEFAULTS = {
 }
 
 
+# SQL settings the queries depend on; all can be set on a running session.
+RUNTIME_SQL_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to a session created elsewhere."""
+    for key, value in RUNTIME_SQL_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(master: str | None = None, app_name: str = "tidepool",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
