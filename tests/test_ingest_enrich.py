@@ -76,8 +76,9 @@ def test_asof_join_matches_brute_force(spark):
 
 
 def test_tvl_mixed_falls_back_to_latest(spark):
-    w = spark.createDataFrame([(56, "0x" + "11" * 20, "0x" + "aa" * 20, "0x" + "bb" * 20, 100)],
-                              "chain_id long, pool_address string, token0 string, token1 string, last_block long")
+    w = spark.createDataFrame([(56, "0x" + "11" * 20, 0, "0x" + "aa" * 20, "0x" + "bb" * 20, 100)],
+                              "chain_id long, pool_address string, window_start long, token0 string, "
+                              "token1 string, last_block long")
     bal = spark.createDataFrame([
         (56, "0x" + "aa" * 20, "0x" + "11" * 20, 50, "10"),
         (56, "0x" + "aa" * 20, "0x" + "11" * 20, 150, "11"),

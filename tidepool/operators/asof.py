@@ -1,18 +1,22 @@
 """As-of join: attach to each left row the latest right row at or before it.
 
-Spark has no native as-of join.  The right side (a snapshot table keyed by
-``on`` and a position such as a block number) is turned into validity
-intervals [pos, next_pos) with ``lead``; each interval is exploded into the
-fixed-width position buckets it covers, and the left side joins on
-(keys, bucket) with the range test as a join condition.  Intervals of one key
-are disjoint, so each left row matches at most one interval: no pair blow-up.
-The open-ended last interval of every key is a one-row-per-key table joined
-separately; it also serves as the "latest" value.
+Spark has no native as-of join.  Positions (block numbers) are cut into
+fixed-width buckets, and the work is split so that no step needs a whole key
+in one task and nothing is exploded:
 
-Scale: the left side is never grouped by key alone, so a hot key (one pool
-with a third of all events) is spread over its position buckets and the
-shuffle stays balanced; AQE skew-join splitting covers what is left.  The
-explode costs at most interval_length / bucket + 1 rows per snapshot.
+1. Left and right rows are stacked and, per (key, bucket), a running
+   ``last(value, ignorenulls)`` ordered by position gives each left row the
+   latest snapshot inside its own bucket.
+2. The same window marks each (key, bucket)'s last snapshot (one row per
+   non-empty bucket), with no extra shuffle.
+3. A left row with no snapshot in its bucket takes the last snapshot of any
+   earlier bucket of its key: a running ``last`` over the small per-bucket
+   table, ordered by bucket (at most span / bucket rows per key); the same
+   window gives the key's final snapshot (the "latest" fallback).
+
+A hot key (one pool with a third of all events) is spread over its buckets
+in every shuffle; the only per-key window runs on the per-bucket summary.
+Right rows are expected to be unique per (keys, position).
 """
 
 from __future__ import annotations
@@ -32,40 +36,59 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
     Adds ``{prefix}{v}`` for each value column and ``{prefix}pos`` (NULLs when
     no such row).  With ``with_latest`` also ``{prefix}latest_{v}`` and
     ``{prefix}latest_pos``: the key's last row regardless of position.
-    Right rows are expected to be unique per (keys, pos).
     """
     b = int(bucket_size)
-    rk = [f"_rk{i}" for i in range(len(right_on))]
-    r = right.select(*[F.col(c).alias(k) for c, k in zip(right_on, rk)],
-                     F.col(right_pos).alias("_rp"),
-                     F.struct(*[F.col(v) for v in values]).alias("_rv"))
-    r = r.withColumn("_rn", F.lead("_rp").over(Window.partitionBy(*rk).orderBy("_rp")))
+    k = [f"_k{i}" for i in range(len(left_on))]
+    lcols = left.columns
+    payload = F.struct(F.col("_p").alias("pos"), *[F.col(v) for v in values])
+
+    r = right.select(*[F.col(c).alias(x) for c, x in zip(right_on, k)], F.col(right_pos).alias("_p"), *values)
+    r = r.withColumn("_b", idiv(F.col("_p"), b)).withColumn("_v", payload)
+    # The answer depends only on (key, position): solve it per distinct pair
+    # and join back on those columns (no synthetic row ids, which would not
+    # survive a recomputation of a shuffled input).
+    lk = (left.select(*[F.col(c).alias(x) for c, x in zip(left_on, k)], F.col(left_pos).alias("_p"))
+          .where(F.col("_p").isNotNull()).distinct().withColumn("_b", idiv(F.col("_p"), b)))
 
-    bounded = (r.where(F.col("_rn").isNotNull() & (F.col("_rn") > F.col("_rp")))
-               .select(*rk, "_rp", "_rn", "_rv",
-                       F.explode(F.sequence(idiv(F.col("_rp"), b), idiv(F.col("_rn") - 1, b))).alias("_rb")))
-    tail = r.where(F.col("_rn").isNull()).select(
-        *[F.col(k).alias(f"_t{k}") for k in rk], F.col("_rp").alias("_tp"), F.col("_rv").alias("_tv"))
+    # 1. Within-bucket fill: right rows (tag 0) sort before left rows (tag 1)
+    #    at equal position.  The same window also finds each bucket's last
+    #    snapshot (the right row with no right row after it).
+    vtype = r.schema["_v"].dataType
+    stacked = (r.select(*k, "_b", "_p", F.lit(0).alias("_t"), "_v")
+               .unionByName(lk.select(*k, "_b", "_p", F.lit(1).alias("_t"), F.lit(None).cast(vtype).alias("_v"))))
+    w_in = Window.partitionBy(*k, "_b").orderBy("_p", "_t")
+    filled = (stacked
+              .withColumn("_hit", F.last("_v", ignorenulls=True).over(
+                  w_in.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_later", F.sum(1 - F.col("_t")).over(
+                  w_in.rowsBetween(1, Window.unboundedFollowing))))
+    local = filled.where(F.col("_t") == 1).select(*k, "_b", "_p", "_hit")
+    # 2. One row per non-empty (key, bucket): its last snapshot.
+    per_bucket = filled.where((F.col("_t") == 0) & F.coalesce(F.col("_later") == 0, F.lit(True)))
 
-    lp = F.col(left_pos)
-    l = left.withColumn("_lb", idiv(lp, b))
-    cond = [l[c] == bounded[k] for c, k in zip(left_on, rk)]
-    cond += [l["_lb"] == bounded["_rb"], bounded["_rp"] <= lp, lp < bounded["_rn"]]
-    j = l.join(bounded, cond, "left").drop(*rk, "_rn", "_rb", "_lb")
-    tcond = [j[c] == tail[f"_t{k}"] for c, k in zip(left_on, rk)]
-    if not with_latest:
-        tcond.append(tail["_tp"] <= j[left_pos])
-    j = j.join(tail, tcond, "left").drop(*[f"_t{k}" for k in rk])
+    # 3. Carry-in from earlier buckets over the per-bucket table only; the
+    #    same window gives each key's final snapshot (the latest fallback).
+    wanted = lk.select(*k, "_b").distinct()
+    chain = (per_bucket.select(*k, "_b", F.lit(1).alias("_t"), "_v")
+             .unionByName(wanted.select(*k, "_b", F.lit(0).alias("_t"), F.lit(None).cast(vtype).alias("_v"))))
+    w_key = Window.partitionBy(*k).orderBy("_b", "_t")
+    carry = (chain
+             .withColumn("_carry", F.last("_v", ignorenulls=True).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_latest", F.last("_v", ignorenulls=True).over(
+                 w_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+             .where(F.col("_t") == 0).select(*k, "_b", "_carry", "_latest"))
 
-    tail_hit = F.col("_tp") <= F.col(left_pos)
-    hit_v = F.when(F.col("_rp").isNotNull(), F.col("_rv")).when(tail_hit, F.col("_tv"))
-    hit_p = F.when(F.col("_rp").isNotNull(), F.col("_rp")).when(tail_hit, F.col("_tp"))
-    out = [F.col(c) for c in j.columns if c not in ("_rp", "_rv", "_tp", "_tv")]
-    out += [hit_v[v].alias(f"{prefix}{v}") for v in values] + [hit_p.alias(f"{prefix}pos")]
+    found = local.join(carry, [*k, "_b"], "left").select(
+        *k, "_p", F.coalesce(F.col("_hit"), F.col("_carry")).alias("_found"), "_latest")
+    cond = [left[c] == found[x] for c, x in zip(left_on, k)] + [left[left_pos] == found["_p"]]
+    out = left.join(found, cond, "left")
+    cols = [F.col(c) for c in lcols]
+    cols += [F.col(f"_found.{v}").alias(f"{prefix}{v}") for v in values]
+    cols += [F.col("_found.pos").alias(f"{prefix}pos")]
     if with_latest:
-        out += [F.col("_tv")[v].alias(f"{prefix}latest_{v}") for v in values]
-        out += [F.col("_tp").alias(f"{prefix}latest_pos")]
-    return j.select(*out)
+        cols += [F.col(f"_latest.{v}").alias(f"{prefix}latest_{v}") for v in values]
+        cols += [F.col("_latest.pos").alias(f"{prefix}latest_pos")]
+    return out.select(*cols)
 
 
 def latest_by_key(right: DataFrame, on: list[str], pos: str, values: list[str]) -> DataFrame:

@@ -63,11 +63,21 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     bal = balances.select(
         "chain_id", F.lower(F.col("token")).alias("token"), F.lower(F.col("owner")).alias("owner"),
         "block_number", "balance")
-    w = windows.withColumn("_tok0", F.lower(F.col("token0"))).withColumn("_tok1", F.lower(F.col("token1")))
-    for side in ("0", "1"):
-        w = asof_join(w, bal, ["chain_id", f"_tok{side}", "pool_address"], ["chain_id", "token", "owner"],
-                      "last_block", "block_number", ["balance"], prefix=f"_b{side}_",
+    # One as-of pass for both tokens: two rows per window (side 0 / side 1).
+    key = ["chain_id", "pool_address", "window_start"]
+    sides = windows.select(*key, "last_block", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.lower(F.col("token0")).alias("token")),
+        F.struct(F.lit(1).alias("side"), F.lower(F.col("token1")).alias("token")))).alias("_s"))
+    sides = sides.select(*key, "last_block", "_s.side", "_s.token")
+    found = asof_join(sides, bal, ["chain_id", "token", "pool_address"], ["chain_id", "token", "owner"],
+                      "last_block", "block_number", ["balance"], prefix="_b_",
                       bucket_size=bucket_size, with_latest=True)
+    w = windows
+    for side in ("0", "1"):
+        f = found.where(F.col("side") == int(side)).select(
+            *key, F.col("_b_balance").alias(f"_b{side}_balance"),
+            F.col("_b_latest_balance").alias(f"_b{side}_latest_balance"))
+        w = w.join(f, key, "left")
     valid = (is_hex_address(F.col("token0")) & is_hex_address(F.col("token1"))
              & is_hex_address(F.col("pool_address")) & (F.col("last_block") > 0))
     at_block = valid & F.col("_b0_balance").isNotNull() & F.col("_b1_balance").isNotNull()
