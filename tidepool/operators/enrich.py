@@ -16,6 +16,7 @@ from tidepool.functions.ratios import fee_rates
 from tidepool.operators.asof import asof_join
 from tidepool.operators.aggregate import drop_missing_meta
 from tidepool.plans.joins import bounded_broadcast
+from tidepool.session import cut_lineage
 
 # Fixed method labels written with every metrics row (M4).
 FEE_METHOD = "approx_from_feeTier"
@@ -125,7 +126,12 @@ def metrics_row(w: DataFrame) -> DataFrame:
 
 def window_metrics(windows: DataFrame, tokens: DataFrame, balances: DataFrame,
                    bucket_size: int = 10_000) -> DataFrame:
-    """Aggregated windows -> pool_window_metrics rows."""
-    w = attach_decimals(drop_missing_meta(windows), tokens)
+    """Aggregated windows -> pool_window_metrics rows.
+
+    The windows feed several branches (both TVL sides, the as-of keys, the
+    joins back), so they are checkpointed once instead of re-aggregating all
+    events per branch.
+    """
+    w = cut_lineage(attach_decimals(drop_missing_meta(windows), tokens))
     w = attach_tvl(w, balances, bucket_size)
     return metrics_row(w)

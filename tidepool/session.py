@@ -77,3 +77,14 @@ def checkpoint_subdir(spark: SparkSession, *parts: str) -> str:
     """A folder below the shared checkpoint root, e.g. for a stream's state."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, *parts) if "://" not in root else "/".join([root.rstrip("/"), *parts])
+
+
+def cut_lineage(df):
+    """Materialise ``df`` into the shared checkpoint folder and return it.
+
+    Used where an expensive result (e.g. the aggregated windows) feeds several
+    branches: each branch then reads the written rows instead of recomputing
+    the aggregation over all events, and the rows survive executor loss.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
