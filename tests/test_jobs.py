@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import addr_topic, meta_df, raw_log, typed
 from tidepool import schemas as S
 from tidepool.operators import upsert as U
-from tidepool.plans import pipeline as P
+from tidepool.plans import jobs as P
 from tidepool.sources import logs as L
 
 POOL = "0x" + "11" * 20

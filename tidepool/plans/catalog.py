@@ -172,7 +172,7 @@ def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pipeline_state after a full run: highest accepted timestamp."""
+    """State table row after a full run: highest accepted timestamp."""
     w = A.window_aggregate(X.typed_events(spark, sf_dir), DAY)
     hw = w.agg(F.coalesce(F.max("max_ts"), F.lit(0)).alias("ts"))
     return hw.select(F.lit(f"aggregator:{DAY}").alias("name"), F.col("ts").cast("bigint").alias("last_processed_ts"))
