@@ -8,9 +8,15 @@ keyed version per micro-batch.
 
 ``update`` mode re-emits a window with its full running totals whenever it
 changes, so the keyed table always holds complete values and windows still
-open at the end of input are flushed too (W2).  Rows later than the
-watermark are dropped and counted by Spark (numRowsDroppedByWatermark); the
-reference instead let a late row overwrite a finished window (W3, Q1).
+open at the end of input are flushed too (W2).
+
+Late rows (W3, Q1): Spark filters input older than the previous micro-batch's
+watermark, and only guarantees to keep rows within the lateness bound, so a
+late row can still reopen a window whose state was already evicted and emit
+a partial total.  The reference let exactly such a partial row overwrite the
+finished window.  The sink therefore drops every incoming window that ends
+at or before (highest window start already written - lateness); that horizon
+never passes Spark's own watermark, so no window still open is affected.
 """
 
 from __future__ import annotations
@@ -65,10 +71,14 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
     same version folder (idempotent).
     """
     w = int(window_seconds)
+    late_s = interval_seconds(lateness)
     agg = windowed_stream(read_log_stream(spark, source_dir, fmt, max_files_per_trigger), pool_meta, w, lateness)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         windows = A.render_windows(batch, w)
+        top = _written_top(spark, table_path, batch_id)
+        if top is not None:
+            windows = windows.where(F.col("window_end") > F.lit(top - late_s))
         metrics = N.window_metrics(windows, tokens, balances)
         U.write_version(metrics, table_path, batch_id)
 
@@ -79,6 +89,25 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
     return writer.start()
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int:
+    """'10 minutes', '1 hour', '3650 days' -> seconds."""
+    n, unit = text.split()
+    return int(n) * _UNITS[unit.lower().rstrip("s")]
+
+
+def _written_top(spark: SparkSession, table_path: str, batch_id: int):
+    """Highest window start written by earlier micro-batches (None before the first)."""
+    from tidepool.plans.jobs import _exists
+    if not _exists(spark, table_path):
+        return None
+    r = (spark.read.parquet(table_path).where(F.col("batch_id") < batch_id)
+         .agg(F.max("window_start")).first()[0])
+    return None if r is None else int(r)
+
+
 def read_stream_metrics(spark: SparkSession, table_path: str) -> DataFrame:
     return U.read_latest(spark, table_path, list(S.WINDOW_METRICS_KEY)).drop("batch_id", "created_at", "updated_at")
 
