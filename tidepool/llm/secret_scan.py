@@ -1,0 +1,319 @@
+"""Secret scanning: pattern candidates, and a random forest that removes false positives.
+
+Candidates are found by shape: provider key prefixes, values assigned to a
+name, and long runs that mix letters and digits or are digits only.  Such
+shapes also fit card and phone numbers, mail hosts, addresses, versions and
+ids.  The forest looks at what a shape cannot tell:
+
+* length of the candidate, and its share of digits, capitals and hex digits;
+* character transitions: changes between character classes, distinct
+  characters, and how likely its letter pairs are in the corpus's prose;
+* dictionary coverage: share of its letters in words of the corpus;
+* path: whether the document's path names a test, example or document folder;
+* neighbouring words: an assignment sign or quote, credential words and number
+  words among the three words before and the one after it.
+
+The forest is trained (Spark ML) from labelled findings, at most
+``TRAIN_FINDINGS`` of them.  A findings table with a boolean ``secret`` column
+can be given; where none exists, ``label_findings`` labels by validators that
+the features do not contain: provider formats and random values assigned to
+credential names are secrets; Luhn-valid numbers, dotted numbers, dates, mail
+and web hosts are not; the rest is not used for training.  The trained trees
+are read once into plain arrays of bounded size and shipped, so scanning and
+redaction are one map pass over whole texts without a join.
+
+Edge cases: null and empty texts have no candidates; a candidate covering
+another is reported once (the longest, then the first pattern); with labels of
+one kind only, or none, every candidate of a provider or credential shape
+counts as a secret; repeated rows are scanned each; a null path counts as none.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidepool.llm.common import checkpointed, read_table, ship_by_value
+
+ship_by_value(__name__)
+
+TRAIN_FINDINGS = 20_000         # labelled findings the forest is fitted on, by hash
+DICTIONARY_DOCS = 2_000         # documents whose words make the dictionary and the letter-pair model, by hash
+DICTIONARY_CHARS = 4_000        # characters from the middle of each
+DICTIONARY_WORDS = 20_000       # most frequent words kept
+TREES, DEPTH, SEED = 20, 6, 7
+THRESHOLD = 0.5
+MASK = "[SECRET]"
+
+# Candidate shapes, in order of preference on equal spans.
+SHAPES = [
+    ("provider", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
+    ("provider", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}(?![A-Za-z0-9])"),
+    ("provider", r"(?<![A-Za-z0-9])sk-[A-Za-z0-9]{20,}(?![A-Za-z0-9])"),
+    ("provider", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"),
+    ("provider", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
+    ("provider", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"),
+    ("assigned", r"(?<=[=:])[ \t]?[\"']?(?P<v>[A-Za-z0-9_+/.@-]{8,})"),
+    ("mixed", r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Za-z])[A-Za-z0-9_-]{12,}(?![A-Za-z0-9])"),
+    ("digits", r"(?<![A-Za-z0-9.])[0-9]{12,}(?![A-Za-z0-9])"),
+    ("dotted", r"(?<![A-Za-z0-9.@])[A-Za-z0-9._-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|"
+               r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
+]
+CREDENTIAL_NAMES = {"password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "key"}
+NUMBER_NAMES = {"card", "phone", "tel", "fax", "version", "order", "invoice", "ip", "mail", "email"}
+TEST_PATH = re.compile(r"(?:^|[/_.-])(?:tests?|examples?|samples?|docs?|fixtures?|mock)(?:[/_.-]|$)", re.I)
+
+_SHAPES = [(k, re.compile(p)) for k, p in SHAPES]
+_WORDS = re.compile(r"[^\W\d_]+")
+_NEAR = re.compile(r"[A-Za-z_]+")
+
+FEATURES = ["length", "digits", "capitals", "hex", "class_changes", "distinct", "pair_score", "dictionary", "path",
+            "assigned", "quoted", "credential_before", "number_before", "credential_after", "luhn_length"]
+
+
+def candidates(text: str | None) -> list[tuple[int, int, str]]:
+    """(start, stop, shape) of the candidates of a whole text, no two overlapping, in order."""
+    if not text:
+        return []
+    found = []
+    for rank, (kind, pattern) in enumerate(_SHAPES):
+        for m in pattern.finditer(text):
+            a, b = m.span("v") if "v" in pattern.groupindex else m.span()
+            found.append((b - a, -rank, -a, a, b, kind))
+    taken, out = [], []
+    import bisect
+    for _, _, _, a, b, kind in sorted(found, reverse=True):
+        i = bisect.bisect(taken, (a, b))
+        if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
+            continue
+        taken.insert(i, (a, b))
+        out.append((a, b, kind))
+    return sorted(out)
+
+
+def _kind(c: str) -> int:
+    return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+
+
+def features(text: str, a: int, b: int, path: str | None, prose: dict) -> list[float]:
+    value, n = text[a:b], b - a
+    letters = sum(map(str.isalpha, value)) or 1
+    low, words, pairs = value.lower(), prose["words"], prose["pairs"]
+    covered = sum(len(w) for w in _WORDS.findall(low) if len(w) > 2 and w in words)
+    near = [low[i:i + 2] for i in range(n - 1)]
+    before = text[max(0, a - 40):a]
+    names = [w.lower() for w in _NEAR.findall(before)[-3:]]
+    after = [w.lower() for w in _NEAR.findall(text[b:b + 30])[:1]]
+    tail = before.rstrip(" \t\"'")
+    return [
+        float(min(n, 512)), sum(map(str.isdigit, value)) / n, sum(map(str.isupper, value)) / n,
+        sum(c in "0123456789abcdefABCDEF" for c in value) / n,
+        sum(_kind(x) != _kind(y) for x, y in zip(value, value[1:])) / n, len(set(value)) / n,
+        sum(pairs.get(p, prose["rare"]) for p in near) / max(1, len(near)), covered / letters,
+        float(bool(path and TEST_PATH.search(path))), float(tail[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'")),
+        float(any(w in CREDENTIAL_NAMES for w in names)), float(any(w in NUMBER_NAMES for w in names)),
+        float(any(w in CREDENTIAL_NAMES for w in after)), float(13 <= n <= 19),
+    ]
+
+
+def _luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def validate(value: str, kind: str, before: str) -> bool | None:
+    """A sure label of a finding, or None: checks on formats, not on the features."""
+    names = {w.lower() for w in _NEAR.findall(before)[-2:]}
+    if kind == "provider":
+        return True
+    if kind == "dotted" or re.fullmatch(r"[A-Za-z0-9._-]+@[A-Za-z0-9.-]+|[0-9]{1,4}([.-][0-9]{1,4}){2,3}", value):
+        return False
+    if value.isdigit():
+        return False if len(value) in range(12, 20) and (_luhn(value) or not names & CREDENTIAL_NAMES) else None
+    if names & CREDENTIAL_NAMES and len(set(value)) >= 8 and any(map(str.isdigit, value)):
+        return True
+    return None
+
+
+def learn_prose(docs: DataFrame, key: str = "doc_id", text: str = "text") -> dict:
+    """Dictionary and letter-pair model from a bounded sample of documents."""
+    middle = F.substring(F.col(text), F.greatest(F.lit(1), F.floor((F.length(text) - DICTIONARY_CHARS) / 2)
+                                                 .cast("int") + 1), F.lit(DICTIONARY_CHARS))
+    sample = (docs.filter(F.col(text).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"),
+                                                          middle.alias("t"))
+              .orderBy("h", F.xxhash64("t")).limit(DICTIONARY_DOCS))
+    # The bounded sample is counted in place: at most DICTIONARY_DOCS * DICTIONARY_CHARS characters.
+    words: dict[str, int] = {}
+    for (t,) in sample.select("t").collect():
+        for w in _WORDS.findall(t.lower()):
+            words[w] = words.get(w, 0) + 1
+    pairs: dict[str, int] = {}
+    for w, c in words.items():
+        for i in range(len(w) - 1):
+            pairs[w[i:i + 2]] = pairs.get(w[i:i + 2], 0) + c
+    total = sum(pairs.values()) or 1
+    kept = sorted(words, key=lambda w: (-words[w], w))[:DICTIONARY_WORDS]
+    return {"words": set(kept), "pairs": {p: math.log(c / total) for p, c in pairs.items()},
+            "rare": math.log(0.5 / total)}
+
+
+def _finder(share):
+    def run(batches):
+        prose = share.value
+        for batch in batches:
+            rows = []
+            for key, text, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for a, b, kind in candidates(text):
+                    label = validate(text[a:b], kind, text[max(0, a - 40):a])
+                    rows.append((key, a, b, kind, hashlib.sha256(text[a:b].encode("utf-8", "replace")).hexdigest(),
+                                 features(text, a, b, path, prose), label))
+            cols = list(zip(*rows)) if rows else [[]] * 7
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.string(), pa.string(),
+                     pa.list_(pa.float64()), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)],
+                                             names=["key", "start", "stop", "kind", "value_sha256", "features", "label"])
+    return run
+
+
+def _slim(docs: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
+    where = F.col(path).cast("string") if path else F.lit(None).cast("string")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("t"), where.alias("p"))
+
+
+def find(docs: DataFrame, prose: dict, key: str = "doc_id", text: str = "text",
+         path: str | None = "source") -> DataFrame:
+    """Every candidate: key, start, stop (characters), kind, value_sha256, features, label (may be null)."""
+    slim = _slim(docs, key, text, path)
+    share = docs.sparkSession.sparkContext.broadcast(prose)
+    kind = slim.schema["key"].dataType.simpleString()
+    return slim.mapInArrow(_finder(share), f"key {kind}, start long, stop long, kind string, value_sha256 string, "
+                                           "features array<double>, label boolean").withColumnRenamed("key", key)
+
+
+class Forest:
+    """The trained trees as arrays; a tree votes for the label its leaf predicts."""
+
+    def __init__(self, trees: list[tuple]):
+        self.trees = [tuple(np.array(c) for c in t) for t in trees]
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        votes = np.zeros(len(x))
+        for feature, threshold, left, right, vote in self.trees:
+            at = np.zeros(len(x), dtype=np.int64)
+            while (inner := left[at] >= 0).any():
+                f = np.maximum(feature[at], 0)
+                step = np.where(x[np.arange(len(x)), f] <= threshold[at], left[at], right[at])
+                at = np.where(inner, step, at)
+            votes += vote[at]
+        return votes / max(1, len(self.trees))
+
+
+def _tree(node) -> tuple:
+    """A trained Spark ML tree, flattened depth first."""
+    cols = ([], [], [], [], [])
+
+    def walk(n) -> int:
+        i = len(cols[0])
+        leaf = n.numDescendants() == 0
+        row = (-1, 0.0, -1, -1, float(n.prediction())) if leaf else (
+            n.split().featureIndex(), n.split().threshold(), 0, 0, float(n.prediction()))
+        for c, v in zip(cols, row):
+            c.append(v)
+        if not leaf:
+            cols[2][i] = walk(n.leftChild())
+            cols[3][i] = walk(n.rightChild())
+        return i
+    walk(node)
+    return cols
+
+
+def train(findings: DataFrame) -> Forest | None:
+    """A forest from findings with ``features`` and a boolean ``label``; None unless both labels occur."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+    rows = findings.filter("label is not null").withColumn("_o", F.xxhash64("value_sha256", "start"))
+    rows = rows.orderBy("_o", "value_sha256", "start").limit(TRAIN_FINDINGS)
+    rows = checkpointed(rows.select(array_to_vector("features").alias("x"), F.col("label").cast("double").alias("y"),
+                                    "_o"))
+    if rows.agg(F.count_distinct("y")).first()[0] < 2:
+        return None
+    model = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(rows)
+    return Forest([_tree(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode"))
+                   for t in model.trees])
+
+
+def _scores(forest: Forest | None, feats: list, kinds: list) -> np.ndarray:
+    if forest is None:
+        return np.array([1.0 if k in ("provider", "assigned") else 0.0 for k in kinds])
+    return forest.score(np.array(feats, dtype=float).reshape(-1, len(FEATURES)))
+
+
+def _judge(share):
+    def run(batches):
+        forest = share.value
+        for batch in batches:
+            got = _scores(forest, batch.column("features").to_pylist(), batch.column("kind").to_pylist())
+            yield batch.append_column("score", pa.array(got, pa.float64()))
+    return run
+
+
+def judge(findings: DataFrame, forest: Forest | None, threshold: float = THRESHOLD) -> DataFrame:
+    """``findings`` with the forest's ``score`` and the verdict ``secret``."""
+    share = findings.sparkSession.sparkContext.broadcast(forest)
+    schema = findings.schema.simpleString()[len("struct<"):-1]
+    return findings.mapInArrow(_judge(share), schema + ",score:double").withColumn(
+        "secret", F.col("score") >= threshold)
+
+
+def _redactor(share, col: int, path: int | None, threshold: float, changed: list[tuple[int, str]]):
+    def run(batches):
+        forest, prose = share.value
+        for batch in batches:
+            texts = batch.column(col).to_pylist()
+            paths = batch.column(path).to_pylist() if path is not None else [None] * len(texts)
+            found = [(i, *c) for i, t in enumerate(texts) for c in candidates(t)]
+            if found:
+                got = _scores(forest, [features(texts[i], a, b, None if paths[i] is None else str(paths[i]), prose)
+                                       for i, a, b, _ in found], [k for *_, k in found])
+                for (i, a, b, _), s in reversed(list(zip(found, got))):
+                    if s >= threshold:
+                        texts[i] = texts[i][:a] + MASK + texts[i][b:]
+                batch = batch.set_column(col, batch.schema.field(col), pa.array(texts, batch.schema.field(col).type))
+                for c, _ in changed:
+                    sizes = [None if t is None else len(t) for t in texts]
+                    batch = batch.set_column(c, batch.schema.field(c), pa.array(sizes, batch.schema.field(c).type))
+            yield batch
+    return run
+
+
+def redact(docs: DataFrame, prose: dict, forest: Forest | None, text: str = "text", path: str | None = "source",
+           length: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with every secret replaced by ``MASK``, and the length column brought up to date; one map pass."""
+    names = docs.columns
+    share = docs.sparkSession.sparkContext.broadcast((forest, prose))
+    changed = [(names.index(length), length)] if length in names else []
+    return docs.mapInArrow(_redactor(share, names.index(text), names.index(path) if path in names else None,
+                                     threshold, changed), docs.schema)
+
+
+def learn(docs: DataFrame) -> tuple[dict, Forest | None]:
+    """Prose model and forest from the documents outside the held-out fold (crc32 of the id mod 5 is 0)."""
+    fold = docs.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0, F.lit(False)))
+    prose = learn_prose(fold)
+    return prose, train(find(fold, prose))
+
+
+def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
+    """Every finding of every document, with the forest's verdict."""
+    docs = read_table(spark, sf_dir, "documents")
+    prose, forest = learn(docs)
+    return judge(find(docs, prose), forest).select("doc_id", "start", "stop", "kind", "value_sha256", "score", "secret")
