@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidepool.llm import decontaminate, language_id, packing, secret_scan, simhash
+from tidepool.llm import (chat, decontaminate, language_id, nearest, packing, secret_scan, sharding, simhash,
+                          suffix_dedup, token_store)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_chat_formatting": chat.op3_chat_formatting,
+    "op4_nearest_neighbours": nearest.op4_nearest_neighbours,
     "op5_packing": packing.op5_packing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_language_id": language_id.op7_language_id,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_token_store": token_store.op9_token_store,
+    "op10_sharding": sharding.op10_sharding,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_chat_formatting": chat.OP3_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
