@@ -1,4 +1,4 @@
-"""Windowed aggregation: hand-worked cases and a literal replay of the reference loop."""
+"""Windowed aggregation: hand-worked cases and the definitions applied to sets of events."""
 
 import random
 
@@ -63,64 +63,60 @@ def test_block_bounds(spark):
     assert (r.first_block, r.last_block) == (5, 7)
 
 
-def _reference_loop(events, w):
-    """Literal replay of the reference accumulator loop on time-ordered input."""
-    out, acc = {}, {}
-
-    def flush(a):
-        out[(a["pool"], a["start"])] = a
-
+def _by_definition(events, w, fees):
+    """Each measure stated over the set of a (pool, window)'s events, whatever their order."""
+    groups = {}
     for e in events:
-        if e["timestamp"] <= 0:
-            continue
-        start = e["timestamp"] - e["timestamp"] % w
-        key = e["address"].lower()
-        a = acc.get(key)
-        if a is None or a["start"] != start:
-            if a is not None:
-                flush(a)
-            a = dict(pool=key, start=start, swaps=0, v0=0, v1=0, f0=0, f1=0,
-                     last_block=e["block"], last_ts=e["timestamp"], first_block=e["block"])
-            acc[key] = a
-        if e["timestamp"] >= a["last_ts"]:
-            a["last_ts"], a["last_block"] = e["timestamp"], e["block"]
-        if a["first_block"] == 0 or e["block"] < a["first_block"]:
-            a["first_block"] = e["block"]
-        if e["event_name"].lower() == "swap":
-            x0, x1, fee = int(e["amount0"]), int(e["amount1"]), e["fee"]
-            a["v0"] += abs(x0)
-            a["v1"] += abs(x1)
-            if fee:
-                if x0 < 0 < x1:
-                    a["f1"] += abs(x1) * fee // 10 ** 6
-                elif x1 < 0 < x0:
-                    a["f0"] += abs(x0) * fee // 10 ** 6
-            a["swaps"] += 1
-    for a in acc.values():
-        flush(a)
+        if e["timestamp"] > 0:
+            groups.setdefault((e["address"].lower(), e["timestamp"] // w * w), []).append(e)
+    out = {}
+    for (pool, start), own in groups.items():
+        swaps = [(int(e["amount0"]), int(e["amount1"])) for e in own if e["event_name"] == "Swap"]
+        blocks = [e["block"] for e in own if e["block"] > 0]
+        out[pool, start] = (
+            len(swaps), str(sum(abs(x) for x, _ in swaps)), str(sum(abs(y) for _, y in swaps)),
+            str(sum(x * fees[pool] // 10 ** 6 for x, y in swaps if y < 0 < x)),
+            str(sum(y * fees[pool] // 10 ** 6 for x, y in swaps if x < 0 < y)),
+            min(blocks, default=0), max((e["timestamp"], e["block"]) for e in own)[1])
     return out
 
 
-def test_matches_reference_loop_and_order_independent(spark):
+def _measures(rows):
+    return {(r.pool_address, r.window_start): (r.swap_count, r.volume0_raw, r.volume1_raw, r.fee0_raw, r.fee1_raw,
+                                               r.first_block, r.last_block) for r in rows}
+
+
+@pytest.mark.parametrize("digits", [60, 200])
+def test_matches_definition_in_any_order(spark, digits):
     rng = random.Random(11)
     events, ts, block = [], 1, 1
+    fees = {"0xp0": 500, "0xp1": 3000, "0xp2": 0}
     for i in range(400):
         ts += rng.randrange(0, 40)
         block += rng.randrange(0, 2)
         pool = f"0xP{rng.randrange(3)}"
-        big = rng.choice([1, 10 ** 20, 10 ** 40, 2 ** 200])
+        big = rng.choice([1, 10 ** 20, 10 ** 40, 2 ** 128, 10 ** digits])
         events.append(dict(timestamp=ts, block=block, address=pool, event_name=rng.choice(["Swap", "Swap", "Mint"]),
                            amount0=str(rng.randrange(-big, big)), amount1=str(rng.randrange(-big, big)),
-                           fee={"0xP0": 500, "0xP1": 3000, "0xP2": 0}[pool], tx=f"0x{i:x}", log_index=i))
-    want = _reference_loop(events, 300)
-    shuffled = events[:]
-    rng.shuffle(shuffled)
-    got = {(r.pool_address, r.window_start): r for r in _agg(spark, shuffled)}
-    assert set(got) == {(k[0].lower(), k[1]) for k in want}
-    for (pool, start), a in want.items():
-        r = got[(pool.lower(), start)]
-        assert (r.swap_count, r.volume0_raw, r.volume1_raw, r.fee0_raw, r.fee1_raw, r.first_block, r.last_block) == \
-            (a["swaps"], str(a["v0"]), str(a["v1"]), str(a["f0"]), str(a["f1"]), a["first_block"], a["last_block"])
+                           fee=fees[pool.lower()], tx=f"0x{i:x}", log_index=i))
+    rng.shuffle(events)
+    assert _measures(_agg(spark, events)) == _by_definition(events, 300, fees)
+
+
+def test_metadata_never_splits_a_window(spark):
+    rows = [dict(timestamp=10, amount0="2", amount1="-1", token0="0xAAAA", fee=500_000),
+            dict(timestamp=11, amount0="10", amount1="-1", token0="0xaaaa", fee=500_000),
+            dict(timestamp=12, amount0="7", amount1="-1", token0="", token1="", fee=0),
+            dict(timestamp=13, amount0="1", amount1="-1", chain_id=57)]
+    got = _agg(spark, [dict(r, address="0xPool") for r in rows])
+    assert [(r.chain_id, r.token0, r.fee, r.swap_count, r.volume0_raw, r.fee0_raw) for r in sorted(
+        got, key=lambda r: r.chain_id)] == [(56, "0xaaaa", 500_000, 3, "19", "9"), (57, "0xaaaa", 2500, 1, "1", "0")]
+    assert A.pool_registry(A.window_aggregate(typed(spark, rows), 300)).count() == 2
+
+
+def test_repeated_logs_count_once(spark):
+    twice = [dict(timestamp=10, amount0="5", amount1="-1", tx="0x1", block=4)] * 2
+    assert A.window_aggregate(typed(spark, twice), 300, dedup=True).first().swap_count == 1
 
 
 def test_pool_registry_min_first_block(spark):
@@ -141,6 +137,13 @@ def test_counters(spark):
     assert c == {"total": 3, "skipped": 1, "failed": 1, "decoded": 1}
 
 
+def test_open_windows_hold_the_state_back(spark):
+    rows = [dict(timestamp=1000, address="0xa"), dict(timestamp=1700, address="0xa"), dict(timestamp=700, address="0xb")]
+    w = A.window_aggregate(typed(spark, rows), 300)
+    assert A.open_window_state(w).first()[0] == 599
+    assert A.open_window_state(w.limit(0)).first()[0] == 0
+
+
 def test_no_sort_aggregate_in_plan(spark):
     w = A.window_aggregate(typed(spark, [dict(timestamp=10, amount0="1", amount1="-1")]), 300)
     plan = w._jdf.queryExecution().executedPlan().toString()

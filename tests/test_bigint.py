@@ -1,4 +1,4 @@
-"""256-bit limb arithmetic against Python ints (edges and seeded random values)."""
+"""256-bit limb arithmetic against Python ints (edges and seeded random values), in the forms the jobs run."""
 
 import random
 
@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.functions import bigint as B
+from tidepool.functions import wide as X
 from tidepool.functions.hexwords import word_text
 
 EDGES = [0, 1, -1, 2 ** 63 - 1, -(2 ** 63), 2 ** 64, 2 ** 127, 2 ** 128 - 1, 2 ** 160 - 1,
@@ -15,71 +16,69 @@ RANDOM = [rng.randrange(-(2 ** 255), 2 ** 255) for _ in range(40)] + [rng.randra
 VALUES = EDGES + RANDOM
 
 
+def parsed(df):
+    """Staged like the jobs do: text -> (digits, neg, ok) -> limbs."""
+    d, n, ok = B.sql_decimal_parts("s")
+    a = df.selectExpr("*", f"{d} AS d", f"{n} AS neg", f"{ok} AS ok")
+    return a.selectExpr("*", *[f"{x} AS l{i}" for i, x in enumerate(B.sql_digit_limbs("d"))])
+
+
+def rendered(prefix="l", n=B.LIMBS):
+    return F.expr(B.sql_to_text([f"{prefix}{i}" for i in range(n)]))
+
+
 def test_parse_and_render_roundtrip(spark):
-    df = spark.createDataFrame([(str(v),) for v in VALUES], "s string")
-    big = B.parse_decimal(F.col("s"))
-    out = df.select(B.signed_text(B.to_text(big.limbs), big.neg).alias("t"), big.ok.alias("ok")).collect()
-    assert [r.t for r in out] == [str(v) for v in VALUES]
+    out = parsed(spark.createDataFrame([(str(v),) for v in VALUES], "s string")).select(
+        rendered().alias("t"), "neg", "ok").collect()
+    assert [("-" if r.neg else "") + r.t for r in out] == [str(v) for v in VALUES]
     assert all(r.ok for r in out)
 
 
-@pytest.mark.parametrize("text,ok,expect", [
-    ("", True, "0"), (None, True, "0"), ("+42", True, "42"), ("-0", True, "0"), ("007", True, "7"),
-    ("1.5", False, "0"), ("12a", False, "0"), ("0x10", False, "0"), ("1" * 81, False, "0"),
+@pytest.mark.parametrize("text,ok,digits", [
+    ("", True, ""), (None, True, ""), ("+42", True, "42"), ("-0", True, ""), ("007", True, "7"),
+    ("1.5", False, ""), ("12a", False, ""), ("0x10", False, ""), ("12\n", False, ""), ("1" * 81, True, "1" * 81),
 ])
-def test_parse_edge_texts(spark, text, ok, expect):
-    df = spark.createDataFrame([(text,)], "s string")
-    big = B.parse_decimal(F.col("s"))
-    r = df.select(B.signed_text(B.to_text(big.limbs), big.neg).alias("t"), big.ok.alias("ok")).first()
-    assert (r.ok, r.t) == (ok, expect)
+def test_parse_edge_texts(spark, text, ok, digits):
+    d, n, valid = B.sql_decimal_parts("s")
+    r = spark.createDataFrame([(text,)], "s string").selectExpr(f"{d} AS d", f"{n} AS neg", f"{valid} AS ok").first()
+    assert (r.ok, r.d, r.neg) == (ok, digits, False)
 
 
-def test_scale_floor_matches_python(spark):
+def test_fee_floor_matches_python(spark):
     fees = [0, 1, 100, 500, 2500, 3000, 10000, 1_000_000, 2 ** 32 - 1]
     rows = [(str(abs(v)), f) for v in VALUES for f in fees]
-    df = spark.createDataFrame(rows, "s string, fee long")
-    big = B.parse_decimal(F.col("s"))
-    got = df.select(B.to_text(B.scale_floor(big.limbs, F.col("fee"))).alias("t")).collect()
-    assert [r.t for r in got] == [str(int(s) * f // 10 ** 6) for s, f in rows]
+    df = parsed(spark.createDataFrame(rows, "s string, fee long"))
+    m = B.sql_spread([f"l{i} * fee" for i in range(B.LIMBS)])
+    q_in = df.selectExpr("s", "fee", *[f"{x} AS m{i}" for i, x in enumerate(m)])
+    q = B.sql_shift_down([f"m{i}" for i in range(len(m))])
+    f_in = q_in.selectExpr("s", "fee", *[f"{x} AS q{i}" for i, x in enumerate(q)])
+    f = B.sql_spread([f"q{i}" for i in range(len(q))])[:B.LIMBS + 1]
+    out = f_in.selectExpr("s", "fee", *[f"{x} AS f{i}" for i, x in enumerate(f)])
+    got = out.select("s", "fee", rendered("f", B.LIMBS + 1).alias("t"), X.fee_floor("s", "fee").alias("u")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.t == r.u == str(int(r.s) * r.fee // 10 ** 6)
 
 
 def test_limb_sums_render(spark):
     vals = [abs(v) for v in VALUES] * 3
-    df = spark.createDataFrame([(str(v), i % 4) for i, v in enumerate(vals)], "s string, g int")
-    big = B.parse_decimal(F.col("s"))
-    limbs = df.select("g", *[x.alias(f"l{i}") for i, x in enumerate(big.limbs)])
-    agg = limbs.groupBy("g").agg(*[F.sum(f"l{i}").alias(f"l{i}") for i in range(B.LIMBS)])
-    got = {r.g: r.t for r in agg.select("g", B.to_text([F.col(f"l{i}") for i in range(B.LIMBS)]).alias("t")).collect()}
-    want = {g: str(sum(v for i, v in enumerate(vals) if i % 4 == g)) for g in range(4)}
-    assert got == want
+    df = parsed(spark.createDataFrame([(str(v), i % 4) for i, v in enumerate(vals)], "s string, g int"))
+    agg = df.groupBy("g").agg(*[F.sum(f"l{i}").alias(f"l{i}") for i in range(B.LIMBS)])
+    got = {r.g: r.t for r in agg.select("g", rendered().alias("t")).collect()}
+    assert got == {g: str(sum(v for i, v in enumerate(vals) if i % 4 == g)) for g in range(4)}
 
 
-def _word(v: int) -> str:
-    return format(v % (1 << 256), "064x")
-
-
-def test_hex_word_text_both_paths(spark):
-    rows = [(_word(v), v) for v in VALUES]
-    df = spark.createDataFrame([(w,) for w, _ in rows], "w string")
-    signed = df.select(B.hex_word_text(F.col("w"), signed=True).alias("s"),
-                       B.hex_word_text(F.col("w"), signed=False).alias("u")).collect()
-    staged = B.with_hex_text(df, {"s": (F.col("w"), B.word_is_negative(F.col("w"))), "u": (F.col("w"), None)})
-    staged = staged.collect()
-    for (w, v), r, q in zip(rows, signed, staged):
-        as_int256 = (v + 2 ** 255) % 2 ** 256 - 2 ** 255
-        assert r.s == str(as_int256) == q.s == word_text(w, True)
-        assert r.u == str(v % (1 << 256)) == q.u == word_text(w, False)
+def test_hex_words():
+    for v in VALUES:
+        w = format(v % (1 << 256), "064x")
+        assert word_text(w, True) == str((v + 2 ** 255) % 2 ** 256 - 2 ** 255)
+        assert word_text(w, False) == str(v % (1 << 256))
 
 
 @pytest.mark.parametrize("value,decimals,expect", [
     ("1234500", 6, "1.234500"), ("1234500", 0, "1234500"), ("1234500", 18, "0.000000000001234500"),
-    ("0", 6, "0.000000"), ("5", 1, "0.5"), ("123", 2, "1.23"),
+    ("0", 6, "0.000000"), ("5", 1, "0.5"), ("12", 2, "0.12"), ("9" * 100, 99, "9." + "9" * 99),
 ])
 def test_format_units(spark, value, decimals, expect):
     df = spark.createDataFrame([(value, decimals)], "v string, d int")
-    assert df.select(B.format_units(F.col("v"), F.lit(False), F.col("d"))).first()[0] == expect
-
-
-def test_format_units_negative(spark):
-    df = spark.createDataFrame([("1234500", 6)], "v string, d int")
-    assert df.select(B.format_units(F.col("v"), F.lit(True), F.col("d"))).first()[0] == "-1.234500"
+    assert df.select(F.expr(B.sql_format_units("v", "d"))).first()[0] == expect

@@ -57,6 +57,27 @@ def test_block_time_missing(spark):
     got = sorted((r.block_number, r.timestamp, r.block_time_missing)
                  for r in I.attach_block_time(logs, blocks).collect())
     assert got == [(1, 111, False), (2, None, True)]
+    with pytest.raises(Exception, match="block timestamp lookup failed: 2"):
+        I.attach_block_time(logs, blocks, require=True).collect()
+    twice = blocks.union(blocks).union(spark.createDataFrame([(56, 1, 99)], blocks.schema))
+    assert sorted(r.timestamp or 0 for r in I.attach_block_time(logs, twice).collect()) == [0, 99]
+
+
+def test_dedup_survivor_is_fixed(spark):
+    base = raw_log("Swap", [], [], "0x" + "11" * 20, block=1)
+    removed = (*base[:9], True, *base[10:])
+    other = (*base[:2], "0xaaa", *base[3:])
+    for rows in ([base, removed, other], [other, removed, base], [removed, base, other]):
+        got = I.dedup_logs(raw_df(spark, rows)).collect()
+        assert [(r.removed, r.block_hash) for r in got] == [(False, "0xaaa")]
+
+
+def test_unprefixed_addresses_and_line_feeds(spark):
+    pool = "11" * 20
+    df = raw_df(spark, [raw_log("Swap", [], [], pool, block=5), raw_log("Swap", [], [], "0x" + pool + "\n", block=5)])
+    assert I.scan_logs(df, 5, 5, ["0x" + pool]).count() == 1
+    with pytest.raises(ValueError):
+        I.parse_addresses(["0x" + pool + "z"])
 
 
 def test_asof_join_matches_brute_force(spark):

@@ -3,11 +3,14 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import addr_topic, meta_df, raw_log, typed
 from tidepool import schemas as S
+from tidepool.operators import aggregate as A
 from tidepool.operators import upsert as U
+from tidepool.operators.decode import SWAP
 from tidepool.plans import jobs as P
 from tidepool.sources import logs as L
 
@@ -113,10 +116,88 @@ def test_ingest_job_and_pushdown(spark, tmp_dir):
     # resume: nothing new after the checkpoint
     assert P.ingest_job(spark, f"{tmp_dir}/landing", f"{tmp_dir}/logs", blocks, [pool], 11, 0,
                         state_path=f"{tmp_dir}/state") == 4000
-    # filters reach the Parquet scan
-    plan = I.scan_logs(spark.read.schema(S.RAW_LOG).parquet(f"{tmp_dir}/landing"), 11, 20, [pool]) \
+    # a run that starts over (its state was lost) adds nothing
+    P.ingest_job(spark, f"{tmp_dir}/landing", f"{tmp_dir}/logs", blocks, [pool], 11, 0)
+    P.ingest_job(spark, f"{tmp_dir}/landing", f"{tmp_dir}/logs", blocks, [pool], 10, 0)
+    assert sorted(r.block_number for r in spark.read.parquet(f"{tmp_dir}/logs").collect()) == [10, 11, 12, 4000]
+    # filters reach the Parquet scan, and whole buckets are pruned
+    plan = I.scan_logs(spark.read.parquet(f"{tmp_dir}/logs"), 11, 20, [pool], [SWAP.topic0], P.DEFAULT_BLOCK_BATCH) \
         ._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan and "block_number" in plan.split("PushedFilters")[1][:300]
+    pushed, parts = plan.split("PushedFilters")[1][:600], plan.split("PartitionFilters")[1][:200]
+    assert all(c in pushed for c in ("block_number", "address", "topic0")) and "block_bucket" in parts
+
+
+def test_missing_header_fails_the_job(spark, tmp_dir):
+    pool = "0x" + "ab" * 20
+    spark.createDataFrame([raw_log("Swap", [], [], pool, block=b) for b in (1, 2)], S.RAW_LOG).write.parquet(
+        f"{tmp_dir}/landing")
+    blocks = spark.createDataFrame([(56, 1, 1001)], S.BLOCKS)
+    with pytest.raises(Exception, match="block timestamp lookup failed"):
+        P.ingest_job(spark, f"{tmp_dir}/landing", f"{tmp_dir}/logs", blocks, [pool], 1, 0, state_path=f"{tmp_dir}/st")
+    assert not os.path.exists(f"{tmp_dir}/logs") and not os.path.exists(f"{tmp_dir}/st")
+
+
+def _typed_line(**change):
+    line = dict(chain_id=56, block_number=1, block_hash="0xb", tx_hash="0x1", log_index=0, address=POOL,
+                event_name="Swap", timestamp=310, decoded=dict(amount0="-1000", amount1="2000"),
+                pool_meta=dict(token0=T0, token1=T1, fee=2500, tick_spacing=60), raw=dict(topic0="0x", data="0x"))
+    line.update(change)
+    return json.dumps({k: v for k, v in line.items() if v != "absent"})
+
+
+def test_json_line_checks(spark, tmp_dir):
+    good = _typed_line()
+    soft = [_typed_line(decoded=dict(amount0=5, amount1="1")), _typed_line(decoded="text"), _typed_line(decoded="absent")]
+    null = _typed_line(decoded=None, tx_hash="0x2")
+    bad = [good + " x", good + good, _typed_line(block_number=-1), _typed_line(address=7), _typed_line(timestamp=1.5),
+           _typed_line(log_index="0"), _typed_line(pool_meta=dict(token0=1)), "[]", "nope", _typed_line(timestamp=2 ** 63)]
+    cased = good.replace("block_number", "Block_Number").replace("amount0", "Amount0")
+    _write_lines(f"{tmp_dir}/ev/a.jsonl", [good, *soft, null, *bad, cased, "null", "  "])
+    rows = L.read_typed_events_jsonl(spark, f"{tmp_dir}/ev", keep_bad=True).collect()
+    assert len(rows) == 7 + len(bad)
+    assert sum(r._parse_error is not None for r in rows) == len(bad)
+    read = [r for r in rows if r._parse_error is None]
+    assert [r.decoded_ok for r in read] == [True, False, False, False, True, True, False]
+    assert read[5].block_number == 1 and read[0].decoded.amount0 == "-1000" and read[6].address == ""
+    ev = L.read_typed_events_jsonl(spark, f"{tmp_dir}/ev", keep_bad=True)
+    counts = {r.counter: r.value for r in A.run_counters(ev, 300).collect()}
+    assert counts == {"total": len(rows), "skipped": 1, "failed": len(bad) + 3, "decoded": 1}
+    w = A.window_aggregate(ev.where("_parse_error is null"), 300).first()
+    assert (w.n_events, w.swap_count, w.n_failed) == (6, 3, 3)
+
+
+def test_raw_log_line_checks(spark, tmp_dir):
+    rec = dict(chain_id=56, block_number=1, address=POOL, topics=["0xa"], data="0x", removed=False)
+    lines = [rec, dict(rec, topics=["0xa", 1]), dict(rec, removed="no"), dict(rec, data=5), dict(rec, tx_index=-2),
+             dict(rec, topics=None)]
+    _write_lines(f"{tmp_dir}/raw/a.jsonl", [json.dumps(x) for x in lines] + [json.dumps(rec) + ","])
+    got = L.read_raw_logs_jsonl(spark, f"{tmp_dir}/raw").collect()
+    assert [r._parse_error is None for r in got] == [True, False, False, False, False, True, False]
+    assert got[0].block_hash == "" and got[0].topics == ["0xa"] and got[5].topics is None
+
+
+def test_recompute_keeps_the_state_and_counts(spark, tmp_dir):
+    tokens = spark.createDataFrame([(56, T0, 6, "A", "A")], S.TOKENS)
+    bal = spark.createDataFrame([(56, T0, POOL, 1, "1")], S.BALANCES)
+    late = _events(spark, [dict(timestamp=700, amount0="1", amount1="-1", tx="0x9")] * 2)
+    early = _events(spark, [dict(timestamp=310, amount0="x", amount1="-1")])
+    out = f"{tmp_dir}/agg"
+    r = P.aggregate_job(spark, late, tokens, bal, out, 300)
+    assert (r["state"], r["total"], r["failed"]) == (700, 2, 0)
+    assert [m.swap_count for m in P.read_metrics(spark, out).collect()] == [2]      # two blocks, so two logs
+    r = P.aggregate_job(spark, early, tokens, bal, out, 300, recompute_from=300)
+    assert (r["state"], r["failed"]) == (700, 1)
+    assert P.aggregate_job(spark, early, tokens, bal, out, 300, recompute_from=300, force_state=True)["state"] < 700
+    same = _events(spark, [dict(timestamp=700, amount0="1", amount1="-1", tx="0x9", block=3)] * 2)
+    P.aggregate_job(spark, same, tokens, bal, f"{tmp_dir}/b", 300)
+    assert P.read_metrics(spark, f"{tmp_dir}/b").first().swap_count == 1
+
+
+def test_contract_is_checked_before_writing(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None), (1, "a")], "k int, v string")
+    assert {p.problem for p in U.check_table(df, ["k"], ["v"]).collect()} == {"null", "duplicate key"}
+    with pytest.raises(ValueError, match="t: "):
+        U.require_contract(df, ["k"], ["v"], "t")
 
 
 def test_metrics_created_and_updated(spark, tmp_dir):

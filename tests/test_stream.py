@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import addr_topic, meta_df, raw_log
 from tidepool import schemas as S
+from tidepool.operators import upsert as U
 from tidepool.streaming import stream as ST
 
 POOL = "0x" + "11" * 20
@@ -17,18 +18,32 @@ def _swap(block, ts, log_index=0):
 
 
 def test_stream_watermark_and_dedup(spark, tmp_dir):
-    src = f"{tmp_dir}/landing"
+    src, work = f"{tmp_dir}/landing", f"{tmp_dir}/work"
     first = [_swap(1, 100_000), _swap(2, 100_100), _swap(3, 100_400)]
-    # second file: a copy of block 2's log (duplicate) and a log one day older than the watermark
+    # second batch: a copy of block 2's log (duplicate) and a log one day older than the watermark
     second = [_swap(2, 100_100), _swap(4, 100_000 - 86_400), _swap(5, 100_450)]
-    for rows in (first, second):
-        ST.append_file(spark.createDataFrame(rows, S.RAW_LOG), src)
     meta = meta_df(spark, [(56, POOL, T0, T1, 2500, 60)])
     tokens = spark.createDataFrame([(56, T0, 0, "A", "A"), (56, T1, 0, "B", "B")], S.TOKENS)
     bal = spark.createDataFrame([(56, T0, POOL, 1, "10"), (56, T1, POOL, 1, "20")], S.BALANCES)
-    out = ST.run_once(spark, src, meta, tokens, bal, f"{tmp_dir}/work", 300, lateness="10 minutes",
-                      max_files_per_trigger=1)
+    for rows in (first, second):
+        ST.append_files(spark.createDataFrame(rows, S.RAW_LOG), src)
+        out = ST.run_once(spark, src, meta, tokens, bal, work, 300, lateness="10 minutes")
     got = {r.window_start: r.swap_count for r in out.collect()}
     # 100000 and 100100 -> window 99900; 100400 and 100450 -> window 100200; the late log is dropped
     assert got == {99_900: 2, 100_200: 2}
     assert out.where(F.col("window_start") == 99_900).first().volume0 == "2000"
+    pools = U.merge_pools(spark.read.parquet(f"{work}/pools")).collect()
+    assert [(p.pool_address, p.first_seen_block) for p in pools] == [(POOL, 1)]
+    state = spark.read.parquet(f"{work}/state").orderBy(F.desc("batch_id")).first()
+    assert (state.name, state.last_processed_ts, state.top) == ("aggregator:300", 100_199, 100_200)
+    assert spark.read.parquet(f"{work}/late").agg(F.sum("rows")).first()[0] in (0, 1)   # Spark may drop it itself
+
+
+def test_stream_dead_letters(spark, tmp_dir):
+    src = f"{tmp_dir}/landing"
+    bad = raw_log("Swap", [], [], POOL, block=9)
+    ST.append_files(spark.createDataFrame([_swap(1, 100_000), bad], S.RAW_LOG), src)
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(src)
+    got = ST.run_errors_once(spark, src, meta_df(spark, [(56, POOL, T0, T1, 2500, 60)]), f"{tmp_dir}/work")
+    assert sorted((r.block_number, r.error) for r in got.collect()) == [
+        (0, "invalid json line"), (9, "expected 3 topics, got 1")]

@@ -1,11 +1,12 @@
-"""Exact 256-bit integers as Spark column expressions.
+"""Exact 256-bit integers as Spark SQL expressions.
 
 Spark's widest exact type is DECIMAL(38,0), which cannot hold a uint128 or an
 int256.  Values therefore travel as decimal text at rest and, while they are
 being computed on, as little-endian base-10^8 limbs held in ordinary BIGINT
-columns.  Every operation below is a plain column expression, so it runs inside
+columns.  Every operation below is SQL text over column names, so it runs inside
 whole-stage codegen, composes with partial (map-side) aggregation and works in
-Structured Streaming unchanged.
+Structured Streaming unchanged; ``selectExpr`` parses each expression once in
+the JVM instead of composing it from many driver-side calls.
 
 No operation carries limb by limb: fees use two chain-free carry levels and
 rendering folds three limbs into one DECIMAL(38,0) chunk, so generated code
@@ -13,7 +14,8 @@ stays well below the JVM method size limit.
 
 Bounds (all checked by the tests against Python ints):
 
-* a parsed limb is < 10^8; ten limbs hold 80 digits (2^256 has 78);
+* a parsed limb is < 10^8; ten limbs hold 80 digits (2^256 has 78); longer
+  values take the rows of ``functions.wide``;
 * fee limbs are < 1.0001e8;
 * ``sum`` of a limb column overflows only after ~9.2e10 rows in one group, and
   ANSI mode turns such an overflow into an error instead of a wrong value;
@@ -22,8 +24,6 @@ Bounds (all checked by the tests against Python ints):
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,16 +31,8 @@ DIGITS = 8
 BASE = 10 ** DIGITS
 LIMBS = 10
 WIDTH = DIGITS * LIMBS
-_U32_MAX = 2 ** 32 - 1
-_DEC = "decimal(38,0)"
-
-
-class BigCol(NamedTuple):
-    """A big integer as columns: sign, magnitude limbs, validity."""
-
-    neg: Column          # True only for a non-zero negative value
-    limbs: list          # little-endian base-10^8 magnitude limbs (BIGINT)
-    ok: Column           # False when the input could not be read
+_CHUNK = 3                         # limbs per DECIMAL chunk when rendering
+_CHUNK_DIGITS = DIGITS * _CHUNK    # 24
 
 
 def idiv(a: Column, b) -> Column:
@@ -48,261 +40,48 @@ def idiv(a: Column, b) -> Column:
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
 
 
-def decimal_parts(text: Column) -> tuple[Column, Column, Column]:
-    """Split base-10 integer text into (digits, neg, ok).
+def sql_decimal_parts(text: str) -> tuple[str, str, str]:
+    """(digits, neg, ok) SQL for base-10 integer text.
 
     "" and NULL read as 0; an optional sign; digits only.  ``digits`` has no
-    sign and no leading zeros ("" for zero).  More than 80 significant digits
-    is not ok (a 256-bit value has at most 78).
-    """
-    s = F.coalesce(text, F.lit(""))
-    first = s.substr(1, 1)
-    body = F.when(first.isin("+", "-"), s.substr(F.lit(2), F.length(s))).otherwise(s)
-    digits = F.ltrim(body, F.lit("0"))
-    ok = ((s == "") | s.rlike(r"^[+-]?[0-9]+$")) & (F.length(digits) <= WIDTH)
-    neg = ok & (first == "-") & (digits != "")
-    return F.when(ok, digits).otherwise(F.lit("")), neg, ok
-
-
-def digit_limbs(digits: Column) -> list:
-    """Digit text (at most 80 digits) -> normalised little-endian limbs."""
-    padded = F.lpad(digits, WIDTH, "0")
-    return [padded.substr(WIDTH - DIGITS * (i + 1) + 1, DIGITS).cast("bigint") for i in range(LIMBS)]
-
-
-def parse_decimal(text: Column) -> BigCol:
-    """Read base-10 integer text as limbs (see ``decimal_parts``)."""
-    digits, neg, ok = decimal_parts(text)
-    return BigCol(neg, digit_limbs(digits), ok)
-
-
-def is_zero(limbs: list) -> Column:
-    out = limbs[0] == 0
-    for limb in limbs[1:]:
-        out = out & (limb == 0)
-    return out
-
-
-_CHUNK = 3                         # limbs per DECIMAL chunk when rendering
-_CHUNK_DIGITS = DIGITS * _CHUNK    # 24
-
-
-def to_text(limbs: list) -> Column:
-    """Non-negative limbs (each any value below 2^63, e.g. group sums) -> digit text.
-
-    Three limbs at a time are folded into one DECIMAL(38,0) chunk (< 9.3e34);
-    carries run between chunks only (ceil(n/3) steps).  No leading zeros;
-    "0" for zero.
-    """
-    chunks = []
-    for j in range(0, len(limbs), _CHUNK):
-        acc = None
-        for t, limb in enumerate(limbs[j:j + _CHUNK]):
-            term = limb.cast(_DEC) if t == 0 else limb.cast(_DEC) * F.lit(BASE ** t).cast(_DEC)
-            acc = term if acc is None else acc + term
-        chunks.append(acc)
-    unit = F.lit(str(10 ** _CHUNK_DIGITS)).cast(_DEC)
-    parts, k = [], None
-    for c in chunks:
-        t = c if k is None else c + k
-        parts.append(F.lpad((t % unit).cast("string"), _CHUNK_DIGITS, "0"))
-        k = idiv(t, unit)
-    s = F.ltrim(F.concat(k.cast("string"), *reversed(parts)), F.lit("0"))
-    return F.when(s == "", F.lit("0")).otherwise(s)
-
-
-def signed_text(digits: Column, neg: Column) -> Column:
-    return F.when(neg & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
-
-
-def spread(values: list) -> list:
-    """One carry level without a chain: v_i = hi_i * BASE + lo_i -> lo_i + hi_(i-1).
-
-    Returns len(values) + 1 limbs, each < BASE + max(hi).
-    """
-    lo = [v % BASE for v in values]
-    hi = [idiv(v, BASE) for v in values]
-    return [lo[0]] + [lo[i] + hi[i - 1] for i in range(1, len(values))] + [hi[-1]]
-
-
-def scale_floor(limbs: list, factor: Column, shift: int = 6) -> list:
-    """floor(x * factor / 10^shift) for x >= 0 given as normalised limbs.
-
-    ``factor`` is a uint32 (a fee tier).  As 10^shift divides the limb base,
-    only the lowest limb decides the floor:
-    floor(N / 10^s) = (m_0 div 10^s) + sum_{i>=1} m_i * 10^(8-s) * BASE^(i-1).
-    Two chain-free carry levels keep every returned limb below 1.0001e8, so
-    the limbs can be summed like parsed ones.  Returns LIMBS + 1 limbs.
-    """
-    assert 0 < shift < DIGITS
-    m = spread([limb * factor for limb in limbs])            # < 4.4e9 each
-    return spread(shift_down(m, shift))[: LIMBS + 1]
-
-
-def shift_down(m: list, shift: int = 6) -> list:
-    """floor(N / 10^shift) of N = sum m_i BASE^i (limbs may exceed BASE)."""
-    unit = 10 ** shift
-    up = 10 ** (DIGITS - shift)
-    return [idiv(m[0], unit) + m[1] * up] + [m[i + 1] * up for i in range(1, len(m) - 1)]
-
-
-# Base-10^8 digits of 2^(32*j), j = 0..7: derived from the rule, not typed in.
-_POW2_32 = [[(2 ** (32 * j) // BASE ** k) % BASE for k in range(LIMBS)] for j in range(8)]
-
-
-def hex_word_u32(word: Column) -> list:
-    """The eight 32-bit limbs (least significant first) of a 64-digit hex word."""
-    return [F.conv(word.substr(1 + 8 * (7 - j), 8), 16, 10).cast("bigint") for j in range(8)]
-
-
-def word_is_negative(word: Column) -> Column:
-    """Two's-complement sign bit of a 64-digit hex word."""
-    return F.lower(word.substr(1, 1)) >= F.lit("8")
-
-
-def u32_to_big(u32: list, neg: Column | None = None) -> BigCol:
-    """32-bit limbs -> decimal limbs (unnormalised, each < 3.5e18).
-
-    With ``neg`` the limbs are read as an int256 in two's complement and the
-    magnitude (~x + 1) is returned.
+    sign and no leading zeros ("" for zero) and may be longer than WIDTH.
     """
-    one = None
-    if neg is not None:
-        u32 = [F.when(neg, F.lit(_U32_MAX) - w).otherwise(w) for w in u32]
-        one = F.when(neg, F.lit(1)).otherwise(F.lit(0))
-    dec = []
-    for k in range(LIMBS):
-        terms = [u32[j] * F.lit(_POW2_32[j][k]) for j in range(8) if _POW2_32[j][k]]
-        if k == 0 and one is not None:
-            terms.append(one)
-        if not terms:
-            dec.append(F.lit(0).cast("bigint"))
-            continue
-        acc = terms[0]
-        for t in terms[1:]:
-            acc = acc + t
-        dec.append(acc)
-    return BigCol(neg if neg is not None else F.lit(False), dec, F.lit(True))
-
-
-def hex_word_text(word: Column, signed: bool) -> Column:
-    """64-digit hex word -> exact decimal text (int256 if ``signed``) (F8)."""
-    neg = word_is_negative(word) if signed else None
-    big = u32_to_big(hex_word_u32(word), neg)
-    return signed_text(to_text(big.limbs), big.neg)
-
-
-def format_units(digits: Column, neg: Column, decimals: Column) -> Column:
-    """Exact fixed-point text of an integer amount scaled by 10^-decimals (M1).
-
-    decimals = 0 gives the plain integer; otherwise exactly ``decimals``
-    fraction digits (trailing zeros kept).  The sign is kept for non-zero
-    values.
-    """
-    d = decimals.cast("int")
-    n = F.length(digits)
-    padded = F.when(n <= d, F.lpad(digits, d + 1, "0")).otherwise(digits)
-    m = F.length(padded)
-    fixed = F.concat(padded.substr(F.lit(1), m - d), F.lit("."), padded.substr(m - d + 1, d))
-    body = F.when(d <= 0, digits).otherwise(fixed)
-    return F.when(neg & (digits != "0"), F.concat(F.lit("-"), body)).otherwise(body)
-
-
-# Base-10^18 chunks of 2^(64*j), j = 0..3, derived from the rule.
-_C18 = 10 ** 18
-_P64 = [[(2 ** (64 * j) // _C18 ** k) % _C18 for k in range(5)] for j in range(4)]
-_U64_MAX = 2 ** 64 - 1
-
-
-def with_hex_text(df, specs: dict):
-    """Add exact decimal text columns for 64-digit hex words, in staged projections.
-
-    ``specs`` maps an output column name to (word, neg): ``word`` a Column
-    holding the hex word (NULL gives NULL), ``neg`` a boolean Column telling
-    that the word is a negative int256 (or None for unsigned).
-
-    A word is read as four unsigned 64-bit parts (``conv``), each part is
-    multiplied by the base-10^18 chunks of 2^(64 j) in DECIMAL(38,0) (ten
-    products, every chunk sum < 7.3e37), and carries run over five chunks.
-    A negative int256 uses its magnitude ~x + 1.  Each stage reads only
-    columns materialised by the previous one, so expressions stay small and
-    whole-stage codegen stays on.
-    """
-    keep = list(df.columns)
-    names = list(specs)
-    a = df.select(*keep, *[specs[n][0].alias(f"_hw_{n}") for n in names],
-                  *[(specs[n][1] if specs[n][1] is not None else F.lit(False)).alias(f"_hn_{n}")
-                    for n in names])
-    part_cols = []
-    for n in names:
-        for j in range(4):
-            p = F.conv(F.col(f"_hw_{n}").substr(1 + 16 * (3 - j), 16), 16, 10).cast("decimal(20,0)")
-            p = F.when(F.col(f"_hn_{n}"), F.lit(str(_U64_MAX)).cast("decimal(20,0)") - p).otherwise(p)
-            part_cols.append(p.alias(f"_hp_{n}_{j}"))
-    b = a.select(*keep, *[f"_hn_{n}" for n in names], *part_cols)
-    sum_cols = []
-    for n in names:
-        for k in range(5):
-            terms = [F.col(f"_hp_{n}_{j}").cast(_DEC) * F.lit(str(_P64[j][k])).cast(_DEC)
-                     for j in range(4) if _P64[j][k]]
-            if k == 0:
-                terms.append(F.when(F.col(f"_hn_{n}"), F.lit(1)).otherwise(F.lit(0)).cast(_DEC))
-            if not terms:
-                terms = [F.lit(0).cast(_DEC)]
-            acc = terms[0]
-            for t in terms[1:]:
-                acc = acc + t
-            sum_cols.append(acc.alias(f"_hs_{n}_{k}"))
-    c = b.select(*keep, *[f"_hn_{n}" for n in names], *sum_cols)
-    unit = F.lit(str(_C18)).cast(_DEC)
-    txt_cols = []
-    for n in names:
-        parts, carry = [], None
-        for k in range(5):
-            t = F.col(f"_hs_{n}_{k}") if carry is None else F.col(f"_hs_{n}_{k}") + carry
-            digit = t % unit
-            parts.append(F.lpad(digit.cast("string"), 18, "0"))
-            carry = ((t - digit) / unit).cast(_DEC)
-        s_ = F.ltrim(F.concat(carry.cast("string"), *reversed(parts)), F.lit("0"))
-        txt_cols.append(F.when(F.col(f"_hs_{n}_0").isNotNull(),
-                               F.when(s_ == "", F.lit("0")).otherwise(s_)).alias(f"_ht_{n}"))
-    d = c.select(*keep, *[f"_hn_{n}" for n in names], *txt_cols)
-    return d.select(*keep, *[signed_text(F.col(f"_ht_{n}"), F.col(f"_hn_{n}")).alias(n) for n in names])
-
-
-# ---------------------------------------------------------------------------
-# The same arithmetic as SQL text over column names.  Hot paths build their
-# projections with ``selectExpr`` from these, which parses each expression
-# once in the JVM instead of composing it from many driver-side calls.
-
-def sql_decimal_parts(text: str) -> tuple[str, str, str]:
-    """(digits, neg, ok) SQL for base-10 integer text (see ``decimal_parts``)."""
     s = f"coalesce({text}, '')"
     body = f"(CASE WHEN substr({s}, 1, 1) IN ('+', '-') THEN substr({s}, 2) ELSE {s} END)"
     digits = f"trim(LEADING '0' FROM {body})"
-    ok = f"(({s} = '' OR {s} RLIKE '^[+-]?[0-9]+$') AND length({digits}) <= {WIDTH})"
+    ok = f"({s} = '' OR {s} RLIKE '^[+-]?[0-9]+" + r"\\z')"
     neg = f"({ok} AND substr({s}, 1, 1) = '-' AND {digits} != '')"
     return f"(CASE WHEN {ok} THEN {digits} ELSE '' END)", neg, ok
 
 
 def sql_digit_limbs(digits: str) -> list:
+    """Digit text of at most WIDTH digits -> normalised little-endian limbs."""
     return [f"CAST(substr(lpad({digits}, {WIDTH}, '0'), {WIDTH - DIGITS * (i + 1) + 1}, {DIGITS}) AS BIGINT)"
             for i in range(LIMBS)]
 
 
 def sql_spread(values: list) -> list:
+    """One carry level without a chain: v_i = hi_i * BASE + lo_i -> lo_i + hi_(i-1); one limb more."""
     lo = [f"(({v}) % {BASE})" for v in values]
     hi = [f"(({v}) div {BASE})" for v in values]
     return [lo[0]] + [f"({lo[i]} + {hi[i - 1]})" for i in range(1, len(values))] + [hi[-1]]
 
 
 def sql_shift_down(m: list, shift: int = 6) -> list:
+    """floor(N / 10^shift) of N = sum m_i BASE^i (limbs may exceed BASE).
+
+    As 10^shift divides the limb base, only the lowest limb decides the floor.
+    """
     unit, up = 10 ** shift, 10 ** (DIGITS - shift)
     return [f"(({m[0]}) div {unit} + ({m[1]}) * {up})"] + [f"(({m[i + 1]}) * {up})" for i in range(1, len(m) - 1)]
 
 
 def sql_to_text(limbs: list) -> str:
-    """Digit text of non-negative limbs (each < 2^63), DECIMAL chunks as in ``to_text``."""
+    """Digit text of non-negative limbs (each any value below 2^63, e.g. group sums); "0" for zero.
+
+    Three limbs at a time are folded into one DECIMAL(38,0) chunk (< 9.3e34);
+    carries run between chunks only.
+    """
     dec = "DECIMAL(38,0)"
     chunks = []
     for j in range(0, len(limbs), _CHUNK):

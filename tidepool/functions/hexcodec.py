@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidepool.functions import bigint as B
-
 WORD = 64            # hex digits per 32-byte ABI word
 
-ADDRESS_RE = r"^(0[xX])?[0-9a-fA-F]{40}$"
-TOPIC_RE = r"^0[xX][0-9a-fA-F]{64}$"
+# Whole-text patterns (Java: \\z, Python: fullmatch; "$" would let a line feed through).
+ADDRESS_RE = r"(0[xX])?[0-9a-fA-F]{40}"
+TOPIC_RE = r"0[xX][0-9a-fA-F]{64}"
 
 
 def is_hex_address(c: Column) -> Column:
     """20-byte hex address, optional 0x prefix."""
-    return F.coalesce(c.rlike(ADDRESS_RE), F.lit(False))
+    return F.coalesce(c.rlike(f"^{ADDRESS_RE}\\z"), F.lit(False))
 
 
 def address_key(c: Column) -> Column:
@@ -38,8 +37,8 @@ def hex_error(c: Column) -> Column:
     body = hex_body(c)
     return (F.when(c.isNull() | (c == ""), F.lit("empty hex string"))
             .when(~has_prefix(c), F.lit("hex string without 0x prefix"))
-            .when(F.length(body) % 2 == 1, F.lit("hex string of odd length"))
-            .when(~body.rlike(r"^[0-9a-fA-F]*$"), F.lit("invalid hex string")))
+            .when(~body.rlike(r"^[0-9a-fA-F]*\z"), F.lit("invalid hex string"))
+            .when(F.length(body) % 2 == 1, F.lit("hex string of odd length")))
 
 
 def word(data_body: Column, i: int) -> Column:
@@ -65,9 +64,3 @@ def word_int24(w: Column) -> Column:
     negv = (top == "f" * 58) & (low.substr(1, 1) >= F.lit("8"))
     v = F.conv(low, 16, 10).cast("int")
     return F.when(pos, v).when(negv, v - F.lit(1 << 24))
-
-
-def word_int24_error(w: Column) -> Column:
-    """"int24 overflow: <value>" when the word's int256 value is out of range."""
-    return F.when(word_int24(w).isNull(),
-                  F.concat(F.lit("int24 overflow: "), B.hex_word_text(w, signed=True)))

@@ -1,29 +1,37 @@
 """Per-pool tumbling-window aggregation of typed events.
 
-Plan shape: scan -> filter (pushed to Parquet) -> limb projection -> partial
-HashAggregate -> shuffle on (chain, pool, window[, pool meta]) -> final
-HashAggregate -> carry and render.  Every aggregate buffer is fixed width
-(BIGINT / DECIMAL), so both aggregation phases stay hash based, and map-side
-partial aggregation absorbs hot pools before the shuffle: the shuffle carries
-at most one row per group per input partition, whatever the skew.
+Plan shape: scan -> filter (pushed to Parquet) -> broadcast of the pools' fee
+tiers -> limb projection -> partial HashAggregate -> shuffle on (chain, pool,
+window) -> final HashAggregate -> pool metadata -> carry and render.  Every
+aggregate buffer is fixed width (BIGINT / DECIMAL), so both aggregation phases
+stay hash based, and map-side partial aggregation absorbs hot pools before the
+shuffle: the shuffle carries at most one row per group per input partition,
+whatever the skew.
+
+A window is keyed by chain, lower-cased pool and window start alone.  Events
+may spell a pool's metadata differently or lack it, so the metadata is resolved
+per pool first (``pool_metadata``): one deterministic row per pool, whose fee
+tier every swap of the pool pays and whose tokens its windows carry.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions import bigint as B
+from tidepool.functions import wide as X
+from tidepool.operators.ingest import LOG_KEY, first_copy
+from tidepool.plans.joins import bounded_broadcast
+from tidepool.session import cut_lineage
 
 _ORD_SHIFT = 10 ** 12          # block numbers stay far below 10^12
 
-# Pool metadata columns carried as grouping keys.  Metadata is immutable per
-# pool, so adding them to the key does not split a (chain, pool, window)
-# group, and it keeps string values out of the aggregate buffers (string
-# buffers would force a sort-based aggregate).
-META_KEYS = ("token0", "token1", "fee", "tick_spacing")
+META = ("token0", "token1", "fee", "tick_spacing")
 N_FEE = B.LIMBS + 1
-GROUP_KEYS = ("chain_id", "pool_address", "window_start") + META_KEYS
+GROUP_KEYS = ("chain_id", "pool_address", "window_start")
+# Copies of one log are told apart by these columns; the smallest is kept.
+EVENT_ORDER = ("block_hash", "event_name", "address", "timestamp", "decoded", "pool_meta")
 
 
 def window_start(ts: Column, window_seconds: int) -> Column:
@@ -35,31 +43,75 @@ def _limb_cols(prefix: str, limbs, guard: Column) -> list:
     return [F.when(guard, limb).otherwise(F.lit(0)).alias(f"{prefix}{i}") for i, limb in enumerate(limbs)]
 
 
-def event_terms(events: DataFrame, window_seconds: int, carry: tuple = ()) -> DataFrame:
+def _amounts() -> tuple[str, str, str, str, str, str]:
+    return (*B.sql_decimal_parts("decoded.amount0"), *B.sql_decimal_parts("decoded.amount1"))
+
+
+def _valid_swap(events: DataFrame) -> str:
+    """SQL: a swap whose payload reads."""
+    _, _, ok0, _, _, ok1 = _amounts()
+    decoded_ok = "coalesce(decoded_ok, false)" if "decoded_ok" in events.columns else "true"
+    return f"(coalesce(lower(event_name) = 'swap', false) AND {decoded_ok} AND {ok0} AND {ok1})"
+
+
+# Amount text that may not fit the limb columns (signs and leading zeros count, which only costs speed).
+_LONG = f"(coalesce(greatest(length(decoded.amount0), length(decoded.amount1)), 0) > {B.WIDTH})"
+
+
+def pool_metadata(events: DataFrame) -> DataFrame:
+    """One row per (chain, pool): chain_id, pool_address, token0, token1, fee, tick_spacing, has_wide.
+
+    Tokens are lower-cased.  Rows with both tokens come first, then the
+    smallest by tokens, highest fee, highest spacing; the choice does not
+    depend on the order of the events.  ``has_wide``: some event of the pool
+    has an amount text of more than 80 characters.  The events are reduced by hash to
+    their distinct spellings before any ordering, so a hot pool costs nothing.
+    """
+    rows = events.selectExpr(
+        "chain_id", "lower(address) AS pool_address", "lower(coalesce(pool_meta.token0, '')) AS token0",
+        "lower(coalesce(pool_meta.token1, '')) AS token1", "CAST(coalesce(pool_meta.fee, 0) AS BIGINT) AS fee",
+        "coalesce(pool_meta.tick_spacing, 0) AS tick_spacing", f"{_LONG} AS has_wide")
+    seen = rows.groupBy("chain_id", "pool_address", *META).agg(F.max("has_wide").alias("has_wide"))
+    per_pool = Window.partitionBy("chain_id", "pool_address")
+    complete = (F.col("token0") != "") & (F.col("token1") != "")
+    order = per_pool.orderBy(complete.desc(), "token0", "token1", F.desc("fee"), F.desc("tick_spacing"))
+    return (seen.withColumn("has_wide", F.max("has_wide").over(per_pool))
+            .withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn"))
+
+
+def event_terms(events: DataFrame, window_seconds: int, carry: tuple = (),
+                pool_meta: DataFrame | None = None) -> DataFrame:
     """Row-level projection: keys, flags and the limbs each event contributes.
 
     Staged projections, each materialising what the next one reads several
     times (digit text, limbs, carry levels), so that every generated method
     stays small; the limb arithmetic is SQL text parsed once per stage.
+
+    The fee tier is the pool's in ``pool_meta`` (``pool_metadata``), or the
+    event's own where every event's metadata comes from one dimension already.
+    Amounts of more than WIDTH digits count as swaps here and add nothing
+    (``wide_sums`` adds them).
     """
     w = int(window_seconds)
     if w <= 0:
         raise ValueError("window seconds must be > 0")
-    decoded_ok = "decoded_ok" if "decoded_ok" in events.columns else "true"
-    d0, n0, ok0 = B.sql_decimal_parts("decoded.amount0")
-    d1, n1, ok1 = B.sql_decimal_parts("decoded.amount1")
-    is_swap = "lower(event_name) = 'swap'"
-    valid = f"({is_swap} AND {decoded_ok} AND {ok0} AND {ok1})"
-    keys = ["chain_id", "pool_address", "window_start", *META_KEYS, "block_number", *carry, "ts",
-            "valid_swap", "accepted"]
+    d0, n0, _, d1, n1, _ = _amounts()
+    valid = _valid_swap(events)
+    is_swap = "coalesce(lower(event_name) = 'swap', false)"
+    fee = "CAST(coalesce(pool_meta.fee, 0) AS BIGINT)"
+    if pool_meta is not None:
+        fees = pool_meta.select(F.col("chain_id").alias("_fc"), F.col("pool_address").alias("_fp"),
+                                F.col("fee").alias("_fee"))
+        events = events.join(bounded_broadcast(fees), events["chain_id"].eqNullSafe(F.col("_fc"))
+                             & F.lower(events["address"]).eqNullSafe(F.col("_fp")), "left")
+        fee = "coalesce(_fee, 0)"
+    keys = ["chain_id", "pool_address", "window_start", "block_number", *carry, "ts", "valid_swap", "accepted"]
     stage0 = events.selectExpr(
         "chain_id", "lower(address) AS pool_address", f"timestamp - timestamp % {w} AS window_start",
-        "coalesce(pool_meta.token0, '') AS token0", "coalesce(pool_meta.token1, '') AS token1",
-        "CAST(coalesce(pool_meta.fee, 0) AS BIGINT) AS fee",
-        "coalesce(pool_meta.tick_spacing, 0) AS tick_spacing", "block_number", *carry, "timestamp AS ts",
+        f"{fee} AS fee", "block_number", *carry, "timestamp AS ts",
         f"{valid} AS valid_swap", f"(NOT {is_swap} OR {valid}) AS accepted",
-        f"CASE WHEN {valid} THEN {d0} ELSE '' END AS _d0", f"{n0} AS _n0",
-        f"CASE WHEN {valid} THEN {d1} ELSE '' END AS _d1", f"{n1} AS _n1",
+        f"CASE WHEN {valid} AND NOT {_LONG} THEN {d0} ELSE '' END AS _d0", f"{n0} AS _n0",
+        f"CASE WHEN {valid} AND NOT {_LONG} THEN {d1} ELSE '' END AS _d1", f"{n1} AS _n1",
     )
     # Input side of the swap pays the fee; same-sign swaps and fee tier 0 pay none (A4, Q9).
     side = ("CASE WHEN valid_swap AND fee > 0 AND _n0 AND NOT _n1 AND _d1 != '' THEN 1 "
@@ -76,14 +128,46 @@ def event_terms(events: DataFrame, window_seconds: int, carry: tuple = ()) -> Da
     stage2 = stage1.selectExpr(*keys, "_side", *limbs, *[f"{x} AS _m{i}" for i, x in enumerate(m)])
     q = B.sql_shift_down([f"_m{i}" for i in range(len(m))])
     stage3 = stage2.selectExpr(*keys, "_side", *limbs, *[f"{x} AS _q{i}" for i, x in enumerate(q)])
-    fee = B.sql_spread([f"_q{i}" for i in range(len(q))])[:N_FEE]
+    fees = B.sql_spread([f"_q{i}" for i in range(len(q))])[:N_FEE]
     return stage3.selectExpr(
         *keys, *limbs,
-        *[f"CASE WHEN _side = 0 THEN {x} ELSE 0 END AS f0_{i}" for i, x in enumerate(fee)],
-        *[f"CASE WHEN _side = 1 THEN {x} ELSE 0 END AS f1_{i}" for i, x in enumerate(fee)],
+        *[f"CASE WHEN _side = 0 THEN {x} ELSE 0 END AS f0_{i}" for i, x in enumerate(fees)],
+        *[f"CASE WHEN _side = 1 THEN {x} ELSE 0 END AS f1_{i}" for i, x in enumerate(fees)],
     )
 
 
+def wide_sums(events: DataFrame, window_seconds: int, pool_meta: DataFrame) -> DataFrame:
+    """Exact sums of the swaps with over-long amounts: keys, wide_a0, wide_a1, wide_f0, wide_f1 (text).
+
+    Every amount becomes one row per limb, the rows are summed by (window,
+    measure, limb) with partial aggregation, and each window is folded once.
+    """
+    w, (d0, n0, _, d1, n1, _) = int(window_seconds), _amounts()
+    valid = _valid_swap(events)
+    rows = events.where(F.expr(_LONG)).selectExpr(
+        "chain_id", "lower(address) AS pool_address", f"timestamp - timestamp % {w} AS window_start",
+        f"CASE WHEN {valid} THEN {d0} ELSE '' END AS a0", f"{n0} AS n0",
+        f"CASE WHEN {valid} THEN {d1} ELSE '' END AS a1", f"{n1} AS n1")
+    rows = rows.join(pool_meta.select("chain_id", "pool_address", "fee"), ["chain_id", "pool_address"])
+    pays0 = F.expr("fee > 0 AND n1 AND NOT n0 AND a0 != ''")
+    pays1 = F.expr("fee > 0 AND n0 AND NOT n1 AND a1 != ''")
+    rows = rows.withColumn("f0", F.when(pays0, X.fee_floor("a0", "fee"))).withColumn(
+        "f1", F.when(pays1, X.fee_floor("a1", "fee")))
+    n = X.LIMB_DIGITS
+    measures = rows.select(*GROUP_KEYS, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("m"), F.coalesce(c, F.lit("")).alias("d")) for c in ("a0", "a1", "f0", "f1")])).alias("x"))
+    count = "CAST(ceil(length(x.d) / {0}) AS INT)".format(n)
+    limbs = measures.where("x.d != ''").selectExpr(
+        *GROUP_KEYS, "x.m AS m",
+        f"posexplode(transform(sequence(1, {count}), i -> CAST(substr(lpad(x.d, {count} * {n}, '0'), "
+        f"({count} - i) * {n} + 1, {n}) AS DECIMAL(38,0)))) AS (p, v)")
+    sums = limbs.groupBy(*GROUP_KEYS, "m", "p").agg(F.sum("v").alias("v"))
+    text = sums.groupBy(*GROUP_KEYS, "m").agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("x")).select(
+        *GROUP_KEYS, "m", X.fold_limbs(F.col("x.p"), F.col("x.v")).alias("t"))
+    return text.groupBy(*GROUP_KEYS).pivot("m", ["a0", "a1", "f0", "f1"]).agg(F.first("t")).select(
+        *GROUP_KEYS, *[F.col(c).alias(f"wide_{c}") for c in ("a0", "a1", "f0", "f1")])
+
+
 def _digits(prefix: str, n: int) -> Column:
     return F.expr(B.sql_to_text([f"{prefix}{i}" for i in range(n)]))
 
@@ -107,18 +191,18 @@ def agg_columns() -> list:
         F.max(ord_key).alias("last_ord"),
         F.max(F.when(F.col("accepted"), F.col("ts"))).alias("max_ts"),
         F.count(F.lit(1)).alias("n_events"),
+        F.count_if(~F.col("accepted")).alias("n_failed"),
     ]
 
 
-def render_windows(g: DataFrame, window_seconds: int) -> DataFrame:
-    """Aggregated buffers -> window rows with exact integer text."""
+def render_windows(g: DataFrame, window_seconds: int, pool_meta: DataFrame) -> DataFrame:
+    """Aggregated buffers -> window rows with pool metadata and exact integer text."""
     w = int(window_seconds)
-    return g.select(
+    rows = g.select(
         "chain_id", "pool_address",
         F.lit(w).cast("bigint").alias("window_size_seconds"),
         "window_start",
         (F.col("window_start") + F.lit(w)).alias("window_end"),
-        *META_KEYS,
         "swap_count",
         _digits("a0_", B.LIMBS).alias("volume0_raw"),
         _digits("a1_", B.LIMBS).alias("volume1_raw"),
@@ -126,8 +210,18 @@ def render_windows(g: DataFrame, window_seconds: int) -> DataFrame:
         _digits("f1_", N_FEE).alias("fee1_raw"),
         F.coalesce(F.col("first_block"), F.lit(0)).cast("bigint").alias("first_block"),
         (F.col("last_ord") % F.lit(_ORD_SHIFT)).cast("bigint").alias("last_block"),
-        "max_ts", "n_events",
+        "max_ts", "n_events", "n_failed",
     )
+    return _with_meta(rows, pool_meta)
+
+
+def _with_meta(rows: DataFrame, pool_meta: DataFrame) -> DataFrame:
+    meta = pool_meta.select(F.col("chain_id").alias("_mc"), F.col("pool_address").alias("_mp"), *META)
+    j = rows.join(bounded_broadcast(meta), rows["chain_id"].eqNullSafe(F.col("_mc"))
+                  & rows["pool_address"].eqNullSafe(F.col("_mp")), "left")
+    at = rows.columns.index("swap_count")
+    blank = {"token0": F.lit(""), "token1": F.lit(""), "fee": F.lit(0).cast("bigint"), "tick_spacing": F.lit(0)}
+    return j.select(*rows.columns[:at], *[F.coalesce(F.col(c), blank[c]).alias(c) for c in META], *rows.columns[at:])
 
 
 def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Column = 0,
@@ -137,30 +231,52 @@ def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Col
     Output: chain_id, pool_address, window_size_seconds, window_start,
     window_end, token0, token1, fee, tick_spacing, swap_count, volume0_raw,
     volume1_raw, fee0_raw, fee1_raw (exact unscaled integer text),
-    first_block, last_block, max_ts (highest accepted timestamp), n_events.
+    first_block, last_block, max_ts (highest accepted timestamp), n_events,
+    n_failed.
 
     ``start_ts``: only events with timestamp > start_ts are used (P11); the
     value 0 therefore always skips ts = 0, as the reference does.
-    ``dedup``: drop repeated (chain, block, tx, log_index) first.  Off by
-    default because logs are deduplicated at ingest; when on, the dedup
-    shuffle is hashed on the log key, which spreads hot pools evenly.
+    ``dedup``: keep one copy of repeated (chain, block, tx, log_index) first;
+    the shuffle is hashed on the log key, which spreads hot pools evenly.
+
+    The pools' metadata is one row per pool; it is computed and checkpointed
+    first, so that its size is known and its flag for over-long amounts
+    decides whether the second, exact path is part of the plan at all.
     """
     w = int(window_seconds)
     start = start_ts if isinstance(start_ts, Column) else F.lit(int(start_ts))
     ev = events.where(F.col("timestamp") > start)
     if dedup:
-        ev = ev.dropDuplicates(["chain_id", "block_number", "tx_hash", "log_index"])
-    g = event_terms(ev, w).groupBy(*GROUP_KEYS).agg(*agg_columns())
-    return render_windows(g, w)
+        ev = first_copy(ev, LOG_KEY, [F.col(c) for c in EVENT_ORDER if c in ev.columns])
+    meta = _known_size(pool_metadata(ev))
+    g = event_terms(ev, w, pool_meta=meta).groupBy(*GROUP_KEYS).agg(*agg_columns())
+    windows = render_windows(g, w, meta)
+    if meta.where("has_wide").isEmpty():
+        return windows
+    more = wide_sums(ev, w, meta)
+    names = windows.columns
+    j = windows.join(more, list(GROUP_KEYS), "left")
+    for raw, c in (("volume0_raw", "a0"), ("volume1_raw", "a1"), ("fee0_raw", "f0"), ("fee1_raw", "f1")):
+        j = j.withColumn(raw, F.when(F.col(f"wide_{c}").isNull(), F.col(raw)).otherwise(X.add_text(raw, f"wide_{c}")))
+    return j.select(*names)
+
+
+# Pools whose metadata is small enough to be part of the plan (about 200 bytes each).
+MAX_LOCAL_POOLS = 10_000
+
+
+def _known_size(meta: DataFrame) -> DataFrame:
+    """Checkpointed metadata; as a local relation when it is a handful of pools, so the optimizer knows its size."""
+    meta = cut_lineage(meta)
+    few = meta.limit(MAX_LOCAL_POOLS + 1).toArrow()
+    return meta if few.num_rows > MAX_LOCAL_POOLS else meta.sparkSession.createDataFrame(few, meta.schema)
 
 
 def swap_fees(events: DataFrame) -> DataFrame:
     """Per-swap fee of each side, floored per swap (A4): raw integer text."""
     t = event_terms(events.where(F.lower(F.col("event_name")) == "swap"), 1, carry=("log_index",))
-    n = B.LIMBS + 1
     return t.select("chain_id", "block_number", "log_index", "pool_address",
-                    B.to_text([F.col(f"f0_{i}") for i in range(n)]).alias("fee0"),
-                    B.to_text([F.col(f"f1_{i}") for i in range(n)]).alias("fee1"))
+                    _digits("f0_", N_FEE).alias("fee0"), _digits("f1_", N_FEE).alias("fee1"))
 
 
 def align_start(resume_ts: int, window_seconds: int) -> int:
@@ -178,26 +294,45 @@ def drop_missing_meta(windows: DataFrame) -> DataFrame:
 def pool_registry(windows: DataFrame) -> DataFrame:
     """One row per pool: metadata and the lowest first block over all windows."""
     return (drop_missing_meta(windows)
-            .groupBy("chain_id", "pool_address", *META_KEYS)
+            .groupBy("chain_id", "pool_address", *META)
             .agg(F.min("first_block").alias("first_seen_block")))
 
 
+def open_window_state(windows: DataFrame) -> DataFrame:
+    """Resume point while windows are still open (A10): one row, last_processed_ts.
+
+    Each pool's latest window may still grow, so the run has to come back to
+    the second before the lowest of them; 0 when there is none.
+    """
+    latest = windows.groupBy("chain_id", "pool_address").agg(F.max("window_start").alias("open"))
+    return latest.agg(F.coalesce(F.greatest(F.min("open") - 1, F.lit(0)), F.lit(0)).cast("bigint")
+                      .alias("last_processed_ts"))
+
+
 def run_counters(events: DataFrame, window_seconds: int, start_ts: int = 0) -> DataFrame:
     """Counters of one aggregation run (A11) as (counter, value) rows.
 
-    total, skipped (ts <= start), failed (swap payload unreadable) and decoded
-    (= windows emitted, as in the reference).  Each is a single global
-    aggregate; the two results are stacked with a union, not joined.
+    total, skipped (ts <= start, or a line that could not be read), failed
+    (swap payload or line unreadable) and decoded (= windows emitted, as in the
+    reference).  The events are reduced to their windows once, and the counters
+    are taken over the windows.
     """
-    terms = event_terms(events, window_seconds)
-    in_run = F.col("ts") > F.lit(int(start_ts))
-    counts = terms.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum(F.when(~in_run, 1).otherwise(0)).cast("bigint").alias("skipped"),
-        F.sum(F.when(in_run & ~F.col("accepted"), 1).otherwise(0)).cast("bigint").alias("failed"),
-    ).select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("counter"), F.col(n).cast("bigint").alias("value"))
-        for n in ("total", "skipped", "failed")])).alias("c")).select("c.*")
-    windows = drop_missing_meta(window_aggregate(events, window_seconds, start_ts))
-    decoded = windows.agg(F.lit("decoded").alias("counter"), F.count(F.lit(1)).cast("bigint").alias("value"))
-    return counts.unionByName(decoded)
+    w, in_run = int(window_seconds), F.col("timestamp") > F.lit(int(start_ts))
+    unread = F.col("_parse_error").isNotNull() if "_parse_error" in events.columns else F.lit(False)
+    valid, swap = F.expr(_valid_swap(events)), F.coalesce(F.lower("event_name") == "swap", F.lit(False))
+    rows = events.select(
+        "chain_id", F.lower("address").alias("pool_address"), F.expr(f"timestamp - timestamp % {w}").alias("window_start"),
+        unread.alias("unread"), (~unread & ~in_run).alias("early"), (~unread & in_run & swap & ~valid).alias("bad"),
+        F.expr("coalesce(pool_meta.token0, '') != '' AND coalesce(pool_meta.token1, '') != ''").alias("named"))
+    per = rows.groupBy("unread", "early", *GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.max("named").alias("named"))
+    # A pool is named if any of its events is (``pool_metadata``); per is one row per window.
+    runs = ~F.col("unread") & ~F.col("early")
+    named = F.max(F.when(runs, F.col("named"))).over(Window.partitionBy("chain_id", "pool_address"))
+    counts = per.withColumn("named", named).agg(
+        F.sum("n").alias("total"), F.sum(F.when(F.col("early"), F.col("n"))).alias("skipped"),
+        (F.sum("bad") + F.sum(F.when(F.col("unread"), F.col("n")).otherwise(0))).alias("failed"),
+        F.count_if(runs & F.col("named")).alias("decoded"))
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("counter"), F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("value"))
+        for n in ("total", "skipped", "failed", "decoded")])).alias("c")).select("c.*")

@@ -16,7 +16,8 @@ in one task and nothing is exploded:
 
 A hot key (one pool with a third of all events) is spread over its buckets
 in every shuffle; the only per-key window runs on the per-bucket summary.
-Right rows are expected to be unique per (keys, position).
+Of right rows that repeat (keys, position) the one with the largest values
+counts; they never repeat a left row.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
     vtype = r.schema["_v"].dataType
     stacked = (r.select(*k, "_b", "_p", F.lit(0).alias("_t"), "_v")
                .unionByName(lk.select(*k, "_b", "_p", F.lit(1).alias("_t"), F.lit(None).cast(vtype).alias("_v"))))
-    w_in = Window.partitionBy(*k, "_b").orderBy("_p", "_t")
+    w_in = Window.partitionBy(*k, "_b").orderBy("_p", "_t", "_v")
     filled = (stacked
               .withColumn("_hit", F.last("_v", ignorenulls=True).over(
                   w_in.rowsBetween(Window.unboundedPreceding, 0)))
@@ -89,10 +90,3 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
         cols += [F.col(f"_latest.{v}").alias(f"{prefix}latest_{v}") for v in values]
         cols += [F.col("_latest.pos").alias(f"{prefix}latest_pos")]
     return out.select(*cols)
-
-
-def latest_by_key(right: DataFrame, on: list[str], pos: str, values: list[str]) -> DataFrame:
-    """Each key's row with the greatest position (hash aggregate + join back)."""
-    last = right.groupBy(*on).agg(F.max(pos).alias("_mp"))
-    return (right.join(last, [*on], "inner").where(F.col(pos) == F.col("_mp"))
-            .select(*on, pos, *values))

@@ -21,6 +21,7 @@ from tidepool.functions import bigint as B
 from tidepool.functions import hexcodec as H
 from tidepool.functions.hexwords import words_text
 from tidepool.operators.asof import asof_join
+from tidepool.operators.ingest import first_copy
 from tidepool.plans.joins import bounded_broadcast
 
 
@@ -140,7 +141,8 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
     """
     routes = routes or routing_map()
     parse_err = F.col("_parse_error") if "_parse_error" in logs.columns else F.lit(None).cast("string")
-    n_topics = F.coalesce(F.size("topics"), F.lit(0))
+    # NULL topics count as none whatever the session says about size(NULL).
+    n_topics = F.when(F.col("topics").isNull(), F.lit(0)).otherwise(F.size("topics"))
     topic0 = F.get(F.col("topics"), 0)
     # Stage 0: route and locate words.
     data = F.coalesce(F.col("data"), F.lit(""))
@@ -157,12 +159,12 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
         *[H.word(body, i).alias(f"_w{i}") for i in range(MAX_WORDS)],
         *[F.get(F.col("topics"), i).alias(f"_t{i}") for i in range(1, MAX_TOPICS)],
     )
-    # Pool metadata (J2): one row per (chain, pool), size-checked broadcast.
-    meta = bounded_broadcast(pool_meta.select(
-        F.col("chain_id").alias("_mc"), F.lower(F.col("address")).alias("_ma"),
+    # Pool metadata (J2): reduced to one row per (chain, pool), size-checked broadcast.
+    meta = bounded_broadcast(first_copy(pool_meta.select(
+        F.col("chain_id").alias("_mc"), H.address_key(F.col("address")).alias("_ma"),
         F.struct("token0", "token1", F.col("fee").cast("bigint").alias("fee"),
-                 F.col("tick_spacing").cast("int").alias("tick_spacing")).alias("_meta")))
-    base = base.join(meta, (base["chain_id"] == meta["_mc"]) & (F.lower(base["address"]) == meta["_ma"]),
+                 F.col("tick_spacing").cast("int").alias("tick_spacing")).alias("_meta")), ["_mc", "_ma"], [F.col("_meta")]))
+    base = base.join(meta, (base["chain_id"] == meta["_mc"]) & (H.address_key(base["address"]) == meta["_ma"]),
                      "left").drop("_mc", "_ma")
 
     name = F.col("event_name")
@@ -212,13 +214,16 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
     staged = staged.withColumn("outcome", outcome)
 
     # Integer words -> exact text (signed only where the field is int256).
+    # Only words that hold an integer of the row's event are sent.
+    integer_events = {i: [e.name for e in EVENTS.values() if i < len(e.data) and e.data[i][1] not in ("address", "int24")]
+                      for i in range(MAX_WORDS)}
     signed_events = {i: [e.name for e in EVENTS.values() if i < len(e.data) and e.data[i][1] == "int256"]
                      for i in range(MAX_WORDS)}
     decoded_row = F.col("outcome") == OUTCOME_DECODED
     words, signs, outs = [], [], []
     for i in range(MAX_WORDS):
         ev = signed_events[i]
-        words.append(F.when(decoded_row, F.lower(F.col(f"_w{i}"))))
+        words.append(F.when(decoded_row & name.isin(*integer_events[i]), F.lower(F.col(f"_w{i}"))))
         signs.append(name.isin(*ev) if ev else F.lit(False))
         outs.append(f"_n{i}")
     for c in positions.values():
@@ -287,10 +292,12 @@ def _attach_live(df: DataFrame, pool_live: DataFrame | None, bucket_size: int) -
             *[F.col(f"_meta.{c}") for c in ("token0", "token1", "fee", "tick_spacing")], *live_null))
         ).drop("_meta")
     live = pool_live.select(
-        "chain_id", F.lower(F.col("address")).alias("address"), "block_number",
+        "chain_id", H.address_key(F.col("address")).alias("address"), "block_number",
         F.col("liquidity"), F.struct("sqrt_price_x96", F.col("tick").cast("int").alias("tick")).alias("slot0"))
-    d = df.withColumn("_pool", F.lower(F.col("address")))
-    j = asof_join(d, live, ["chain_id", "_pool"], ["chain_id", "address"], "block_number", "block_number",
+    # Only decoded rows have a position, so only they are looked up.
+    d = df.withColumn("_pool", H.address_key(F.col("address"))).withColumn(
+        "_at", F.when(F.col("outcome") == OUTCOME_DECODED, F.col("block_number")))
+    j = asof_join(d, live, ["chain_id", "_pool"], ["chain_id", "address"], "_at", "block_number",
                   ["liquidity", "slot0"], prefix="_lv_", bucket_size=bucket_size, with_latest=True)
     latest = F.col("block_number") == 0
     liq = F.when(latest, F.col("_lv_latest_liquidity")).otherwise(F.col("_lv_liquidity"))
@@ -321,7 +328,8 @@ def decode_errors(decoded: DataFrame) -> DataFrame:
 
 
 def decode_counters(decoded: DataFrame) -> DataFrame:
-    """total / decoded / skipped / failed as (counter, value) rows."""
+    """total / decoded / skipped / failed as (counter, value) rows (P14), in one pass."""
     c = decoded.groupBy("outcome").agg(F.count(F.lit(1)).alias("value"))
-    total = decoded.agg(F.lit("total").alias("counter"), F.count(F.lit(1)).alias("value"))
-    return c.select(F.col("outcome").alias("counter"), "value").unionByName(total)
+    # Grouping sets over at most three rows: each outcome, and all of them.
+    total = c.rollup("outcome").agg(F.sum("value").alias("value"))
+    return total.select(F.coalesce("outcome", F.lit("total")).alias("counter"), F.coalesce("value", F.lit(0)).alias("value"))

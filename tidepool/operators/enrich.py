@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import bigint as B
-from tidepool.functions.hexcodec import is_hex_address
+from tidepool.functions.hexcodec import address_key, is_hex_address
 from tidepool.functions.ratios import fee_rates
 from tidepool.operators.asof import asof_join
 from tidepool.operators.aggregate import drop_missing_meta
+from tidepool.operators.ingest import first_copy
 from tidepool.plans.joins import bounded_broadcast
 from tidepool.session import cut_lineage
 
@@ -30,15 +31,18 @@ def attach_decimals(windows: DataFrame, tokens: DataFrame) -> DataFrame:
 
     A token without a row, or with an invalid address, gets decimals 0, i.e.
     raw integer amounts, as in the reference; ``decimals_known`` tells the
-    two cases apart (Q5).
+    two cases apart (Q5).  A token that repeats counts once (the most decimals).
     """
-    dim = bounded_broadcast(tokens.select("chain_id", "address", "decimals"))
+    one = first_copy(tokens.select("chain_id", address_key(F.col("address")).alias("address"),
+                                   F.col("decimals").cast("int").alias("decimals")),
+                     ["chain_id", "address"], [F.col("decimals").desc()])
+    dim = bounded_broadcast(one)
     out = windows
     for side in ("0", "1"):
-        t = dim.select(F.col("chain_id").alias(f"_tc{side}"), F.lower(F.col("address")).alias(f"_ta{side}"),
-                       F.col("decimals").cast("int").alias(f"_td{side}"))
+        t = dim.select(F.col("chain_id").alias(f"_tc{side}"), F.col("address").alias(f"_ta{side}"),
+                       F.col("decimals").alias(f"_td{side}"))
         tok = F.col(f"token{side}")
-        j = out.join(t, (F.col("chain_id") == F.col(f"_tc{side}")) & (F.lower(tok) == F.col(f"_ta{side}")), "left")
+        j = out.join(t, (F.col("chain_id") == F.col(f"_tc{side}")) & (address_key(tok) == F.col(f"_ta{side}")), "left")
         known = is_hex_address(tok) & F.col(f"_td{side}").isNotNull()
         out = j.select(*[F.col(c) for c in out.columns],
                        F.when(known, F.col(f"_td{side}")).otherwise(F.lit(0)).alias(f"decimals{side}"),
@@ -47,11 +51,9 @@ def attach_decimals(windows: DataFrame, tokens: DataFrame) -> DataFrame:
             .drop("_known0", "_known1"))
 
 
-def format_raw(raw, decimals) -> Column:
-    """M1 on unsigned raw digit text (column names, or Columns)."""
-    if isinstance(raw, str) and isinstance(decimals, str):
-        return F.expr(B.sql_format_units(raw, decimals))
-    return B.format_units(raw, F.lit(False), decimals)
+def format_raw(raw: str, decimals: str) -> Column:
+    """M1 on unsigned raw digit text (column names)."""
+    return F.expr(B.sql_format_units(raw, decimals))
 
 
 def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_000) -> DataFrame:
@@ -62,23 +64,22 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     Adds tvl0_raw, tvl1_raw, tvl_method.
     """
     bal = balances.select(
-        "chain_id", F.lower(F.col("token")).alias("token"), F.lower(F.col("owner")).alias("owner"),
+        "chain_id", address_key(F.col("token")).alias("token"), address_key(F.col("owner")).alias("owner"),
         "block_number", "balance")
-    # One as-of pass for both tokens: two rows per window (side 0 / side 1).
+    # One as-of pass for both tokens: two rows per window (side 0 / side 1), put
+    # back into one row and joined to the windows once.
     key = ["chain_id", "pool_address", "window_start"]
-    sides = windows.select(*key, "last_block", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.lower(F.col("token0")).alias("token")),
-        F.struct(F.lit(1).alias("side"), F.lower(F.col("token1")).alias("token")))).alias("_s"))
-    sides = sides.select(*key, "last_block", "_s.side", "_s.token")
-    found = asof_join(sides, bal, ["chain_id", "token", "pool_address"], ["chain_id", "token", "owner"],
+    sides = windows.select(*key, "last_block", address_key(F.col("pool_address")).alias("owner"), F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), address_key(F.col("token0")).alias("token")),
+        F.struct(F.lit(1).alias("side"), address_key(F.col("token1")).alias("token")))).alias("_s"))
+    sides = sides.select(*key, "last_block", "owner", "_s.side", "_s.token")
+    found = asof_join(sides, bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
                       "last_block", "block_number", ["balance"], prefix="_b_",
                       bucket_size=bucket_size, with_latest=True)
-    w = windows
-    for side in ("0", "1"):
-        f = found.where(F.col("side") == int(side)).select(
-            *key, F.col("_b_balance").alias(f"_b{side}_balance"),
-            F.col("_b_latest_balance").alias(f"_b{side}_latest_balance"))
-        w = w.join(f, key, "left")
+    both = found.groupBy(*key).agg(*[
+        F.max(F.when(F.col("side") == side, F.col(f"_b_{c}"))).alias(f"_b{side}_{c}")
+        for side in (0, 1) for c in ("balance", "latest_balance")])
+    w = windows.join(both, key, "left")
     valid = (is_hex_address(F.col("token0")) & is_hex_address(F.col("token1"))
              & is_hex_address(F.col("pool_address")) & (F.col("last_block") > 0))
     at_block = valid & F.col("_b0_balance").isNotNull() & F.col("_b1_balance").isNotNull()
@@ -88,14 +89,14 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     tvl1 = F.when(at_block, F.col("_b1_balance")).when(latest, F.col("_b1_latest_balance"))
     keep = [c for c in windows.columns]
     picked = w.select(*keep, tvl0.alias("_tv0"), tvl1.alias("_tv1"), method.alias("tvl_method"))
-    return picked.select(*keep, _canon(F.col("_tv0")).alias("tvl0_raw"),
-                         _canon(F.col("_tv1")).alias("tvl1_raw"), "tvl_method")
+    return picked.select(*keep, _canon("_tv0").alias("tvl0_raw"),
+                         _canon("_tv1").alias("tvl1_raw"), "tvl_method")
 
 
-def _canon(text: Column) -> Column:
+def _canon(text: str) -> Column:
     """Balance text -> canonical digits (no sign, no leading zeros, "0" for 0)."""
-    digits, _, ok = B.decimal_parts(text)
-    return F.when(text.isNotNull() & ok, F.when(digits == "", F.lit("0")).otherwise(digits))
+    digits, _, ok = B.sql_decimal_parts(text)
+    return F.expr(f"CASE WHEN {text} IS NOT NULL AND {ok} THEN CASE WHEN {digits} = '' THEN '0' ELSE {digits} END END")
 
 
 def metrics_row(w: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Raw-log ingest: range plans, scan filters, normalisation, dedup, block times.
 
-S1, S13, P1-P4, P12, P16, D1, J1.  Filters are plain predicates on the scan
-so that Catalyst pushes them into the Parquet reader (block range, address
-IN-list) and partition pruning applies when the landing folder is laid out
-by chain / block bucket.
+S1, S13, P1-P4, P12, P16, D1, J1.  The log table that the ingest job writes holds
+lower-case hex text, ``topic0`` as a column and a ``block_bucket`` partition
+column, so there the block range, address and topic0 filters reach the Parquet
+reader and whole buckets are pruned.  Logs from elsewhere are filtered by the
+same rules on normalised values.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.hexcodec import ADDRESS_RE, TOPIC_RE
+from tidepool.functions.bigint import idiv
+from tidepool.functions.hexcodec import ADDRESS_RE, TOPIC_RE, address_key
 from tidepool.plans.joins import bounded_broadcast
 
 LOG_KEY = ["chain_id", "block_number", "tx_hash", "log_index"]
+# Copies of one log are told apart by these columns; the smallest is kept.
+LOG_ORDER = ["removed", "block_hash", "tx_index", "address", "topics", "data", "timestamp"]
 # IN-lists longer than this become a broadcast semi join instead of a literal list.
 MAX_INLIST = 1_000
 
@@ -46,7 +50,7 @@ def parse_addresses(values: list[str]) -> list[str]:
         v = (v or "").strip()
         if not v:
             continue
-        if not re.match(ADDRESS_RE, v):
+        if not re.fullmatch(ADDRESS_RE, v):
             raise ValueError(f"invalid address: {v}")
         out.append("0x" + v[-40:].lower())
     return out
@@ -59,7 +63,7 @@ def parse_topic0(values: list[str]) -> list[str]:
         v = (v or "").strip()
         if not v:
             continue
-        if not re.match(TOPIC_RE, v):
+        if not re.fullmatch(TOPIC_RE, v):
             raise ValueError(f"invalid topic0: {v}")
         out.append(v.lower())
     return out
@@ -73,36 +77,35 @@ def _member(c: Column, values: list[str], spark: SparkSession, name: str):
 
 
 def scan_logs(logs: DataFrame, from_block: int | Column, to_block: int | Column,
-              addresses: list[str], topic0: list[str] | None = None) -> DataFrame:
+              addresses: list[str], topic0: list[str] | None = None, block_batch: int | None = None) -> DataFrame:
     """Inclusive block range, mandatory address list, optional topic0 list.
 
-    topic0 matches position 0 only; an empty list means any.  ``get`` keeps an
-    empty topic array from raising under ANSI mode.
+    topic0 matches position 0 only; an empty list means any.  On a table with
+    a ``topic0`` column (written by the ingest job) the filters are plain
+    predicates on stored columns; with its ``block_bucket`` column and the
+    ``block_batch`` it was written with, the range also selects partitions.
     """
     addrs = parse_addresses(addresses)
     if not addrs:
         raise ValueError("at least one address is required")
     topics = parse_topic0(topic0 or [])
-    spark = logs.sparkSession
+    spark, landed = logs.sparkSession, "topic0" in logs.columns
     lo = from_block if isinstance(from_block, Column) else F.lit(int(from_block))
-    if isinstance(to_block, Column):
-        out = logs.where(F.col("block_number").between(lo, to_block))
-    elif to_block:
-        out = logs.where(F.col("block_number").between(lo, F.lit(int(to_block))))
-    else:  # to = 0: up to the latest block present (S13)
-        out = logs.where(F.col("block_number") >= lo)
-    pred, table = _member(F.lower(F.col("address")), addrs, spark, "_addr")
-    if pred is not None:
-        out = out.where(pred)
-    else:
-        out = out.join(bounded_broadcast(table), F.lower(out["address"]) == table["_addr"], "left_semi")
-    if topics:
-        t0 = F.lower(F.get(F.col("topics"), 0))
-        pred, table = _member(t0, topics, spark, "_t0")
-        if pred is not None:
-            out = out.where(pred)
-        else:
-            out = out.join(bounded_broadcast(table), t0 == table["_t0"], "left_semi")
+    hi = to_block if isinstance(to_block, Column) else F.lit(int(to_block)) if to_block else None
+    out = logs.where(F.col("block_number") >= lo)
+    if hi is not None:      # to = 0: up to the latest block present (S13)
+        out = out.where(F.col("block_number") <= hi)
+    if block_batch and "block_bucket" in logs.columns:
+        out = out.where(F.col("block_bucket") >= idiv(lo, block_batch))
+        if hi is not None:
+            out = out.where(F.col("block_bucket") <= idiv(hi, block_batch))
+    wanted = [(F.col("address") if landed else address_key(F.col("address")), addrs, "_addr")]
+    if topics:      # ``get`` keeps an empty topic array from raising under ANSI mode
+        wanted.append((F.col("topic0") if landed else F.lower(F.get(F.col("topics"), 0)), topics, "_t0"))
+    for column, values, name in wanted:
+        pred, table = _member(column, values, spark, name)
+        out = out.where(pred) if pred is not None else out.join(
+            bounded_broadcast(table), column == table[name], "left_semi")
     return out
 
 
@@ -132,37 +135,44 @@ def drop_removed(logs: DataFrame, enabled: bool = False) -> DataFrame:
     return logs.where(~F.coalesce(F.col("removed"), F.lit(False))) if enabled else logs
 
 
+def first_copy(rows: DataFrame, key: list[str], order_by: list[Column]) -> DataFrame:
+    """One row per key: the first in a total order, so the survivor does not depend on the shuffle."""
+    if not order_by:        # nothing but the key: copies are equal
+        return rows.dropDuplicates(key)
+    w = Window.partitionBy(*key).orderBy(*order_by)
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def dedup_logs(logs: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
     """One row per (chain, block, tx, log index).
 
-    Without ``order_by`` the copies are taken to be identical and
-    ``dropDuplicates`` keeps any of them (hash aggregate with map-side
-    combine).  With ``order_by`` the first copy in that total order wins,
-    via ``row_number`` over the log key.  Either way the shuffle is hashed on
-    the full log key, so a hot pool or block does not land in one task.
+    Copies that differ are ordered by ``order_by`` (default: LOG_ORDER, so an
+    unremoved copy wins) and the first is kept.  The shuffle is hashed on the
+    full log key, so a hot pool or block does not land in one task, and a
+    window sees only the copies of one log.
     """
-    if order_by is None:
-        return logs.dropDuplicates(LOG_KEY)
-    w = Window.partitionBy(*LOG_KEY).orderBy(*order_by)
-    return logs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return first_copy(logs, LOG_KEY, order_by or [F.col(c) for c in LOG_ORDER if c in logs.columns])
+
 
+def new_logs(logs: DataFrame, written: DataFrame) -> DataFrame:
+    """The logs whose key is not in ``written`` yet: appending them twice adds nothing."""
+    return logs.join(written.select(*LOG_KEY), LOG_KEY, "left_anti")
 
-def attach_block_time(logs: DataFrame, blocks: DataFrame) -> DataFrame:
+
+def attach_block_time(logs: DataFrame, blocks: DataFrame, require: bool = False) -> DataFrame:
     """Set ``timestamp`` from the block-header table.
 
     A log whose block has no header keeps a NULL timestamp and
-    ``block_time_missing`` = true; the reference aborts the run in that case,
-    ``require_block_times`` does the same on demand.  The join is an equi
-    join on (chain, block): shuffled, never broadcast, as the header table
-    grows with the chain.
+    ``block_time_missing`` = true; with ``require`` it fails the job, as the
+    reference aborts.  A repeated header (the smallest timestamp stands) does
+    not repeat logs.  The join is an equi join on (chain, block): shuffled,
+    never broadcast, as the header table grows with the chain; the reduction
+    to one header per block uses the same partitioning.
     """
-    b = blocks.select("chain_id", "block_number", F.col("timestamp").alias("_bt"))
+    b = blocks.groupBy("chain_id", "block_number").agg(F.min("timestamp").alias("_bt"))
     j = logs.drop("timestamp").join(b, ["chain_id", "block_number"], "left")
-    return j.withColumn("timestamp", F.col("_bt")).withColumn(
-        "block_time_missing", F.col("_bt").isNull()).drop("_bt")
-
-
-def require_block_times(logs: DataFrame) -> DataFrame:
-    """Fail the job when any log lacks a block time (reference behaviour)."""
-    return logs.withColumn("_check", F.assert_true(
-        ~F.col("block_time_missing"), F.lit("block timestamp lookup failed"))).drop("_check")
+    found = F.col("_bt")
+    if require:     # the check is part of a column that is kept, so the optimizer cannot drop it
+        found = F.coalesce(found, F.raise_error(F.concat(
+            F.lit("block timestamp lookup failed: "), F.col("block_number").cast("string"))).cast("bigint"))
+    return j.withColumn("timestamp", found).withColumn("block_time_missing", F.col("_bt").isNull()).drop("_bt")

@@ -49,13 +49,23 @@ def read_latest(spark, path: str, key: list[str]) -> DataFrame:
 
 def check_table(df: DataFrame, key: list[str], not_null: list[str]) -> DataFrame:
     """Schema contract check (S10): rows breaking NOT NULL, and duplicated keys."""
-    nulls = df.where(F.greatest(*[F.col(c).isNull() for c in not_null])).select(
+    broken = F.lit(False)
+    for c in not_null:
+        broken = broken | F.col(c).isNull()
+    nulls = df.where(broken).select(
         F.lit("null").alias("problem"), F.to_json(F.struct(*key)).alias("key"))
     dups = (df.groupBy(*key).count().where(F.col("count") > 1)
             .select(F.lit("duplicate key").alias("problem"), F.to_json(F.struct(*key)).alias("key")))
     return nulls.unionByName(dups)
 
 
+def require_contract(df: DataFrame, key: list[str], not_null: list[str], table: str) -> None:
+    """Fail before anything is written when rows break the table's contract."""
+    problems = check_table(df, key, not_null).limit(5).collect()
+    if problems:
+        raise ValueError(f"{table}: " + "; ".join(f"{p.problem} {p.key}" for p in problems))
+
+
 def state_row(spark, name: str, last_ts, previous: int | None = None, force: bool = False) -> DataFrame:
     """pipeline_state row (S9); never moves backwards unless forced (Q13)."""
     if not name:

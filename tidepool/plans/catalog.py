@@ -207,14 +207,14 @@ SCAN_TOPICS = ("Swap", "Mint")
 
 
 def log_scan_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = I.normalize_logs(X.raw_logs(spark, sf_dir))
+    logs = I.normalize_logs(X.raw_logs(spark, sf_dir)).withColumn("topic0", F.get(F.col("topics"), 0))
     latest = logs.agg(F.max("block_number").alias("m")).first()["m"]
     start = I.resume_from(1, latest // 4)
     addrs = ["0x" + format(p, "x").rjust(40, "0") for p in range(SCAN_POOLS)]
     topics = [D.EVENTS[n].topic0 for n in SCAN_TOPICS]
     s = I.scan_logs(logs, start, 0, addrs, topics)
     return s.select("chain_id", "block_number", "tx_hash", "log_index", "address",
-                    F.get(F.col("topics"), 0).alias("topic0"), F.size("topics").cast("bigint").alias("n_topics"))
+                    "topic0", F.size("topics").cast("bigint").alias("n_topics"))
 
 
 _LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -256,7 +256,58 @@ def live_meta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("pool_meta.slot0.tick").alias("tick"))
 
 
+def window_mixed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of events whose metadata differs in spelling or is missing."""
+    w = A.drop_missing_meta(A.window_aggregate(X.typed_events_mixed_meta(spark, sf_dir), DAY))
+    return w.select("chain_id", "pool_address", "window_start", "token0", "token1", "fee", "swap_count", "volume0_raw",
+                    "volume1_raw", "fee0_raw", "fee1_raw", "first_block", "last_block", "n_events")
+
+
+def wide_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of more than 80 digits add up exactly with plain ones."""
+    w = A.window_aggregate(X.typed_events_wide(spark, sf_dir), DAY)
+    return w.select("pool_address", "window_start", "swap_count", "volume0_raw", "volume1_raw", "fee0_raw", "fee1_raw")
+
+
+def dedup_removed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies that differ: the unremoved one, then the smallest, whatever the input order."""
+    return I.dedup_logs(X.removed_logs_from_lineitem(spark, sf_dir)).select(
+        "chain_id", "block_number", "log_index", "removed", "block_hash", "data")
+
+
+def dup_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated block headers and a log table: every log once, with the smallest time."""
+    b = X.blocks_from_orders(spark, sf_dir)
+    twice = b.unionByName(b.withColumn("timestamp", F.col("timestamp") + 100))
+    logs = I.attach_block_time(X.raw_logs(spark, sf_dir), twice)
+    return logs.select("chain_id", "block_number", "log_index", "timestamp", "block_time_missing")
+
+
+def dup_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A token dimension that repeats tokens does not repeat windows."""
+    t = X.tokens(spark, sf_dir)
+    twice = t.unionByName(t.withColumn("decimals", F.lit(0).cast("short")))
+    return _swap_metrics(A.window_aggregate(X.typed_events(spark, sf_dir), DAY), twice)
+
+
+def open_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.open_window_state(A.window_aggregate(X.typed_events(spark, sf_dir), DAY))
+
+
+def run_counters_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a resumed run over events with unreadable swaps."""
+    start = A.align_start(_resume_point(X.typed_events(spark, sf_dir)), DAY)
+    return A.run_counters(X.typed_events_bad_amounts(spark, sf_dir), DAY, start)
+
+
 QUERIES.update({
+    "window_mixed_meta": window_mixed_meta,
+    "wide_amounts": wide_amounts,
+    "dedup_removed_logs": dedup_removed_logs,
+    "dup_snapshots": dup_snapshots,
+    "dup_tokens": dup_tokens,
+    "open_window_state": open_window_state,
+    "run_counters_bad": run_counters_bad,
     "window_block_bounds": window_block_bounds,
     "pool_registry": pool_registry,
     "fee_floor_per_swap": fee_floor_per_swap,
@@ -275,6 +326,13 @@ QUERIES.update({
     "live_meta_asof": live_meta_asof,
 })
 ORACLES.update({
+    "window_mixed_meta": O.window_mixed_meta(),
+    "wide_amounts": O.wide_amounts(),
+    "dedup_removed_logs": O.dedup_removed_logs(),
+    "dup_snapshots": O.log_with_timestamp(),
+    "dup_tokens": O.window_swap_metrics(DAY),
+    "open_window_state": O.open_window_state(),
+    "run_counters_bad": O.run_counters_bad(),
     "window_block_bounds": O.window_block_bounds(),
     "pool_registry": O.pool_registry(),
     "fee_floor_per_swap": O.fee_floor_per_swap(),
@@ -297,28 +355,52 @@ ORACLES.update({
 # ---------------------------------------------------------------------------
 # Structured Streaming.
 
-STREAM_FILES = 4
+STREAM_SLICES = 2
 
 
-def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw logs landed as time-ordered files, consumed one file per micro-batch
-    by the streaming job; the keyed table then equals the batch result (W1-W3, W8)."""
+def _stream(spark: SparkSession, sf_dir: str) -> str:
+    """Raw logs landed as time-ordered slices, each consumed before the next one lands; the work folder."""
     import uuid
 
     from tidepool.session import checkpoint_subdir
     from tidepool.streaming import stream as ST
 
-    work = checkpoint_subdir(spark, "stream-demo", uuid.uuid4().hex)
-    src = f"{work}/landing"
+    work = checkpoint_subdir(spark, f"stream-demo-{uuid.uuid4().hex}")
     logs = X.raw_logs(spark, sf_dir)
     lo, hi = logs.agg(F.min("block_number"), F.max("block_number")).first()
-    step = (hi - lo) // STREAM_FILES + 1
-    for i in range(STREAM_FILES):      # files arrive one after another, in block order
+    step = (hi - lo) // STREAM_SLICES + 1
+    meta, tokens, bal = X.pool_meta(spark, sf_dir), X.tokens(spark, sf_dir), X.balances(spark, sf_dir)
+    for i in range(STREAM_SLICES):
         part = logs.where(F.col("block_number").between(lo + i * step, lo + (i + 1) * step - 1))
-        ST.append_file(part, src)
-    return ST.run_once(spark, src, X.pool_meta(spark, sf_dir), X.tokens(spark, sf_dir),
-                       X.balances(spark, sf_dir), work, DAY, lateness="1 day", max_files_per_trigger=1)
+        ST.append_files(part, f"{work}/landing")
+        ST.run_once(spark, f"{work}/landing", meta, tokens, bal, work, DAY, lateness="1 day")
+    return work
+
+
+def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job's keyed table equals the batch result."""
+    from tidepool.streaming import stream as ST
+    return ST.read_stream_metrics(spark, _stream(spark, sf_dir) + "/metrics")
+
+
+def stream_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job's pool registry, merged over its micro-batches."""
+    pools = U.merge_pools(spark.read.parquet(_stream(spark, sf_dir) + "/pools"))
+    return pools.select("chain_id", "pool_address", "token0", "token1", "fee", "tick_spacing", "first_seen_block")
+
+
+def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of the streaming job over damaged logs."""
+    import uuid
+
+    from tidepool.session import checkpoint_subdir
+    from tidepool.streaming import stream as ST
+    work = checkpoint_subdir(spark, f"stream-errors-{uuid.uuid4().hex}")
+    ST.append_files(X.raw_logs(spark, sf_dir, faults=True), f"{work}/landing")
+    return ST.run_errors_once(spark, f"{work}/landing", X.pool_meta(spark, sf_dir), work)
 
 
-QUERIES["stream_window_metrics"] = stream_window_metrics
-ORACLES["stream_window_metrics"] = O.window_metrics_full(DAY)
+QUERIES.update({"stream_window_metrics": stream_window_metrics, "stream_pools": stream_pools,
+                "stream_errors": stream_errors})
+ORACLES.update({"stream_window_metrics": O.window_metrics_full(DAY), "stream_pools": O.pool_registry(DAY),
+                "stream_errors": O.decode_errors()})

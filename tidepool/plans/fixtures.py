@@ -31,29 +31,14 @@ Q96 = 2 ** 96
 Q64 = 2 ** 64
 
 
-_SPREAD: dict = {}
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The named columns of a driver table.
 
-
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cluster's cores when the scan yields fewer splits.
-
-    A small file holding one Parquet row group is read by a single task; the
-    per-row work after it would then use one core.  Such a table is
-    repartitioned once per session and kept in memory (it is small by
-    construction), so the adapters that all start from it do not each pay a
-    scan and a shuffle.  On large inputs the scan already has more splits
-    than cores and the table is returned untouched.
+    A table of one split (one row group) would run all per-row work in one
+    task; its selected columns are dealt out over the cores.  Nothing is cached.
     """
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key in _SPREAD:
-        return _SPREAD[key]
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores).cache()
-        _SPREAD[key] = df
-    return df
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    return df.repartition(spark.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
 
 def hex_address(n: Column) -> Column:
@@ -76,7 +61,7 @@ def _kind(event_type: Column) -> Column:
 
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain per-event values shared by adapters E and R."""
-    ev = read_driver_table(spark, sf_dir, "events")
+    ev = read_driver_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     pool = F.col("user_id") % N_POOLS
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     odd = F.col("event_id") % 2 == 1
@@ -156,7 +141,7 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct fixture pools present in the events table."""
-    ev = read_driver_table(spark, sf_dir, "events")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     return ev.select((F.col("user_id") % N_POOLS).alias("pool")).distinct()
 
 
@@ -190,7 +175,7 @@ def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     with pool % 10 = 2 keep only a snapshot at their last event block; pools
     with pool % 11 = 3 have none.  balance = 10^15 * (side + 1) + block * m.
     """
-    ev = read_driver_table(spark, sf_dir, "events")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     b = ev.select((F.col("user_id") % N_POOLS).alias("pool"), (F.col("event_id") + 1).alias("block_number"),
                   "event_type")
     b = b.where(F.col("pool") % 11 != NO_BALANCE_POOL_MOD11)
@@ -323,6 +308,52 @@ def typed_events_bad_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return te.withColumn("decoded", F.when(swap & (f == 18), F.lit(None)).otherwise(new))
 
 
+OTHER_CHAIN_ID = 57
+
+
+def typed_events_mixed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter E with events that disagree about their pool: every 5th spells its
+    tokens in capitals, every 7th has no metadata, every 11th is on another
+    chain, every 13th has timestamp 0, every 17th block 0."""
+    te = typed_events(spark, sf_dir)
+    n = F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")
+    m = F.col("pool_meta")
+    upper = lambda c: F.when(n % 5 == 0, F.concat(F.lit("0x"), F.upper(c.substr(3, 40)))).otherwise(c)
+    named = m.withField("token0", F.when(m["token0"] == "", "").otherwise(upper(m["token0"]))) \
+        .withField("token1", upper(m["token1"]))
+    blank = m.withField("token0", F.lit("")).withField("token1", F.lit("")).withField("fee", F.lit(0).cast("bigint")) \
+        .withField("tick_spacing", F.lit(0))
+    return te.select(
+        F.when(n % 11 == 0, F.lit(OTHER_CHAIN_ID)).otherwise(F.col("chain_id")).cast("bigint").alias("chain_id"),
+        F.when(n % 17 == 0, F.lit(0)).otherwise(F.col("block_number")).cast("bigint").alias("block_number"),
+        "block_hash", "tx_hash", "log_index", "address", "event_name",
+        F.when(n % 13 == 0, F.lit(0)).otherwise(F.col("timestamp")).cast("bigint").alias("timestamp"),
+        "decoded", F.when(n % 7 == 0, blank).otherwise(named).alias("pool_meta"), "raw")
+
+
+WIDE_ZEROS = 90              # a wide amount is the plain one's cents followed by so many zeros
+
+
+def typed_events_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter E where every third swap moves cents * 10^90 of token0 (over 80 digits)."""
+    te = typed_events(spark, sf_dir)
+    n = F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")
+    a0 = F.col("decoded.amount0")
+    cents = F.regexp_replace(a0, "000000$", "")
+    wide = F.when(cents.isin("0", "-0"), F.lit("0")).otherwise(F.concat(cents, F.lit("0" * WIDE_ZEROS)))
+    return te.withColumn("decoded", F.when(
+        (F.col("event_name") == "Swap") & (n % 3 == 0), F.col("decoded").withField("amount0", wide))
+        .otherwise(F.col("decoded")))
+
+
+def removed_logs_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of log keys that differ in ``removed``, block hash and data."""
+    return logs_from_lineitem(spark, sf_dir).select(
+        "chain_id", "block_number", "tx_hash", "log_index", (F.col("l_linestatus") == "F").alias("removed"),
+        F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("l_partkey")), 64, "0")).alias("block_hash"),
+        F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("l_suppkey")), 64, "0")).alias("data"))
+
+
 LIVE_TYPES = ("click",)      # event types whose blocks carry a pool_live snapshot
 NO_LIVE_POOL_MOD4 = 1        # pools with pool % 4 = 1 have no live snapshots
 
@@ -339,7 +370,7 @@ def pool_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block headers: block o_orderkey * 2 at the order date (odd blocks have none)."""
-    o = read_driver_table(spark, sf_dir, "orders")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return o.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
                     (F.col("o_orderkey") * 2).alias("block_number"),
                     F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("timestamp"))
@@ -347,7 +378,7 @@ def blocks_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logs_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log keys from lineitem: (orderkey, linenumber) repeats, so copies exist."""
-    li = read_driver_table(spark, sf_dir, "lineitem")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return li.select(F.lit(CHAIN_ID).cast("bigint").alias("chain_id"),
                      F.col("l_orderkey").alias("block_number"),
                      F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("l_orderkey")), 64, "0")).alias("tx_hash"),
@@ -362,7 +393,7 @@ def token_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw token call results derived from part: decimals word p_size * 7;
     symbol as string (even partkey) else bytes32 of p_brand; name as string
     p_type (partkey % 3 = 1), bytes32 p_name (% 3 = 2), none (% 3 = 0)."""
-    p = read_driver_table(spark, sf_dir, "part")
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
     k = F.col("p_partkey")
 
     def b32(c):

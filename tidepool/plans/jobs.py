@@ -2,7 +2,8 @@
 
 Each job reads tables, runs the operators and writes keyed outputs; progress
 state is a small versioned table written last, so a job that dies midway is
-simply re-run (writes are keyed and versioned, hence idempotent).
+simply re-run: the log append adds only logs whose key is not there yet, and
+keyed tables are versions that a replay rewrites.
 """
 
 from __future__ import annotations
@@ -42,10 +43,13 @@ def load_state(spark: SparkSession, state_path: str, name: str) -> int | None:
 
 
 def _next_batch(spark: SparkSession, path: str) -> int:
+    """One past the highest version; the versions are listed from the folders, not read."""
     if not _exists(spark, path):
         return 1
-    r = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    return int(r or 0) + 1
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return max((int(n.split("=")[1]) for n in names if n.startswith("batch_id=")), default=0) + 1
 
 
 def ingest_job(spark: SparkSession, landing: str, out_path: str, blocks: DataFrame, addresses: list[str],
@@ -55,8 +59,12 @@ def ingest_job(spark: SparkSession, landing: str, out_path: str, blocks: DataFra
     """Fetch step as one job (W8): scan filters, resume, dedup, block times, append.
 
     Output is partitioned by (chain_id, block_bucket) with bucket =
-    block div ``block_batch`` (the reference's range plan, P1), which later
-    scans prune on.  Returns the new checkpoint (highest block written).
+    block div ``block_batch`` (the reference's range plan, P1), holds
+    ``topic0`` as a column, and is what ``scan_logs`` prunes and pushes down
+    on.  A log without a block header fails the job before anything is
+    written.  Only logs that the output's buckets of this range do not hold
+    yet are appended, so a run repeated after a crash adds nothing twice.
+    Returns the new checkpoint (highest block written).
     """
     name = "indexer:blocks"
     last = load_state(spark, state_path, name) if state_path else None
@@ -65,13 +73,20 @@ def ingest_job(spark: SparkSession, landing: str, out_path: str, blocks: DataFra
         return last                     # nothing to do (P12)
     logs = L.read_raw_logs(spark, landing, fmt)
     logs = I.scan_logs(logs, start, to_block, addresses, topic0)
-    logs = I.dedup_logs(logs)
-    logs = I.require_block_times(I.attach_block_time(logs, blocks)).drop("block_time_missing")
-    logs = I.normalize_logs(logs).withColumn("block_bucket", idiv(F.col("block_number"), block_batch))
+    logs = I.dedup_logs(I.normalize_logs(logs))
+    logs = I.attach_block_time(logs, blocks, require=True).drop("block_time_missing")
+    logs = logs.select(*S.RAW_LOG.fieldNames(), F.get(F.col("topics"), 0).alias("topic0"),
+                       idiv(F.col("block_number"), block_batch).alias("block_bucket"))
     logs = logs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        K.append_logs(logs, out_path, partition_by=("chain_id", "block_bucket"))
         top = logs.agg(F.max("block_number")).first()[0]
+        if top is not None:
+            fresh = logs
+            if _exists(spark, out_path):
+                there = spark.read.parquet(out_path).where(
+                    F.col("block_bucket").between(start // block_batch, int(top) // block_batch))
+                fresh = I.new_logs(logs, there)
+            K.append_logs(fresh, out_path, partition_by=("chain_id", "block_bucket"))
     finally:
         logs.unpersist()
     if state_path and top is not None:
@@ -88,14 +103,18 @@ def decode_job(spark: SparkSession, logs: DataFrame, pool_meta: DataFrame, event
 
 def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, balances: DataFrame,
                   out_dir: str, window_seconds: int, recompute_from: int | None = None,
-                  batch_id: int | None = None) -> dict:
-    """Aggregate step with incremental state.
+                  batch_id: int | None = None, dedup: bool = True, force_state: bool = False) -> dict:
+    """Aggregate step with incremental state.
 
     State name ``aggregator:<w>`` (one per window width).  A run resumes at
     the start of the window holding the first unprocessed second, so a
     window cut by the previous run is recomputed whole; ``recompute_from``
-    overrides the state (inclusive, aligned down).  Writes pools, then
-    metrics, then state, as keyed versions under ``out_dir``.
+    overrides the start (inclusive, aligned down).  The state only moves back
+    with ``force_state``.  Repeated logs count once unless ``dedup`` is off.
+    ``events`` may hold unreadable lines (``_parse_error``); they count as
+    failed.  Checks pools and metrics against their contracts, then writes
+    pools, metrics and state, as keyed versions under ``out_dir``.  Returns
+    the batch id, start, state and the run's counters.
     """
     w = int(window_seconds)
     name = f"aggregator:{w}"
@@ -107,20 +126,29 @@ def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, bal
         start = A.align_start(previous, w)
     else:
         start = 0
-    windows = A.window_aggregate(events, w, start).persist(StorageLevel.MEMORY_AND_DISK)
+    counters = {r.counter: r.value for r in A.run_counters(events, w, start).collect()}
+    if "_parse_error" in events.columns:
+        events = events.where(F.col("_parse_error").isNull()).drop("_parse_error")
+    windows = A.window_aggregate(events, w, start, dedup).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         batch = batch_id if batch_id is not None else _next_batch(spark, paths["metrics"])
-        U.write_version(A.pool_registry(windows), paths["pools"], batch)
-        metrics = N.window_metrics(windows, tokens, balances)
+        pools = A.pool_registry(windows).persist(StorageLevel.MEMORY_AND_DISK)
+        metrics = N.window_metrics(windows, tokens, balances).persist(StorageLevel.MEMORY_AND_DISK)
+        U.require_contract(pools, list(S.POOLS_KEY), list(S.POOLS_NOT_NULL), "pools")
+        U.require_contract(metrics, list(S.WINDOW_METRICS_KEY), list(S.WINDOW_METRICS_NOT_NULL), "metrics")
+        U.write_version(pools, paths["pools"], batch)
         U.write_version(metrics, paths["metrics"], batch)
         hw = windows.agg(F.max("max_ts")).first()[0]
+        pools.unpersist(), metrics.unpersist()
     finally:
         windows.unpersist()
     new_state = max(int(hw), start) if hw is not None else start
-    if previous is not None and not recompute_from:
+    if previous is not None and not force_state:
         new_state = max(new_state, previous)            # never move backwards (Q13)
-    U.write_version(U.state_row(spark, name, new_state), paths["state"], batch)
-    return {"batch_id": batch, "start_ts": start, "state": new_state}
+    state = U.state_row(spark, name, new_state)
+    U.require_contract(state, list(S.STATE_KEY), list(S.STATE_NOT_NULL), "state")
+    U.write_version(state, paths["state"], batch)
+    return {"batch_id": batch, "start_ts": start, "state": new_state, **counters}
 
 
 def read_metrics(spark: SparkSession, out_dir: str) -> DataFrame:

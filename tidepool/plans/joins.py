@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension rows we are willing to ship to every executor (~100 bytes each).
-MAX_BROADCAST_ROWS = 1_000_000
+# Estimated bytes of a dimension that are shipped to every executor.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows.
+def bounded_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``dim`` for broadcast only if its estimated size is within ``max_bytes``.
 
-    The check is one count over the dimension alone (snapshot tables are
-    small and their count reads Parquet footers).  Past the bound the plain
-    DataFrame is returned and the planner shuffles both sides (AQE may still
-    switch to a broadcast from measured sizes).
+    The estimate is the optimizer's (file sizes below filters and joins), so
+    the check runs no job and does not compute the dimension twice.  Past the
+    bound the plain DataFrame is returned: the planner shuffles both sides and
+    AQE may still switch to a broadcast from measured sizes.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    size = int(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(dim) if size <= max_bytes else dim

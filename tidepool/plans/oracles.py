@@ -407,3 +407,84 @@ pl AS (
   FROM e WHERE event_type IN ({types}) AND pool % 4 <> {X.NO_LIVE_POOL_MOD4})
 SELECT e.chain_id, e.block_number, e.log_index, pl.liquidity, pl.sqrt_price_x96, pl.tick
 FROM e ASOF LEFT JOIN pl ON e.address = pl.address AND e.block_number >= pl.block_number"""
+
+
+# ---------------------------------------------------------------------------
+# Inputs that disagree, repeat or exceed the usual widths.
+
+def window_mixed_meta(w: int = 86400) -> str:
+    return f"""WITH {E_CTE},
+em AS (
+  SELECT * REPLACE (
+           CAST(CASE WHEN event_id % 11 = 0 THEN {X.OTHER_CHAIN_ID} ELSE chain_id END AS BIGINT) AS chain_id,
+           CAST(CASE WHEN event_id % 13 = 0 THEN 0 ELSE timestamp END AS BIGINT) AS timestamp,
+           CAST(CASE WHEN event_id % 17 = 0 THEN 0 ELSE block_number END AS BIGINT) AS block_number)
+  FROM e),
+ep AS (
+  SELECT *, bool_or(event_id % 7 <> 0 AND token0 <> '') OVER (PARTITION BY chain_id, address) AS named
+  FROM em WHERE timestamp > 0)
+SELECT chain_id, address AS pool_address, timestamp - timestamp % {w} AS window_start, token0, token1, fee,
+       CAST(count(*) FILTER (WHERE event_name = 'Swap') AS BIGINT) AS swap_count,
+       CAST(sum(CASE WHEN event_name = 'Swap' THEN abs(a0) ELSE 0 END) AS VARCHAR) AS volume0_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' THEN abs(a1) ELSE 0 END) AS VARCHAR) AS volume1_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND fee > 0 AND a1 < 0 AND a0 > 0
+                THEN abs(a0) * fee // 1000000 ELSE 0 END) AS VARCHAR) AS fee0_raw,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND fee > 0 AND a0 < 0 AND a1 > 0
+                THEN abs(a1) * fee // 1000000 ELSE 0 END) AS VARCHAR) AS fee1_raw,
+       CAST(coalesce(min(CASE WHEN block_number > 0 THEN block_number END), 0) AS BIGINT) AS first_block,
+       CAST(max(CAST(timestamp AS HUGEINT) * 1000000000000 + block_number) % 1000000000000 AS BIGINT) AS last_block,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM ep WHERE named GROUP BY ALL"""
+
+
+def wide_amounts(w: int = 86400) -> str:
+    z = X.WIDE_ZEROS
+    swap = "event_name = 'Swap'"
+
+    def text(high: str, low: str, zeros: int) -> str:
+        """high * 10^zeros + low, as text."""
+        return (f"CASE WHEN {high} = 0 THEN CAST({low} AS VARCHAR) "
+                f"ELSE CAST({high} AS VARCHAR) || lpad(CAST({low} AS VARCHAR), {zeros}, '0') END")
+    pays0 = f"{swap} AND fee > 0 AND a1 < 0 AND a0 > 0"
+    pays1 = f"{swap} AND fee > 0 AND a0 < 0 AND a1 > 0"
+    return f"""WITH {E_CTE},
+x AS (
+  SELECT address AS pool_address, timestamp - timestamp % {w} AS window_start,
+         CAST(count(*) FILTER (WHERE {swap}) AS BIGINT) AS swap_count,
+         sum(CASE WHEN {swap} AND event_id % 3 = 0 THEN abs(cents) ELSE 0 END) AS high0,
+         sum(CASE WHEN {swap} AND event_id % 3 <> 0 THEN abs(a0) ELSE 0 END) AS low0,
+         sum(CASE WHEN {swap} THEN abs(a1) ELSE 0 END) AS v1,
+         sum(CASE WHEN {pays0} AND event_id % 3 = 0 THEN abs(cents) * fee ELSE 0 END) AS fhigh0,
+         sum(CASE WHEN {pays0} AND event_id % 3 <> 0 THEN abs(a0) * fee // 1000000 ELSE 0 END) AS flow0,
+         sum(CASE WHEN {pays1} THEN abs(a1) * fee // 1000000 ELSE 0 END) AS f1
+  FROM e WHERE timestamp > 0 GROUP BY ALL)
+SELECT pool_address, window_start, swap_count, {text('high0', 'low0', z)} AS volume0_raw,
+       CAST(v1 AS VARCHAR) AS volume1_raw, {text('fhigh0', 'flow0', z - 6)} AS fee0_raw, CAST(f1 AS VARCHAR) AS fee1_raw
+FROM x"""
+
+
+def dedup_removed_logs() -> str:
+    return f"""SELECT CAST({X.CHAIN_ID} AS BIGINT) AS chain_id, l_orderkey AS block_number,
+       CAST(l_linenumber AS BIGINT) AS log_index, l_linestatus = 'F' AS removed,
+       '0x' || lpad(lower(hex(l_partkey)), 64, '0') AS block_hash, '0x' || lpad(lower(hex(l_suppkey)), 64, '0') AS data
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_linestatus = 'F', lpad(lower(hex(l_partkey)), 64, '0'),
+                                    lpad(lower(hex(l_suppkey)), 64, '0')) = 1"""
+
+
+def open_window_state(w: int = 86400) -> str:
+    return f"""WITH {E_CTE}, o AS (SELECT max(timestamp - timestamp % {w}) AS s FROM e WHERE timestamp > 0 GROUP BY address)
+SELECT CAST(greatest(min(s) - 1, 0) AS BIGINT) AS last_processed_ts FROM o"""
+
+
+def run_counters_bad(w: int = 86400) -> str:
+    m = X.BAD_AMOUNT_MOD
+    return f"""WITH {E_CTE}, {_RESUME}
+st AS (SELECT greatest((s + 1) - (s + 1) % {w} - 1, 0) AS start FROM rp)
+SELECT 'total' AS counter, CAST(count(*) AS BIGINT) AS value FROM e
+UNION ALL SELECT 'skipped', CAST(count(*) AS BIGINT) FROM e, st WHERE timestamp <= start
+UNION ALL SELECT 'failed', CAST(count(*) AS BIGINT) FROM e, st
+          WHERE timestamp > start AND event_name = 'Swap' AND event_id % {m} IN (15, 19)
+UNION ALL SELECT 'decoded', CAST(count(DISTINCT (address, timestamp - timestamp % {w})) AS BIGINT) FROM e, st
+          WHERE timestamp > start AND token0 <> ''"""

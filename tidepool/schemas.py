@@ -49,6 +49,7 @@ POOLS = _struct(
     ("fee", _L), ("tick_spacing", _I), ("first_seen_block", _L),
 )
 POOLS_KEY = ("chain_id", "pool_address")
+POOLS_NOT_NULL = (*POOLS_KEY, "token0", "token1", "fee", "tick_spacing", "first_seen_block")
 
 WINDOW_METRICS = _struct(
     ("chain_id", _L), ("pool_address", _S), ("window_size_seconds", _L),
@@ -78,3 +79,6 @@ TOKENS = _struct(("chain_id", _L), ("address", _S), ("decimals", T.ShortType()),
                  ("symbol", _S), ("name", _S))
 BALANCES = _struct(("chain_id", _L), ("token", _S), ("owner", _S),
                    ("block_number", _L), ("balance", _S))
+
+STATE_KEY = ("name",)
+STATE_NOT_NULL = ("name", "last_processed_ts")

@@ -29,6 +29,7 @@ _DEFAULTS = {
 # SQL settings the queries depend on; all can be set on a running session.
 RUNTIME_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
@@ -63,10 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment and is read as is.  Only
-    when it is unset (unit tests, a laptop) do we pick a fresh local folder.
+    when it is unset and everything runs in this one process (unit tests, a
+    laptop) do we pick a fresh local folder; a cluster without it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

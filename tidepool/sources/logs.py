@@ -1,54 +1,101 @@
 """Readers for raw logs and typed events.
 
-JSON lines are read as text and parsed with ``from_json`` against an explicit
-schema, so a malformed line becomes a row with a parse error instead of
-failing the job (dead-letter, P10).  Absent scalar fields read as zero / empty
-text, like the reference's zero values.  There is no line-length limit.
+JSON lines are read as text and parsed into VARIANT, so a malformed line becomes
+a row with a parse error instead of failing the job (dead-letter, P10), and the
+JSON type of every field can be checked: a number is not accepted as text, a
+negative or fractional number not as an unsigned one, text behind the object
+not at all.  Field names match in any letter case, absent or null fields read as
+zero / empty text, and a line ``null`` is an empty record, like the reference's
+zero values.  There is no line-length limit.  A name that occurs twice in one
+object fails the line, and unsigned values end at 2^63 - 1.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import schemas as S
 
-_CORRUPT = "_corrupt"
 PARSE_ERROR = "invalid json line"
 
+# Integers that may be negative; every other integer field is unsigned.
+SIGNED = {"tick", "tick_lower", "tick_upper", "tick_spacing"}
 
-def _zero(field: T.StructField):
-    t = field.dataType
+
+def _zero(t: T.DataType) -> Column:
     if isinstance(t, (T.LongType, T.IntegerType, T.ShortType)):
         return F.lit(0).cast(t)
-    if isinstance(t, T.StringType):
-        return F.lit("")
     if isinstance(t, T.BooleanType):
         return F.lit(False)
-    return None
+    return F.lit("") if isinstance(t, T.StringType) else F.lit(None).cast(t)
+
+
+def _entries(value: Column) -> Column:
+    """(key, value) entries of a VARIANT object, NULL when it is not an object."""
+    is_object = F.schema_of_variant(value).startswith("OBJECT")
+    return F.map_entries(F.when(is_object, value).cast("map<string,variant>"))
+
+
+def _member(entries: Column, name: str) -> Column:
+    hit = F.filter(entries, lambda e: F.lower(e["key"]) == F.lit(name))
+    return F.try_element_at(hit, F.lit(-1))["value"]
+
+
+def _has(entries: Column, name: str) -> Column:
+    return F.coalesce(F.exists(entries, lambda e: F.lower(e["key"]) == F.lit(name)), F.lit(False))
+
+
+def _typed(value: Column, name: str, t: T.DataType) -> tuple[Column, Column]:
+    """(value or its zero, whether its JSON type fits) of one VARIANT field."""
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    void = kind == "VOID"
+    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType)):
+        got = F.try_variant_get(value, "$", t.simpleString())
+        fits = (kind == "BIGINT") & got.isNotNull()
+        if name not in SIGNED:
+            fits = fits & (got >= 0)
+    elif isinstance(t, T.BooleanType):
+        got, fits = F.try_variant_get(value, "$", "boolean"), kind == "BOOLEAN"
+    elif isinstance(t, T.ArrayType):
+        got, fits = F.try_variant_get(value, "$", "array<string>"), kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
+    elif isinstance(t, T.StructType):
+        got, fits = F.from_json(F.to_json(value), t), kind.startswith("OBJECT")
+        inner = _entries(value)
+        for f in t.fields:
+            fits = fits & _typed(_member(inner, f.name), f.name, f.dataType)[1]
+    else:
+        got, fits = F.try_variant_get(value, "$", "string"), kind == "STRING"
+    return F.when(~void & fits, got).otherwise(_zero(t)), void | F.coalesce(fits, F.lit(False))
 
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType, column: str = "value",
-                     carry: tuple = ()) -> DataFrame:
+                     soft: tuple = ()) -> DataFrame:
     """Trimmed non-blank lines -> schema columns plus ``_parse_error``.
 
-    A line ``null`` is an empty record (all zero values), as Go decodes it.
-    ``carry`` names extra input columns to keep.
+    A field in ``soft`` does not fail its line: a boolean ``<field>_ok`` says
+    whether it was there (``null`` counts as there) and had the right type.
     """
-    text = F.trim(F.col(column))
-    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = (lines.select(text.alias("_line"), *carry).where(F.col("_line") != "")
-              .select("_line", *carry,
-                      F.from_json(F.when(F.col("_line") != "null", F.col("_line")), with_corrupt,
-                                  {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_r")))
-    bad = F.col(f"_r.{_CORRUPT}").isNotNull() | (F.col("_r").isNull() & (F.col("_line") != "null"))
+    rows = lines.select(F.trim(F.col(column)).alias("_line")).where(F.col("_line") != "")
+    # The line stands alone in an array, so that nothing may follow the object.
+    rows = rows.withColumn("_a", F.try_parse_json(F.concat(F.lit("["), F.col("_line"), F.lit("]"))))
+    rows = rows.withColumn("_n", F.size(F.try_variant_get("_a", "$", "array<variant>")))
+    rows = rows.withColumn("_r", F.when(F.col("_n") == 1, F.try_variant_get("_a", "$[0]", "variant")))
+    empty = F.col("_line") == "null"
+    rows = rows.withColumn("_e", _entries(F.col("_r")))
+    rows = rows.select("_line", "_e", *[_member(F.col("_e"), f.name).alias(f"_v_{f.name}") for f in schema.fields])
+    bad = F.col("_e").isNull() & ~empty
     cols = []
     for f in schema.fields:
-        v = F.col(f"_r.{f.name}")
-        z = _zero(f)
-        cols.append((F.coalesce(v, z) if z is not None else v).alias(f.name))
-    return parsed.select(*cols, *carry, F.when(bad, F.lit(PARSE_ERROR)).alias("_parse_error"))
+        v = F.col(f"_v_{f.name}")
+        value, fits = _typed(v, f.name, f.dataType)
+        cols.append(value.alias(f.name))
+        if f.name in soft:
+            cols.append((_has(F.col("_e"), f.name) & fits).alias(f"{f.name}_ok"))
+        else:
+            bad = bad | ~fits
+    return rows.select(*cols, F.when(bad, F.lit(PARSE_ERROR)).alias("_parse_error"))
 
 
 def read_raw_logs_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -68,13 +115,10 @@ def read_typed_events_jsonl(spark: SparkSession, path: str, keep_bad: bool = Fal
 
     Unreadable lines are skipped (``keep_bad`` keeps them with
     ``_parse_error`` for counting, as the reference counts them as failed).
-    ``decoded_ok`` is false when the ``decoded`` key is absent: the reference
-    fails such a swap, while an explicit ``null`` reads as an empty payload.
+    ``decoded`` is parsed on its own: when it is absent, not an object, or has
+    a field of the wrong type, ``decoded_ok`` is false, so that the event
+    stays in its window and a swap with it fails; an explicit ``null`` reads
+    as an empty payload.
     """
-    raw = spark.read.text(path)
-    v = F.trim(F.col("value"))
-    present = (F.get_json_object(v, "$.decoded").isNotNull()
-               | v.rlike(r'"decoded"\s*:\s*null'))
-    p = parse_json_lines(raw.select("value", present.alias("decoded_ok")), S.TYPED_EVENT,
-                         carry=("decoded_ok",))
+    p = parse_json_lines(spark.read.text(path), S.TYPED_EVENT, soft=("decoded",))
     return p if keep_bad else p.where(F.col("_parse_error").isNull()).drop("_parse_error")

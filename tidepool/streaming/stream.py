@@ -3,8 +3,10 @@
 readStream (explicit schema, file source) -> decode (stateless, stream-static
 broadcast join) -> watermark on the event time -> optional dedup within the
 watermark -> groupBy(window, pool) with the same fixed-width buffers as the
-batch job -> foreachBatch: render, enrich (decimals, TVL, rates) and write a
-keyed version per micro-batch.
+batch job -> foreachBatch: render, enrich (decimals, TVL, rates) and write
+pools, metrics and state as keyed versions of the micro-batch.  A second query
+over the same source writes the dead letters (unreadable lines and logs that do
+not decode).
 
 ``update`` mode re-emits a window with its full running totals whenever it
 changes, so the keyed table always holds complete values and windows still
@@ -23,30 +25,39 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool import schemas as S
+from tidepool.functions import hexcodec as H
 from tidepool.operators import aggregate as A
 from tidepool.operators import decode as D
 from tidepool.operators import enrich as N
 from tidepool.operators import ingest as I
 from tidepool.operators import upsert as U
 from tidepool.session import checkpoint_subdir
+from tidepool.sources import logs as L
 
 
 def read_log_stream(spark: SparkSession, source_dir: str, fmt: str = "json",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(S.RAW_LOG).format(fmt)
+    """Raw logs from files as they land; JSON lines keep ``_parse_error`` for the dead letters."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.load(source_dir)
+    if fmt == "json":
+        return L.parse_json_lines(r.format("text").load(source_dir), S.RAW_LOG)
+    return r.schema(S.RAW_LOG).format(fmt).load(source_dir)
 
 
 def windowed_stream(logs: DataFrame, pool_meta: DataFrame, window_seconds: int, lateness: str,
                     dedup: bool = True, extra_map: dict | None = None) -> DataFrame:
-    """Streaming aggregate: one row per (chain, pool, window) with raw buffers."""
+    """Streaming aggregate: one row per (chain, pool, window) with raw buffers.
+
+    Every event's metadata comes from ``pool_meta``, so its own fee tier is the pool's.
+    """
     w = int(window_seconds)
     decoded = D.decode_logs(logs, pool_meta, D.routing_map(extra_map))
     ev = (D.typed_events(decoded).where(F.col("timestamp") > 0)
@@ -60,27 +71,62 @@ def windowed_stream(logs: DataFrame, pool_meta: DataFrame, window_seconds: int,
     return g.withColumn("window_start", F.unix_seconds(F.col("_w.start"))).drop("_w")
 
 
+def stream_meta(pool_meta: DataFrame) -> DataFrame:
+    """The metadata dimension in the layout of ``aggregate.pool_metadata``."""
+    rows = pool_meta.select(
+        "chain_id", H.address_key(F.col("address")).alias("pool_address"), F.lower("token0").alias("token0"),
+        F.lower("token1").alias("token1"), F.col("fee").cast("bigint").alias("fee"),
+        F.col("tick_spacing").cast("int").alias("tick_spacing"))
+    return I.first_copy(rows, ["chain_id", "pool_address"], [F.col(c) for c in A.META])
+
+
 def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFrame, tokens: DataFrame,
-                         balances: DataFrame, table_path: str, window_seconds: int,
+                         balances: DataFrame, work_dir: str, window_seconds: int,
                          lateness: str = "1 hour", checkpoint: str | None = None, fmt: str = "json",
                          max_files_per_trigger: int | None = None, available_now: bool = True,
                          output_mode: str = "update") -> StreamingQuery:
-    """Start the metrics stream writing keyed versions into ``table_path``.
+    """Start the metrics stream writing pools, metrics, late and state below ``work_dir``.
 
     The micro-batch id is the version id, so a replayed batch rewrites the
-    same version folder (idempotent).
+    same version folders (idempotent).  ``state`` holds the resume point of
+    open windows (A10) and the highest window start written, so a batch
+    reads one small row instead of the table; ``late`` counts the windows
+    that the sink refused (W3).
     """
     w = int(window_seconds)
     late_s = interval_seconds(lateness)
+    meta = stream_meta(pool_meta)
     agg = windowed_stream(read_log_stream(spark, source_dir, fmt, max_files_per_trigger), pool_meta, w, lateness)
+    paths = {k: os.path.join(work_dir, k) for k in ("pools", "metrics", "state", "late")}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        windows = A.render_windows(batch, w)
-        top = _written_top(spark, table_path, batch_id)
-        if top is not None:
-            windows = windows.where(F.col("window_end") > F.lit(top - late_s))
-        metrics = N.window_metrics(windows, tokens, balances)
-        U.write_version(metrics, table_path, batch_id)
+        windows = A.render_windows(batch, w, meta).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            top = _written_top(spark, paths["state"], batch_id)
+            if top is not None:
+                horizon = F.lit(top - late_s)
+                late = windows.where(F.col("window_end") <= horizon)
+                U.write_version(late.agg(F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("n_events"), F.lit(0))
+                                         .alias("rows")), paths["late"], batch_id)
+                kept = windows.where(F.col("window_end") > horizon)
+            else:
+                kept = windows
+            if kept.isEmpty():      # Spark also runs batches without data, to move the watermark
+                return
+            U.write_version(A.pool_registry(kept), paths["pools"], batch_id)
+            # Only the balances of the batch's pools take part.
+            own = A.drop_missing_meta(kept).select(F.col("chain_id").alias("_c"),
+                                                   H.address_key(F.col("pool_address")).alias("_o")).distinct()
+            bal = balances.join(own, (balances["chain_id"] == F.col("_c"))
+                                & (H.address_key(balances["owner"]) == F.col("_o")), "left_semi")
+            U.write_version(N.window_metrics(kept, tokens, bal), paths["metrics"], batch_id)
+            here = kept.agg(F.max("window_start").alias("top")).first()["top"]
+            state = A.open_window_state(kept).select(
+                F.lit(f"aggregator:{w}").alias("name"), "last_processed_ts",
+                F.lit(max([x for x in (here, top) if x is not None], default=None)).cast("bigint").alias("top"))
+            U.write_version(state, paths["state"], batch_id)
+        finally:
+            windows.unpersist()
 
     ckpt = checkpoint or checkpoint_subdir(spark, "streams", f"metrics-{w}")
     writer = (agg.writeStream.outputMode(output_mode).foreachBatch(sink)
@@ -89,6 +135,17 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
     return writer.start()
 
 
+def start_errors_stream(spark: SparkSession, source_dir: str, pool_meta: DataFrame, errors_path: str, checkpoint: str,
+                        fmt: str = "json", max_files_per_trigger: int | None = None,
+                        available_now: bool = True) -> StreamingQuery:
+    """Dead letters of the stream (P10): unreadable lines and logs that do not decode, appended as they come."""
+    logs = read_log_stream(spark, source_dir, fmt, max_files_per_trigger)
+    errors = D.decode_errors(D.decode_logs(logs, pool_meta))
+    writer = errors.writeStream.format("parquet").option("path", errors_path).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -98,13 +155,12 @@ def interval_seconds(text: str) -> int:
     return int(n) * _UNITS[unit.lower().rstrip("s")]
 
 
-def _written_top(spark: SparkSession, table_path: str, batch_id: int):
+def _written_top(spark: SparkSession, state_path: str, batch_id: int):
     """Highest window start written by earlier micro-batches (None before the first)."""
     from tidepool.plans.jobs import _exists
-    if not _exists(spark, table_path):
+    if not _exists(spark, state_path):
         return None
-    r = (spark.read.parquet(table_path).where(F.col("batch_id") < batch_id)
-         .agg(F.max("window_start")).first()[0])
+    r = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id).agg(F.max("top")).first()[0]
     return None if r is None else int(r)
 
 
@@ -112,20 +168,29 @@ def read_stream_metrics(spark: SparkSession, table_path: str) -> DataFrame:
     return U.read_latest(spark, table_path, list(S.WINDOW_METRICS_KEY)).drop("batch_id", "created_at", "updated_at")
 
 
-def append_file(df: DataFrame, path: str) -> None:
-    """Land one batch of logs as a new JSON file (files are consumed in arrival order)."""
-    df.coalesce(1).write.mode("append").json(path)
+def append_files(df: DataFrame, path: str) -> None:
+    """Land a batch of logs as new JSON files, one per partition."""
+    df.write.mode("append").json(path)
+
+
+def _finish(q: StreamingQuery) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def run_once(spark: SparkSession, source_dir: str, pool_meta: DataFrame, tokens: DataFrame,
              balances: DataFrame, work_dir: str, window_seconds: int, lateness: str,
              max_files_per_trigger: int | None = None) -> DataFrame:
     """Process everything available in ``source_dir`` and return the current metrics."""
-    table = os.path.join(work_dir, "metrics")
-    q = start_metrics_stream(spark, source_dir, pool_meta, tokens, balances, table, window_seconds,
-                             lateness, os.path.join(work_dir, "checkpoint"),
-                             max_files_per_trigger=max_files_per_trigger)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return read_stream_metrics(spark, table)
+    _finish(start_metrics_stream(spark, source_dir, pool_meta, tokens, balances, work_dir, window_seconds,
+                                 lateness, os.path.join(work_dir, "checkpoint"),
+                                 max_files_per_trigger=max_files_per_trigger))
+    return read_stream_metrics(spark, os.path.join(work_dir, "metrics"))
+
+
+def run_errors_once(spark: SparkSession, source_dir: str, pool_meta: DataFrame, work_dir: str) -> DataFrame:
+    """Write the dead letters of everything available and return them."""
+    path = os.path.join(work_dir, "errors")
+    _finish(start_errors_stream(spark, source_dir, pool_meta, path, os.path.join(work_dir, "errors-checkpoint")))
+    return spark.read.parquet(path)
