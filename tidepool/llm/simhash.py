@@ -10,10 +10,11 @@ are traversed together from the root: a pair descends to its child pairs,
 adding one error where the branch bits differ, and is pruned once the errors
 exceed the budget; pairs of single leaves finish on the rest of their bits at
 once.  The top of the trie is cut into subtrees of at most ``MAX_LEAVES``
-fingerprints from a histogram of prefixes (bounded, whatever the input), and
-every pair of subtrees within the budget is one group of the join, so a dense
-region of the fingerprint space is split by deeper prefixes.  A group returns
-a spanning forest of its links, never all pairs.
+fingerprints from a histogram of prefixes (bounded, whatever the input), so a
+dense region of the fingerprint space is split by deeper prefixes.  Each
+subtree is packed into one row, and every pair of subtrees within the budget
+is one group of the join.  A group returns a spanning forest of its links,
+never all pairs.
 
 Exact copies share a fingerprint and are one leaf, so copies cost nothing in
 the join.  Components are taken over leaves named by their smallest document.
@@ -25,8 +26,9 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -42,7 +44,7 @@ MAX_BITS = 3
 SEED = 42
 BITS = 64
 HISTOGRAM_BITS = 14             # prefixes counted to cut the trie: at most 2^14 rows reach the driver
-MAX_LEAVES = 4_096              # fingerprints of a subtree before it is cut deeper (if bits are left)
+MAX_LEAVES = 32_768             # fingerprints of a subtree before it is cut deeper; more on large inputs, see _subtrees
 PAIRS_AT_ONCE = 1 << 20         # node pairs held while traversing
 HASHES_AT_ONCE = 1 << 16
 
@@ -111,13 +113,13 @@ def _subtrees(leaves: DataFrame) -> list[tuple[int, int]]:
                 .agg(F.count(F.lit(1)).alias("n")).collect()}
     depth = HISTOGRAM_BITS
     counts = histogram(leaves, depth)
-    limit = max(MAX_LEAVES, sum(counts.values()) >> 12)
+    limit = max(MAX_LEAVES, sum(counts.values()) >> 13)
     nodes, done = _cut(counts, depth, (0, 0), limit), []
     while True:
         hot = [p for b, p, n in nodes if b == depth and n > limit]
         done += [(b, p) for b, p, n in nodes if not (b == depth and n > limit)]
         if not hot:
-            return sorted(done)
+            return sorted(done, key=lambda x: x[1] << (BITS - x[0]))
         deeper = min(depth + 8, BITS)
         counts, nodes = histogram(leaves.filter(_prefix(F.col("fp"), depth).isin(hot)), deeper), []
         for p in hot:
@@ -225,48 +227,56 @@ class Forest:
         return self.up
 
 
+def _pack_leaf(table: pa.Table) -> pa.Table:
+    """One row for a subtree: its fingerprints in ascending order and their nodes."""
+    fp = table.column("fp").to_numpy().view(np.uint64)
+    order = np.argsort(fp, kind="stable")
+    return pa.table({"leaf": pa.array([table.column("leaf")[0].as_py()], pa.int32()),
+                     "fps": pa.array([fp[order].tobytes()], pa.binary()),
+                     "nodes": pa.array([table.column("node").to_numpy()[order].tobytes()], pa.binary())})
+
+
 def _joiner(max_bits: int):
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group.side < 2], group[group.side >= 1]
-        a_rows = left.assign(f=left.fp.to_numpy().view(np.uint64)).sort_values("f")
-        b_rows = right.assign(f=right.fp.to_numpy().view(np.uint64)).sort_values("f")
-        own = bool((group.side == 1).all())
-        a, na = a_rows.f.to_numpy(), a_rows.node.to_numpy()
-        top, errors = int(group.top.iloc[0]), int(group.errors.iloc[0])
-        if own:
-            forest, names = Forest(len(a)), na
-            for u, v in trie_pairs(a, None, top, 0, max_bits):
-                forest.link(u.astype(np.int64), v.astype(np.int64))
-        else:
-            b, names = b_rows.f.to_numpy(), np.concatenate([na, b_rows.node.to_numpy()])
-            forest = Forest(len(names))
-            if len(a) and len(b):
-                for u, v in trie_pairs(a, b, top, errors, max_bits):
-                    forest.link(u.astype(np.int64), v.astype(np.int64) + len(a))
+    def join(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["side"])
+        (a, na), *other = [(np.frombuffer(r["fps"], np.uint64), np.frombuffer(r["nodes"], np.int64)) for r in rows]
+        b, names = (other[0][0], np.concatenate([na, other[0][1]])) if other else (None, na)
+        forest = Forest(len(names))
+        shift = len(a) if other else 0
+        for u, v in trie_pairs(a, b, rows[0]["top"], rows[0]["errors"], max_bits):
+            forest.link(u.astype(np.int64), v.astype(np.int64) + shift)
         root = forest.roots()
         moved = np.flatnonzero(root != np.arange(len(names)))
-        return pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
+        return pa.table({"a": pa.array(names[moved]), "b": pa.array(names[root[moved]])})
     return join
 
 
+def _leaf_of(fp, nodes: list[tuple[int, int]]):
+    """Number of the subtree that holds a fingerprint: a binary search over the subtrees' first fingerprints."""
+    unsigned = lambda x: x - (1 << 63)  # noqa: E731  the order of unsigned numbers, in signed longs
+    first = F.from_json(F.lit(json.dumps([unsigned(p << (BITS - b)) for b, p in nodes])), F.lit("array<bigint>"))
+    key, n = fp.bitwiseXOR(F.lit(-2 ** 63)), len(nodes)
+    steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        (at + s <= n) & (F.get(first, at + s - 1) <= key), at + s).otherwise(at)) - 1
+
+
 def near_links(leaves: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``leaves`` (fp, node), fp distinct: links (a, b) that connect all fingerprints within ``max_bits``.
 
     ``leaves`` is read twice (histogram, join), so it should be materialised.
     """
     spark, nodes, rows = leaves.sparkSession, _subtrees(leaves), []
+    if not nodes:
+        return leaves.select(F.col("node").alias("a"), F.col("node").alias("b"))
     for g, (i, j, errors) in enumerate(_node_pairs(nodes, max_bits)):
-        (bi, pi), (bj, pj) = nodes[i], nodes[j]
-        top = min(bi, bj)
-        rows += [(bi, pi, g, 1, top, errors)] if i == j else [(bi, pi, g, 0, top, errors), (bj, pj, g, 2, top, errors)]
-    # Bounded by the number of subtrees (about 2^12 beyond small inputs) times their near prefixes.
-    routes = spark.createDataFrame(rows, "bits int, prefix long, grp long, side int, top int, errors int")
-    depths = sorted({b for b, _ in nodes})
-    keyed = leaves.select("fp", "node", F.explode(F.array(*[
-        F.struct(F.lit(b).alias("bits"), _prefix(F.col("fp"), b).alias("prefix")) for b in depths or [0]])).alias("k"))
-    routed = keyed.select("fp", "node", "k.bits", "k.prefix").join(
-        F.broadcast(routes) if len(rows) <= 200_000 else routes, ["bits", "prefix"])
-    return routed.groupBy("grp").applyInPandas(_joiner(max_bits), "a long, b long").distinct()
+        top = min(nodes[i][0], nodes[j][0])
+        rows += [(i, g, 0, top, errors)] + [(j, g, 1, top, errors)] * (i != j)
+    # Bounded by the number of subtrees (at most about 2^14 beyond small inputs) times their near prefixes.
+    routes = spark.createDataFrame(rows, "leaf int, grp long, side int, top int, errors int")
+    packed = leaves.withColumn("leaf", _leaf_of(F.col("fp"), nodes)).groupBy("leaf").applyInArrow(
+        _pack_leaf, "leaf int, fps binary, nodes binary")
+    return packed.join(routes, "leaf").groupBy("grp").applyInArrow(_joiner(max_bits), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
