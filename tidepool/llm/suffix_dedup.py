@@ -55,8 +55,9 @@ _ENTRY = np.dtype([("q", "<u8"), ("c", "<u8"), ("doc", "<u4"), ("start", "<u4"),
 _NAMED = np.dtype([("x", "<u8"), ("y", "<u8"), ("doc", "<u4"), ("start", "<u4")])
 _SEGMENT = np.dtype([("doc", "<u4"), ("start", "<u4"), ("size", "<u2")])
 _SPAN = np.dtype([("a", "<u4"), ("b", "<u4")])
+_DOC_SPAN = np.dtype([("doc", "<u4"), ("a", "<u4"), ("b", "<u4")])
 _REQUEST = np.dtype([("start", "<u4"), ("windows", "<u2"), ("hot", "<u2"), ("part", "<u4")])
-FIRST, REPEAT, HOT_HERE = 0, 1, 2
+HOT_HERE = 1                    # state of an entry whose bucket one task found hot
 
 _PACKED = "part int, kind int, docs binary, entries binary, more binary"
 _FOUND = "d long, h long, kind int, data binary"
@@ -172,27 +173,55 @@ def _name_segments(parts: int):
             return
         docs, e = np.array(docs, dtype=_DOCS), np.concatenate(found)
         order, how = _repeats(docs, e["doc"], e["start"], (e["c"], e["q"]))
-        e = e[order]
-        e["state"][how < 0] = REPEAT
+        again, e, how = e[order[how < 0]], e[order[how >= 0]], how[how >= 0]
         new = np.concatenate([[True], e["q"][1:] != e["q"][:-1]])
         bucket = np.cumsum(new) - 1
         many = np.bincount(bucket, weights=how == 1) > LOCAL_HOT
-        e["state"][many[bucket] & (how >= 0)] = HOT_HERE
+        e["state"][many[bucket]] = HOT_HERE
         # A hot bucket's entries are dealt by name; one of them tells the bucket's own partition.
         dealt = np.where(e["state"] == HOT_HERE, e["c"], e["q"])
         marks = np.flatnonzero(new & many[bucket])
         dealt, e = np.concatenate([dealt, e["q"][marks]]), np.concatenate([e, e[marks]])
-        yield _packed(list(_by_part((dealt % np.uint64(parts)).astype(np.int64), docs, e, 0)))
+        rows = list(_by_part((dealt % np.uint64(parts)).astype(np.int64), docs, e, 0))
+        yield _packed(rows + _known_spans(docs, again["doc"], _segment_spans(again), parts))
     return run
 
 
-def _refine_buckets(table: pa.Table) -> pa.Table:
-    docs, e, _ = _unpacked(table, 0, _ENTRY)
+def _segment_spans(e: np.ndarray) -> np.ndarray:
     spans = np.zeros(len(e), _SPAN)
     spans["a"], spans["b"] = e["start"], e["start"] + e["windows"] + (sb.LENGTH - 1)
-    done = e["state"] == REPEAT
-    rows = _per_doc(docs, e["doc"][done], spans[done], SPANS)
-    e, spans = e[~done], spans[~done]
+    return spans
+
+
+def _merged(doc: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Touching spans of a document joined; among one document's spans a later start has a later end."""
+    order = np.lexsort((spans["a"], doc))
+    doc, spans = doc[order], spans[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (spans["a"][1:] > spans["b"][:-1])
+    first = np.flatnonzero(new)
+    out = np.zeros(len(first), _DOC_SPAN)
+    out["doc"], out["a"] = doc[first], spans["a"][first]
+    out["b"] = spans["b"][np.append(first[1:], len(doc)) - 1] if len(doc) else 0
+    return out
+
+
+def _known_spans(docs: np.ndarray, doc: np.ndarray, spans: np.ndarray, parts: int) -> list[tuple]:
+    """Rows that carry spans a task is sure of: all of a document's to one part."""
+    e = _merged(doc, spans)
+    return list(_by_part(np.abs(docs["h"][e["doc"]] % parts), docs, e, 2))
+
+
+def _carried(table: pa.Table) -> list[tuple]:
+    docs, e, _ = _unpacked(table, 2, _DOC_SPAN)
+    spans = np.zeros(len(e), _SPAN)
+    spans["a"], spans["b"] = e["a"], e["b"]
+    return _per_doc(docs, e["doc"], spans, SPANS)
+
+
+def _refine_buckets(table: pa.Table) -> pa.Table:
+    docs, e, _ = _unpacked(table, 0, _ENTRY)
+    rows, spans = _carried(table), _segment_spans(e)
     # Entries of buckets that a task found hot are refined by window names, wherever they are.
     order, how = _repeats(docs, e["doc"], e["start"], (e["c"], e["q"]))
     e, spans = e[order], spans[order]
@@ -203,7 +232,8 @@ def _refine_buckets(table: pa.Table) -> pa.Table:
     names = np.bincount(bucket, weights=how == 1) if len(e) else np.zeros(0)
     hot = (np.bincount(bucket, weights=local) > 0) | (names > HOT) if len(e) else np.zeros(0, bool)
     repeat = how < 0
-    rows += _per_doc(docs, e["doc"][repeat], spans[repeat], SPANS)
+    again = _merged(e["doc"][repeat], spans[repeat])
+    rows += _per_doc(docs, again["doc"], again[["a", "b"]].astype(_SPAN), SPANS)
     ask = ~repeat & ((names > 1) | hot)[bucket] if len(e) else repeat
     r = np.zeros(int(ask.sum()), _REQUEST)
     r["start"], r["windows"], r["hot"] = e["start"][ask], e["windows"][ask], hot[bucket][ask]
@@ -244,9 +274,7 @@ def _fetch(parts: int):
             e, keep = e[order], how >= 0
             # A window seen earlier in this task is a repeat; its first occurrence stands for the task.
             rows += _by_part((e["x"][keep] % np.uint64(parts)).astype(np.int64), docs, e[keep], 1)
-            again = np.zeros(int((~keep).sum()), _NAMED)
-            again[:] = e[~keep]
-            rows += _by_part((again["x"] % np.uint64(parts)).astype(np.int64), docs, again, 2)
+            rows += _known_spans(docs, *_windows_to_spans(e["doc"][~keep], e["start"][~keep]), parts)
         yield _packed(rows)
     return run
 
@@ -304,8 +332,7 @@ def _compare(table: pa.Table) -> pa.Table:
     order, how = _repeats(docs, e["doc"], e["start"], (e["y"], e["x"]))
     again = e[order][how < 0]
     rows += _per_doc(docs, *_windows_to_spans(again["doc"], again["start"]), SPANS)
-    docs, e, _ = _unpacked(table, 2, _NAMED)
-    rows += _per_doc(docs, *_windows_to_spans(e["doc"], e["start"]), SPANS)
+    rows += _carried(table)
     return pa.Table.from_batches([_found(rows)])
 
 
