@@ -36,17 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import checkpointed, read_table, ship_by_value
+from tidepool.llm.common import bounded_sample, checkpointed, read_table, ship_by_value
 
 ship_by_value(__name__)
 
 K = 20
-TABLES, HASHES, WIDTH, MAX_CHANGES = 24, 12, 2.3, 3
+TABLES, HASHES, WIDTH, MAX_CHANGES = 24, 10, 2.3, 2
 TARGET = 0.95
 SEED = 7
 SAMPLE_QUERIES = 128            # queries whose K-th distance is measured to set r
 BLOCK_QUERIES = 512
-SHARD_ROWS = 16_384
+SHARD_ROWS = 65_536
 
 _HIT = "query_id long, rep long, score double"
 
@@ -120,20 +120,23 @@ def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x.astype(np.longdouble) * q.astype(np.longdouble)).sum(axis=1).astype(np.float64)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    """Indices of the n best by score, ties to the smaller id."""
-    if len(scores) > 4 * n:
-        floor = np.partition(scores, len(scores) - n)[len(scores) - n]
-        keep = np.flatnonzero(scores >= floor - 1e-12 * max(1.0, abs(floor)))
-        return keep[np.lexsort((ids[keep], -scores[keep]))]
-    return np.lexsort((ids, -scores))
+def _screen(scores: np.ndarray, n: int, slack: float) -> np.ndarray:
+    """Indices that can be among the n best when every score may be off by ``slack``."""
+    if len(scores) <= n or not np.isfinite(scores).all():
+        return np.arange(len(scores))
+    floor = np.partition(scores, len(scores) - n)[len(scores) - n]
+    return np.flatnonzero(scores >= floor - 2 * slack)
 
 
 def _hits(q_ids, q, ids, x, chosen) -> pa.Table:
+    """K + 1 best of the chosen rows per query: screened in single precision, ranked by exact scores."""
     out_q, out_r, out_s = [], [], []
+    x32, q32 = x.astype(np.float32), np.asarray(q, dtype=np.float32)
+    # What rounding to single precision can move a score by, for the longest row.
+    slack = 2.0 ** -21 * (x.shape[1] + 2) * math.sqrt(float((x * x).sum(axis=1).max(initial=0)))
     for i, at in enumerate(chosen):
         if len(at):
-            at = at[_best(x[at] @ q[i], ids[at], K + 1)]
+            at = at[_screen(x32[at] @ q32[i], K + 1, slack * float(np.linalg.norm(q[i])))]
             score = exact_scores(x[at], q[i])
             top = np.lexsort((ids[at], -score))[:K + 1]
             out_q.append(np.full(len(top), q_ids[i])), out_r.append(ids[at[top]]), out_s.append(score[top])
@@ -255,7 +258,7 @@ def _query_blocks(queries: DataFrame):
 
 def _kth_distance(reps: DataFrame, queries: DataFrame, largest: float) -> float:
     """Distance, in the lifted space, of the K-th neighbour of a bounded sample of queries, over all rows."""
-    some = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(SAMPLE_QUERIES).collect()
+    some = bounded_sample(queries, SAMPLE_QUERIES, "query_id").collect()
     block = np.array([s.query_id for s in some]), np.array([s.v for s in some])
     hits = reps.mapInArrow(_scanner(reps.sparkSession.sparkContext.broadcast(block)), _HIT)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
