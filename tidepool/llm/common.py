@@ -51,18 +51,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def hash_share(df: DataFrame, n: float, *keys: str) -> DataFrame:
+    """About ``n`` rows by the hash of ``keys``, dropped where they are read: the same rows whatever the partitioning."""
+    total = df.count()
+    u = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(17)), 11) / float(1 << 53)
+    return df.filter(u < n / total) if total > n else df
+
+
 def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """About ``n`` rows, never more, by the hash of ``keys``: the same rows whatever the partitioning.
+    """At most ``n`` rows by the hash of ``keys``, for small rows: the last cut is made in one task.
 
-    The rows are counted first and those above one and a half times the wanted
-    share of the hash range are dropped where they are read, so the ordered
-    cut sees a bounded number of rows however many partitions there are.
+    One and a half times the wanted share is read, so that cut sees a bounded
+    number of rows however many partitions there are.
     """
-    u = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(17)), 11) / float(1 << 53)
-    total, picked = df.count(), df.withColumn("_u", u)
-    if total > 2 * n:
-        picked = picked.filter(F.col("_u") < 1.5 * n / total)
-    return picked.orderBy("_u", *keys).limit(n).drop("_u")
+    return hash_share(df, 1.5 * n, *keys).orderBy(F.xxhash64(*keys, F.lit(17)), *keys).limit(n)
 
 
 def lower_ascii(col: Column) -> Column:

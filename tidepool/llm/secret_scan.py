@@ -14,9 +14,9 @@ ids.  The forest looks at what a shape cannot tell:
   words among the three words before and the one after it.
 
 The forest is trained (Spark ML) from labelled findings, at most
-``TRAIN_FINDINGS`` of them.  A findings table with a boolean ``secret`` column
-can be given; where none exists, ``label_findings`` labels by validators that
-the features do not contain: provider formats and random values assigned to
+``TRAIN_FINDINGS`` of them, from ``TRAIN_DOCS`` documents.  A findings table with a boolean ``label`` column
+can be given; where none exists, ``validate`` labels by checks that the
+features do not contain: provider formats and random values assigned to
 credential names are secrets; Luhn-valid numbers, dotted numbers, dates, mail
 and web hosts are not; the rest is not used for training.  The trained trees
 are read once into plain arrays of bounded size and shipped, so scanning and
@@ -39,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import checkpointed, read_table, ship_by_value
+from tidepool.llm.common import bounded_sample, checkpointed, hash_share, read_table, ship_by_value
 
 ship_by_value(__name__)
 
+TRAIN_DOCS = 100_000            # documents (about) that labelled findings are taken from, by hash
 TRAIN_FINDINGS = 20_000         # labelled findings the forest is fitted on, by hash
 DICTIONARY_DOCS = 2_000         # documents whose words make the dictionary and the letter-pair model, by hash
 DICTIONARY_CHARS = 4_000        # characters from the middle of each
@@ -148,13 +149,11 @@ def learn_prose(docs: DataFrame, key: str = "doc_id", text: str = "text") -> dic
     """Dictionary and letter-pair model from a bounded sample of documents."""
     middle = F.substring(F.col(text), F.greatest(F.lit(1), F.floor((F.length(text) - DICTIONARY_CHARS) / 2)
                                                  .cast("int") + 1), F.lit(DICTIONARY_CHARS))
-    sample = (docs.filter(F.col(text).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"),
-                                                          middle.alias("t"))
-              .orderBy("h", F.xxhash64("t")).limit(DICTIONARY_DOCS))
+    sample = bounded_sample(docs.select(F.col(key).alias("k"), middle.alias("t")), DICTIONARY_DOCS, "k")
     # The bounded sample is counted in place: at most DICTIONARY_DOCS * DICTIONARY_CHARS characters.
     words: dict[str, int] = {}
     for (t,) in sample.select("t").collect():
-        for w in _WORDS.findall(t.lower()):
+        for w in _WORDS.findall((t or "").lower()):
             words[w] = words.get(w, 0) + 1
     pairs: dict[str, int] = {}
     for w, c in words.items():
@@ -309,7 +308,7 @@ def learn(docs: DataFrame) -> tuple[dict, Forest | None]:
     """Prose model and forest from the documents outside the held-out fold (crc32 of the id mod 5 is 0)."""
     fold = docs.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0, F.lit(False)))
     prose = learn_prose(fold)
-    return prose, train(find(fold, prose))
+    return prose, train(find(hash_share(fold, TRAIN_DOCS, "doc_id"), prose))
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
