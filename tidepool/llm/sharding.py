@@ -57,11 +57,15 @@ def _rank(key: Column, splitters: list[tuple[int, int]]) -> Column:
         (at + s <= n) & (F.get(found, at + s - 1) <= key), at + s).otherwise(at))
 
 
-def _sample(rows: DataFrame, n: int) -> list[tuple[int, int]]:
-    """Keys of a size-weighted sample of ``n`` rows, sorted."""
+def _sample(rows: DataFrame, n: int, total: int) -> list[tuple[int, int]]:
+    """Keys of a size-weighted sample of at most ``n`` rows of ``total`` bytes, sorted.
+
+    Rows above twice the priority at which ``n`` are expected cannot be among
+    them and are dropped where they are read.
+    """
     u = (F.shiftrightunsigned(F.xxhash64("h", "doc_id", F.lit(11)), 11) + 0.5) / float(1 << 53)
     got = (rows.select(_key().alias("k"), (-F.log(u) / F.col("size")).alias("p"))
-           .orderBy("p", "k").limit(n).collect())
+           .filter(F.col("p") <= 2 * n / max(total, 1)).orderBy("p", "k").limit(n).collect())
     return sorted((r.k.h, r.k.i) for r in got)
 
 
@@ -75,18 +79,19 @@ def splitters(rows: DataFrame) -> list[tuple[int, int]]:
     if not total.n:
         return []
     ranges = min(MAX_RANGES, max(MIN_RANGES, -(-total.n // RANGE_ROWS)))
-    cuts = _quantiles(_sample(rows, ranges * SAMPLE_PER_RANGE), ranges)
+    cuts = _quantiles(_sample(rows, ranges * SAMPLE_PER_RANGE, total.b), ranges)
     fair_bytes, fair_rows = OVERFULL * total.b / ranges, OVERFULL * max(total.n / ranges, RANGE_ROWS)
     for _ in range(MAX_ROUNDS):
         at = rows.withColumn("r", _rank(_key(), sorted(cuts)))
-        full = {r.r: max(r.b / fair_bytes, r.n / fair_rows) for r in at.groupBy("r").agg(
+        heavy = {r.r: (max(r.b / fair_bytes, r.n / fair_rows), r.b) for r in at.groupBy("r").agg(
             F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.min(_key()).alias("lo"),
             F.max(_key()).alias("hi")).filter("lo != hi").collect()}
-        full = {r: x for r, x in full.items() if x > 1}
+        full = {r: x for r, (x, _) in heavy.items() if x > 1}
         if not full or len(cuts) >= 2 * MAX_RANGES:
             break
         parts = int(sum(2 * x + 1 for x in full.values())) + 1
-        more = _sample(at.filter(F.col("r").isin(list(full))), min(parts, MAX_RANGES) * SAMPLE_PER_RANGE)
+        more = _sample(at.filter(F.col("r").isin(list(full))), min(parts, MAX_RANGES) * SAMPLE_PER_RANGE,
+                       sum(heavy[r][1] for r in full))
         new = cuts | _quantiles(more, parts)
         if new == cuts:
             break
