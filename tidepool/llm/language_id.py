@@ -42,20 +42,25 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Language -> dictionary content, from a bounded sample of the rows with a text and a language."""
-    order = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k", F.xxhash64("t"))
-    length = F.length("t")
-    piece = F.substring(F.col("t"), F.greatest(F.lit(1), F.floor((length - PIECE_CHARS) / 2).cast("int") + 1),
+    rows = (labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
+            .filter("t is not null and l is not null"))
+    sizes = {r.l: r.n for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages, the bound of the model")
+    # Rows beyond one and a half times the share that is wanted of their language
+    # are dropped where they are read; only the others carry a piece of text on.
+    share = F.lit(0.0)
+    for name, n in sorted(sizes.items()):
+        share = F.when(F.col("l") == name, F.lit(min(1.0, 1.5 * SAMPLE_DOCS / n))).otherwise(share)
+    u = F.shiftrightunsigned(F.xxhash64("k", F.lit(19)), 11) / float(1 << 53)
+    piece = F.substring(F.col("t"), F.greatest(F.lit(1), F.floor((F.length("t") - PIECE_CHARS) / 2).cast("int") + 1),
                         F.lit(PIECE_CHARS))
-    sample = (labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-              .filter("t is not null and l is not null")
-              # The key's rank needs no text: only the sampled rows carry one on.
-              .withColumn("piece", piece).select("k", "l", "piece", F.col("piece").alias("t"))
+    order = Window.partitionBy("l").orderBy("u", "k", "piece")
+    sample = (rows.withColumn("u", u).filter(F.col("u") <= share).select("k", "l", "u", piece.alias("piece"))
               .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS))
     found: dict[str, list] = {}
     for r in sample.select("l", "rank", "piece").collect():
         found.setdefault(r.l, []).append((r.rank, r.piece))
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"{len(found)} languages; the model is bounded to {MAX_LANGUAGES}")
     return {l: b" ".join(_words(p) for _, p in sorted(rows, key=lambda r: r[0])) for l, rows in found.items()}
 
 
