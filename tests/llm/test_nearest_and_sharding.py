@@ -63,6 +63,21 @@ def test_recall_and_exact_scores(spark, sf, monkeypatch):
         assert all(abs(-s - float(np.dot(x[q], x[i]))) < 1e-12 for s, i in found)
 
 
+def test_recall_of_sparse_queries_beside_a_dense_group(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_QUERIES", 100)
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    dense = unit(unit(rng.standard_normal((1, 32))) + 0.09 * rng.standard_normal((2800, 32)))
+    x = np.vstack([dense, unit(rng.standard_normal((1200, 32)))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, want = result(N.nearest(df, F.col("id") % 20 == 0)), brute(rows, N.K)
+    assert got.keys() == want.keys() and all(len(v) == N.K for v in got.values())
+    recall = {q: len({i for _, i in got[q]} & {i for _, i in want[q]}) / N.K for q in want}
+    assert np.mean([recall[q] for q in want if q < 2800]) >= 0.93
+    assert np.mean([recall[q] for q in want if q >= 2800]) >= 0.93
+
+
 def check_shards(rows, pairs, shards, slack):
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == sorted(
         (str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in pairs)

@@ -8,8 +8,13 @@ the difference of a projection is normal with deviation r, which gives every
 perturbation of the query's slots (up to MAX_CHANGES of them moved by one) a
 probability of holding the neighbour.  A table's buckets are visited in
 descending order of that estimate until they hold the neighbour with the
-probability that, over all tables, makes TARGET.  r is the distance of the
-K-th neighbour of a bounded sample of queries, measured against all rows.
+probability that, over all tables, makes TARGET.
+
+r is a query's own.  A first round takes FIRST_SHARE of the K-th distances of a
+bounded sample of queries, measured against all rows.  The K-th distance a
+query found there is never below its true one, so a query for which it is
+above the first round's r is searched again with it; the others have already
+visited what their own distance calls for.
 
 Work is dealt out as blocks of queries times shards of rows (by a hash of the
 id), so a bucket, however full, is spread over all shards and no group grows
@@ -17,7 +22,7 @@ with the data; in a group the buckets of all tables are merged per query, the
 candidates are scored exactly, and K + 1 go on.  Equal vectors are one
 candidate: its K + 1 smallest ids stand for it, which is all that can be in a
 result.  Queries for which the buckets held fewer than K others are searched
-once more against all rows, in blocks.
+once more against all rows, in the same blocks and shards.
 
 Scores are sums of exact products in extended precision, rounded once.  Edge
 cases: null or zero vectors, vectors with a null or non-finite component, rows
@@ -44,7 +49,8 @@ K = 20
 TABLES, HASHES, WIDTH, MAX_CHANGES = 24, 10, 2.3, 2
 TARGET = 0.95
 SEED = 7
-SAMPLE_QUERIES = 128            # queries whose K-th distance is measured to set r
+SAMPLE_QUERIES = 128            # queries whose K-th distance is measured to set the first round's r
+FIRST_SHARE = 0.9               # share of them whose distance the first round covers
 BLOCK_QUERIES = 512
 SHARD_ROWS = 65_536
 
@@ -79,9 +85,9 @@ class Tables:
     def codes(self, slots: np.ndarray) -> np.ndarray:
         return (slots * self.multiplier).sum(axis=-1)
 
-    def probes(self, slots: np.ndarray, place: np.ndarray, r: float) -> list[list[np.ndarray]]:
-        """Per query and table the bucket codes to visit, in order of estimated success."""
-        s = max(r, 1e-9) / WIDTH
+    def probes(self, slots: np.ndarray, place: np.ndarray, r: np.ndarray) -> list[list[np.ndarray]]:
+        """Per query (with its ``r``) and table the bucket codes to visit, in order of estimated success."""
+        s = np.maximum(r, 1e-9)[:, None, None] / WIDTH
         cdf = lambda z: 0.5 * (1 + _erf(z / math.sqrt(2)))
         stay = np.maximum(cdf((1 - place) / s) - cdf(-place / s), 1e-300)
         down = np.maximum(cdf(-place / s) - cdf(-(1 + place) / s), 1e-300)
@@ -151,8 +157,8 @@ def _matrix(column) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 1))
 
 
-def search_block(q_ids, q, ids, x, largest: float, r: float) -> pa.Table:
-    """K + 1 best candidates of each query among the rows whose buckets it visits."""
+def search_block(q_ids, q, ids, x, largest: float, r: np.ndarray) -> pa.Table:
+    """K + 1 best candidates of each query among the rows whose buckets it visits; all rows where its r is infinite."""
     tables = Tables(x.shape[1] + 1)
     codes = tables.codes(tables.slots(lifted(x, largest))[0])
     index = []
@@ -162,10 +168,17 @@ def search_block(q_ids, q, ids, x, largest: float, r: float) -> pa.Table:
     slots, place = tables.slots(_unit(q))
 
     def chosen():
+        every = np.arange(len(ids))
         for lo in range(0, len(q), 64):
-            for visit in tables.probes(slots[lo:lo + 64], place[lo:lo + 64], r):
+            at = np.arange(lo, min(lo + 64, len(q)))
+            near = at[np.isfinite(r[at])]
+            visits = dict(zip(near.tolist(), tables.probes(slots[near], place[near], r[near])))
+            for i in at.tolist():
+                if i not in visits:
+                    yield every
+                    continue
                 seen = np.zeros(len(ids), dtype=bool)
-                for (order, sorted_), wanted in zip(index, visit):
+                for (order, sorted_), wanted in zip(index, visits[i]):
                     a, b = np.searchsorted(sorted_, wanted, "left"), np.searchsorted(sorted_, wanted, "right")
                     some = b > a
                     a, n = a[some], (b - a)[some]
@@ -174,12 +187,13 @@ def search_block(q_ids, q, ids, x, largest: float, r: float) -> pa.Table:
     return _hits(q_ids, q, ids, x, chosen())
 
 
-def _searcher(largest: float, r: float):
+def _searcher(largest: float):
     def run(key, rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return _hits([], np.zeros((0, 1)), np.zeros(0), np.zeros((0, 1)), [])
         return search_block(queries.column("query_id").to_numpy(), _matrix(queries.column("v")),
-                            rows.column("rep").to_numpy(), _matrix(rows.column("v")), largest, r)
+                            rows.column("rep").to_numpy(), _matrix(rows.column("v")), largest,
+                            queries.column("r").to_numpy())
     return run
 
 
@@ -224,40 +238,37 @@ def nearest(vectors: DataFrame, query_filter, key: str = "vec_id", vector: str =
         return _finish(members, spark.createDataFrame([], _HIT), k)
     largest = math.sqrt(size.s)
     r = _kth_distance(reps, queries, largest)
-    shards, blocks = -(-size.n // SHARD_ROWS), -(-n_queries // BLOCK_QUERIES)
+    first = checkpointed(_search(reps, queries.withColumn("r", F.lit(r)), size.n, n_queries, largest))
+    # A query's own r; fewer than K others (a query mostly finds itself) call for the exact search.
+    found = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
+    own = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("s") / (norm * largest)))
+    again = checkpointed(queries.join(found, "query_id", "left").select(
+        "query_id", "v", F.when(F.col("n") >= min(K + 1, size.n), own).otherwise(float("inf")).alias("r"))
+        .filter(F.col("r") > r))
+    n_again = again.count()
+    hits = first if not n_again else _best(
+        first.union(_search(reps, again, size.n, n_again, largest)).dropDuplicates(["query_id", "rep"]))
+    return _finish(members, hits, k)
+
+
+def _best(hits: DataFrame) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
+    return hits.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= K + 1).drop("n")
+
+
+def _search(reps: DataFrame, queries: DataFrame, n_rows: int, n_queries: int, largest: float) -> DataFrame:
+    """K + 1 best hits of ``queries`` (query_id, v, r), searched in blocks of queries times shards of rows."""
+    shards, blocks = -(-n_rows // SHARD_ROWS), -(-n_queries // BLOCK_QUERIES)
     left = reps.withColumn("s", F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(shards))) \
         .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("b", F.pmod(F.xxhash64("query_id", F.lit(5)), F.lit(blocks)).cast("int")) \
         .withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    hits = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(_searcher(largest, r), _HIT)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
-    hits = checkpointed(hits.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= K + 1).drop("n"))
-    # A query finds itself; fewer than K others call for the exact search.
-    short = queries.join(hits.groupBy("query_id").count(), "query_id", "left").filter(
-        F.coalesce("count", F.lit(0)) < min(K + 1, size.n)).select("query_id", "v")
-    for block in _query_blocks(short):
-        share = spark.sparkContext.broadcast(block)
-        more = reps.mapInArrow(_scanner(share), _HIT)
-        done = spark.createDataFrame([(int(i),) for i in block[0]], "query_id long")
-        hits = hits.join(F.broadcast(done), "query_id", "left_anti").union(
-            more.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= K + 1).drop("n"))
-    return _finish(members, hits, k)
-
-
-def _query_blocks(queries: DataFrame):
-    """Blocks of at most BLOCK_QUERIES queries (ids, vectors), read one partition at a time."""
-    ids, rows = [], []
-    for row in queries.toLocalIterator():
-        ids.append(row.query_id), rows.append(row.v)
-        if len(ids) == BLOCK_QUERIES:
-            yield np.array(ids), np.array(rows)
-            ids, rows = [], []
-    if ids:
-        yield np.array(ids), np.array(rows)
+    return _best(left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(_searcher(largest), _HIT))
 
 
 def _kth_distance(reps: DataFrame, queries: DataFrame, largest: float) -> float:
-    """Distance, in the lifted space, of the K-th neighbour of a bounded sample of queries, over all rows."""
+    """Distance, in the lifted space, that covers the K-th neighbour of FIRST_SHARE of a bounded sample of queries."""
     some = bounded_sample(queries, SAMPLE_QUERIES, "query_id").collect()
     block = np.array([s.query_id for s in some]), np.array([s.v for s in some])
     hits = reps.mapInArrow(_scanner(reps.sparkSession.sparkContext.broadcast(block)), _HIT)
@@ -266,7 +277,7 @@ def _kth_distance(reps: DataFrame, queries: DataFrame, largest: float) -> float:
             .groupBy("query_id").agg(F.min("score").alias("s")).collect())
     norm = dict(zip(block[0].tolist(), np.linalg.norm(block[1], axis=1).tolist()))
     d = [math.sqrt(max(0.0, 2 - 2 * x.s / (norm[x.query_id] * largest))) for x in last]
-    return float(np.mean(d)) if d else 1.0
+    return float(np.quantile(d, FIRST_SHARE)) if d else 1.0
 
 
 def _finish(members: DataFrame, hits: DataFrame, k: int) -> DataFrame:
