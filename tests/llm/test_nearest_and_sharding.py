@@ -78,6 +78,30 @@ def test_recall_of_sparse_queries_beside_a_dense_group(spark, monkeypatch):
     assert np.mean([recall[q] for q in want if q >= 2800]) >= 0.93
 
 
+@pytest.mark.parametrize("r", [0.6, 1.2, 1.36, 1.41])
+def test_visits_make_the_target_at_every_distance(r):
+    tables, rng = N.Tables(64), np.random.default_rng(5)
+    q = rng.standard_normal((20, 64))
+    slots, place = tables.slots(q)
+    met = []
+    for i, visit in enumerate(tables.probes(slots, place, np.full(20, r))):
+        away = rng.standard_normal((300, 64))
+        away *= r / np.linalg.norm(away, axis=1, keepdims=True)
+        codes = tables.codes(tables.slots(q[i] + away)[0])
+        met.append(1.0 if visit is None else np.mean(
+            np.any([np.isin(codes[:, t], visit[t]) for t in range(N.TABLES)], axis=0)))
+    assert np.mean(met) >= N.TARGET - 0.015
+
+
+def test_out_of_reach_queries_see_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(N, "MORE_CHANGES", 0)
+    monkeypatch.setattr(N, "MAX_CHANGES", 0)
+    x = np.random.default_rng(6).standard_normal((600, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    same(result(N.nearest(df, F.col("id") % 20 == 0)), brute(rows, N.K))
+
+
 def check_shards(rows, pairs, shards, slack):
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == sorted(
         (str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in pairs)

@@ -6,9 +6,12 @@ product is the smallest Euclidean distance.  Each of TABLES tables has HASHES
 Gaussian projections cut into slots of WIDTH.  For a neighbour at distance r
 the difference of a projection is normal with deviation r, which gives every
 perturbation of the query's slots (up to MAX_CHANGES of them moved by one) a
-probability of holding the neighbour.  A table's buckets are visited in
-descending order of that estimate until they hold the neighbour with the
-probability that, over all tables, makes TARGET.
+probability of holding the neighbour.  The buckets of all tables are visited in
+descending order of that estimate until at least one holds the neighbour with
+probability TARGET.  Where all buckets of MAX_CHANGES moves do not reach it,
+those of up to MORE_CHANGES are taken, and where these do not either, as at the
+distances of high dimensions or unequal norms, the query is compared with all
+rows.
 
 r is a query's own.  A first round takes FIRST_SHARE of the K-th distances of a
 bounded sample of queries, measured against all rows.  The K-th distance a
@@ -46,7 +49,7 @@ from tidepool.llm.common import bounded_sample, checkpointed, read_table, ship_b
 ship_by_value(__name__)
 
 K = 20
-TABLES, HASHES, WIDTH, MAX_CHANGES = 24, 10, 2.3, 2
+TABLES, HASHES, WIDTH, MAX_CHANGES, MORE_CHANGES = 24, 10, 2.3, 2, 3
 TARGET = 0.95
 SEED = 7
 SAMPLE_QUERIES = 128            # queries whose K-th distance is measured to set the first round's r
@@ -57,6 +60,40 @@ SHARD_ROWS = 65_536
 _HIT = "query_id long, rep long, score double"
 
 
+class Moves:
+    """Every perturbation of at most ``most`` slots."""
+
+    def __init__(self, most: int, multiplier: np.ndarray):
+        moves = [np.zeros(HASHES, dtype=np.int8)]
+        for k in range(1, most + 1):
+            for at in itertools.combinations(range(HASHES), k):
+                for signs in itertools.product((-1, 1), repeat=k):
+                    move = np.zeros(HASHES, dtype=np.int8)
+                    move[list(at)] = signs
+                    moves.append(move)
+        moves = np.array(moves)
+        self.down, self.up = (moves == -1).astype(float), (moves == 1).astype(float)
+        self.codes = (moves * multiplier).sum(axis=1)
+
+    def visits(self, log_stay: np.ndarray, log_down: np.ndarray, log_up: np.ndarray) -> list[np.ndarray] | None:
+        """Per table the moves to make, of all tables the likeliest that reach TARGET; None if all do not."""
+        log = log_down @ self.down.T + log_up @ self.up.T + log_stay.sum(axis=1, keepdims=True)
+        order = np.argsort(-log, axis=None, kind="stable")
+        table, mass = order // log.shape[1], np.exp(log.ravel()[order])
+
+        def reached(n: int) -> bool:
+            held = np.bincount(table[:n], mass[:n], TABLES)
+            return np.log1p(-np.minimum(held, 1 - 1e-12)).sum() <= math.log(1 - TARGET)
+        if not reached(len(order)):
+            return None
+        low, high = 1, len(order)
+        while low < high:
+            mid = (low + high) // 2
+            low, high = (low, mid) if reached(mid) else (mid + 1, high)
+        taken, table = order[:low] % log.shape[1], table[:low]
+        return [taken[table == t] for t in range(TABLES)]
+
+
 class Tables:
     """Projections and perturbations, the same in every task."""
 
@@ -65,16 +102,7 @@ class Tables:
         self.a = rng.standard_normal((dim, TABLES * HASHES))
         self.b = rng.uniform(0, WIDTH, TABLES * HASHES)
         self.multiplier = rng.integers(1, 2 ** 62, HASHES, dtype=np.int64) * 2 + 1
-        moves = [np.zeros(HASHES, dtype=np.int8)]
-        for k in range(1, MAX_CHANGES + 1):
-            for at in itertools.combinations(range(HASHES), k):
-                for signs in itertools.product((-1, 1), repeat=k):
-                    move = np.zeros(HASHES, dtype=np.int8)
-                    move[list(at)] = signs
-                    moves.append(move)
-        self.moves = np.array(moves)
-        self.down, self.up = (self.moves == -1).astype(float), (self.moves == 1).astype(float)
-        self.move_codes = (self.moves * self.multiplier).sum(axis=1)
+        self.moves = [Moves(k, self.multiplier) for k in (MAX_CHANGES, MORE_CHANGES)]
 
     def slots(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slot numbers, places within the slots), each (rows, TABLES, HASHES)."""
@@ -85,22 +113,21 @@ class Tables:
     def codes(self, slots: np.ndarray) -> np.ndarray:
         return (slots * self.multiplier).sum(axis=-1)
 
-    def probes(self, slots: np.ndarray, place: np.ndarray, r: np.ndarray) -> list[list[np.ndarray]]:
-        """Per query (with its ``r``) and table the bucket codes to visit, in order of estimated success."""
+    def probes(self, slots: np.ndarray, place: np.ndarray, r: np.ndarray) -> list[list[np.ndarray] | None]:
+        """Per query (with its ``r``) the bucket codes to visit in each table; None where buckets do not make TARGET."""
         s = np.maximum(r, 1e-9)[:, None, None] / WIDTH
         cdf = lambda z: 0.5 * (1 + _erf(z / math.sqrt(2)))
         stay = np.maximum(cdf((1 - place) / s) - cdf(-place / s), 1e-300)
         down = np.maximum(cdf(-place / s) - cdf(-(1 + place) / s), 1e-300)
         up = np.maximum(cdf((2 - place) / s) - cdf((1 - place) / s), 1e-300)
         base, out = self.codes(slots), []
-        need = 1 - (1 - TARGET) ** (1 / TABLES)
         for q in range(len(slots)):
-            log = (np.log(down[q] / stay[q]) @ self.down.T + np.log(up[q] / stay[q]) @ self.up.T
-                   + np.log(stay[q]).sum(axis=1, keepdims=True))
-            order = np.argsort(-log, axis=1, kind="stable")
-            mass = np.cumsum(np.exp(np.take_along_axis(log, order, axis=1)), axis=1)
-            n = np.minimum((mass < need).sum(axis=1) + 1, order.shape[1])
-            out.append([base[q, t] + self.move_codes[order[t, :n[t]]] for t in range(TABLES)])
+            logs = np.log(stay[q]), np.log(down[q] / stay[q]), np.log(up[q] / stay[q])
+            for moves in self.moves:
+                visit = moves.visits(*logs)
+                if visit is not None:
+                    break
+            out.append(None if visit is None else [base[q, t] + moves.codes[visit[t]] for t in range(TABLES)])
         return out
 
 
@@ -158,7 +185,8 @@ def _matrix(column) -> np.ndarray:
 
 
 def search_block(q_ids, q, ids, x, largest: float, r: np.ndarray) -> pa.Table:
-    """K + 1 best candidates of each query among the rows whose buckets it visits; all rows where its r is infinite."""
+    """K + 1 best candidates of each query among the rows whose buckets it visits; all rows where
+    its r is infinite or its buckets do not make TARGET."""
     tables = Tables(x.shape[1] + 1)
     codes = tables.codes(tables.slots(lifted(x, largest))[0])
     index = []
@@ -174,7 +202,7 @@ def search_block(q_ids, q, ids, x, largest: float, r: np.ndarray) -> pa.Table:
             near = at[np.isfinite(r[at])]
             visits = dict(zip(near.tolist(), tables.probes(slots[near], place[near], r[near])))
             for i in at.tolist():
-                if i not in visits:
+                if visits.get(i) is None:
                     yield every
                     continue
                 seen = np.zeros(len(ids), dtype=bool)
