@@ -71,6 +71,13 @@ SECRET_DOCS = [
 ]
 
 
+def test_prose_is_counted_over_whole_texts_of_all_documents(spark, docs_of):
+    rare = "plain words " * 5000 + "quixotry"
+    docs = docs_of([(i, f"plain words {SYLLABLES['cc'].split()[i % 4]}") for i in range(5000)] + [(9000, rare), (9001, None)])
+    p = S.learn_prose(docs)
+    assert {"plain", "quixotry", "mente"} <= p["words"] and "qu" in p["pairs"] and p["rare"] < min(p["pairs"].values())
+
+
 def test_candidates_do_not_overlap():
     for _, t in SECRET_DOCS:
         found = S.candidates(t)

@@ -8,7 +8,8 @@ ids.  The forest looks at what a shape cannot tell:
 * length of the candidate, and its share of digits, capitals and hex digits;
 * character transitions: changes between character classes, distinct
   characters, and how likely its letter pairs are in the corpus's prose;
-* dictionary coverage: share of its letters in words of the corpus;
+* dictionary coverage: share of its letters in words of the corpus (words and
+  pairs are counted over the whole texts of all training-fold documents);
 * path: whether the document's path names a test, example or document folder;
 * neighbouring words: an assignment sign or quote, credential words and number
   words among the three words before and the one after it.
@@ -39,15 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import bounded_sample, checkpointed, hash_share, read_table, ship_by_value
+from tidepool.llm.common import checkpointed, hash_share, read_table, ship_by_value
 
 ship_by_value(__name__)
 
 TRAIN_DOCS = 100_000            # documents (about) that labelled findings are taken from, by hash
 TRAIN_FINDINGS = 20_000         # labelled findings the forest is fitted on, by hash
-DICTIONARY_DOCS = 2_000         # documents whose words make the dictionary and the letter-pair model, by hash
-DICTIONARY_CHARS = 4_000        # characters from the middle of each
-DICTIONARY_WORDS = 20_000       # most frequent words kept
+WORD_SHARE = 2e-6               # of all words, what a word of the dictionary makes up at least: at most 500,000 words
+PAIR_SHARE = 1e-7               # the same for the letter pairs
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -145,24 +145,35 @@ def validate(value: str, kind: str, before: str) -> bool | None:
     return None
 
 
-def learn_prose(docs: DataFrame, key: str = "doc_id", text: str = "text") -> dict:
-    """Dictionary and letter-pair model from a bounded sample of documents."""
-    middle = F.substring(F.col(text), F.greatest(F.lit(1), F.floor((F.length(text) - DICTIONARY_CHARS) / 2)
-                                                 .cast("int") + 1), F.lit(DICTIONARY_CHARS))
-    sample = bounded_sample(docs.select(F.col(key).alias("k"), middle.alias("t")), DICTIONARY_DOCS, "k")
-    # The bounded sample is counted in place: at most DICTIONARY_DOCS * DICTIONARY_CHARS characters.
-    words: dict[str, int] = {}
-    for (t,) in sample.select("t").collect():
-        for w in _WORDS.findall((t or "").lower()):
-            words[w] = words.get(w, 0) + 1
-    pairs: dict[str, int] = {}
-    for w, c in words.items():
-        for i in range(len(w) - 1):
-            pairs[w[i:i + 2]] = pairs.get(w[i:i + 2], 0) + c
-    total = sum(pairs.values()) or 1
-    kept = sorted(words, key=lambda w: (-words[w], w))[:DICTIONARY_WORDS]
-    return {"words": set(kept), "pairs": {p: math.log(c / total) for p, c in pairs.items()},
-            "rare": math.log(0.5 / total)}
+def _word_counts(batches):
+    """Words of whole texts with their counts, one row per word and batch."""
+    for batch in batches:
+        counts: dict[str, int] = {}
+        for t in batch.column(0).to_pylist():
+            for w in _WORDS.findall((t or "").lower()):
+                counts[w] = counts.get(w, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                                         names=["w", "n"])
+
+
+def learn_prose(docs: DataFrame, text: str = "text") -> dict:
+    """Dictionary and letter-pair model, counted over the whole texts of all documents.
+
+    What is broadcast is bounded by shares of the corpus, so it does not grow with
+    it; in a corpus of fewer words than 1 / WORD_SHARE every word is kept.
+    """
+    counts = docs.select(F.col(text).alias("t")).mapInArrow(_word_counts, "w string, n long")
+    words = checkpointed(counts.groupBy("w").agg(F.sum("n").alias("n")))
+    at = F.explode(F.sequence(F.lit(1), F.length("w") - 1))
+    pairs = checkpointed(words.filter(F.length("w") > 1).select("w", "n", at.alias("i"))
+                         .groupBy(F.substring(F.col("w"), F.col("i"), F.lit(2)).alias("p")).agg(F.sum("n").alias("n")))
+    all_words = words.agg(F.sum("n")).first()[0] or 1
+    total = pairs.agg(F.sum("n")).first()[0] or 1
+    kept = words.filter((F.length("w") > 2) & (F.col("n") >= all_words * WORD_SHARE)).select("w")
+    likely = pairs.filter(F.col("n") >= total * PAIR_SHARE)
+    return {"words": {r.w for r in kept.toLocalIterator()},
+            "pairs": {r.p: math.log(r.n / total) for r in likely.toLocalIterator()},
+            "rare": math.log(0.5 * max(PAIR_SHARE, 1 / total))}
 
 
 def _finder(share):
