@@ -86,6 +86,22 @@ def test_candidates_do_not_overlap():
     assert S.candidates("a") == [] and len(S.candidates(SECRET_DOCS[4][1])) == 3
 
 
+def test_provider_keys_inside_longer_candidates(spark, docs_of):
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nQUJD\n-----END RSA PRIVATE KEY-----"
+    texts = [f"https://files.example.com/{KEY}/x", f"see backup-{KEY}-old here", f"{pem} and {pem}"]
+    found = [[(t[a:b], k) for a, b, k in S.candidates(t)] for t in texts]
+    assert found[0] == [(f"//files.example.com/{KEY}/x", "assigned"), (KEY, "provider")]
+    assert (KEY, "provider") in found[1] and len(found[1]) == 2
+    assert found[2] == [(pem, "provider")] * 2
+    assert (60, 60 + len(pem), "provider") in S.candidates(pem[:60] + pem)      # a key without its end before it
+    prose_model = {"words": set(), "pairs": {}, "rare": -9.0}
+    clears = S.Forest([([0, -1, -1], [20.5, 0.0, 0.0], [1, -1, -1], [2, -1, -1], [0.0, 1.0, 0.0])])  # secret up to 20 characters
+    got = {r.doc_id: r.text for r in S.redact(docs_of(list(enumerate(texts[:2]))), prose_model, clears).collect()}
+    assert got == {0: "https://files.example.com/[SECRET]/x", 1: "see backup-[SECRET]-old here"}
+    got = S.redact(docs_of([(0, texts[0])]), prose_model, None).first()
+    assert got.text == "https:[SECRET]"
+
+
 def test_labels_and_features():
     assert S.validate("4539578763621486", "digits", "card ") is False
     assert S.validate("9f8e7d6c5b4a392817", "assigned", "the password=") is True

@@ -24,7 +24,9 @@ are read once into plain arrays of bounded size and shipped, so scanning and
 redaction are one map pass over whole texts without a join.
 
 Edge cases: null and empty texts have no candidates; a candidate covering
-another is reported once (the longest, then the first pattern); with labels of
+another is reported once (the longest, then the first pattern), but a provider
+candidate is reported and judged whatever covers it, and so is the cover;
+secrets that overlap are masked as one; with labels of
 one kind only, or none, every candidate of a provider or credential shape
 counts as a secret; repeated rows are scanned each; a null path counts as none.
 """
@@ -59,7 +61,7 @@ SHAPES = [
     ("provider", r"(?<![A-Za-z0-9])sk-[A-Za-z0-9]{20,}(?![A-Za-z0-9])"),
     ("provider", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"),
     ("provider", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
-    ("provider", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"),
+    ("provider", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?s:(?!-----BEGIN ).)*?-----END [A-Z ]*PRIVATE KEY-----"),
     ("assigned", r"(?<=[=:])[ \t]?[\"']?(?P<v>[A-Za-z0-9_+/.@-]{8,})"),
     ("mixed", r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Za-z])[A-Za-z0-9_-]{12,}(?![A-Za-z0-9])"),
     ("digits", r"(?<![A-Za-z0-9.])[0-9]{12,}(?![A-Za-z0-9])"),
@@ -79,21 +81,29 @@ FEATURES = ["length", "digits", "capitals", "hex", "class_changes", "distinct",
 
 
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, stop, shape) of the candidates of a whole text, no two overlapping, in order."""
+    """(start, stop, shape) of the candidates of a whole text, in order.
+
+    Provider candidates do not overlap each other, nor do the others; a longer
+    one of the others may cover or cut a provider candidate, which stays.
+    """
     if not text:
         return []
     found = []
     for rank, (kind, pattern) in enumerate(_SHAPES):
         for m in pattern.finditer(text):
             a, b = m.span("v") if "v" in pattern.groupindex else m.span()
-            found.append((b - a, -rank, -a, a, b, kind))
-    taken, out = [], []
+            found.append((kind == "provider", b - a, -rank, -a, a, b, kind))
     import bisect
-    for _, _, _, a, b, kind in sorted(found, reverse=True):
-        i = bisect.bisect(taken, (a, b))
-        if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
+    keys, taken, out = [], [], []
+    for provider, _, _, _, a, b, kind in sorted(found, reverse=True):
+        i = bisect.bisect(keys, (a, b))
+        if not provider and ((i and keys[i - 1][1] >= b) or (i < len(keys) and keys[i][0] == a)):
+            continue                # within a provider candidate
+        spans = keys if provider else taken
+        i = bisect.bisect(spans, (a, b))
+        if (i and spans[i - 1][1] > a) or (i < len(spans) and spans[i][0] < b):
             continue
-        taken.insert(i, (a, b))
+        spans.insert(i, (a, b))
         out.append((a, b, kind))
     return sorted(out)
 
@@ -294,9 +304,15 @@ def _redactor(share, col: int, path: int | None, threshold: float, changed: list
             if found:
                 got = _scores(forest, [features(texts[i], a, b, None if paths[i] is None else str(paths[i]), prose)
                                        for i, a, b, _ in found], [k for *_, k in found])
-                for (i, a, b, _), s in reversed(list(zip(found, got))):
+                spans: list[list[int]] = []         # of the secrets, those that overlap made one
+                for (i, a, b, _), s in zip(found, got):
                     if s >= threshold:
-                        texts[i] = texts[i][:a] + MASK + texts[i][b:]
+                        if spans and spans[-1][0] == i and a < spans[-1][2]:
+                            spans[-1][2] = max(b, spans[-1][2])
+                        else:
+                            spans.append([i, a, b])
+                for i, a, b in reversed(spans):
+                    texts[i] = texts[i][:a] + MASK + texts[i][b:]
                 batch = batch.set_column(col, batch.schema.field(col), pa.array(texts, batch.schema.field(col).type))
                 for c, _ in changed:
                     sizes = [None if t is None else len(t) for t in texts]
