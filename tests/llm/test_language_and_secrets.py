@@ -112,6 +112,17 @@ def test_labels_and_features():
     assert f["credential_before"] == 1 and f["assigned"] == 1 and f["path"] == 0 and f["dictionary"] == 0
 
 
+@pytest.mark.parametrize("name", ["DB_PASSWORD=", "aws_secret_access_key = ", "client_secret: ", "client-secret: ",
+                                  "accessToken=", "SECRET_KEY=", "private_key=", "DBPassword=", "MY_APIKEY="])
+def test_credential_names_in_parts(name):
+    value, p = "9f8e7d6c5b4a392817", {"words": set(), "pairs": {}, "rare": -9.0}
+    assert S.validate(value, "assigned", f"export {name}") is True
+    text = f"export {name}{value} end"
+    f = dict(zip(S.FEATURES, S.features(text, text.index(value), text.index(value) + len(value), None, p)))
+    assert f["credential_before"] == 1 and f["assigned"] == 1
+    assert S.validate(value, "assigned", "the monkeys tokenizer: ") is None
+
+
 def test_forest_and_redaction(spark, docs_of):
     rng = random.Random(4)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))

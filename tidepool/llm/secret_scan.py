@@ -12,7 +12,8 @@ ids.  The forest looks at what a shape cannot tell:
   pairs are counted over the whole texts of all training-fold documents);
 * path: whether the document's path names a test, example or document folder;
 * neighbouring words: an assignment sign or quote, credential words and number
-  words among the three words before and the one after it.
+  words among the three words before and the one after it, whole or as parts of
+  names such as DB_PASSWORD, client-secret or accessToken.
 
 The forest is trained (Spark ML) from labelled findings, at most
 ``TRAIN_FINDINGS`` of them, from ``TRAIN_DOCS`` documents.  A findings table with a boolean ``label`` column
@@ -74,7 +75,8 @@ TEST_PATH = re.compile(r"(?:^|[/_.-])(?:tests?|examples?|samples?|docs?|fixtures
 
 _SHAPES = [(k, re.compile(p)) for k, p in SHAPES]
 _WORDS = re.compile(r"[^\W\d_]+")
-_NEAR = re.compile(r"[A-Za-z_]+")
+_NEAR = re.compile(r"[A-Za-z_]+(?:-[A-Za-z_]+)*")
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 FEATURES = ["length", "digits", "capitals", "hex", "class_changes", "distinct", "pair_score", "dictionary", "path",
             "assigned", "quoted", "credential_before", "number_before", "credential_after", "luhn_length"]
@@ -112,6 +114,11 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
+def _names(words: list[str]) -> set[str]:
+    """The words in lower case, whole and in parts: cut at underscores, hyphens and camel case."""
+    return {w.lower() for w in words} | {p.lower() for w in words for p in _PART.findall(w)}
+
+
 def features(text: str, a: int, b: int, path: str | None, prose: dict) -> list[float]:
     value, n = text[a:b], b - a
     letters = sum(map(str.isalpha, value)) or 1
@@ -119,8 +126,7 @@ def features(text: str, a: int, b: int, path: str | None, prose: dict) -> list[f
     covered = sum(len(w) for w in _WORDS.findall(low) if len(w) > 2 and w in words)
     near = [low[i:i + 2] for i in range(n - 1)]
     before = text[max(0, a - 40):a]
-    names = [w.lower() for w in _NEAR.findall(before)[-3:]]
-    after = [w.lower() for w in _NEAR.findall(text[b:b + 30])[:1]]
+    names, after = _names(_NEAR.findall(before)[-3:]), _names(_NEAR.findall(text[b:b + 30])[:1])
     tail = before.rstrip(" \t\"'")
     return [
         float(min(n, 512)), sum(map(str.isdigit, value)) / n, sum(map(str.isupper, value)) / n,
@@ -128,8 +134,8 @@ def features(text: str, a: int, b: int, path: str | None, prose: dict) -> list[f
         sum(_kind(x) != _kind(y) for x, y in zip(value, value[1:])) / n, len(set(value)) / n,
         sum(pairs.get(p, prose["rare"]) for p in near) / max(1, len(near)), covered / letters,
         float(bool(path and TEST_PATH.search(path))), float(tail[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'")),
-        float(any(w in CREDENTIAL_NAMES for w in names)), float(any(w in NUMBER_NAMES for w in names)),
-        float(any(w in CREDENTIAL_NAMES for w in after)), float(13 <= n <= 19),
+        float(bool(names & CREDENTIAL_NAMES)), float(bool(names & NUMBER_NAMES)),
+        float(bool(after & CREDENTIAL_NAMES)), float(13 <= n <= 19),
     ]
 
 
@@ -143,7 +149,7 @@ def _luhn(digits: str) -> bool:
 
 def validate(value: str, kind: str, before: str) -> bool | None:
     """A sure label of a finding, or None: checks on formats, not on the features."""
-    names = {w.lower() for w in _NEAR.findall(before)[-2:]}
+    names = _names(_NEAR.findall(before)[-2:])
     if kind == "provider":
         return True
     if kind == "dotted" or re.fullmatch(r"[A-Za-z0-9._-]+@[A-Za-z0-9.-]+|[0-9]{1,4}([.-][0-9]{1,4}){2,3}", value):
