@@ -67,6 +67,27 @@ def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return hash_share(df, 1.5 * n, *keys).orderBy(F.xxhash64(*keys, F.lit(17)), *keys).limit(n)
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority that Spark itself would use for it (``fs.defaultFS`` if it names none)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def shared_files(uri: str):
+    """(pyarrow file system, folder) of a qualified uri, on driver and executors alike."""
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(uri)
+
+
+def publish(files, source: str, target: str) -> None:
+    """Rename a finished file into place, over one that an earlier attempt of the task has left."""
+    from pyarrow import fs
+    if files.get_file_info(target).type != fs.FileType.NotFound:
+        files.delete_file(target)
+    files.move(source, target)
+
+
 def lower_ascii(col: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
