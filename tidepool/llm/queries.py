@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tidepool.llm import (centroids, chat, decontaminate, exact_dedup, language_id, nearest, packing, secret_scan,
-                          sharding, simhash, suffix_dedup, token_store)
+                          sharding, simhash, structure_repair, suffix_dedup, token_store)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_token_store": token_store.op9_token_store,
     "op10_sharding": sharding.op10_sharding,
+    "op11_structure_repair": structure_repair.op11_structure_repair,
     "op12_centroid_clusters": centroids.op12_centroid_clusters,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
     "pipeline": corpus_pipeline.run,
@@ -24,6 +25,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_chat_formatting": chat.OP3_SQL,
+    "op11_structure_repair": structure_repair.OP11_SQL,
     "op12_centroid_clusters": centroids.OP12_SQL,
     "op13_exact_dedup": exact_dedup.OP13_SQL,
 }
