@@ -8,7 +8,7 @@ rows (one text copied everywhere) goes over several owners.
 Each owner keeps an extendible-hash index of its range: a directory of 2^depth
 entries leads by the hash's low bits to buckets of ``BUCKET_KEYS`` keys; an
 overfull bucket is split, and the directory doubled when the bucket was already
-as deep as it.  Texts of one hash are chained under its key, and a
+as deep as it (keys alike in their low 22 bits stay in one bucket of any size).  Texts of one hash are chained under its key, and a
 row joins an entry of the chain only if the text's bytes are the same.  The bytes of each
 different text are appended to segment files in the shared folder; an owner
 keeps the last segment and a bounded cache in memory and reads the others back
@@ -52,6 +52,7 @@ from tidepool.session import checkpoint_subdir
 ship_by_value(__name__)
 
 BUCKET_KEYS = 64
+MAX_DEPTH = 22                  # directory of 4 million entries; buckets that deep hold what comes
 SEGMENT_BYTES = 32 << 20
 CACHE_BYTES = 32 << 20
 MAGIC = b"TPXHASH1"
@@ -143,7 +144,7 @@ class ExtendibleIndex:
             self.hash.append(h), self.place.append(self.texts.add(text)), self.digest.append(digest), self.rows.append(0)
             b = self.bucket(h)
             b.keys.setdefault(h, []).append(e)
-            while len(b.keys) > self.bucket_keys:
+            while len(b.keys) > self.bucket_keys and b.depth < MAX_DEPTH:
                 self._split(b)
                 b = self.bucket(h)
         self.rows[e] += 1

@@ -394,7 +394,8 @@ def _table(rows: list, kind, schema: str = SEGMENTS):
 def segments(slim: DataFrame, limit: int = SEGMENT) -> DataFrame:
     """Symbol segments of all conversations, in order of (part, seg), written to the shared folder."""
     order = ["conv_id", "turn", "role", "d"]
-    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "turn", "initial", "ending", "n", "fresh")
+    n = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = slim.repartitionByRange(n, *order).sortWithinPartitions(*order).select("conv_id", "turn", "initial", "ending", "n", "fresh")
     kind = slim.schema["conv_id"].dataType.simpleString()
     return written(dealt.mapInArrow(_segments(limit), f"conv_id {kind}, {SEGMENTS}"), "turn-segments")
 
