@@ -145,6 +145,67 @@ def test_open_windows_hold_the_state_back(spark):
 
 
 def test_no_sort_aggregate_in_plan(spark):
-    w = A.window_aggregate(typed(spark, [dict(timestamp=10, amount0="1", amount1="-1")]), 300)
-    plan = w._jdf.queryExecution().executedPlan().toString()
+    events = typed(spark, [dict(timestamp=10, amount0="1", amount1="-1")])
+    plan = _plan(A.window_buffers(events, 300))
+    assert "SortAggregate" not in _plan(A.window_aggregate(events, 300))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_metadata_is_the_windows_own(spark):
+    rows = [dict(timestamp=10, amount0="1000000", amount1="-1", fee=3000), dict(timestamp=310, amount0="1000000", amount1="-1", fee=500)]
+    full = {r.window_start: (r.fee, r.fee0_raw) for r in _agg(spark, rows)}
+    resumed = {r.window_start: (r.fee, r.fee0_raw) for r in _agg(spark, rows, start=A.align_start(300, 300))}
+    assert full == {0: (3000, "3000"), 300: (500, "500")} and resumed == {300: full[300]}
+    # the pool's row has the latest window's metadata
+    assert [r.fee for r in A.pool_registry(A.window_aggregate(typed(spark, rows), 300)).collect()] == [500]
+
+
+def test_swaps_pay_their_windows_tier(spark):
+    """Tiers that differ inside one window: the highest named one counts, each swap floored under it."""
+    rows = [dict(timestamp=10, amount0="399", amount1="-1", fee=2500), dict(timestamp=11, amount0="399", amount1="-1", fee=100),
+            dict(timestamp=12, amount0="-1", amount1="4000", token0="", token1="", fee=9000),
+            dict(timestamp=13, amount0="1" + "0" * 90, amount1="-1", fee=100)]
+    r = _agg(spark, rows)[0]
+    assert (r.fee, r.swap_count, r.fee0_raw, r.fee1_raw) == (2500, 4, str(25 * 10 ** 86), "10")
+
+
+def test_events_are_read_once(spark, tmp_dir):
+    typed(spark, [dict(timestamp=10 + i, amount0="5", amount1="-1") for i in range(20)]).write.parquet(f"{tmp_dir}/ev")
+    ev = spark.read.parquet(f"{tmp_dir}/ev")
+    once = _plan(A.window_buffers(A.events_after(ev, 7, dedup=True), 300))
+    assert once.count("Scan parquet") == 1 and once.count("Window [") == 1 and "GreaterThan(timestamp,7)" in once
+    assert "Scan parquet" not in _plan(A.window_aggregate(ev, 300, dedup=True))
+    rolled = A.window_rollup(ev, [60, 300, 3600])
+    assert "Scan parquet" not in _plan(rolled) and rolled.count() == 3
+
+
+def test_rollup_equals_each_width(spark):
+    rng = random.Random(5)
+    rows = [dict(timestamp=rng.randrange(1, 20_000), block=i + 1, address=f"0xp{i % 3}", amount0=str(rng.randrange(-9999, 9999)),
+                 amount1=str(rng.randrange(-9999, 9999)), fee=rng.choice([500, 3000])) for i in range(300)]
+    cols = ["window_size_seconds", "pool_address", "window_start", "fee", "swap_count", "volume0_raw", "fee0_raw", "fee1_raw", "last_block"]
+    got = sorted(map(tuple, A.window_rollup(typed(spark, rows), [300, 900, 3600]).select(cols).collect()))
+    alone = [r for w in (300, 900, 3600) for r in map(tuple, A.window_aggregate(typed(spark, rows), w).select(cols).collect())]
+    assert got == sorted(alone)
+    with pytest.raises(ValueError):
+        A.window_rollup(typed(spark, rows), [300, 1000])
+
+
+def test_buffers_merge_in_any_order(spark):
+    rows = [dict(timestamp=1 + 40 * i, block=i + 1, amount0=str(10 ** 30 * (i - 9)), amount1=str(7 - i)) for i in range(20)]
+    halves = [A.window_buffers(typed(spark, rows[a::3]), 300) for a in range(3)]
+    for order in ((0, 1, 2), (2, 0, 1)):
+        b = halves[order[0]].unionByName(halves[order[1]]).unionByName(halves[order[2]])
+        got = A.finish_windows(A.merge_buffers(b), 300, typed(spark, rows))
+        assert _measures(got.collect()) == _measures(_agg(spark, rows))
+
+
+def test_counters_in_passing(spark):
+    rows = [dict(timestamp=0), dict(timestamp=10, amount0="x", amount1="1"), dict(timestamp=11, amount0="1", amount1="1")]
+    ev, seen = A.observe_counters(typed(spark, rows), 300, 5)
+    A.window_aggregate(ev, 300, 5, dedup=True)
+    assert seen.get == {"total": 3, "skipped": 1, "failed": 1}

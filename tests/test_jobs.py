@@ -206,3 +206,43 @@ def test_metrics_created_and_updated(spark, tmp_dir):
     U.write_version(df.withColumn("v", F.lit("b")), f"{tmp_dir}/t", 2)
     r = U.read_latest(spark, f"{tmp_dir}/t", ["k"]).first()
     assert r.v == "b" and r.created_at <= r.updated_at and r.batch_id == 2
+
+
+def test_merge_job_reads_only_new_events(spark, tmp_dir, monkeypatch):
+    tokens = spark.createDataFrame([(56, T0, 6, "A", "A"), (56, T1, 0, "B", "B")], S.TOKENS)
+    bal = spark.createDataFrame([(56, T0, POOL, 1, "1000000"), (56, T1, POOL, 1, "5000")], S.BALANCES)
+    rows = [dict(timestamp=301 + 40 * i, block=i + 1, amount0=str(1000 * (-1) ** i), amount1=str(-2000 * (-1) ** i)) for i in range(30)]
+    rows.append(dict(timestamp=900, block=40, amount0="x", amount1="1"))
+    whole, out = f"{tmp_dir}/whole", f"{tmp_dir}/out"
+    P.aggregate_job(spark, _events(spark, rows), tokens, bal, whole, 300)
+    want = sorted(map(tuple, P.read_metrics(spark, whole).collect()))
+    first = P.merge_job(spark, _events(spark, rows[:10]), tokens, bal, out, 300)
+    assert (first["run"], first["start_ts"], first["state"], first["total"]) == (1, 0, 661, 10)
+    # a run that dies before its state is written is repeated under the same number
+    write = U.write_version
+    monkeypatch.setattr(U, "write_version", lambda df, path, n: write(df, path, n) if not path.endswith("state") else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        P.merge_job(spark, _events(spark, rows[:20]), tokens, bal, out, 300)
+    monkeypatch.undo()
+    second = P.merge_job(spark, _events(spark, rows[:20]), tokens, bal, out, 300)
+    assert (second["run"], second["skipped"], second["state"]) == (2, 10, 1061)
+    # only what lies behind the state counts, as the reference's rule says: the bad swap at 900 came too late
+    assert P.compact_buffers(spark, f"{out}/buffers") == 2 and P.compact_buffers(spark, f"{out}/buffers") == 2
+    third = P.merge_job(spark, _events(spark, rows), tokens, bal, out, 300)
+    assert (third["run"], third["start_ts"], third["state"], third["failed"]) == (3, 1061, 1461, 0)
+    assert sorted(map(tuple, P.read_metrics(spark, out).collect())) == want
+    assert P.merge_job(spark, _events(spark, rows), tokens, bal, out, 300)["state"] == 1461
+    assert sorted(map(tuple, P.read_pools(spark, out).collect())) == sorted(map(tuple, P.read_pools(spark, whole).collect()))
+    base = spark.read.parquet(f"{out}/buffers/base=2")
+    assert base.count() == base.select(*A.GROUP_KEYS).distinct().count()
+
+
+def test_merged_windows_pay_their_own_tier(spark, tmp_dir):
+    """A later run names another tier for a window that is already stored: its older swaps are counted again."""
+    tokens = spark.createDataFrame([(56, T0, 0, "A", "A")], S.TOKENS)
+    bal = spark.createDataFrame([(56, T0, POOL, 1, "1")], S.BALANCES)
+    rows = [dict(timestamp=301, block=1, amount0="1000000", amount1="-1", fee=500), dict(timestamp=302, block=2, amount0="1000000", amount1="-1", fee=3000)]
+    P.merge_job(spark, _events(spark, rows[:1]), tokens, bal, f"{tmp_dir}/o", 300)
+    assert P.read_metrics(spark, f"{tmp_dir}/o").first().fee0 == "500"
+    P.merge_job(spark, _events(spark, rows), tokens, bal, f"{tmp_dir}/o", 300)
+    assert P.read_metrics(spark, f"{tmp_dir}/o").first().fee0 == "6000"

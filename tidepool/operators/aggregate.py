@@ -1,22 +1,30 @@
 """Per-pool tumbling-window aggregation of typed events.
 
-Plan shape: scan -> filter (pushed to Parquet) -> broadcast of the pools' fee
-tiers -> limb projection -> partial HashAggregate -> shuffle on (chain, pool,
-window) -> final HashAggregate -> pool metadata -> carry and render.  Every
-aggregate buffer is fixed width (BIGINT / DECIMAL), so both aggregation phases
-stay hash based, and map-side partial aggregation absorbs hot pools before the
-shuffle: the shuffle carries at most one row per group per input partition,
-whatever the skew.
+Plan shape: scan -> filter (pushed to Parquet) -> limb projection -> partial
+HashAggregate -> shuffle on (chain, pool, window, metadata) -> final
+HashAggregate -> window buffers -> carry and render.  The events are read once.
+Every aggregate buffer is fixed width (BIGINT / DECIMAL), so both aggregation
+phases stay hash based, and map-side partial aggregation absorbs hot pools
+before the shuffle: the shuffle carries at most one row per group per input
+partition, whatever the skew.
+
+``window_buffers`` are mergeable: buffers of one window from different runs, or
+of the narrow windows inside a wide one, add up (``merge_buffers``,
+``roll_up``); ``finish_windows`` turns them into rows.
 
 A window is keyed by chain, lower-cased pool and window start alone.  Events
-may spell a pool's metadata differently or lack it, so the metadata is resolved
-per pool first (``pool_metadata``): one deterministic row per pool, whose fee
-tier every swap of the pool pays and whose tokens its windows carry.
+may spell a pool's metadata differently or lack it; a window carries the best
+spelling among its own events (both tokens known, then smallest tokens, highest
+fee), and its swaps pay that fee tier.  So a window's row follows from its
+events alone, whichever run computes it.  Buffers are kept per spelling; only
+where swaps were counted under another tier than their window's are those
+swaps' events read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions import bigint as B
@@ -58,39 +66,21 @@ def _valid_swap(events: DataFrame) -> str:
 _LONG = f"(coalesce(greatest(length(decoded.amount0), length(decoded.amount1)), 0) > {B.WIDTH})"
 
 
-def pool_metadata(events: DataFrame) -> DataFrame:
-    """One row per (chain, pool): chain_id, pool_address, token0, token1, fee, tick_spacing, has_wide.
+META_SQL = {
+    "token0": "lower(coalesce(pool_meta.token0, ''))", "token1": "lower(coalesce(pool_meta.token1, ''))",
+    "fee": "CAST(coalesce(pool_meta.fee, 0) AS BIGINT)", "tick_spacing": "CAST(coalesce(pool_meta.tick_spacing, 0) AS INT)"}
 
-    Tokens are lower-cased.  Rows with both tokens come first, then the
-    smallest by tokens, highest fee, highest spacing; the choice does not
-    depend on the order of the events.  ``has_wide``: some event of the pool
-    has an amount text of more than 80 characters.  The events are reduced by hash to
-    their distinct spellings before any ordering, so a hot pool costs nothing.
-    """
-    rows = events.selectExpr(
-        "chain_id", "lower(address) AS pool_address", "lower(coalesce(pool_meta.token0, '')) AS token0",
-        "lower(coalesce(pool_meta.token1, '')) AS token1", "CAST(coalesce(pool_meta.fee, 0) AS BIGINT) AS fee",
-        "coalesce(pool_meta.tick_spacing, 0) AS tick_spacing", f"{_LONG} AS has_wide")
-    seen = rows.groupBy("chain_id", "pool_address", *META).agg(F.max("has_wide").alias("has_wide"))
-    per_pool = Window.partitionBy("chain_id", "pool_address")
-    complete = (F.col("token0") != "") & (F.col("token1") != "")
-    order = per_pool.orderBy(complete.desc(), "token0", "token1", F.desc("fee"), F.desc("tick_spacing"))
-    return (seen.withColumn("has_wide", F.max("has_wide").over(per_pool))
-            .withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn"))
-
-
-def event_terms(events: DataFrame, window_seconds: int, carry: tuple = (),
-                pool_meta: DataFrame | None = None) -> DataFrame:
+
+def event_terms(events: DataFrame, window_seconds: int, carry: tuple = (), fee: str = META_SQL["fee"]) -> DataFrame:
     """Row-level projection: keys, flags and the limbs each event contributes.
 
     Staged projections, each materialising what the next one reads several
     times (digit text, limbs, carry levels), so that every generated method
     stays small; the limb arithmetic is SQL text parsed once per stage.
 
-    The fee tier is the pool's in ``pool_meta`` (``pool_metadata``), or the
-    event's own where every event's metadata comes from one dimension already.
-    Amounts of more than WIDTH digits count as swaps here and add nothing
-    (``wide_sums`` adds them).
+    ``fee`` is the tier in SQL, by default the event's own.  Amounts of more
+    than WIDTH digits count as swaps here and add nothing (``wide_sums`` adds
+    them).
     """
     w = int(window_seconds)
     if w <= 0:
@@ -98,13 +88,6 @@ def event_terms(events: DataFrame, window_seconds: int, carry: tuple = (),
     d0, n0, _, d1, n1, _ = _amounts()
     valid = _valid_swap(events)
     is_swap = "coalesce(lower(event_name) = 'swap', false)"
-    fee = "CAST(coalesce(pool_meta.fee, 0) AS BIGINT)"
-    if pool_meta is not None:
-        fees = pool_meta.select(F.col("chain_id").alias("_fc"), F.col("pool_address").alias("_fp"),
-                                F.col("fee").alias("_fee"))
-        events = events.join(bounded_broadcast(fees), events["chain_id"].eqNullSafe(F.col("_fc"))
-                             & F.lower(events["address"]).eqNullSafe(F.col("_fp")), "left")
-        fee = "coalesce(_fee, 0)"
     keys = ["chain_id", "pool_address", "window_start", "block_number", *carry, "ts", "valid_swap", "accepted"]
     stage0 = events.selectExpr(
         "chain_id", "lower(address) AS pool_address", f"timestamp - timestamp % {w} AS window_start",
@@ -136,9 +119,11 @@ def event_terms(events: DataFrame, window_seconds: int, carry: tuple = (),
     )
 
 
-def wide_sums(events: DataFrame, window_seconds: int, pool_meta: DataFrame) -> DataFrame:
+def wide_sums(events: DataFrame, window_seconds: int, fees: DataFrame) -> DataFrame:
     """Exact sums of the swaps with over-long amounts: keys, wide_a0, wide_a1, wide_f0, wide_f1 (text).
 
+    ``fees``: the fee tier of each window that has such swaps.
+
     Every amount becomes one row per limb, the rows are summed by (window,
     measure, limb) with partial aggregation, and each window is folded once.
     """
@@ -148,7 +133,7 @@ def wide_sums(events: DataFrame, window_seconds: int, pool_meta: DataFrame) -> D
         "chain_id", "lower(address) AS pool_address", f"timestamp - timestamp % {w} AS window_start",
         f"CASE WHEN {valid} THEN {d0} ELSE '' END AS a0", f"{n0} AS n0",
         f"CASE WHEN {valid} THEN {d1} ELSE '' END AS a1", f"{n1} AS n1")
-    rows = rows.join(pool_meta.select("chain_id", "pool_address", "fee"), ["chain_id", "pool_address"])
+    rows = rows.join(bounded_broadcast(fees), list(GROUP_KEYS))
     pays0 = F.expr("fee > 0 AND n1 AND NOT n0 AND a0 != ''")
     pays1 = F.expr("fee > 0 AND n0 AND NOT n1 AND a1 != ''")
     rows = rows.withColumn("f0", F.when(pays0, X.fee_floor("a0", "fee"))).withColumn(
@@ -195,14 +180,97 @@ def agg_columns() -> list:
     ]
 
 
-def render_windows(g: DataFrame, window_seconds: int, pool_meta: DataFrame) -> DataFrame:
-    """Aggregated buffers -> window rows with pool metadata and exact integer text."""
+BUFFER_KEYS = (*GROUP_KEYS, *META)
+_SUMS = ("swap_count", *[f"a{s}_{i}" for s in (0, 1) for i in range(B.LIMBS)],
+         *[f"f{s}_{i}" for s in (0, 1) for i in range(N_FEE)], "n_events", "n_failed")
+_FEES = [f"f{s}_{i}" for s in (0, 1) for i in range(N_FEE)]
+
+
+def window_buffers(events: DataFrame, window_seconds: int) -> DataFrame:
+    """Aggregate buffers per (chain, pool, window, metadata spelling): BUFFER_KEYS, sums, bounds, has_wide.
+
+    ``has_wide``: some amount text has more than 80 characters.  A buffer row
+    has a fixed width and merges with others of its key.
+    """
+    named = events.selectExpr("*", *[f"{x} AS _m_{c}" for c, x in META_SQL.items()], f"{_LONG} AS has_wide")
+    terms = event_terms(named, window_seconds, carry=(*[f"_m_{c}" for c in META], "has_wide"))
+    keyed = terms.withColumnsRenamed({f"_m_{c}": c for c in META})
+    return keyed.groupBy(*BUFFER_KEYS).agg(*agg_columns(), F.max("has_wide").alias("has_wide"))
+
+
+def merge_buffers(buffers: DataFrame, keys: tuple = BUFFER_KEYS) -> DataFrame:
+    """Add up buffers of the same key, from any runs and in any order."""
+    return buffers.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in _SUMS], F.min("first_block").alias("first_block"), F.max("last_ord").alias("last_ord"),
+        F.max("max_ts").alias("max_ts"), F.max("has_wide").alias("has_wide"))
+
+
+def roll_up(buffers: DataFrame, window_seconds: int) -> DataFrame:
+    """Buffers of windows of ``window_seconds`` from those of narrower windows that divide it."""
+    return merge_buffers(buffers.withColumn("window_start", window_start(F.col("window_start"), window_seconds)))
+
+
+def finish_windows(buffers: DataFrame, window_seconds: int, events: DataFrame) -> DataFrame:
+    """Window rows from materialised buffers, one per GROUP_KEYS.
+
+    ``events`` (those the buffers were made of) are only read where buffers
+    cannot tell: swaps counted under another fee tier than their window's, and
+    amounts of more than 80 digits.
+    """
     w = int(window_seconds)
+    per = buffers.groupBy(*GROUP_KEYS).agg(F.count(F.lit(1)).alias("n"), F.max("has_wide").alias("wide"))
+    facts = per.agg(F.max("n").alias("n"), F.max("wide").alias("wide")).first()
+    rows, picks = buffers, buffers.select(*BUFFER_KEYS, "has_wide")
+    if facts.n is not None and facts.n > 1:
+        complete = (F.col("token0") != "") & (F.col("token1") != "")
+        best = Window.partitionBy(*GROUP_KEYS).orderBy(complete.desc(), "token0", "token1", F.desc("fee"), F.desc("tick_spacing"))
+        every = best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        picked = buffers.select("*", *[F.first(c).over(every).alias(f"_p_{c}") for c in META])
+        odd = cut_lineage(picked.where((F.col("fee") != F.col("_p_fee")) & (F.col("swap_count") > 0)).select(*BUFFER_KEYS, "_p_fee"))
+        off = F.col("fee") != F.col("_p_fee")
+        plain = picked.select(*GROUP_KEYS, *[F.col(f"_p_{c}").alias(c) for c in META], *[
+            F.when(off, F.lit(0)).otherwise(F.col(c)).cast("bigint").alias(c) if c in _FEES else F.col(c)
+            for c in (*_SUMS, "first_block", "last_ord", "max_ts", "has_wide")])
+        rows = merge_buffers(plain)
+        picks = rows.select(*BUFFER_KEYS, "has_wide")
+        if not odd.isEmpty():
+            again = _other_tier(events, w, odd)
+            rows = rows.join(again, list(GROUP_KEYS), "left").select(*[
+                (F.col(c) + F.coalesce(F.col(f"_x_{c}"), F.lit(0))).alias(c) if c in _FEES else F.col(c) for c in rows.columns])
+    windows = render_windows(rows, w)
+    if not facts.wide:
+        return windows
+    more = wide_sums(events, w, cut_lineage(picks.where("has_wide").select(*GROUP_KEYS, "fee")))
+    names = windows.columns
+    j = windows.join(more, list(GROUP_KEYS), "left")
+    for raw, c in (("volume0_raw", "a0"), ("volume1_raw", "a1"), ("fee0_raw", "f0"), ("fee1_raw", "f1")):
+        j = j.withColumn(raw, F.when(F.col(f"wide_{c}").isNull(), F.col(raw)).otherwise(X.add_text(raw, f"wide_{c}")))
+    return j.select(*names)
+
+
+def _other_tier(events: DataFrame, w: int, odd: DataFrame) -> DataFrame:
+    """Fee limbs, under their window's tier, of the swaps whose own metadata names another one."""
+    keyed = events.selectExpr("*", "lower(address) AS _k_pool", f"timestamp - timestamp % {w} AS _k_start",
+                              *[f"{x} AS _k_{c}" for c, x in META_SQL.items()])
+    o = odd.withColumnsRenamed({"chain_id": "_o_chain", "pool_address": "_k_pool", "window_start": "_k_start",
+                                **{c: f"_k_{c}" for c in META}})
+    own = keyed.join(bounded_broadcast(o), ["_k_pool", "_k_start", *[f"_k_{c}" for c in META]]).where(
+        F.col("chain_id").eqNullSafe(F.col("_o_chain")))
+    return event_terms(own, w, fee="_p_fee").groupBy(*GROUP_KEYS).agg(*[F.sum(c).alias(f"_x_{c}") for c in _FEES])
+
+
+def render_windows(g: DataFrame, window_seconds: int, pool_meta: DataFrame | None = None) -> DataFrame:
+    """Aggregated buffers -> window rows with metadata and exact integer text.
+
+    The metadata are the buffers' own columns, or those of ``pool_meta`` (chain_id, pool_address, META).
+    """
+    w = int(window_seconds)
+    own = list(META) if pool_meta is None else []
     rows = g.select(
         "chain_id", "pool_address",
         F.lit(w).cast("bigint").alias("window_size_seconds"),
         "window_start",
-        (F.col("window_start") + F.lit(w)).alias("window_end"),
+        (F.col("window_start") + F.lit(w)).alias("window_end"), *own,
         "swap_count",
         _digits("a0_", B.LIMBS).alias("volume0_raw"),
         _digits("a1_", B.LIMBS).alias("volume1_raw"),
@@ -212,7 +280,7 @@ def render_windows(g: DataFrame, window_seconds: int, pool_meta: DataFrame) -> D
         (F.col("last_ord") % F.lit(_ORD_SHIFT)).cast("bigint").alias("last_block"),
         "max_ts", "n_events", "n_failed",
     )
-    return _with_meta(rows, pool_meta)
+    return rows if pool_meta is None else _with_meta(rows, pool_meta)
 
 
 def _with_meta(rows: DataFrame, pool_meta: DataFrame) -> DataFrame:
@@ -224,6 +292,36 @@ def _with_meta(rows: DataFrame, pool_meta: DataFrame) -> DataFrame:
     return j.select(*rows.columns[:at], *[F.coalesce(F.col(c), blank[c]).alias(c) for c in META], *rows.columns[at:])
 
 
+def window_rollup(events: DataFrame, widths: list[int], start_ts: int = 0, dedup: bool = False) -> DataFrame:
+    """Windows of several widths from one read of the events (W7): each width a multiple of the narrowest.
+
+    The events are shuffled once, as buffers of the narrowest windows; every
+    wider width adds up the next narrower one that divides it.
+    """
+    order = sorted({int(w) for w in widths})
+    if not order or order[0] <= 0 or any(w % order[0] for w in order):
+        raise ValueError("widths must be positive multiples of the narrowest")
+    ev = events_after(events, start_ts, dedup)
+    made, out = {}, None
+    for w in order:
+        below = max((x for x in made if w % x == 0), default=None)
+        made[w] = cut_lineage(window_buffers(ev, w) if below is None else roll_up(made[below], w))
+        rows = finish_windows(made[w], w, ev)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def events_after(events: DataFrame, start_ts: int | Column = 0, dedup: bool = False) -> DataFrame:
+    """Events with timestamp > start_ts (P11), repeated logs once if ``dedup``.
+
+    The value 0 always skips ts = 0, as the reference does.  The shuffle of
+    the dedup is hashed on the log key, which spreads hot pools evenly.
+    """
+    start = start_ts if isinstance(start_ts, Column) else F.lit(int(start_ts))
+    ev = events.where(F.col("timestamp") > start)
+    return first_copy(ev, LOG_KEY, [F.col(c) for c in EVENT_ORDER if c in ev.columns]) if dedup else ev
+
+
 def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Column = 0,
                      dedup: bool = False) -> DataFrame:
     """Aggregate typed events into one row per (chain, pool, window).
@@ -234,42 +332,12 @@ def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Col
     first_block, last_block, max_ts (highest accepted timestamp), n_events,
     n_failed.
 
-    ``start_ts``: only events with timestamp > start_ts are used (P11); the
-    value 0 therefore always skips ts = 0, as the reference does.
-    ``dedup``: keep one copy of repeated (chain, block, tx, log_index) first;
-    the shuffle is hashed on the log key, which spreads hot pools evenly.
-
-    The pools' metadata is one row per pool; it is computed and checkpointed
-    first, so that its size is known and its flag for over-long amounts
-    decides whether the second, exact path is part of the plan at all.
+    ``start_ts``, ``dedup``: see ``events_after``.  The buffers are
+    checkpointed once, so the events are read once, deduplicated once, and
+    what the buffers hold decides whether any of them is read again.
     """
-    w = int(window_seconds)
-    start = start_ts if isinstance(start_ts, Column) else F.lit(int(start_ts))
-    ev = events.where(F.col("timestamp") > start)
-    if dedup:
-        ev = first_copy(ev, LOG_KEY, [F.col(c) for c in EVENT_ORDER if c in ev.columns])
-    meta = _known_size(pool_metadata(ev))
-    g = event_terms(ev, w, pool_meta=meta).groupBy(*GROUP_KEYS).agg(*agg_columns())
-    windows = render_windows(g, w, meta)
-    if meta.where("has_wide").isEmpty():
-        return windows
-    more = wide_sums(ev, w, meta)
-    names = windows.columns
-    j = windows.join(more, list(GROUP_KEYS), "left")
-    for raw, c in (("volume0_raw", "a0"), ("volume1_raw", "a1"), ("fee0_raw", "f0"), ("fee1_raw", "f1")):
-        j = j.withColumn(raw, F.when(F.col(f"wide_{c}").isNull(), F.col(raw)).otherwise(X.add_text(raw, f"wide_{c}")))
-    return j.select(*names)
-
-
-# Pools whose metadata is small enough to be part of the plan (about 200 bytes each).
-MAX_LOCAL_POOLS = 10_000
-
-
-def _known_size(meta: DataFrame) -> DataFrame:
-    """Checkpointed metadata; as a local relation when it is a handful of pools, so the optimizer knows its size."""
-    meta = cut_lineage(meta)
-    few = meta.limit(MAX_LOCAL_POOLS + 1).toArrow()
-    return meta if few.num_rows > MAX_LOCAL_POOLS else meta.sparkSession.createDataFrame(few, meta.schema)
+    ev = events_after(events, start_ts, dedup)
+    return finish_windows(cut_lineage(window_buffers(ev, window_seconds)), window_seconds, ev)
 
 
 def swap_fees(events: DataFrame) -> DataFrame:
@@ -292,10 +360,11 @@ def drop_missing_meta(windows: DataFrame) -> DataFrame:
 
 
 def pool_registry(windows: DataFrame) -> DataFrame:
-    """One row per pool: metadata and the lowest first block over all windows."""
-    return (drop_missing_meta(windows)
-            .groupBy("chain_id", "pool_address", *META)
-            .agg(F.min("first_block").alias("first_seen_block")))
+    """One row per pool: the latest window's metadata and the lowest first block over all windows."""
+    latest = F.max_by(F.struct(*META), "window_start").alias("_m")
+    return (drop_missing_meta(windows).groupBy("chain_id", "pool_address")
+            .agg(latest, F.min("first_block").alias("first_seen_block"))
+            .select("chain_id", "pool_address", *[F.col(f"_m.{c}").alias(c) for c in META], "first_seen_block"))
 
 
 def open_window_state(windows: DataFrame) -> DataFrame:
@@ -309,6 +378,33 @@ def open_window_state(windows: DataFrame) -> DataFrame:
                       .alias("last_processed_ts"))
 
 
+def observe_counters(events: DataFrame, window_seconds: int, start_ts: int = 0) -> tuple[DataFrame, Observation]:
+    """``events`` with the run's row counters (A11) taken in passing: total, skipped, failed.
+
+    They are there after the first action on the returned frame, which so needs no pass of its own.
+    """
+    unread = F.col("_parse_error").isNotNull() if "_parse_error" in events.columns else F.lit(False)
+    late = F.coalesce(F.col("timestamp") > F.lit(int(start_ts)), F.lit(False))
+    swap = F.coalesce(F.lower("event_name") == "swap", F.lit(False))
+    bad = ~unread & late & swap & ~F.expr(_valid_swap(events))
+    seen = Observation()
+    return events.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(~unread & ~late).alias("skipped"),
+                          F.count_if(unread | bad).alias("failed")), seen
+
+
+def counted(seen: Observation, events: DataFrame, window_seconds: int, start_ts: int = 0) -> dict:
+    """total, skipped, failed of a run observed by ``observe_counters``.
+
+    Where the optimizer saw that no event is new, nothing ran and nothing was
+    observed; they are counted then.
+    """
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        rows = run_counters(events, window_seconds, start_ts).where("counter != 'decoded'").collect()
+        return {r.counter: r.value for r in rows}
+
+
 def run_counters(events: DataFrame, window_seconds: int, start_ts: int = 0) -> DataFrame:
     """Counters of one aggregation run (A11) as (counter, value) rows.
 
@@ -326,10 +422,9 @@ def run_counters(events: DataFrame, window_seconds: int, start_ts: int = 0) -> D
         F.expr("coalesce(pool_meta.token0, '') != '' AND coalesce(pool_meta.token1, '') != ''").alias("named"))
     per = rows.groupBy("unread", "early", *GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.max("named").alias("named"))
-    # A pool is named if any of its events is (``pool_metadata``); per is one row per window.
+    # A window is named if any of its events is; per is one row per window.
     runs = ~F.col("unread") & ~F.col("early")
-    named = F.max(F.when(runs, F.col("named"))).over(Window.partitionBy("chain_id", "pool_address"))
-    counts = per.withColumn("named", named).agg(
+    counts = per.agg(
         F.sum("n").alias("total"), F.sum(F.when(F.col("early"), F.col("n"))).alias("skipped"),
         (F.sum("bad") + F.sum(F.when(F.col("unread"), F.col("n")).otherwise(0))).alias("failed"),
         F.count_if(runs & F.col("named")).alias("decoded"))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool import schemas as S
 from tidepool.operators import aggregate as A
 from tidepool.operators import enrich as N
 from tidepool.plans import fixtures as X
@@ -129,7 +130,14 @@ def window_block_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pool_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.pool_registry(A.window_aggregate(X.typed_events(spark, sf_dir), HOUR))
+    """Pools of two runs, the later half first, merged by lowest first block."""
+    ev, path = X.typed_events(spark, sf_dir), _fresh(spark, "pools")
+    s = _resume_point(ev)
+    for run, part in enumerate((ev.where(F.col("timestamp") > s), ev.where(F.col("timestamp") <= s)), start=1):
+        pools = A.pool_registry(A.window_aggregate(part, HOUR))
+        U.require_contract(pools, list(S.POOLS_KEY), list(S.POOLS_NOT_NULL), "pools")
+        U.write_version(pools, path, run)
+    return U.merge_pools(spark.read.parquet(path)).select(*S.POOLS.fieldNames())
 
 
 def fee_floor_per_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,26 +179,80 @@ def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _swap_metrics(A.window_aggregate(ev, DAY, start_ts=start), X.tokens(spark, sf_dir))
 
 
+def _fresh(spark: SparkSession, label: str) -> str:
+    """A folder of this run's own below the shared checkpoint folder."""
+    import uuid
+
+    from tidepool.session import checkpoint_subdir
+    return checkpoint_subdir(spark, f"{label}-{uuid.uuid4().hex}")
+
+
 def state_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State table row after a full run: highest accepted timestamp."""
-    w = A.window_aggregate(X.typed_events(spark, sf_dir), DAY)
-    hw = w.agg(F.coalesce(F.max("max_ts"), F.lit(0)).alias("ts"))
-    return hw.select(F.lit(f"aggregator:{DAY}").alias("name"), F.col("ts").cast("bigint").alias("last_processed_ts"))
+    """State written by a first run over the older half and a second over all, and read back."""
+    from tidepool.plans import jobs as J
+    ev, path, name = X.typed_events(spark, sf_dir), _fresh(spark, "state"), f"aggregator:{DAY}"
+    s = _resume_point(ev)
+    for run, part in enumerate((ev.where(F.col("timestamp") <= s), ev), start=1):
+        top = A.window_aggregate(part, DAY).agg(F.coalesce(F.max("max_ts"), F.lit(0))).first()[0]
+        row = U.state_row(spark, name, int(top), J.load_state(spark, path, name))
+        U.require_contract(row, list(S.STATE_KEY), list(S.STATE_NOT_NULL), "state")
+        U.write_version(row, path, run)
+    return U.read_latest(spark, path, ["name"]).select("name", "last_processed_ts")
 
 
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.run_counters(X.typed_events(spark, sf_dir), DAY)
 
 
+def _two_runs(spark: SparkSession, path: str, ev: DataFrame, rows) -> None:
+    """``rows(events, start)`` of the older half, then of a run that resumes there, written as versions."""
+    s = _resume_point(ev)
+    U.write_version(rows(ev.where(F.col("timestamp") <= s), 0), path, 1)
+    U.write_version(rows(ev, A.align_start(s, DAY)), path, 2)
+
+
 def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs written as versions (the second re-computes from a window
-    boundary); the reader view keeps the latest row per key (S7, W6, W9)."""
-    ev, tok = X.typed_events(spark, sf_dir), X.tokens(spark, sf_dir)
+    boundary); the reader view keeps the latest row per key (S7, S10, W6, W9)."""
+    ev, tok, path = X.typed_events(spark, sf_dir), X.tokens(spark, sf_dir), _fresh(spark, "upsert")
+    _two_runs(spark, path, ev, lambda e, start: _swap_metrics(A.window_aggregate(e, DAY, start), tok))
+    key = ["chain_id", "pool_address", "window_start"]
+    U.require_contract(U.read_latest(spark, path, key), key, ["swap_count", "volume0", "volume1"], "metrics")
+    return U.read_latest(spark, path, key).drop("batch_id", "created_at", "updated_at")
+
+
+_MIXED_COLS = ["chain_id", "pool_address", "window_start", "token0", "token1", "fee", "swap_count", "volume0_raw",
+               "volume1_raw", "fee0_raw", "fee1_raw", "first_block", "last_block", "n_events"]
+
+
+def incremental_mixed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first and a resumed run over events that disagree about their pools equal one full run."""
+    ev, path = X.typed_events_mixed_meta(spark, sf_dir), _fresh(spark, "mixed")
+    _two_runs(spark, path, ev, lambda e, start: A.drop_missing_meta(A.window_aggregate(e, DAY, start)).select(*_MIXED_COLS))
+    return U.read_latest(spark, path, ["chain_id", "pool_address", "window_start"]).select(*_MIXED_COLS)
+
+
+def incremental_merge(spark: SparkSession, sf_dir: str, w: int = DAY) -> DataFrame:
+    """Three runs of ``merge_job``, each reading only events behind the state, with the buffers compacted between
+    (W2, W4, W5, A3, A4): the metrics equal one full run."""
+    from tidepool.plans import jobs as J
+    ev, tok, bal, path = X.typed_events(spark, sf_dir), X.tokens(spark, sf_dir), X.balances(spark, sf_dir), _fresh(spark, "merge")
     s = _resume_point(ev)
-    first = _swap_metrics(A.window_aggregate(ev.where(F.col("timestamp") <= s), DAY), tok)
-    second = _swap_metrics(A.window_aggregate(ev, DAY, start_ts=A.align_start(s, DAY)), tok)
-    versions = (first.withColumn("batch_id", F.lit(1)).unionByName(second.withColumn("batch_id", F.lit(2))))
-    return U.latest_versions(versions, ["chain_id", "pool_address", "window_start"]).drop("batch_id")
+    for run, top in enumerate((s, s + 10 * HOUR, None)):
+        J.merge_job(spark, ev if top is None else ev.where(F.col("timestamp") <= top), tok, bal, path, w)
+        if run == 1:
+            J.compact_buffers(spark, path + "/buffers")
+    return J.read_metrics(spark, path)
+
+
+ROLLUP_WIDTHS = (300, HOUR, DAY)
+
+
+def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-minute, hourly and daily windows from one read of the events."""
+    rows = A.window_rollup(X.typed_events(spark, sf_dir), list(ROLLUP_WIDTHS))
+    return rows.select("chain_id", "pool_address", "window_size_seconds", "window_start", "swap_count", "volume0_raw",
+                       "volume1_raw", "fee0_raw", "fee1_raw", "first_block", "last_block", "n_events")
 
 
 def bad_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,9 +320,7 @@ def live_meta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def window_mixed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of events whose metadata differs in spelling or is missing."""
-    w = A.drop_missing_meta(A.window_aggregate(X.typed_events_mixed_meta(spark, sf_dir), DAY))
-    return w.select("chain_id", "pool_address", "window_start", "token0", "token1", "fee", "swap_count", "volume0_raw",
-                    "volume1_raw", "fee0_raw", "fee1_raw", "first_block", "last_block", "n_events")
+    return A.drop_missing_meta(A.window_aggregate(X.typed_events_mixed_meta(spark, sf_dir), DAY)).select(*_MIXED_COLS)
 
 
 def wide_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +377,9 @@ QUERIES.update({
     "state_after_run": state_after_run,
     "run_counters": run_counters,
     "upsert_latest_wins": upsert_latest_wins,
+    "incremental_mixed_meta": incremental_mixed_meta,
+    "incremental_merge": incremental_merge,
+    "window_rollup": window_rollup,
     "bad_amounts": bad_amounts,
     "log_scan_filtered": log_scan_filtered,
     "dedup_logs": dedup_logs,
@@ -342,6 +405,9 @@ ORACLES.update({
     "state_after_run": O.state_after_run(),
     "run_counters": O.run_counters(),
     "upsert_latest_wins": O.window_swap_metrics(DAY),
+    "incremental_mixed_meta": O.window_mixed_meta(),
+    "incremental_merge": O.window_metrics_full(DAY),
+    "window_rollup": O.window_rollup(ROLLUP_WIDTHS),
     "bad_amounts": O.bad_amounts(),
     "log_scan_filtered": O.log_scan_filtered(SCAN_POOLS, SCAN_TOPICS),
     "dedup_logs": O.dedup_logs(_LINEITEM_ORDER),

@@ -21,6 +21,8 @@ from tidepool.operators import decode as D
 from tidepool.operators import enrich as N
 from tidepool.operators import ingest as I
 from tidepool.operators import upsert as U
+from tidepool.plans.joins import bounded_broadcast
+from tidepool.session import cut_lineage
 from tidepool.sources import logs as L
 from tidepool.sources import sinks as K
 
@@ -126,7 +128,8 @@ def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, bal
         start = A.align_start(previous, w)
     else:
         start = 0
-    counters = {r.counter: r.value for r in A.run_counters(events, w, start).collect()}
+    every = events
+    events, seen = A.observe_counters(events, w, start)
     if "_parse_error" in events.columns:
         events = events.where(F.col("_parse_error").isNull()).drop("_parse_error")
     windows = A.window_aggregate(events, w, start, dedup).persist(StorageLevel.MEMORY_AND_DISK)
@@ -138,6 +141,7 @@ def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, bal
         U.require_contract(metrics, list(S.WINDOW_METRICS_KEY), list(S.WINDOW_METRICS_NOT_NULL), "metrics")
         U.write_version(pools, paths["pools"], batch)
         U.write_version(metrics, paths["metrics"], batch)
+        counters = {**A.counted(seen, every, w, start), "decoded": metrics.count()}
         hw = windows.agg(F.max("max_ts")).first()[0]
         pools.unpersist(), metrics.unpersist()
     finally:
@@ -151,6 +155,91 @@ def aggregate_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, bal
     return {"batch_id": batch, "start_ts": start, "state": new_state, **counters}
 
 
+def _folders(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers N of the folders ``kind``=N below ``path``."""
+    if not _exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+
+
+def read_buffers(spark: SparkSession, path: str, below: int) -> DataFrame | None:
+    """Stored window buffers of all runs before run ``below``: the newest base and the deltas behind it."""
+    base = max((n for n in _folders(spark, path, "base") if n < below), default=0)
+    parts = [f"{path}/base={base}"] if base else []
+    parts += [f"{path}/delta={n}" for n in _folders(spark, path, "delta") if base < n < below]
+    return spark.read.parquet(*parts) if parts else None
+
+
+def compact_buffers(spark: SparkSession, path: str) -> int:
+    """Merge the base and all deltas into a new base, numbered like the last delta; readers go on as before.
+
+    Older folders stay until ``drop_compacted``, so a reader that listed them before still finds them.
+    """
+    last = max(_folders(spark, path, "delta"), default=0)
+    if last and last not in _folders(spark, path, "base"):
+        merged = A.merge_buffers(read_buffers(spark, path, last + 1))
+        merged.repartitionByRange("window_start").sortWithinPartitions("window_start").write.mode("overwrite").parquet(
+            f"{path}/_making={last}")
+        p = spark._jvm.org.apache.hadoop.fs.Path
+        made = p(f"{path}/_making={last}")
+        made.getFileSystem(spark._jsc.hadoopConfiguration()).rename(made, p(f"{path}/base={last}"))
+    return last
+
+
+def merge_job(spark: SparkSession, events: DataFrame, tokens: DataFrame, balances: DataFrame, out_dir: str,
+              window_seconds: int, dedup: bool = True) -> dict:
+    """Aggregate only what is new, and merge it into stored buffers.
+
+    Unlike ``aggregate_job``, a resumed run does not read the open windows'
+    older events again: it reads ``timestamp > state``, adds a delta of window
+    buffers, and rewrites the metrics of the windows the delta touches, from
+    the stored buffers of those windows and the delta.  (Older events are read
+    only for swaps whose metadata names another fee tier than their window's,
+    and for amounts of more than 80 digits.)
+
+    The state counts the runs and is written last, so a run that died is
+    repeated under the same number: it reads the same events, and replaces the
+    same delta and the same versions.
+    """
+    w = int(window_seconds)
+    name = f"merge:{w}"
+    paths = {k: os.path.join(out_dir, k) for k in ("buffers", "pools", "metrics", "state")}
+    state = load_state(spark, paths["state"], name) or 0
+    run = _next_batch(spark, paths["state"])
+    seen_events, seen = A.observe_counters(events, w, state)
+    if "_parse_error" in events.columns:
+        seen_events = seen_events.where(F.col("_parse_error").isNull()).drop("_parse_error")
+    new = cut_lineage(A.window_buffers(A.events_after(seen_events, state, dedup), w))
+    span = new.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"), F.max("max_ts").alias("ts")).first()
+    counters = {**A.counted(seen, events, w, state), "decoded": 0}
+    if span.lo is None:
+        return {"run": run, "start_ts": state, "state": state, **counters}
+    new.sortWithinPartitions("window_start").write.mode("overwrite").parquet(f"{paths['buffers']}/delta={run}")
+    stored = read_buffers(spark, paths["buffers"], run)
+    rows = new
+    if stored is not None:
+        touched = bounded_broadcast(new.select(*A.GROUP_KEYS).distinct())
+        near = stored.where(F.col("window_start").between(span.lo, span.hi))
+        rows = A.merge_buffers(new.unionByName(near.join(touched, list(A.GROUP_KEYS), "left_semi")))
+    again = events.where(F.col("timestamp") >= F.greatest(F.lit(span.lo), F.lit(1)))
+    if "_parse_error" in events.columns:
+        again = again.where(F.col("_parse_error").isNull()).drop("_parse_error")
+    windows = A.finish_windows(cut_lineage(rows), w, A.events_after(again, 0, dedup))
+    metrics = N.window_metrics(windows, tokens, balances).persist(StorageLevel.MEMORY_AND_DISK)
+    pools = A.pool_registry(windows)
+    U.require_contract(pools, list(S.POOLS_KEY), list(S.POOLS_NOT_NULL), "pools")
+    U.require_contract(metrics, list(S.WINDOW_METRICS_KEY), list(S.WINDOW_METRICS_NOT_NULL), "metrics")
+    U.write_version(pools, paths["pools"], run)
+    U.write_version(metrics, paths["metrics"], run)
+    counters["decoded"] = metrics.count()
+    metrics.unpersist()
+    top = max(int(span.ts), state) if span.ts is not None else state
+    U.write_version(U.state_row(spark, name, top), paths["state"], run)
+    return {"run": run, "start_ts": state, "state": top, **counters}
+
+
 def read_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current pool_window_metrics (latest version per key)."""
     return U.read_latest(spark, os.path.join(out_dir, "metrics"), list(S.WINDOW_METRICS_KEY)).drop(

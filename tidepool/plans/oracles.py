@@ -293,6 +293,15 @@ FROM fo GROUP BY ALL"""
 # ---------------------------------------------------------------------------
 # Aggregation details, state, upserts, ingest, snapshots.
 
+def window_rollup(widths: tuple) -> str:
+    ctes = ",".join(window_agg_cte(w, name=f"w{w}") for w in widths)
+    rows = " UNION ALL ".join(f"""
+SELECT chain_id, pool_address, CAST({w} AS BIGINT) AS window_size_seconds, window_start, swap_count,
+       CAST(v0 AS VARCHAR) AS volume0_raw, CAST(v1 AS VARCHAR) AS volume1_raw, CAST(f0 AS VARCHAR) AS fee0_raw,
+       CAST(f1 AS VARCHAR) AS fee1_raw, first_block, last_block, n_events FROM w{w}""" for w in widths)
+    return f"WITH {E_CTE},{ctes}{rows}"
+
+
 def window_block_bounds(w: int = 86400) -> str:
     return f"""WITH {E_CTE}, {window_agg_cte(w)}
 SELECT chain_id, pool_address, window_start, first_block, last_block, n_events FROM wagg"""
@@ -421,7 +430,7 @@ em AS (
            CAST(CASE WHEN event_id % 17 = 0 THEN 0 ELSE block_number END AS BIGINT) AS block_number)
   FROM e),
 ep AS (
-  SELECT *, bool_or(event_id % 7 <> 0 AND token0 <> '') OVER (PARTITION BY chain_id, address) AS named
+  SELECT *, bool_or(event_id % 7 <> 0 AND token0 <> '') OVER (PARTITION BY chain_id, address, timestamp - timestamp % {w}) AS named
   FROM em WHERE timestamp > 0)
 SELECT chain_id, address AS pool_address, timestamp - timestamp % {w} AS window_start, token0, token1, fee,
        CAST(count(*) FILTER (WHERE event_name = 'Swap') AS BIGINT) AS swap_count,
