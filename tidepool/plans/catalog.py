@@ -470,3 +470,100 @@ QUERIES.update({"stream_window_metrics": stream_window_metrics, "stream_pools":
                 "stream_errors": stream_errors})
 ORACLES.update({"stream_window_metrics": O.window_metrics_full(DAY), "stream_pools": O.pool_registry(DAY),
                 "stream_errors": O.decode_errors()})
+
+
+# Streams with state of their own.
+
+SILENT_POOL = 7              # has no event in the last slice
+RESUME_LATENESS_DAYS = 20
+LATE_MOD, LATE_REST = 97, 13  # events of the first slice that land with the last one
+LATE_SLICES = 3
+LATE_DAYS = 3
+
+
+def _slim_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema("chain_id long, block_number long, tx_hash string, log_index long, pool_address string, "
+                                   "timestamp long").parquet(path)
+
+
+def _slim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.typed_events(spark, sf_dir).select("chain_id", "block_number", "tx_hash", "log_index",
+                                                F.lower("address").alias("pool_address"), "timestamp")
+
+
+def _done(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _block_slice(rows: DataFrame, n: int):
+    """The column that numbers ``n`` equal block ranges from 0."""
+    from tidepool.functions.bigint import idiv
+    lo, hi = rows.agg(F.min("block_number"), F.max("block_number")).first()
+    return idiv(F.col("block_number") - lo, (hi - lo) // n + 1)
+
+
+def stream_state_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open windows per pool and the resume point over all of them, one pool being silent in the last slice."""
+    from tidepool.streaming import open_windows as W
+    work, rows = _fresh(spark, "stream-open"), _slim_events(spark, sf_dir)
+    part = _block_slice(rows, STREAM_SLICES)
+    silent = F.lit("0x" + format(SILENT_POOL, "x").rjust(40, "0"))
+    for i in range(STREAM_SLICES):
+        landed = rows.where((part == i) & ((F.col("pool_address") != silent) | F.lit(i < STREAM_SLICES - 1)))
+        landed.write.mode("append").parquet(f"{work}/landing")
+        _done(W.start_open_windows(spark, _slim_stream(spark, f"{work}/landing"), work, DAY, f"{RESUME_LATENESS_DAYS} days"))
+    pools = W.read_open_windows(spark, work)
+    return pools.select("chain_id", "pool_address", "lowest_open", "latest", "n_open").crossJoin(W.resume_point(pools))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of a stream, as the rows themselves and as the operator's own counter."""
+    from tidepool.streaming import ingest as G
+    work, rows = _fresh(spark, "stream-late"), _slim_events(spark, sf_dir)
+    part = _block_slice(rows, LATE_SLICES)
+    n = F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")
+    when = F.when((part == 0) & (n % LATE_MOD == LATE_REST), LATE_SLICES - 1).otherwise(part)
+    name = "unique-" + work[-32:]
+    dropped = G.DroppedRows(name)
+    for i in range(LATE_SLICES):
+        rows.where(when == i).write.mode("append").parquet(f"{work}/landing")
+        events = _slim_stream(spark, f"{work}/landing")
+        q = G.start_unique_events(spark, events, work, f"{LATE_DAYS} days", name)
+        _done(q)
+        for progress in q.recentProgress:
+            dropped.take(progress)
+        _done(G.start_late_rows(spark, events, work, LATE_DAYS * DAY))
+    late = spark.read.parquet(f"{work}/late_rows").groupBy("pool_address").agg(F.count(F.lit(1)).alias("late_rows"))
+    return late.withColumn("dropped_by_operator", F.lit(dropped.total).cast("bigint"))
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs joined with headers that land a slice later, then the first slice delivered once more."""
+    from tidepool.streaming import ingest as G
+    work, chain = _fresh(spark, "stream-ingest"), X.CHAIN_ID
+    logs_dir, headers_dir = f"{work}/landing-logs", f"{work}/landing-headers"
+    logs = X.raw_logs(spark, sf_dir)
+    lo, hi = logs.agg(F.min("block_number"), F.max("block_number")).first()
+    headers = X.blocks_from_orders(spark, sf_dir).where(F.col("block_number").between(lo, hi))
+    step = (hi - lo) // LATE_SLICES + 1
+
+    def land(df: DataFrame, i: int, path: str) -> None:
+        df.where(F.col("block_number").between(lo + i * step, lo + (i + 1) * step - 1)).write.mode("append").json(path)
+    for i in range(LATE_SLICES + 1):
+        land(logs, i % LATE_SLICES, logs_dir)           # at last the first slice again
+        land(headers, i - 1, headers_dir)
+        if i == LATE_SLICES:
+            G.land_heartbeat(spark, logs_dir, headers_dir, chain, hi + 4 * step)
+        _done(G.start_ingest(spark, logs_dir, headers_dir, work, 2 * step, chain))
+    return G.read_ingested(spark, work).select("chain_id", "block_number", "log_index", "timestamp", "block_time_missing")
+
+
+QUERIES.update({"stream_state_resume": stream_state_resume, "stream_late_rows": stream_late_rows,
+                "stream_ingest": stream_ingest})
+ORACLES.update({
+    "stream_state_resume": O.stream_state_resume(STREAM_SLICES, SILENT_POOL, RESUME_LATENESS_DAYS * DAY),
+    "stream_late_rows": O.stream_late_rows(LATE_SLICES, LATE_MOD, LATE_REST, LATE_DAYS * DAY),
+    "stream_ingest": O.log_with_timestamp(),
+})

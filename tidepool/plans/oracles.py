@@ -497,3 +497,35 @@ UNION ALL SELECT 'failed', CAST(count(*) AS BIGINT) FROM e, st
           WHERE timestamp > start AND event_name = 'Swap' AND event_id % {m} IN (15, 19)
 UNION ALL SELECT 'decoded', CAST(count(DISTINCT (address, timestamp - timestamp % {w})) AS BIGINT) FROM e, st
           WHERE timestamp > start AND token0 <> ''"""
+
+
+# ---------------------------------------------------------------------------
+# Streams.
+
+def _sliced(n: int) -> str:
+    """Events with the number of their equal block range."""
+    return f"""{E_CTE}, sl AS (
+  SELECT e.*, (block_number - lo) // ((hi - lo) // {n} + 1) AS part
+  FROM e, (SELECT min(block_number) AS lo, max(block_number) AS hi FROM e))"""
+
+
+def stream_state_resume(slices: int, silent: int, lateness: int, w: int = 86400) -> str:
+    return f"""WITH {_sliced(slices)},
+ld AS (SELECT * FROM sl WHERE timestamp > 0 AND NOT (pool = {silent} AND part = {slices - 1})),
+o AS (
+  SELECT chain_id, address AS pool_address, timestamp - timestamp % {w} AS s,
+         timestamp - timestamp % {w} + {w} > (SELECT max(timestamp) FROM ld) - {lateness} AS still
+  FROM ld GROUP BY ALL),
+p AS (
+  SELECT chain_id, pool_address, min(s) FILTER (still) AS lowest_open, max(s) AS latest, count(*) FILTER (still) AS n_open
+  FROM o GROUP BY ALL)
+SELECT *, (SELECT min(lowest_open) - 1 FROM p) AS last_processed_ts FROM p"""
+
+
+def stream_late_rows(slices: int, mod: int, rest: int, lateness: int) -> str:
+    return f"""WITH {_sliced(slices)},
+w AS (SELECT *, CASE WHEN part = 0 AND event_id % {mod} = {rest} THEN {slices - 1} ELSE part END AS lands FROM sl),
+t AS (SELECT lands, max(timestamp) AS top FROM w GROUP BY lands),
+x AS (SELECT w.*, (SELECT max(top) FROM t WHERE t.lands < w.lands) AS before FROM w)
+SELECT address AS pool_address, count(*) AS late_rows, (SELECT count(*) FROM x WHERE timestamp <= before - {lateness}) AS dropped_by_operator
+FROM x WHERE timestamp <= before - {lateness} GROUP BY ALL"""

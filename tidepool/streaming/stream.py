@@ -88,16 +88,19 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
     """Start the metrics stream writing pools, metrics, late and state below ``work_dir``.
 
     The micro-batch id is the version id, so a replayed batch rewrites the
-    same version folders (idempotent).  ``state`` holds the resume point of
-    open windows (A10) and the highest window start written, so a batch
-    reads one small row instead of the table; ``late`` counts the windows
-    that the sink refused (W3).
+    same version folders (idempotent).  ``open`` holds the latest window of
+    every pool seen so far, ``state`` the resume point (A10: the second before
+    the lowest of them that is not over, over all pools, not only the batch's)
+    and the highest window start written, so a batch reads two small tables;
+    ``late`` counts the windows that the sink refused (W3).  The tables are
+    written one after the other, state last: up to the batch that ``state``
+    names, all of them are complete.
     """
     w = int(window_seconds)
     late_s = interval_seconds(lateness)
     meta = stream_meta(pool_meta)
     agg = windowed_stream(read_log_stream(spark, source_dir, fmt, max_files_per_trigger), pool_meta, w, lateness)
-    paths = {k: os.path.join(work_dir, k) for k in ("pools", "metrics", "state", "late")}
+    paths = {k: os.path.join(work_dir, k) for k in ("pools", "metrics", "open", "state", "late")}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         windows = A.render_windows(batch, w, meta).persist(StorageLevel.MEMORY_AND_DISK)
@@ -121,9 +124,13 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
                                 & (H.address_key(balances["owner"]) == F.col("_o")), "left_semi")
             U.write_version(N.window_metrics(kept, tokens, bal), paths["metrics"], batch_id)
             here = kept.agg(F.max("window_start").alias("top")).first()["top"]
-            state = A.open_window_state(kept).select(
-                F.lit(f"aggregator:{w}").alias("name"), "last_processed_ts",
-                F.lit(max([x for x in (here, top) if x is not None], default=None)).cast("bigint").alias("top"))
+            now = max(x for x in (here, top) if x is not None)
+            U.write_version(_latest_windows(spark, kept, paths["open"], batch_id), paths["open"], batch_id)
+            latest = spark.read.parquet(f"{paths['open']}/batch_id={int(batch_id)}")
+            # A pool's last window holds the resume point back until it is over.
+            running = latest.where(F.col("window_start") + F.lit(w) > F.lit(now - late_s))
+            state = A.open_window_state(running).select(
+                F.lit(f"aggregator:{w}").alias("name"), "last_processed_ts", F.lit(now).cast("bigint").alias("top"))
             U.write_version(state, paths["state"], batch_id)
         finally:
             windows.unpersist()
@@ -155,6 +162,16 @@ def interval_seconds(text: str) -> int:
     return int(n) * _UNITS[unit.lower().rstrip("s")]
 
 
+def _latest_windows(spark: SparkSession, windows: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The latest window of every pool so far: the newest earlier version and this batch."""
+    from tidepool.plans.jobs import _exists, _folders
+    rows = windows.select("chain_id", "pool_address", "window_start")
+    last = max((n for n in (_folders(spark, path, "batch_id") if _exists(spark, path) else []) if n < batch_id), default=None)
+    if last is not None:
+        rows = rows.unionByName(spark.read.parquet(f"{path}/batch_id={last}").select(*rows.columns))
+    return rows.groupBy("chain_id", "pool_address").agg(F.max("window_start").alias("window_start"))
+
+
 def _written_top(spark: SparkSession, state_path: str, batch_id: int):
     """Highest window start written by earlier micro-batches (None before the first)."""
     from tidepool.plans.jobs import _exists
