@@ -142,3 +142,21 @@ def test_whole_records_are_written(spark, docs_of, skewed, tmp_path):
     key = lambda i, size, crc, s: (str(i), size, crc, s)
     assert sorted(key(r.doc_id, r.size, r.text_crc32, r.shard) for r in rows) == sorted(
         key(r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.shard) for r in back)
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    """Repeated ids with different vectors, as candidates and as queries; repeated rows; a query twice."""
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.standard_normal(8).tolist()) for i in rng.integers(0, 60, 150)]
+    rows += [(5, rows[0][1]), (20, rows[1][1]), rows[2], rows[2], (40, rows[3][1]), (40, rows[3][1]), (40, rows[4][1])]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "vec_id long, embedding array<double>, rank int").repartition(3)
+    found = {}
+    for r in N.nearest(df, F.col("id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    want = {}
+    for at, (q, x) in enumerate(rows):
+        if q % 20 == 0:
+            others = sorted((-round(float(np.dot(x, y)), 9), i) for j, (i, y) in enumerate(rows) if j != at)[:N.K]
+            want.setdefault(q, []).extend((k + 1, i, -s) for k, (s, i) in enumerate(others))
+    assert found.keys() == want.keys()
+    assert all(sorted(found[q]) == sorted(want[q]) for q in want)

@@ -23,15 +23,18 @@ Work is dealt out as blocks of queries times shards of rows (by a hash of the
 id), so a bucket, however full, is spread over all shards and no group grows
 with the data; in a group the buckets of all tables are merged per query, the
 candidates are scored exactly, and K + 1 go on.  Equal vectors are one
-candidate: its K + 1 smallest ids stand for it, which is all that can be in a
-result.  Queries for which the buckets held fewer than K others are searched
+candidate, under a number of its own: the K + 1 smallest ids stand for it, which is
+all that can be in a result.  Equal query vectors are one search.  Queries for which the buckets held fewer than K others are searched
 once more against all rows, in the same blocks and shards.
 
 Scores are sums of exact products in extended precision, rounded once.  Edge
 cases: null or zero vectors, vectors with a null or non-finite component, rows
 without an id and vectors whose length is not the most frequent one (the larger
-on ties) take no part; of repeated ids each row is a candidate; a table of at
-most K + 1 vectors gives all others; an empty table gives an empty result.
+on ties) take no part; of repeated ids each row is a candidate, and each row
+that is a query has a ranking of its own, in which only that row is left out
+(rows of one id and one vector are alike: one of them is); a table of at
+most K + 1 vectors gives all others; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ FIRST_SHARE = 0.9               # share of them whose distance the first round c
 BLOCK_QUERIES = 512
 SHARD_ROWS = 65_536
 
-_HIT = "query_id long, rep long, score double"
+_HIT = "query_id long, rep long, lead long, score double"     # lead: the smallest id of rep's rows
 
 
 class Moves:
@@ -161,9 +164,9 @@ def _screen(scores: np.ndarray, n: int, slack: float) -> np.ndarray:
     return np.flatnonzero(scores >= floor - 2 * slack)
 
 
-def _hits(q_ids, q, ids, x, chosen) -> pa.Table:
+def _hits(q_ids, q, ids, leads, x, chosen) -> pa.Table:
     """K + 1 best of the chosen rows per query: screened in single precision, ranked by exact scores."""
-    out_q, out_r, out_s = [], [], []
+    out_q, out_r, out_l, out_s = [], [], [], []
     x32, q32 = x.astype(np.float32), np.asarray(q, dtype=np.float32)
     # What rounding to single precision can move a score by, for the longest row.
     slack = 2.0 ** -21 * (x.shape[1] + 2) * math.sqrt(float((x * x).sum(axis=1).max(initial=0)))
@@ -171,11 +174,12 @@ def _hits(q_ids, q, ids, x, chosen) -> pa.Table:
         if len(at):
             at = at[_screen(x32[at] @ q32[i], K + 1, slack * float(np.linalg.norm(q[i])))]
             score = exact_scores(x[at], q[i])
-            top = np.lexsort((ids[at], -score))[:K + 1]
-            out_q.append(np.full(len(top), q_ids[i])), out_r.append(ids[at[top]]), out_s.append(score[top])
+            top = np.lexsort((ids[at], leads[at], -score))[:K + 1]
+            out_q.append(np.full(len(top), q_ids[i])), out_r.append(ids[at[top]])
+            out_l.append(leads[at[top]]), out_s.append(score[top])
     empty = [np.zeros(0)]
     return pa.table([pa.array(np.concatenate(c or empty).astype(k)) for c, k in
-                     ((out_q, "i8"), (out_r, "i8"), (out_s, "f8"))], names=["query_id", "rep", "score"])
+                     ((out_q, "i8"), (out_r, "i8"), (out_l, "i8"), (out_s, "f8"))], names=["query_id", "rep", "lead", "score"])
 
 
 def _matrix(column) -> np.ndarray:
@@ -184,7 +188,7 @@ def _matrix(column) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 1))
 
 
-def search_block(q_ids, q, ids, x, largest: float, r: np.ndarray) -> pa.Table:
+def search_block(q_ids, q, ids, leads, x, largest: float, r: np.ndarray) -> pa.Table:
     """K + 1 best candidates of each query among the rows whose buckets it visits; all rows where
     its r is infinite or its buckets do not make TARGET."""
     tables = Tables(x.shape[1] + 1)
@@ -212,15 +216,15 @@ def search_block(q_ids, q, ids, x, largest: float, r: np.ndarray) -> pa.Table:
                     a, n = a[some], (b - a)[some]
                     seen[order[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]] = True
                 yield np.flatnonzero(seen)
-    return _hits(q_ids, q, ids, x, chosen())
+    return _hits(q_ids, q, ids, leads, x, chosen())
 
 
 def _searcher(largest: float):
     def run(key, rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
-            return _hits([], np.zeros((0, 1)), np.zeros(0), np.zeros((0, 1)), [])
+            return _hits([], np.zeros((0, 1)), np.zeros(0), np.zeros(0), np.zeros((0, 1)), [])
         return search_block(queries.column("query_id").to_numpy(), _matrix(queries.column("v")),
-                            rows.column("rep").to_numpy(), _matrix(rows.column("v")), largest,
+                            rows.column("rep").to_numpy(), rows.column("lead").to_numpy(), _matrix(rows.column("v")), largest,
                             queries.column("r").to_numpy())
     return run
 
@@ -229,9 +233,9 @@ def _scanner(share):
     def run(batches):
         q_ids, q = share.value
         for batch in batches:
-            x, ids = _matrix(batch.column(1)), batch.column(0).to_numpy()
+            x, ids, leads = _matrix(batch.column("v")), batch.column("rep").to_numpy(), batch.column("lead").to_numpy()
             every = np.arange(len(ids))
-            yield from _hits(q_ids, q, ids, x, (every for _ in q_ids)).to_batches()
+            yield from _hits(q_ids, q, ids, leads, x, (every for _ in q_ids)).to_batches()
     return run
 
 
@@ -252,18 +256,24 @@ def nearest(vectors: DataFrame, query_filter, key: str = "vec_id", vector: str =
     table is a candidate, however equal.
     """
     spark = vectors.sparkSession
-    # Unique numbers tell repeated ids apart: each row has one of its own.
     rows = usable(vectors, key, vector).withColumn("h", F.xxhash64("v"))
+    # Each different vector goes by the number of its first row; the ids of its rows may be those of others too.
     same = Window.partitionBy("h", "v").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select("id", "v", F.row_number().over(same).alias("n"), F.first("id").over(same).alias("rep"))
+    ranked = rows.withColumn("u", F.monotonically_increasing_id()).select(
+        "h", "id", "v", F.row_number().over(same).alias("n"), F.first("u").over(same).alias("rep"),
+        F.first("id").over(same).alias("lead"))
     members = checkpointed(ranked.filter(F.col("n") <= K + 1))
-    reps = members.filter("n = 1").select("rep", "v")
-    queries = checkpointed(rows.filter(query_filter).select(F.col("id").alias("query_id"), "v").dropDuplicates())
+    reps = members.filter("n = 1").select("h", "rep", "lead", "v")
+    asked = rows.filter(query_filter).groupBy("h", "v", F.col("id").alias("query_id")).agg(F.count(F.lit(1)).alias("copies"))
+    asked = checkpointed(asked.join(reps.select("h", "v", F.col("rep").alias("q")), ["h", "v"]).select("query_id", "copies", "q"))
+    queries = checkpointed(asked.select("q").distinct().join(reps, F.col("q") == F.col("rep")).select(
+        F.col("q").alias("query_id"), "v"))
+    reps = reps.drop("h")
     size = reps.agg(F.count(F.lit(1)).alias("n"), F.max(
         F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)).alias("s")).first()
     n_queries = queries.count()
     if not size.n or not n_queries:
-        return _finish(members, spark.createDataFrame([], _HIT), k)
+        return _finish(members, asked, spark.createDataFrame([], _HIT), k)
     largest = math.sqrt(size.s)
     r = _kth_distance(reps, queries, largest)
     first = checkpointed(_search(reps, queries.withColumn("r", F.lit(r)), size.n, n_queries, largest))
@@ -277,11 +287,11 @@ def nearest(vectors: DataFrame, query_filter, key: str = "vec_id", vector: str =
     n_again = again.count()
     hits = first if not n_again else _best(
         first.union(_search(reps, again, size.n, n_again, largest)).dropDuplicates(["query_id", "rep"]))
-    return _finish(members, hits, k)
+    return _finish(members, asked, hits, k)
 
 
 def _best(hits: DataFrame) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "lead", "rep")
     return hits.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= K + 1).drop("n")
 
 
@@ -300,7 +310,7 @@ def _kth_distance(reps: DataFrame, queries: DataFrame, largest: float) -> float:
     some = bounded_sample(queries, SAMPLE_QUERIES, "query_id").collect()
     block = np.array([s.query_id for s in some]), np.array([s.v for s in some])
     hits = reps.mapInArrow(_scanner(reps.sparkSession.sparkContext.broadcast(block)), _HIT)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "lead", "rep")
     last = (hits.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= K + 1)
             .groupBy("query_id").agg(F.min("score").alias("s")).collect())
     norm = dict(zip(block[0].tolist(), np.linalg.norm(block[1], axis=1).tolist()))
@@ -308,12 +318,21 @@ def _kth_distance(reps: DataFrame, queries: DataFrame, largest: float) -> float:
     return float(np.quantile(d, FIRST_SHARE)) if d else 1.0
 
 
-def _finish(members: DataFrame, hits: DataFrame, k: int) -> DataFrame:
-    """Candidates spread to the rows that share their vector, the query's own row left out, ranked."""
-    rows = hits.join(members.select("rep", "id"), "rep").filter("id != query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+def _finish(members: DataFrame, asked: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """Candidates spread to the rows that share their vector, each query's own row left out, ranked.
+
+    The K + 1 best rows of a query vector are one short list, from which each
+    of its query rows takes out its own.
+    """
+    rows = hits.join(members.select("rep", "id", "n"), "rep")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id", "lead", "rep", "n")
+    top = rows.withColumn("o", F.row_number().over(best)).filter(F.col("o") <= K + 1)
+    lists = top.groupBy(F.col("query_id").alias("q")).agg(F.sort_array(F.collect_list(F.struct("o", "rep", "id", "score"))).alias("found"))
+    each = asked.join(lists, "q").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    own = F.array_position(F.transform("found", lambda x: (x["rep"] == F.col("q")) & (x["id"] == F.col("query_id"))), True)
+    others = F.slice(F.filter("found", lambda x, i: i + 1 != own), 1, k)
+    ranked = each.withColumn("own", own).select("query_id", F.posexplode(others).alias("at", "x"))
+    return ranked.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
 
 
 def op4_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
