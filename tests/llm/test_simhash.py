@@ -108,3 +108,11 @@ def test_components_of_long_chains(spark):
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 150: 100, 200: 100}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_decided_each(docs_of):
+    """Two texts under one id both stay unless another row is near them; a copy under a larger id goes."""
+    words = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(4)]
+    docs = docs_of([(1, words[0]), (1, words[1]), (2, words[1]), (3, words[2]), (3, words[2]), (0, words[3]), (4, words[0] + " "), (None, words[0])])
+    got = sorted((str(r.doc_id), r.text) for r in S.keep_one_each(docs).collect())
+    assert got == sorted([("1", words[0]), ("1", words[1]), ("3", words[2]), ("0", words[3]), ("None", words[0])])

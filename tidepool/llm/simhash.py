@@ -294,17 +294,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                   max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group: its smallest id.
+    """``docs`` with one row of each group: the one of the smallest id.
 
-    Of rows that repeat the kept id, the first by text stays; rows without an
-    id are in no group and stay.
+    Groups are of rows, by their own fingerprints: rows that share an id but
+    not their text are told apart, and each stays unless its text has a
+    near-duplicate.  Of a group's rows with the smallest id the first by
+    fingerprint and text hash stays; rows without an id are in no group and stay.
+    Columns of any other name are kept; those named ``_sim_...`` are this operator's own.
     """
-    kept = (near_duplicates(docs, key, text, shingle, max_bits)
-            .filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct())
-    named = docs.filter(F.col(key).isNotNull())
-    one = named.join(kept, named[key] == F.col("_kept_id"), "left_semi")
-    order = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    one = one.withColumn("_kept_rank", F.row_number().over(order)).filter("_kept_rank = 1").drop("_kept_rank")
+    named = docs.filter(F.col(key).isNotNull()).withColumn("_sim_hash", F.xxhash64(text))
+    row = F.struct(F.col(key).cast("long").alias("id"), F.col("_sim_hash").alias("h"))
+    fps = checkpointed(named.select(row.alias("row"), F.col(text).alias("t")).mapInArrow(
+        _fingerprinter(shingle), "doc_id struct<id:long,h:long>, fp long").select("doc_id.id", "doc_id.h", "fp"))
+    leaves = checkpointed(fps.select("fp").distinct().withColumn("node", F.col("fp")))
+    parts = connected_components(near_links(leaves, max_bits))
+    # First row of each fingerprint, then of each component; a frequent fingerprint is reduced before the join.
+    first = fps.groupBy("fp").agg(F.min(F.struct("id", "fp", "h")).alias("row"))
+    joined = first.join(parts, first["fp"] == parts["node"], "left").select(F.coalesce("component", "fp").alias("c"), "row")
+    stay = joined.groupBy("c").agg(F.min("row").alias("row")).select(F.col("row.id").alias("_sim_id"), F.col("row.h").alias("_sim_h"))
+    kept = named.join(stay, (F.col(key).cast("long") == F.col("_sim_id")) & (F.col("_sim_hash") == F.col("_sim_h")), "left_semi")
+    order = Window.partitionBy(key, "_sim_hash").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    one = kept.withColumn("_sim_rank", F.row_number().over(order)).filter("_sim_rank = 1").select(*docs.columns)
     return one.unionByName(docs.filter(F.col(key).isNull()))
 
 
