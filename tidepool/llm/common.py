@@ -93,6 +93,22 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def shipped(spark: SparkSession, value):
+    """``value`` broadcast as bytes that hold its classes by value, so workers need no install; see ``opened``."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, cloudpickle.dumps(value)))
+
+
+def opened(share):
+    """A value from ``shipped``, read once per worker; the last two are kept."""
+    name, raw = share.value
+    kept = worker_state("opened", dict)
+    if name not in kept:
+        while len(kept) > 1:
+            kept.pop(next(iter(kept)))
+        kept[name] = cloudpickle.loads(raw)
+    return kept[name]
+
+
 def worker_state(key: str, make):
     """A value kept for the life of a Python worker, whichever task asks for it.
 

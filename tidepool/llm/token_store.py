@@ -16,8 +16,9 @@ it routes ids to shards by the manifest's ranges, looks each up in constant
 time, checks the fingerprint, and reads only the ids' bytes, neighbours at once.
 
 Files are written under a name of the attempt and then renamed, so a task that
-runs twice leaves one whole file.  Folders are reached with ``pyarrow.fs``, so
-any shared folder it knows will do (file, s3, gs, hdfs).
+runs twice leaves one whole file.  A folder without a scheme is the one that Spark
+would take it for (``fs.defaultFS``); it is reached with ``pyarrow.fs``, so any
+shared folder that knows will do (file, s3, gs, hdfs).
 
 Edge cases: null text is the end id alone; a null id sorts first and is a key;
 rows of one id are ordered by a hash of their text; an empty table writes no
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import tokens
-from tidepool.llm.common import read_table, ship_by_value
+from tidepool.llm.common import publish, read_table, shared_files, shared_uri, ship_by_value
 from tidepool.llm.perfect_hash import PerfectHash, fingerprints
 from tidepool.session import checkpoint_subdir
 
@@ -56,11 +57,6 @@ def key_hash(doc_id: int | None, copy: int = 0) -> int:
     return xxhash.xxh64_intdigest(("null" if doc_id is None else str(doc_id)) + (f"/{copy}" if copy else ""))
 
 
-def _folder(uri: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def _names(folder: str, shard: int) -> tuple[str, str]:
     return f"{folder}/shard-{shard:06d}.ids", f"{folder}/shard-{shard:06d}.mph"
 
@@ -99,7 +95,7 @@ class Index:
 def _write(uri: str, path: str | None, end_id: int):
     def run(batches):
         encoder, shard = tokens.encoder(path), TaskContext.get().partitionId()
-        (fs, folder), attempt = _folder(uri), uuid.uuid4().hex
+        (fs, folder), attempt = shared_files(uri), uuid.uuid4().hex
         ids_name, index_name = _names(folder, shard)
         keys, starts, sizes, total, out = [], [], [], 0, None
         for batch in batches:
@@ -120,8 +116,8 @@ def _write(uri: str, path: str | None, end_id: int):
         out.close()
         with fs.open_output_stream(f"{index_name}.{attempt}") as f:
             f.write(index_bytes(keys, starts, sizes))
-        fs.move(f"{ids_name}.{attempt}", ids_name)
-        fs.move(f"{index_name}.{attempt}", index_name)
+        publish(fs, f"{ids_name}.{attempt}", ids_name)
+        publish(fs, f"{index_name}.{attempt}", index_name)
         known = [k for k in keys if k is not None]
         yield pa.RecordBatch.from_pylist([{
             "shard": shard, "first": known[0] if known else None, "last": known[-1] if known else None,
@@ -137,7 +133,8 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
 
     The number of shards follows the input's splits unless it is given.
     """
-    fs, path = _folder(folder)
+    folder = shared_uri(docs.sparkSession, folder)
+    fs, path = shared_files(folder)
     fs.create_dir(path, recursive=True)
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t"))
     n = shards or max(1, slim.rdd.getNumPartitions())
@@ -180,7 +177,7 @@ def _lookup(folder_uri: str, share, payload: bool):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         base = {s["shard"]: s["start"] for s in share.value}[shard]
-        fs, folder = _folder(folder_uri)
+        fs, folder = shared_files(folder_uri)
         ids_name, index_name = _names(folder, shard)
         with fs.open_input_file(index_name) as f:
             index = Index(f.read())
@@ -222,7 +219,9 @@ def read(keys: DataFrame, folder: str, manifest: list[dict], key: str = "doc_id"
     spark = keys.sparkSession
     share = spark.sparkContext.broadcast(manifest)
     asked = keys.select(F.col(key).cast("long").alias("key")).distinct()
-    routed = asked.mapInArrow(_route(share), "key long, shard int").distinct()
+    # One task per shard: what a task reads is a shard's payload, however few bytes its keys have.
+    routed = asked.mapInArrow(_route(share), "key long, shard int").distinct().repartition(max(1, len(manifest)), "shard")
+    folder = shared_uri(spark, folder)
     return routed.groupBy("shard").applyInArrow(
         _lookup(folder, share, payload),
         "key long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if payload else "")) \
