@@ -91,3 +91,49 @@ def test_empty_tables(spark, docs_of):
     assert D.scan(docs_of([(1, "a")]).limit(0), none).count() == 0
     with pytest.raises(ValueError):
         D.decontaminate(docs_of([(1, "a")]), none, "words")
+
+
+def test_benchmark_of_many_blocks_is_taken_one_at_a_time(spark, docs_of, monkeypatch):
+    items = [(i, " ".join(f"b{i}w{k}" for k in range(20))) for i in range(12)]
+    docs = docs_of([(i, f"start {t} end") for i, t in items[:9]] + [(50, "clean words only " * 20), (51, None)])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, D.scan(docs, bench).collect()))
+    kept = sorted(r.doc_id for r in D.decontaminate(docs, bench).collect())
+    seen = []
+    real = D.WindowSet
+
+    class Counted(real):
+        def __init__(self, block, window):
+            seen.append(len(block))
+            super().__init__(block, window)
+    monkeypatch.setattr(D, "MAX_BLOCK_BYTES", 250)
+    monkeypatch.setattr(D, "WindowSet", Counted)
+    assert sorted(map(str, D.scan(docs, bench).collect())) == whole and len(seen) > 3 and max(seen) <= 3
+    assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == kept == [50, 51]
+
+
+def test_workers_need_no_install(tmp_path):
+    """The queries run where workers cannot import this package."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from tidepool.session import build_session
+spark = build_session("local[2]", shuffle_partitions=2)
+def there(_):
+    try:
+        import tidepool
+        return [True]
+    except ImportError:
+        return [False]
+assert not any(spark.sparkContext.parallelize(range(2), 2).mapPartitions(there).collect())
+import __spark_entry__ as E
+for name in ("op1_decontamination", "op2_secret_scan"):
+    print(name, E.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and "op1_decontamination 200" in done.stdout, done.stderr[-2000:]

@@ -23,6 +23,7 @@ inputs are ignored by the report and kept untouched by the filters.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import read_table, ship_by_value
+from tidepool.llm.common import opened, read_table, ship_by_value, shipped, written
 
 ship_by_value(__name__)
 
@@ -137,7 +138,7 @@ def _char_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]
 
 def _scanner(share, with_chars: bool):
     def scan(batches):
-        windows = share.value
+        windows = opened(share)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             per_doc = [windows.ids(t) for t in texts]
@@ -169,12 +170,15 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str):
-    """Items in blocks of bounded text, read through an iterator (one partition at a time)."""
+    """Items in blocks of bounded text, read through an iterator (one partition at a time).
+
+    Two blocks at most are in the driver: the one in work and the one read ahead.
+    """
     block, size = [], 0
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
     for row in rows.toLocalIterator():
         block.append((row.i, row.t))
-        size += len(row.t)
+        size += len(row.t.encode("utf-8", "replace"))
         if size >= MAX_BLOCK_BYTES:
             yield block
             block, size = [], 0
@@ -186,17 +190,26 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
          item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
          with_chars: bool = True) -> DataFrame:
     """One row per document row: key, n_words, n_hit, items (ids as sorted strings), hit word runs, character spans."""
-    return _scan(docs, list(_blocks(benchmark, item_id, item_text)), key, text, window, with_chars).drop("text_hash")
+    return _scan(docs, _blocks(benchmark, item_id, item_text), key, text, window, with_chars).drop("text_hash")
 
 
-def _scan(docs: DataFrame, blocks: list, key: str, text: str, window: int, with_chars: bool) -> DataFrame:
+def _scan(docs: DataFrame, blocks, key: str, text: str, window: int, with_chars: bool) -> DataFrame:
+    """Hits of one block in one pass; of several, each pass is written before the next block is read."""
     spark = docs.sparkSession
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("text_hash"))
     schema = SCAN_SCHEMA.format(key="key", key_type=slim.schema["key"].dataType.simpleString())
-    parts = [slim.mapInArrow(_scanner(spark.sparkContext.broadcast(WindowSet(b, window)), with_chars), schema)
-             for b in blocks or [[]]]
-    out = parts[0] if len(parts) == 1 else _merge_blocks(parts)
-    return out.withColumnRenamed("key", key)
+    blocks, parts = iter(blocks), []
+    block, ahead = next(blocks, []), next(blocks, None)
+    while True:
+        share = shipped(spark, WindowSet(block, window))
+        part = slim.mapInArrow(_scanner(share, with_chars), schema)
+        if ahead is None and not parts:
+            return part.withColumnRenamed("key", key)
+        parts.append(written(part, "benchmark-hits"))
+        share.destroy()
+        if ahead is None:
+            return _merge_blocks(parts).withColumnRenamed("key", key)
+        block, ahead = ahead, next(blocks, None)
 
 
 def _merge_blocks(parts: list[DataFrame]) -> DataFrame:
@@ -230,7 +243,7 @@ def contaminated(min_hit_share: int = MIN_HIT_SHARE):
 
 def _cleaner(share, mode: str, names: list[str], text: str, min_hit_share: int):
     def clean(batches):
-        windows, col = share.value, names.index(text)
+        windows, col = opened(share), names.index(text)
         for batch in batches:
             texts, keep = batch.column(col).to_pylist(), []
             for i, t in enumerate(texts):
@@ -258,11 +271,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     """
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode must be documents or spans, not {mode}")
-    spark, blocks = docs.sparkSession, list(_blocks(benchmark, item_id, item_text))
-    if len(blocks) <= 1:
-        share = spark.sparkContext.broadcast(WindowSet(blocks[0] if blocks else [], window))
+    blocks = _blocks(benchmark, item_id, item_text)
+    block, ahead = next(blocks, []), next(blocks, None)
+    if ahead is None:
+        share = shipped(docs.sparkSession, WindowSet(block, window))
         return docs.mapInArrow(_cleaner(share, mode, docs.columns, text, min_hit_share), docs.schema)
-    found = _scan(docs, blocks, key, text, window, mode == "spans").filter(
+    found = _scan(docs, itertools.chain([block, ahead], blocks), key, text, window, mode == "spans").filter(
         contaminated(min_hit_share) if mode == "documents" else F.col("n_hit") > 0)
     found = found.select(F.col(key).alias("_hit_key"), F.col("text_hash").alias("_hit_hash"),
                          F.col("char_spans").alias("_hit_spans")).distinct()

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import checkpointed, hash_share, read_table, ship_by_value
+from tidepool.llm.common import checkpointed, hash_share, opened, read_table, ship_by_value, shipped
 
 ship_by_value(__name__)
 
@@ -194,7 +194,7 @@ def learn_prose(docs: DataFrame, text: str = "text") -> dict:
 
 def _finder(share):
     def run(batches):
-        prose = share.value
+        prose = opened(share)
         for batch in batches:
             rows = []
             for key, text, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -219,7 +219,7 @@ def find(docs: DataFrame, prose: dict, key: str = "doc_id", text: str = "text",
          path: str | None = "source") -> DataFrame:
     """Every candidate: key, start, stop (characters), kind, value_sha256, features, label (may be null)."""
     slim = _slim(docs, key, text, path)
-    share = docs.sparkSession.sparkContext.broadcast(prose)
+    share = shipped(docs.sparkSession, prose)
     kind = slim.schema["key"].dataType.simpleString()
     return slim.mapInArrow(_finder(share), f"key {kind}, start long, stop long, kind string, value_sha256 string, "
                                            "features array<double>, label boolean").withColumnRenamed("key", key)
@@ -285,7 +285,7 @@ def _scores(forest: Forest | None, feats: list, kinds: list) -> np.ndarray:
 
 def _judge(share):
     def run(batches):
-        forest = share.value
+        forest = opened(share)
         for batch in batches:
             got = _scores(forest, batch.column("features").to_pylist(), batch.column("kind").to_pylist())
             yield batch.append_column("score", pa.array(got, pa.float64()))
@@ -294,7 +294,7 @@ def _judge(share):
 
 def judge(findings: DataFrame, forest: Forest | None, threshold: float = THRESHOLD) -> DataFrame:
     """``findings`` with the forest's ``score`` and the verdict ``secret``."""
-    share = findings.sparkSession.sparkContext.broadcast(forest)
+    share = shipped(findings.sparkSession, forest)
     schema = findings.schema.simpleString()[len("struct<"):-1]
     return findings.mapInArrow(_judge(share), schema + ",score:double").withColumn(
         "secret", F.col("score") >= threshold)
@@ -302,7 +302,7 @@ def judge(findings: DataFrame, forest: Forest | None, threshold: float = THRESHO
 
 def _redactor(share, col: int, path: int | None, threshold: float, changed: list[tuple[int, str]]):
     def run(batches):
-        forest, prose = share.value
+        forest, prose = opened(share)
         for batch in batches:
             texts = batch.column(col).to_pylist()
             paths = batch.column(path).to_pylist() if path is not None else [None] * len(texts)
@@ -331,7 +331,7 @@ def redact(docs: DataFrame, prose: dict, forest: Forest | None, text: str = "tex
            length: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with every secret replaced by ``MASK``, and the length column brought up to date; one map pass."""
     names = docs.columns
-    share = docs.sparkSession.sparkContext.broadcast((forest, prose))
+    share = shipped(docs.sparkSession, (forest, prose))
     changed = [(names.index(length), length)] if length in names else []
     return docs.mapInArrow(_redactor(share, names.index(text), names.index(path) if path in names else None,
                                      threshold, changed), docs.schema)
