@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,9 +74,11 @@ SECRET_DOCS = [
 
 def test_prose_is_counted_over_whole_texts_of_all_documents(spark, docs_of):
     rare = "plain words " * 5000 + "quixotry"
-    docs = docs_of([(i, f"plain words {SYLLABLES['cc'].split()[i % 4]}") for i in range(5000)] + [(9000, rare), (9001, None)])
+    docs = docs_of([(i, f"plain words {SYLLABLES['cc'].split()[i % 4]}") for i in range(5000)]
+                   + [(9000 + i, rare) for i in range(S.MIN_DOCS)] + [(9010, None), (9011, "rarely hapax token=abcdef12 abcdef12")]
+                   + [(9020 + i, f"id 77{'feedface'}88 key=letmeinside") for i in range(9)])
     p = S.learn_prose(docs)
-    assert {"plain", "quixotry", "mente"} <= p["words"] and "qu" in p["pairs"] and p["rare"] < min(p["pairs"].values())
+    assert {"plain", "quixotry", "mente"} <= p["words"] and not {"hapax", "feedface", "abcdef", "letmeinside"} & p["words"] and "qu" in p["pairs"] and p["rare"] < min(p["pairs"].values())
 
 
 def test_candidates_do_not_overlap():
@@ -146,6 +149,35 @@ def test_forest_and_redaction(spark, docs_of):
     assert S.find(test.limit(0), prose_model).count() == 0
 
 
+def test_both_verdicts_inside_a_shape(spark, docs_of):
+    """Held-out findings of known label: precision and recall per shape; the path decides on equal texts."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abdegilmnorstu") for _ in range(rng.randrange(3, 9))) for _ in range(400)]
+    prose_of = lambda: " ".join(rng.choice(vocabulary) for _ in range(40))
+    docs = docs_of([(i, prose_of()) for i in range(3000)])
+    prose_model, forest = S.learn(docs)
+    assert forest is not None
+    tried: dict[str, list] = {}
+    for seed in range(10 ** 6, 10 ** 6 + 800):
+        made = S.planted(prose_of(), seed)
+        whole, a, b, path, label = made
+        kind = next((k for x, y, k in S.candidates(whole) if (x, y) == (a, b)), None)
+        if kind:
+            score = forest.score(np.array([S.features(whole, a, b, path, prose_model)]))[0]
+            tried.setdefault(kind, []).append((label, score >= S.THRESHOLD))
+    for kind, n in (("assigned", 200), ("provider", 60)):
+        got = tried[kind]
+        hit = sum(x and y for x, y in got)
+        assert len(got) >= n and {y for _, y in got} == {True, False}
+        assert hit >= 0.9 * sum(y for _, y in got) and hit >= 0.9 * sum(x for x, _ in got), (kind, hit, got)
+    text = f"{prose_of()} password = \"9f8e7d6c5b4a39281706aa31bc\" {prose_of()}"
+    verdict = {}
+    for path in ("src/main/app", "src/tests/data"):
+        (a, b, _), = S.candidates(text)
+        verdict[path] = forest.score(np.array([S.features(text, a, b, path, prose_model)]))[0] >= S.THRESHOLD
+    assert verdict == {"src/main/app": True, "src/tests/data": False}
+
+
 def test_without_labels_shapes_decide(spark, docs_of):
     docs = docs_of(SECRET_DOCS)
     p = S.learn_prose(docs.limit(0))
