@@ -48,6 +48,7 @@ ship_by_value(__name__)
 HOT = 1_024                     # names of one q-gram bucket that are refined together
 LOCAL_HOT = 128                 # names of one q-gram bucket that one task passes on; beyond it the bucket is hot
 PARTS_PER_PARTITION = 2
+PART_BYTES = 16 << 20           # text bytes that one part of the names or segments stands for at most, about
 
 NULL_ID = -2 ** 63
 _DOCS = np.dtype([("d", "<i8"), ("h", "<i8")])
@@ -392,8 +393,10 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(d, h, spans): the repeats of each document that has any, as packed byte ranges that may overlap."""
     spark = docs.sparkSession
-    parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _keyed(docs, key, text)
+    size = texts.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    # A part is one table in one task's memory, so their number follows the bytes, not the session alone.
+    parts = max(PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     named = texts.mapInArrow(_name_segments(parts), _PACKED)
     first = written(named.groupBy("part").applyInArrow(_refine_buckets, _FOUND), "suffix-buckets")
     asked = first.filter(F.col("kind") == REQUESTS).groupBy("d", "h").agg(F.collect_list("data").alias("asked"))
