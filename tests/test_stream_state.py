@@ -93,3 +93,22 @@ def test_late_rows_are_counted_exactly(spark, tmp_dir):
     late = sorted(r.timestamp for r in spark.read.parquet(f"{work}/late_rows").collect())
     assert late == [1, 9_900, 9_900, 11_400] and dropped.total == len(late)
     assert sorted(r.timestamp for r in spark.read.parquet(f"{work}/unique").collect()) == [9_901, 10_000, 10_500, 11_401, 12_000]
+
+
+def test_asof_answers_wait_for_the_watermark(spark, tmp_dir):
+    from tidepool.streaming import asof_state as V
+    src, work = f"{tmp_dir}/in", f"{tmp_dir}/work"
+
+    def run(*rows):
+        spark.createDataFrame([(56, "t", o, p, v, n) for o, p, v, n in rows], V.ROW).coalesce(1).write.mode("append").parquet(src)
+        q = V.start_asof(spark, spark.readStream.schema(V.ROW).parquet(src), work, 100)
+        q.awaitTermination()
+        assert q.exception() is None
+        return {r.name: (r.value, r.latest_value) for r in V.read_answers(spark, work).collect()}
+    first = run((A, 10, "1", None), (A, 50, None, "a50"), (B, 5, None, "b5"), (A, 50, "3", None), (A, 50, "2", None))
+    assert first == {}
+    # a snapshot that comes late but in time is seen; questions at a snapshot's own position see it
+    assert run((A, 30, "2", None), (A, 160, None, "a160"), (A, 40, None, "a40")) == {"a50": ("3", "3"), "b5": (None, None), "a40": ("2", "3")}
+    assert run((B, 300, "9", None), (A, 170, "7", None), (A, 290, None, "a290"))["a160"] == ("3", "7")
+    done = run((A, 900, "8", None))
+    assert done["a290"] == ("7", "8") and done["b5"] == (None, "9") and len(done) == 5

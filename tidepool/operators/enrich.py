@@ -24,6 +24,7 @@ FEE_METHOD = "approx_from_feeTier"
 TVL_AT_BLOCK = "balance_of_block"
 TVL_LATEST = "balance_of_latest"
 TVL_NONE = "unavailable"
+WINDOW_KEY = ["chain_id", "pool_address", "window_start"]
 
 
 def attach_decimals(windows: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -66,19 +67,27 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     bal = balances.select(
         "chain_id", address_key(F.col("token")).alias("token"), address_key(F.col("owner")).alias("owner"),
         "block_number", "balance")
-    # One as-of pass for both tokens: two rows per window (side 0 / side 1), put
-    # back into one row and joined to the windows once.
-    key = ["chain_id", "pool_address", "window_start"]
-    sides = windows.select(*key, "last_block", address_key(F.col("pool_address")).alias("owner"), F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), address_key(F.col("token0")).alias("token")),
-        F.struct(F.lit(1).alias("side"), address_key(F.col("token1")).alias("token")))).alias("_s"))
-    sides = sides.select(*key, "last_block", "owner", "_s.side", "_s.token")
-    found = asof_join(sides, bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
+    # One as-of pass for both tokens: two rows per window, put back into one row and joined to the windows once.
+    found = asof_join(tvl_sides(windows), bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
                       "last_block", "block_number", ["balance"], prefix="_b_",
                       bucket_size=bucket_size, with_latest=True)
-    both = found.groupBy(*key).agg(*[
+    return pick_tvl(windows, found)
+
+
+def tvl_sides(windows: DataFrame) -> DataFrame:
+    """Two rows per window, one for each token: window key, last_block, owner, side, token."""
+    return windows.select(*WINDOW_KEY, "last_block", address_key(F.col("pool_address")).alias("owner"), F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), address_key(F.col("token0")).alias("token")),
+        F.struct(F.lit(1).alias("side"), address_key(F.col("token1")).alias("token")))).alias("_s")).select(
+        *WINDOW_KEY, "last_block", "owner", "_s.side", "_s.token")
+
+
+def pick_tvl(windows: DataFrame, found: DataFrame) -> DataFrame:
+    """``windows`` with tvl0_raw, tvl1_raw, tvl_method, from both sides' ``_b_balance`` and ``_b_latest_balance``."""
+    both = found.groupBy(*WINDOW_KEY).agg(*[
         F.max(F.when(F.col("side") == side, F.col(f"_b_{c}"))).alias(f"_b{side}_{c}")
         for side in (0, 1) for c in ("balance", "latest_balance")])
+    key = WINDOW_KEY
     w = windows.join(both, key, "left")
     valid = (is_hex_address(F.col("token0")) & is_hex_address(F.col("token1"))
              & is_hex_address(F.col("pool_address")) & (F.col("last_block") > 0))

@@ -75,3 +75,36 @@ def state_row(spark, name: str, last_ts, previous: int | None = None, force: boo
         v = F.greatest(v, F.lit(int(previous)))
     return spark.range(1).select(F.lit(name).alias("name"), v.cast("bigint").alias("last_processed_ts"),
                                  F.current_timestamp().alias("updated_at"))
+
+
+# ---------------------------------------------------------------------------
+# Compaction onto a bucketed base.
+
+def write_base(df: DataFrame, table: str, path: str, key: list[str], buckets: int) -> None:
+    """A table of the latest rows, bucketed and sorted by ``key``: the base that deltas are merged onto.
+
+    ``df`` is dealt by the key first, so every bucket is one file; written_at
+    becomes created_at and updated_at where the rows have not got them yet.
+    """
+    rows = df.drop("batch_id", "_rn")
+    if "written_at" in rows.columns:
+        rows = rows.withColumn("created_at", F.col("written_at")).withColumnRenamed("written_at", "updated_at")
+    (rows.repartition(buckets, *key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *key).sortBy(*key).saveAsTable(table))
+
+
+def merge_base(spark, table: str, deltas: DataFrame, key: list[str], buckets: int) -> DataFrame:
+    """The base with all later versions of its keys laid over it: latest row wins, created_at is the first write.
+
+    Only the deltas are shuffled, into the base's buckets; the base is read
+    bucket by bucket in its own order.
+    """
+    base = spark.table(table)
+    news = latest_versions(deltas.repartition(buckets, *key), key).drop("batch_id")
+    news = news.withColumnsRenamed({c: f"_n_{c}" for c in news.columns})
+    on = [base[c] == news[f"_n_{c}"] for c in key]
+    j = base.join(news.hint("merge"), on, "full_outer")
+    new = F.col(f"_n_{key[0]}").isNotNull()
+    cols = [F.least("created_at", "_n_created_at").alias(c) if c == "created_at" else
+            F.when(new, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in base.columns]
+    return j.select(*cols)

@@ -294,8 +294,8 @@ BLOCK_BATCH = 1000
 
 def block_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    b = o.agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
-    return b.select(F.explode(I.split_range_cols(F.col("lo"), F.col("hi"), BLOCK_BATCH)).alias("r")).select("r.*")
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return I.split_range(spark, lo, hi, BLOCK_BATCH)
 
 
 def log_with_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,3 +567,89 @@ ORACLES.update({
     "stream_late_rows": O.stream_late_rows(LATE_SLICES, LATE_MOD, LATE_REST, LATE_DAYS * DAY),
     "stream_ingest": O.log_with_timestamp(),
 })
+
+
+# ---------------------------------------------------------------------------
+# Files, combined faults, stored tables.
+
+def jsonl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of typed events read from JSON lines, some of them damaged (S3)."""
+    from tidepool.sources import logs as L
+    path = _fresh(spark, "event-lines")
+    X.typed_event_lines(spark, sf_dir).write.text(path)
+    return A.window_aggregate(L.read_typed_events_jsonl(spark, path), DAY).select(
+        "pool_address", "window_start", "swap_count", "volume0_raw", "n_events", "n_failed")
+
+
+def decode_combined_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs with several faults each: the first error in the fixed order is reported."""
+    return D.decode_errors(D.decode_logs(X.raw_logs_combined_faults(spark, sf_dir), X.pool_meta(spark, sf_dir)))
+
+
+BASE_BUCKETS = 8
+
+
+def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run as bucketed base, two resumed ones as deltas, merged, compacted and read again."""
+    import uuid
+    ev, tok, path = X.typed_events(spark, sf_dir), X.tokens(spark, sf_dir), _fresh(spark, "compacted")
+    key, table = ["chain_id", "pool_address", "window_start"], f"tidepool_base_{uuid.uuid4().hex}"
+    s = _resume_point(ev)
+    U.write_version(_swap_metrics(A.window_aggregate(ev.where(F.col("timestamp") <= s), DAY), tok), f"{path}/v", 1)
+    U.write_base(spark.read.parquet(f"{path}/v"), table, f"{path}/base", key, BASE_BUCKETS)
+    for run, top in ((2, s + 5 * DAY), (3, None)):
+        later = ev if top is None else ev.where(F.col("timestamp") <= top)
+        U.write_version(_swap_metrics(A.window_aggregate(later, DAY, A.align_start(s, DAY)), tok), f"{path}/deltas", run)
+    merged = U.merge_base(spark, table, spark.read.parquet(f"{path}/deltas"), key, BASE_BUCKETS)
+    U.write_base(merged, f"{table}_2", f"{path}/base2", key, BASE_BUCKETS)
+    return spark.table(f"{table}_2").drop("created_at", "updated_at")
+
+
+def log_scan_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered scan over logs laid out by (address, topic0, block) with Bloom filters."""
+    from tidepool.sources import sinks as K
+    path = _fresh(spark, "clustered")
+    logs = I.normalize_logs(X.raw_logs(spark, sf_dir)).withColumn("topic0", F.get(F.col("topics"), 0))
+    K.write_clustered(logs, path)
+    stored = spark.read.parquet(path)
+    latest = stored.agg(F.max("block_number").alias("m")).first()["m"]
+    addrs = ["0x" + format(p, "x").rjust(40, "0") for p in range(SCAN_POOLS)]
+    s = I.scan_logs(stored, I.resume_from(1, latest // 4), 0, addrs, [D.EVENTS[n].topic0 for n in SCAN_TOPICS])
+    return s.select("chain_id", "block_number", "tx_hash", "log_index", "address", "topic0",
+                    F.size("topics").cast("bigint").alias("n_topics"))
+
+
+QUERIES.update({"jsonl_events": jsonl_events, "decode_combined_errors": decode_combined_errors,
+                "upsert_compacted": upsert_compacted, "log_scan_clustered": log_scan_clustered})
+ORACLES.update({"jsonl_events": O.jsonl_events(), "decode_combined_errors": O.decode_combined_errors(),
+                "upsert_compacted": O.window_swap_metrics(DAY), "log_scan_clustered": O.log_scan_filtered(SCAN_POOLS, SCAN_TOPICS)})
+
+
+def stream_tvl_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TVL of hourly windows from balance snapshots that stream in beside them (J6, W1): equals the batch result."""
+    from tidepool.streaming import asof_state as V
+    work = _fresh(spark, "stream-asof")
+    windows = A.drop_missing_meta(A.window_aggregate(X.typed_events(spark, sf_dir), HOUR))
+    windows = N.cut_lineage(N.attach_decimals(windows, X.tokens(spark, sf_dir)))
+    sides = N.tvl_sides(windows)
+    name = F.to_json(F.struct("pool_address", "window_start", "side"))
+    asked = sides.select(*V.KEY, F.col("last_block").alias("position"), F.lit(None).cast("string").alias("value"), name.alias("name"))
+    held = X.balances(spark, sf_dir).select(*V.KEY, F.col("block_number").alias("position"), F.col("balance").alias("value"),
+                                            F.lit(None).cast("string").alias("name"))
+    rows = N.cut_lineage(held.unionByName(asked))
+    lo, hi = rows.agg(F.min("position"), F.max("position")).first()
+    step = (hi - lo) // STREAM_SLICES + 1
+    beat = spark.range(1).select(F.lit(0).cast("bigint").alias("chain_id"), F.lit("").alias("token"), F.lit("").alias("owner"),
+                                 F.lit(hi + 2 * step).cast("bigint").alias("position"), F.lit("0").alias("value"),
+                                 F.lit(None).cast("string").alias("name"))
+    for i in range(STREAM_SLICES + 1):
+        part = beat if i == STREAM_SLICES else rows.where(F.col("position").between(lo + i * step, lo + (i + 1) * step - 1))
+        part.write.mode("append").parquet(f"{work}/landing")
+        _done(V.start_asof(spark, spark.readStream.schema(V.ROW).parquet(f"{work}/landing"), work, step // 2))
+    answers = V.read_answers(spark, work).withColumn("_n", F.from_json("name", "pool_address string, window_start long, side int"))
+    found = answers.select("chain_id", "_n.*", F.col("value").alias("_b_balance"), F.col("latest_value").alias("_b_latest_balance"))
+    return N.metrics_row(N.pick_tvl(windows, found)).select("pool_address", "window_start", "tvl0", "tvl1", "tvl_method")
+
+
+QUERIES["stream_tvl_asof"] = stream_tvl_asof
+ORACLES["stream_tvl_asof"] = ORACLES["tvl_asof_fallback"]

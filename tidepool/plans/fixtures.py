@@ -406,3 +406,27 @@ def token_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("0x"), b32(F.col("p_brand"))).alias("symbol_word"),
         F.when(k % 3 == 1, F.col("p_type")).alias("name_text"),
         F.when(k % 3 == 2, F.concat(F.lit("0x"), b32(F.col("p_name")))).alias("name_word"))
+
+
+def raw_logs_combined_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter R with faults, and more of them on the same logs: every 7th has a bad pool
+    address besides, every 11th empty data besides."""
+    n = F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")
+    return (raw_logs(spark, sf_dir, faults=True)
+            .withColumn("address", F.when(n % 7 == 3, F.lit("0x1234")).otherwise(F.col("address")))
+            .withColumn("data", F.when(n % 11 == 5, F.lit("0x")).otherwise(F.col("data"))))
+
+
+LINE_MOD = 101               # JSON line damaged by kind event_id % 101 (21..25)
+
+
+def typed_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter E as JSON lines (one ``value`` column): 21 cut short, 22 a negative block, 23 a timestamp in
+    quotes, 24 text behind the object, 25 a payload that is text (the event stays, a swap with it fails)."""
+    te = typed_events(spark, sf_dir)
+    f = (F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("bigint")) % LINE_MOD
+    line = F.to_json(F.struct(*te.columns))
+    return te.select(
+        F.when(f == 21, F.substring(line, 1, 40)).when(f == 22, F.replace(line, F.lit('"block_number":'), F.lit('"block_number":-')))
+        .when(f == 23, F.regexp_replace(line, '"timestamp":([0-9]+)', '"timestamp":"$1"')).when(f == 24, F.concat(line, F.lit(" x")))
+        .when(f == 25, F.regexp_replace(line, '"decoded":\\{[^}]*\\}', '"decoded":"text"')).otherwise(line).alias("value"))

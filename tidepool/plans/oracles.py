@@ -529,3 +529,31 @@ t AS (SELECT lands, max(timestamp) AS top FROM w GROUP BY lands),
 x AS (SELECT w.*, (SELECT max(top) FROM t WHERE t.lands < w.lands) AS before FROM w)
 SELECT address AS pool_address, count(*) AS late_rows, (SELECT count(*) FROM x WHERE timestamp <= before - {lateness}) AS dropped_by_operator
 FROM x WHERE timestamp <= before - {lateness} GROUP BY ALL"""
+
+
+# ---------------------------------------------------------------------------
+# Files, combined faults, stored tables.
+
+def jsonl_events(w: int = 86400) -> str:
+    f = f"event_id % {X.LINE_MOD}"
+    return f"""WITH {E_CTE}
+SELECT address AS pool_address, timestamp - timestamp % {w} AS window_start,
+       CAST(count(*) FILTER (WHERE event_name = 'Swap' AND {f} <> 25) AS BIGINT) AS swap_count,
+       CAST(sum(CASE WHEN event_name = 'Swap' AND {f} <> 25 THEN abs(a0) ELSE 0 END) AS VARCHAR) AS volume0_raw,
+       CAST(count(*) AS BIGINT) AS n_events, CAST(count(*) FILTER (WHERE event_name = 'Swap' AND {f} = 25) AS BIGINT) AS n_failed
+FROM e WHERE timestamp > 0 AND {f} NOT IN (21, 22, 23, 24) GROUP BY ALL"""
+
+
+def decode_combined_errors() -> str:
+    address = "event_id % 7 = 3"
+    empty = "event_id % 11 = 5"
+    no_data = "'unpack ' || event_name || ': abi: attempting to unmarshall an empty string while arguments are expected'"
+    return f"""WITH {E_CTE}, {ED_CTE}, {FAULTY_CTE},
+x AS (
+  SELECT *, CASE WHEN f = 1 THEN error WHEN outcome = 'skipped' THEN NULL
+                 WHEN {address} THEN 'invalid pool address: 0x1234' WHEN f BETWEEN 3 AND 7 THEN error
+                 WHEN {empty} THEN {no_data} WHEN outcome = 'failed' THEN error END AS first_error
+  FROM fo)
+SELECT chain_id, block_number, tx_hash, log_index, CASE WHEN {address} THEN '0x1234' ELSE log_address END AS address,
+       topic0, first_error AS error
+FROM x WHERE first_error IS NOT NULL"""
