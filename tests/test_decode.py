@@ -112,3 +112,32 @@ def test_json_lines_dead_letter(spark, meta):
     bad = [e for e in errs if e.error == "invalid json line"][0]
     assert (bad.chain_id, bad.tx_hash, bad.topic0) == (0, "", "")
     assert D.decode_counters(dec).where(F.col("counter") == "total").first().value == 3
+
+
+def test_layouts_as_a_table_give_what_the_fixed_decoder_gives(spark, meta):
+    """The same logs, faults included, by branches and by the spec table."""
+    good = [raw_log("Swap", [addr_topic(SENDER), addr_topic(RECIP)], [-1000, 2000, 2 ** 160 - 1, 987654321, -15], POOL1),
+            raw_log("Mint", [addr_topic(Bb), int_topic(-120), int_topic(120)], [addr_word(A), 5000, 100, 2 ** 255], POOL9, log_index=2),
+            raw_log("Swap", [addr_topic(SENDER)], [1, 2, 3, 4, 5], POOL1, log_index=3),
+            raw_log("Swap", [addr_topic(SENDER), "0x" + "ab" * 33], [1, 2, 3, 4, 5], POOL1, log_index=4),
+            raw_log("Swap", [addr_topic(SENDER), addr_topic(RECIP)], [1, 2], POOL1, log_index=5),
+            raw_log("Swap", [addr_topic(SENDER), addr_topic(RECIP)], [], POOL1, log_index=6),
+            raw_log("Swap", [addr_topic(SENDER), addr_topic(RECIP)], [1, 2, 3, 4, 2 ** 23], POOL1, log_index=7),
+            raw_log("Burn", ["0xzz", int_topic(-120), int_topic(120)], [1, 2, 3], POOL9, log_index=8),
+            raw_log("Swap", [], [], POOL1, log_index=9, topic0="0x" + "ab" * 32)]
+    fixed = {r.log_index: r for r in _decode(spark, meta, good)}
+    by_spec = {r.log_index: r for r in D.decode_by_spec(raw_df(spark, good), D.spec_table(spark)).collect()}
+    assert by_spec.keys() == fixed.keys()
+    for i, r in fixed.items():
+        assert (by_spec[i].outcome, by_spec[i].error, by_spec[i].event_name) == (r.outcome, r.error, r.event_name), i
+        if r.outcome == "decoded":
+            for name, text in by_spec[i].fields.items():
+                assert str(r.decoded[name]) == text
+
+
+def test_a_new_kind_is_a_new_row(spark):
+    note = D.EventSpec("Note", "0x" + "77" * 32, (("who", "address"),), (("x", "int256"), ("t", "int24"), ("y", "uint"), ("z", "uint"), ("u", "address"), ("v", "uint")))
+    logs = raw_df(spark, [raw_log("Swap", [addr_topic(SENDER)], [-7, -2, 2 ** 256 - 1, 0, addr_word(A), 9], POOL1, topic0=note.topic0)])
+    assert D.decode_by_spec(logs, D.spec_table(spark)).first().outcome == "skipped"
+    r = D.decode_by_spec(logs, D.spec_table(spark, (note, *D.EVENTS.values()))).first()
+    assert r.fields == {"who": SENDER, "x": "-7", "t": "-2", "y": str(2 ** 256 - 1), "z": "0", "u": A, "v": "9"}

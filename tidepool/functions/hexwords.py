@@ -45,3 +45,8 @@ def _words_udf(words: pd.Series, signed: pd.Series) -> pd.Series:
 def words_text(words: list[Column], signed: list[Column]) -> Column:
     """array<string> of the decimal texts of ``words`` (NULL word -> NULL)."""
     return _words_udf(F.array(*words), F.array(*[s.cast("boolean") for s in signed]))
+
+
+def word_array_text(words: Column, signed: Column) -> Column:
+    """The same for an array column of words and one of flags, of any length."""
+    return _words_udf(words, signed)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidepool import schemas as S
 from tidepool.functions import bigint as B
 from tidepool.functions import hexcodec as H
-from tidepool.functions.hexwords import words_text
+from tidepool.functions.hexwords import word_array_text, words_text
 from tidepool.operators.asof import asof_join
 from tidepool.operators.ingest import first_copy
 from tidepool.plans.joins import bounded_broadcast
@@ -333,3 +333,68 @@ def decode_counters(decoded: DataFrame) -> DataFrame:
     # Grouping sets over at most three rows: each outcome, and all of them.
     total = c.rollup("outcome").agg(F.sum("value").alias("value"))
     return total.select(F.coalesce("outcome", F.lit("total")).alias("counter"), F.coalesce("value", F.lit(0)).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# Event layouts as a table (P6, F1-F4): a further kind of event is a further row.
+
+SPEC_SCHEMA = ("topic0 string, event_name string, indexed array<struct<name:string,kind:string>>, "
+               "data array<struct<name:string,kind:string>>")
+
+
+def spec_table(spark, specs=tuple(EVENTS.values())) -> DataFrame:
+    """The layouts of ``specs`` as rows."""
+    return spark.createDataFrame([(e.topic0.lower(), e.name, list(e.indexed), list(e.data)) for e in specs], SPEC_SCHEMA)
+
+
+def decode_by_spec(logs: DataFrame, specs: DataFrame) -> DataFrame:
+    """Decode logs by the layouts in ``specs`` (SPEC_SCHEMA), whatever events they name.
+
+    Returns the log key, address, event_name, outcome, error and ``fields``, a
+    map of field name to text (addresses lower case, integers in decimal).  One
+    expression serves all layouts: the words of a log are an array, topics first,
+    and each is read by the kind at its place.  Layouts are broadcast if
+    small (size-checked); of several with one topic0 the first by name counts.
+    Errors are those of ``decode_logs`` for topics, data and ranges.
+    """
+    one = first_copy(specs.select(F.lower("topic0").alias("_s0"), "event_name", "indexed", "data"), ["_s0"], [
+        F.col("event_name"), F.to_json(F.struct("indexed", "data"))])
+    s = bounded_broadcast(one.withColumnsRenamed({"indexed": "_ix", "data": "_dt"}))
+    topics = F.coalesce(F.col("topics"), F.array().cast("array<string>"))
+    data = F.coalesce(F.col("data"), F.lit(""))
+    rows = logs.select("chain_id", "block_number", "tx_hash", "log_index", "address", topics.alias("_topics"), data.alias("_data"))
+    j = rows.join(s, F.lower(F.get("_topics", 0)) == F.col("_s0"), "left").withColumn("_body", F.lower(H.hex_body(F.col("_data"))))
+    n_bytes, need = B.idiv(F.length("_body"), 2), F.size("_ix") + 1
+    topic_error = F.get(F.filter(F.transform(F.slice("_topics", 2, F.size("_topics")), lambda t: F.coalesce(
+        F.concat(F.lit("invalid topic: "), H.hex_error(t)),
+        F.when(F.length(t) > 66, F.concat(F.lit("topic length "), B.idiv(F.length(t) - 2, 2).cast("string"))))),
+        lambda e: e.isNotNull()), 0)
+    words = F.concat(F.transform("_ix", lambda f, i: H.topic_word(F.get("_topics", i + 1))),
+                     F.transform("_dt", lambda f, i: F.substr("_body", i * H.WORD + 1, F.lit(H.WORD))))
+    staged = j.select("*", F.concat("_ix", "_dt").alias("_kinds"), words.alias("_words"), F.coalesce(
+        F.when(F.size("_topics") != need, F.concat(F.lit("expected "), need.cast("string"), F.lit(" topics, got "),
+                                                   F.size("_topics").cast("string"))),
+        topic_error, F.concat(F.lit("invalid data: "), H.hex_error(F.col("_data"))),
+        F.when((n_bytes == 0) & (F.size("_dt") > 0), F.concat(F.lit("unpack "), F.col("event_name"), F.lit(
+            ": abi: attempting to unmarshall an empty string while arguments are expected"))),
+        F.when(B.idiv(n_bytes, 32) < F.size("_dt"), F.concat(
+            F.lit("unpack "), F.col("event_name"), F.lit(": abi: cannot marshal in to go type: length insufficient "),
+            n_bytes.cast("string"), F.lit(" require "), ((B.idiv(n_bytes, 32) + 1) * 32).cast("string")))).alias("_error"))
+    # int24 words beyond their range fail the log; their text is only made for the message.
+    ticks = F.transform("_words", lambda w, i: F.when(F.get("_kinds", i)["kind"] == "int24", H.word_int24(w)))
+    staged = staged.withColumn("_ticks", ticks).withColumn("_wide", F.get(F.filter(F.transform("_words", lambda w, i: F.when(
+        (F.get("_kinds", i)["kind"] == "int24") & F.get("_ticks", i).isNull(), w)), lambda w: w.isNotNull()), 0))
+    read = F.col("_s0").isNotNull() & F.col("_error").isNull()
+    integers = F.transform("_words", lambda w, i: F.when(~F.get("_kinds", i)["kind"].isin("address", "int24"), w))
+    flags = F.transform("_kinds", lambda k: k["kind"] == "int256")
+    texts = word_array_text(F.when(read, F.concat(integers, F.array("_wide"))), F.when(read, F.concat(flags, F.array(F.lit(True)))))
+    staged = staged.withColumn("_texts", texts)
+    value = F.transform("_words", lambda w, i: F.when(F.get("_kinds", i)["kind"] == "address", H.word_address(w))
+                        .when(F.get("_kinds", i)["kind"] == "int24", F.get("_ticks", i).cast("string")).otherwise(F.get("_texts", i)))
+    error = F.when(F.size("_topics") == 0, F.lit("missing topic0")).when(F.col("_s0").isNotNull(), F.coalesce(
+        F.col("_error"), F.when(F.col("_wide").isNotNull(), F.concat(F.lit("int24 overflow: "), F.element_at("_texts", -1)))))
+    out = staged.withColumn("error", error)
+    outcome = F.when(F.col("error").isNotNull(), OUTCOME_FAILED).when(F.col("_s0").isNull(), OUTCOME_SKIPPED).otherwise(OUTCOME_DECODED)
+    fields = F.map_from_arrays(F.transform("_kinds", lambda k: k["name"]), value)
+    return out.select("chain_id", "block_number", "tx_hash", "log_index", "address", "event_name", outcome.alias("outcome"), "error",
+                      F.when(F.col("_s0").isNotNull() & F.col("error").isNull(), fields).alias("fields"))

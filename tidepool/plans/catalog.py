@@ -653,3 +653,23 @@ def stream_tvl_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["stream_tvl_asof"] = stream_tvl_asof
 ORACLES["stream_tvl_asof"] = ORACLES["tvl_asof_fallback"]
+
+
+# ---------------------------------------------------------------------------
+# Event layouts as a table.
+
+def decode_custom_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth kind of event decoded because its layout is a further row of the spec table."""
+    specs = D.spec_table(spark, (*D.EVENTS.values(), X.custom_spec()))
+    d = D.decode_by_spec(X.raw_logs_custom(spark, sf_dir), specs).where("event_name = 'Gift' AND outcome = 'decoded'")
+    return d.select(*_DEC_KEYS, "event_name", *[F.col("fields")[c].alias(c) for c in ("giver", "low", "high", "receiver", "part0", "part1")])
+
+
+def decode_spec_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Swaps by the spec table: the same values as the fixed decoder's."""
+    d = D.decode_by_spec(X.raw_logs(spark, sf_dir), D.spec_table(spark)).where("event_name = 'Swap' AND outcome = 'decoded'")
+    return d.select(*_DEC_KEYS, *[F.col("fields")[c].alias(c) for c in _DEC_FIELDS["Swap"]])
+
+
+QUERIES.update({"decode_custom_event": decode_custom_event, "decode_spec_swap": decode_spec_swap})
+ORACLES.update({"decode_custom_event": O.decode_custom_event(), "decode_spec_swap": O.decode_spec_swap()})

@@ -557,3 +557,17 @@ x AS (
 SELECT chain_id, block_number, tx_hash, log_index, CASE WHEN {address} THEN '0x1234' ELSE log_address END AS address,
        topic0, first_error AS error
 FROM x WHERE first_error IS NOT NULL"""
+
+
+def decode_custom_event() -> str:
+    return f"""WITH {E_CTE}, {ED_CTE}
+SELECT chain_id, block_number, tx_hash, log_index, address, 'Gift' AS event_name, party1 AS giver, CAST(tick_lower AS VARCHAR) AS low,
+       CAST(tick_upper AS VARCHAR) AS high, party0 AS receiver, CAST(abs(a0) AS VARCHAR) AS part0, CAST(abs(a1) AS VARCHAR) AS part1
+FROM ed WHERE event_name = 'Collect' AND event_id % 3 = {X.CUSTOM_REST}"""
+
+
+def decode_spec_swap() -> str:
+    return f"""WITH {E_CTE}, {ED_CTE}
+SELECT chain_id, block_number, tx_hash, log_index, address, CAST(a0 AS VARCHAR) AS amount0, CAST(a1 AS VARCHAR) AS amount1,
+       CAST(tick AS VARCHAR) AS tick, liquidity, sqrt_price_x96, party0 AS sender, party1 AS recipient
+FROM ed WHERE event_name = 'Swap'"""
