@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns what the next one gets, with
 the columns of ``documents``; the last returns the packed pieces.  The learning
 stages fit on the documents they are given.
+
+Edge cases, by stage: a null or empty text, or one without a letter, has no
+language and goes in the first; rows without an id stay in the second, and rows
+of one id are decided each; a text without words is clean and without secrets;
+a null path counts as none.  Further columns, whatever their names, pass through
+all but the last.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

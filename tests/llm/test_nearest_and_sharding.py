@@ -142,6 +142,10 @@ def test_whole_records_are_written(spark, docs_of, skewed, tmp_path):
     key = lambda i, size, crc, s: (str(i), size, crc, s)
     assert sorted(key(r.doc_id, r.size, r.text_crc32, r.shard) for r in rows) == sorted(
         key(r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.shard) for r in back)
+    own = docs.withColumn("shard", F.lit("mine"))
+    S.write_shards(own, str(tmp_path / "own"), files_per_shard=2)
+    again = spark.read.parquet(str(tmp_path / "own"))
+    assert {r.shard_in for r in again.collect()} == {"mine"} and again.count() == own.count()
 
 
 def test_rows_that_share_an_id_are_rows_of_their_own(spark):

@@ -143,13 +143,15 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, key: str = "d
 
     A record is routed by its key through the shards' first keys, and by a hash
     of the record to one of ``files_per_shard`` files: one shuffle of the records.
+    A column of the input that is named ``shard`` is written as ``shard_in``, since the
+    folders carry that name.
     """
     assigned = assign(docs, shards, key, text)
     starts = shard_starts(assigned)
     if not starts:
         return assigned
     names = _array([s for *_, s in starts], "array<int>")
-    routed = docs.withColumn("_route_h", F.xxhash64(F.col(text)))
+    routed = docs.withColumnRenamed("shard", "shard_in").withColumn("_route_h", F.xxhash64(F.col(text)))
     where = F.get(names, F.greatest(_rank(_key("_route_h", key), [(h, i) for h, i, _ in starts]) - 1, F.lit(0)))
     routed = routed.withColumn("shard", where).withColumn("_route_f", F.pmod(F.xxhash64(key, "_route_h"),
                                                                              F.lit(files_per_shard)))

@@ -21,7 +21,8 @@ the join.  Components are taken over leaves named by their smallest document.
 
 Edge cases: null text is a text without words; repeated rows of a document
 count as copies; null ids are fingerprinted but belong to no component (null);
-an empty table gives an empty result.
+an empty table gives an empty result; other columns, whatever their names, are
+ignored, and kept by ``keep_one_each``.
 """
 
 from __future__ import annotations
