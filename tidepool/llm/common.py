@@ -95,18 +95,14 @@ def lower_ascii(col: Column) -> Column:
 
 def shipped(spark: SparkSession, value):
     """``value`` broadcast as bytes that hold its classes by value, so workers need no install; see ``opened``."""
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, cloudpickle.dumps(value)))
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
 def opened(share):
-    """A value from ``shipped``, read once per worker; the last two are kept."""
-    name, raw = share.value
-    kept = worker_state("opened", dict)
-    if name not in kept:
-        while len(kept) > 1:
-            kept.pop(next(iter(kept)))
-        kept[name] = cloudpickle.loads(raw)
-    return kept[name]
+    """A value from ``shipped``: read once per worker, and let go with the broadcast itself."""
+    if not hasattr(share, "_opened"):
+        share._opened = cloudpickle.loads(share.value)
+    return share._opened
 
 
 def worker_state(key: str, make):
