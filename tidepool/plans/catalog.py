@@ -515,7 +515,9 @@ def stream_state_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed.write.mode("append").parquet(f"{work}/landing")
         _done(W.start_open_windows(spark, _slim_stream(spark, f"{work}/landing"), work, DAY, f"{RESUME_LATENESS_DAYS} days"))
     pools = W.read_open_windows(spark, work)
-    return pools.select("chain_id", "pool_address", "lowest_open", "latest", "n_open").crossJoin(W.resume_point(pools))
+    point = W.resume_point(pools).first()["last_processed_ts"]
+    return pools.select("chain_id", "pool_address", "lowest_open", "latest", "n_open",
+                        F.lit(point).cast("bigint").alias("last_processed_ts"))
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
