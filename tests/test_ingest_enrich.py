@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import raw_df, raw_log
 from tidepool.operators import enrich as N
 from tidepool.operators import ingest as I
-from tidepool.operators.asof import asof_join
+from tidepool.operators.asof import asof_join, asof_rows
 from tidepool.operators.decode import SWAP
 
 
@@ -96,6 +96,36 @@ def test_asof_join_matches_brute_force(spark):
         assert got[i] == (want, latest), (i, k, pos)
 
 
+def test_asof_rows_matches_brute_force(spark):
+    rng = random.Random(5)
+    right = [(k, p, f"v{k}-{p}") for k in range(3) for p in sorted(rng.sample(range(0, 500), 15))]
+    right += [(0, right[0][1], "w"), (None, 10, "null key"), (1, None, "null position")]
+    left = [(i, rng.randrange(4), rng.randrange(0, 600)) for i in range(300)]
+    left += [(300, None, 20), (301, 1, None), (302, None, None), (303, 1, 77), (303, 1, 77)]
+    r = spark.createDataFrame(right, "k int, p long, v string")
+    l = spark.createDataFrame(left, "id int, k int, pos long")
+    asked = l.select("k", "pos").unionByName(l.select("k", (F.col("pos") + 1000).alias("pos")))
+    got = asof_rows(l, r, ["k"], ["k"], "pos", "p", ["v"], "b_", asked, bucket_size=37, with_latest=True).collect()
+    assert sorted(x.id for x in got) == sorted(i for i, _, _ in left)
+    for x in got:
+        own = [(p, v) for kk, p, v in right if kk is not None and p is not None and kk == x.k]
+        before = [(p, v) for p, v in own if x.pos is not None and p <= x.pos]
+        assert x.b_v == (max(before)[1] if before else None), x
+        assert x.b_latest_v == (max(own)[1] if own and x.pos is not None else None), x
+
+
+def test_tvl_is_picked_without_string_aggregates(spark, capsys):
+    w = spark.createDataFrame([(56, "0x" + "11" * 20, 0, "0x" + "aa" * 20, "0x" + "aa" * 20, 100)],
+                              "chain_id long, pool_address string, window_start long, token0 string, "
+                              "token1 string, last_block long")
+    bal = spark.createDataFrame([(56, "0x" + "AA" * 20, "0x" + "11" * 20, 50, "010")],
+                                "chain_id long, token string, owner string, block_number long, balance string")
+    found = N.attach_tvl(w, bal)
+    assert tuple(found.select("tvl0_raw", "tvl1_raw", "tvl_method").first()) == ("10", "10", "balance_of_block")
+    found.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
 def test_tvl_mixed_falls_back_to_latest(spark):
     w = spark.createDataFrame([(56, "0x" + "11" * 20, 0, "0x" + "aa" * 20, "0x" + "bb" * 20, 100)],
                               "chain_id long, pool_address string, window_start long, token0 string, "

@@ -18,6 +18,11 @@ A hot key (one pool with a third of all events) is spread over its buckets
 in every shuffle; the only per-key window runs on the per-bucket summary.
 Of right rows that repeat (keys, position) the one with the largest values
 counts; they never repeat a left row.
+
+Three forms: ``asof_join`` solves each distinct (key, position) once and joins
+the answers back, ``asof_answers`` returns those answers for a caller that joins
+them in its own way, and ``asof_rows`` sends the left rows themselves through
+the window, for left rows that are costly to compute twice.
 """
 
 from __future__ import annotations
@@ -38,18 +43,22 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
     no such row).  With ``with_latest`` also ``{prefix}latest_{v}`` and
     ``{prefix}latest_pos``: the key's last row regardless of position.
     """
-    b = int(bucket_size)
-    k = [f"_k{i}" for i in range(len(left_on))]
-    lcols = left.columns
-    payload = F.struct(F.col("_p").alias("pos"), *[F.col(v) for v in values])
-
-    r = right.select(*[F.col(c).alias(x) for c, x in zip(right_on, k)], F.col(right_pos).alias("_p"), *values)
-    r = r.withColumn("_b", idiv(F.col("_p"), b)).withColumn("_v", payload)
     # The answer depends only on (key, position): solve it per distinct pair
     # and join back on those columns (no synthetic row ids, which would not
     # survive a recomputation of a shuffled input).
+    found = asof_answers(left, right, left_on, right_on, left_pos, right_pos, values, bucket_size)
+    cond = [left[c] == found[x] for c, x in zip(left_on, _keys(left_on))] + [left[left_pos] == found["_p"]]
+    return left.join(found, cond, "left").select(*left.columns, *_named(values, prefix, with_latest))
+
+
+def asof_answers(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
+                 left_pos: str, right_pos: str, values: list[str], bucket_size: int = 10_000) -> DataFrame:
+    """One row per distinct (keys, position) of ``left``: ``_k0``.., ``_p``, and the structs ``_found``, ``_latest``
+    of (pos, *values)."""
+    k = _keys(left_on)
+    r = _right(right, right_on, right_pos, values, bucket_size)
     lk = (left.select(*[F.col(c).alias(x) for c, x in zip(left_on, k)], F.col(left_pos).alias("_p"))
-          .where(F.col("_p").isNotNull()).distinct().withColumn("_b", idiv(F.col("_p"), b)))
+          .where(F.col("_p").isNotNull()).distinct().withColumn("_b", idiv(F.col("_p"), int(bucket_size))))
 
     # 1. Within-bucket fill: right rows (tag 0) sort before left rows (tag 1)
     #    at equal position.  The same window also finds each bucket's last
@@ -66,27 +75,70 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
     local = filled.where(F.col("_t") == 1).select(*k, "_b", "_p", "_hit")
     # 2. One row per non-empty (key, bucket): its last snapshot.
     per_bucket = filled.where((F.col("_t") == 0) & F.coalesce(F.col("_later") == 0, F.lit(True)))
+    carry = _carry(per_bucket, lk.select(*k, "_b").distinct(), k)
+    return local.join(carry, [*k, "_b"], "left").select(
+        *k, "_p", F.coalesce(F.col("_hit"), F.col("_carry")).alias("_found"), "_latest")
+
+
+def asof_rows(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
+              left_pos: str, right_pos: str, values: list[str], prefix: str, asked: DataFrame,
+              bucket_size: int = 10_000, with_latest: bool = False) -> DataFrame:
+    """``asof_join`` that reads ``left`` once and shuffles it once.
+
+    The left rows are stacked with the snapshots and filled in one window by
+    (key, bucket); the carry-in is joined on that same partitioning.  The
+    buckets to carry into come from ``asked``, which must hold the columns
+    ``left_on`` and ``left_pos`` with at least the values of ``left`` (more do no
+    harm), so that a cheap input of ``left`` can stand for it.  Left rows without
+    a key or position stay, with NULLs; they share a bucket, so few are expected.
+    """
+    k, b, names = _keys(left_on), int(bucket_size), left.columns
+    r = _right(right, right_on, right_pos, values, b).where(F.col("_p").isNotNull())
+    types = {f.name: f.dataType for f in left.schema.fields}
+    rows = left.select(*[F.col(c).alias(x) for c, x in zip(left_on, k)], F.col(left_pos).alias("_p"),
+                       F.lit(1).alias("_t"), F.lit(None).cast(r.schema["_v"].dataType).alias("_v"), *names)
+    stacked = rows.withColumn("_b", idiv(F.col("_p"), b)).unionByName(
+        r.select(*k, "_b", "_p", F.lit(0).alias("_t"), "_v", *[F.lit(None).cast(types[c]).alias(c) for c in names]))
+    known = F.col("_p").isNotNull()
+    for x in k:
+        known = known & F.col(x).isNotNull()
+    w_in = Window.partitionBy(*k, "_b").orderBy("_p", "_t", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    filled = stacked.withColumn("_hit", F.last("_v", ignorenulls=True).over(w_in)).where(F.col("_t") == 1)
+
+    last = Window.partitionBy(*k, "_b").orderBy(F.col("_v").desc())
+    per_bucket = r.withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") == 1)
+    wanted = (asked.select(*[F.col(c).alias(x) for c, x in zip(left_on, k)], idiv(F.col(left_pos), b).alias("_b"))
+              .where(F.col("_b").isNotNull()).distinct())
+    found = filled.join(_carry(per_bucket, wanted, k), [*k, "_b"], "left").withColumn(
+        "_found", F.coalesce(F.when(known, F.col("_hit")), F.col("_carry")))
+    return found.select(*names, *_named(values, prefix, with_latest))
+
+
+def _keys(on: list[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(on))]
+
 
-    # 3. Carry-in from earlier buckets over the per-bucket table only; the
-    #    same window gives each key's final snapshot (the latest fallback).
-    wanted = lk.select(*k, "_b").distinct()
+def _right(right: DataFrame, on: list[str], pos: str, values: list[str], bucket_size: int) -> DataFrame:
+    """``_k0``.., ``_p``, ``_b`` and the struct ``_v`` of (pos, *values)."""
+    r = right.select(*[F.col(c).alias(x) for c, x in zip(on, _keys(on))], F.col(pos).alias("_p"), *values)
+    return r.select(*_keys(on), "_p", idiv(F.col("_p"), int(bucket_size)).alias("_b"),
+                    F.struct(F.col("_p").alias("pos"), *values).alias("_v"))
+
+
+def _carry(per_bucket: DataFrame, wanted: DataFrame, k: list[str]) -> DataFrame:
+    """3. Carry-in from earlier buckets over the per-bucket table only; the same
+    window gives each key's final snapshot (the latest fallback)."""
+    vtype = per_bucket.schema["_v"].dataType
     chain = (per_bucket.select(*k, "_b", F.lit(1).alias("_t"), "_v")
              .unionByName(wanted.select(*k, "_b", F.lit(0).alias("_t"), F.lit(None).cast(vtype).alias("_v"))))
     w_key = Window.partitionBy(*k).orderBy("_b", "_t")
-    carry = (chain
-             .withColumn("_carry", F.last("_v", ignorenulls=True).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("_latest", F.last("_v", ignorenulls=True).over(
-                 w_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-             .where(F.col("_t") == 0).select(*k, "_b", "_carry", "_latest"))
+    return (chain
+            .withColumn("_carry", F.last("_v", ignorenulls=True).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_latest", F.last("_v", ignorenulls=True).over(
+                w_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .where(F.col("_t") == 0).select(*k, "_b", "_carry", "_latest"))
 
-    found = local.join(carry, [*k, "_b"], "left").select(
-        *k, "_p", F.coalesce(F.col("_hit"), F.col("_carry")).alias("_found"), "_latest")
-    cond = [left[c] == found[x] for c, x in zip(left_on, k)] + [left[left_pos] == found["_p"]]
-    out = left.join(found, cond, "left")
-    cols = [F.col(c) for c in lcols]
-    cols += [F.col(f"_found.{v}").alias(f"{prefix}{v}") for v in values]
-    cols += [F.col("_found.pos").alias(f"{prefix}pos")]
-    if with_latest:
-        cols += [F.col(f"_latest.{v}").alias(f"{prefix}latest_{v}") for v in values]
-        cols += [F.col("_latest.pos").alias(f"{prefix}latest_pos")]
-    return out.select(*cols)
+
+def _named(values: list[str], prefix: str, with_latest: bool) -> list:
+    cols = [F.col(f"_found.{v}").alias(f"{prefix}{v}") for v in [*values, "pos"]]
+    return cols + ([F.col(f"_latest.{v}").alias(f"{prefix}latest_{v}") for v in [*values, "pos"]] if with_latest else [])

@@ -20,7 +20,7 @@ from tidepool import schemas as S
 from tidepool.functions import bigint as B
 from tidepool.functions import hexcodec as H
 from tidepool.functions.hexwords import word_array_text, words_text
-from tidepool.operators.asof import asof_join
+from tidepool.operators.asof import asof_rows
 from tidepool.operators.ingest import first_copy
 from tidepool.plans.joins import bounded_broadcast
 
@@ -281,10 +281,10 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
         F.when(ok, F.col("_meta")).alias("_meta"),
         F.when(ok, F.struct(F.col("_t0").alias("topic0"), F.col("data").alias("data"))).alias("raw"),
     )
-    return _attach_live(out, pool_live, bucket_size)
+    return _attach_live(out, logs, pool_live, bucket_size)
 
 
-def _attach_live(df: DataFrame, pool_live: DataFrame | None, bucket_size: int) -> DataFrame:
+def _attach_live(df: DataFrame, logs: DataFrame, pool_live: DataFrame | None, bucket_size: int) -> DataFrame:
     """pool_meta struct, optionally with live liquidity / slot0 as of the event block."""
     live_null = [F.lit(None).cast("string").alias("liquidity"), F.lit(None).cast(S.SLOT0).alias("slot0")]
     if pool_live is None:
@@ -294,11 +294,14 @@ def _attach_live(df: DataFrame, pool_live: DataFrame | None, bucket_size: int) -
     live = pool_live.select(
         "chain_id", H.address_key(F.col("address")).alias("address"), "block_number",
         F.col("liquidity"), F.struct("sqrt_price_x96", F.col("tick").cast("int").alias("tick")).alias("slot0"))
-    # Only decoded rows have a position, so only they are looked up.
-    d = df.withColumn("_pool", H.address_key(F.col("address"))).withColumn(
-        "_at", F.when(F.col("outcome") == OUTCOME_DECODED, F.col("block_number")))
-    j = asof_join(d, live, ["chain_id", "_pool"], ["chain_id", "address"], "_at", "block_number",
-                  ["liquidity", "slot0"], prefix="_lv_", bucket_size=bucket_size, with_latest=True)
+    # Only decoded rows are looked up: computed once, shuffled once.  The buckets they
+    # ask for are taken from the logs themselves, which need no decoding.
+    pool = H.address_key(F.col("address")).alias("_pool")
+    is_decoded = F.col("outcome") == OUTCOME_DECODED
+    d = df.where(is_decoded).select("*", pool)
+    asked = logs.select("chain_id", pool, "block_number")
+    j = asof_rows(d, live, ["chain_id", "_pool"], ["chain_id", "address"], "block_number", "block_number",
+                  ["liquidity", "slot0"], "_lv_", asked, bucket_size=bucket_size, with_latest=True)
     latest = F.col("block_number") == 0
     liq = F.when(latest, F.col("_lv_latest_liquidity")).otherwise(F.col("_lv_liquidity"))
     slot0 = F.when(latest, F.col("_lv_latest_slot0")).otherwise(F.col("_lv_slot0"))
@@ -306,7 +309,9 @@ def _attach_live(df: DataFrame, pool_live: DataFrame | None, bucket_size: int) -
         *[F.col(f"_meta.{c}") for c in ("token0", "token1", "fee", "tick_spacing")],
         F.when(liq != "", liq).alias("liquidity"), slot0.alias("slot0")))
     cols = [c for c in df.columns if c != "_meta"]
-    return j.select(*cols, meta.alias("pool_meta"))
+    looked_up = j.select(*cols, meta.alias("pool_meta"))
+    rest = df.where(~is_decoded).select(*cols, F.lit(None).cast(looked_up.schema["pool_meta"].dataType).alias("pool_meta"))
+    return looked_up.unionByName(rest)
 
 
 def typed_events(decoded: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import bigint as B
 from tidepool.functions.hexcodec import address_key, is_hex_address
 from tidepool.functions.ratios import fee_rates
-from tidepool.operators.asof import asof_join
+from tidepool.operators.asof import asof_answers
 from tidepool.operators.aggregate import drop_missing_meta
 from tidepool.operators.ingest import first_copy
 from tidepool.plans.joins import bounded_broadcast
@@ -67,11 +67,18 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     bal = balances.select(
         "chain_id", address_key(F.col("token")).alias("token"), address_key(F.col("owner")).alias("owner"),
         "block_number", "balance")
-    # One as-of pass for both tokens: two rows per window, put back into one row and joined to the windows once.
-    found = asof_join(tvl_sides(windows), bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
-                      "last_block", "block_number", ["balance"], prefix="_b_",
-                      bucket_size=bucket_size, with_latest=True)
-    return pick_tvl(windows, found)
+    # One as-of pass for both tokens; its answers are joined once per side, on one partitioning.
+    found = asof_answers(tvl_sides(windows), bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
+                         "last_block", "block_number", ["balance"], bucket_size)
+    w = windows
+    for side in (0, 1):
+        c, t, o, at = (f"_a{side}{x}" for x in "ctop")
+        a = found.select(F.col("_k0").alias(c), F.col("_k1").alias(t), F.col("_k2").alias(o), F.col("_p").alias(at),
+                         F.col("_found.balance").alias(f"_b{side}_balance"),
+                         F.col("_latest.balance").alias(f"_b{side}_latest_balance"))
+        w = w.join(a, (F.col("chain_id") == F.col(c)) & (address_key(F.col(f"token{side}")) == F.col(t))
+                   & (address_key(F.col("pool_address")) == F.col(o)) & (F.col("last_block") == F.col(at)), "left")
+    return _pick(w, windows.columns)
 
 
 def tvl_sides(windows: DataFrame) -> DataFrame:
@@ -87,8 +94,11 @@ def pick_tvl(windows: DataFrame, found: DataFrame) -> DataFrame:
     both = found.groupBy(*WINDOW_KEY).agg(*[
         F.max(F.when(F.col("side") == side, F.col(f"_b_{c}"))).alias(f"_b{side}_{c}")
         for side in (0, 1) for c in ("balance", "latest_balance")])
-    key = WINDOW_KEY
-    w = windows.join(both, key, "left")
+    return _pick(windows.join(both, WINDOW_KEY, "left"), windows.columns)
+
+
+def _pick(w: DataFrame, keep: list[str]) -> DataFrame:
+    """Both sides at the block, else both at the latest snapshot, else none."""
     valid = (is_hex_address(F.col("token0")) & is_hex_address(F.col("token1"))
              & is_hex_address(F.col("pool_address")) & (F.col("last_block") > 0))
     at_block = valid & F.col("_b0_balance").isNotNull() & F.col("_b1_balance").isNotNull()
@@ -96,7 +106,6 @@ def pick_tvl(windows: DataFrame, found: DataFrame) -> DataFrame:
     method = F.when(at_block, TVL_AT_BLOCK).when(latest, TVL_LATEST).otherwise(TVL_NONE)
     tvl0 = F.when(at_block, F.col("_b0_balance")).when(latest, F.col("_b0_latest_balance"))
     tvl1 = F.when(at_block, F.col("_b1_balance")).when(latest, F.col("_b1_latest_balance"))
-    keep = [c for c in windows.columns]
     picked = w.select(*keep, tvl0.alias("_tv0"), tvl1.alias("_tv1"), method.alias("tvl_method"))
     return picked.select(*keep, _canon("_tv0").alias("tvl0_raw"),
                          _canon("_tv1").alias("tvl1_raw"), "tvl_method")
