@@ -246,3 +246,10 @@ def test_merged_windows_pay_their_own_tier(spark, tmp_dir):
     assert P.read_metrics(spark, f"{tmp_dir}/o").first().fee0 == "500"
     P.merge_job(spark, _events(spark, rows), tokens, bal, f"{tmp_dir}/o", 300)
     assert P.read_metrics(spark, f"{tmp_dir}/o").first().fee0 == "6000"
+
+
+def test_filtered_lines_are_parsed_once(spark, tmp_dir):
+    _write_lines(f"{tmp_dir}/ev/a.jsonl", [_typed_line(), _typed_line(block_number=-1)])
+    ev = L.read_typed_events_jsonl(spark, f"{tmp_dir}/ev").where("timestamp > 0 and decoded.amount0 = '-1000'")
+    assert ev._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert [r.block_number for r in ev.collect()] == [1]

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Plan helpers: broadcast only behind a size check, a boundary for filters."""
 
 from __future__ import annotations
 
@@ -19,3 +19,12 @@ def bounded_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     """
     size = int(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return F.broadcast(dim) if size <= max_bytes else dim
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows`` behind a generator: a filter or projection on them reads the finished columns.
+
+    Without it the optimizer moves a filter on a derived column below the
+    projections that derive it and computes them anew for every use.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))

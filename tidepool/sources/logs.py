@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import schemas as S
+from tidepool.plans.joins import settled
 
 PARSE_ERROR = "invalid json line"
 
@@ -32,42 +33,78 @@ def _zero(t: T.DataType) -> Column:
     return F.lit("") if isinstance(t, T.StringType) else F.lit(None).cast(t)
 
 
-def _entries(value: Column) -> Column:
-    """(key, value) entries of a VARIANT object, NULL when it is not an object."""
-    is_object = F.schema_of_variant(value).startswith("OBJECT")
-    return F.map_entries(F.when(is_object, value).cast("map<string,variant>"))
+def _members(value: Column, path: str = "$") -> Column:
+    """A VARIANT object as a map, NULL when it is not an object."""
+    return F.try_variant_get(value, path, "map<string,variant>")
 
 
-def _member(entries: Column, name: str) -> Column:
-    hit = F.filter(entries, lambda e: F.lower(e["key"]) == F.lit(name))
-    return F.try_element_at(hit, F.lit(-1))["value"]
+def _cased(members: Column) -> Column:
+    """Whether some name in the map is not in lower case."""
+    return F.coalesce(F.exists(F.map_keys(members), lambda k: k != F.lower(k)), F.lit(False))
 
 
-def _has(entries: Column, name: str) -> Column:
-    return F.coalesce(F.exists(entries, lambda e: F.lower(e["key"]) == F.lit(name)), F.lit(False))
+def _member(members: Column, cased: Column, name: str) -> Column:
+    """The member of that name in any letter case; its lower-case spelling is the last in order and wins."""
+    hit = F.filter(F.map_entries(members), lambda e: F.lower(e["key"]) == F.lit(name))
+    return F.coalesce(F.try_element_at(members, F.lit(name)), F.when(cased, F.try_element_at(hit, F.lit(-1))["value"]))
 
 
-def _typed(value: Column, name: str, t: T.DataType) -> tuple[Column, Column]:
-    """(value or its zero, whether its JSON type fits) of one VARIANT field."""
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    void = kind == "VOID"
-    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType)):
-        got = F.try_variant_get(value, "$", t.simpleString())
-        fits = (kind == "BIGINT") & got.isNotNull()
-        if name not in SIGNED:
-            fits = fits & (got >= 0)
+def _leaves(schema: T.StructType, path: tuple = ()) -> list:
+    """(path, type) of every field at every depth."""
+    own = [((*path, f.name), f.dataType) for f in schema.fields]
+    return own + [x for at, t in own if isinstance(t, T.StructType) for x in _leaves(t, at)]
+
+
+def _col(kind: str, at: tuple) -> Column:
+    return F.col(_name(kind, at))
+
+
+def _name(kind: str, at: tuple) -> str:
+    """Work column of a field: v its VARIANT, k its JSON type, g the value read, m its members, c cased names, f fits."""
+    return "_".join(("", kind, *at))
+
+
+def _is_int(t: T.DataType) -> bool:
+    return isinstance(t, (T.LongType, T.IntegerType, T.ShortType))
+
+
+def _looked_up(at: tuple, t: T.DataType) -> list:
+    """JSON type and value of one field; for an object its members."""
+    value = _col("v", at)
+    if isinstance(t, T.StructType):
+        return [F.when(value.isNull() | F.is_variant_null(value), F.lit("VOID")).otherwise(F.lit("")).alias(_name("k", at)),
+                _members(value).alias(_name("m", at))]
+    read_as = t.simpleString() if _is_int(t) or isinstance(t, (T.BooleanType, T.ArrayType)) else "string"
+    return [F.coalesce(F.schema_of_variant(value), F.lit("VOID")).alias(_name("k", at)),
+            F.try_variant_get(value, "$", read_as).alias(_name("g", at))]
+
+
+def _fits(at: tuple, t: T.DataType) -> Column:
+    """Whether the field is absent, null or of the right JSON type."""
+    kind = _col("k", at)
+    if _is_int(t):
+        fits = (kind == "BIGINT") & _col("g", at).isNotNull()
+        if at[-1] not in SIGNED:
+            fits = fits & (_col("g", at) >= 0)
     elif isinstance(t, T.BooleanType):
-        got, fits = F.try_variant_get(value, "$", "boolean"), kind == "BOOLEAN"
+        fits = kind == "BOOLEAN"
     elif isinstance(t, T.ArrayType):
-        got, fits = F.try_variant_get(value, "$", "array<string>"), kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
+        fits = kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
     elif isinstance(t, T.StructType):
-        got, fits = F.from_json(F.to_json(value), t), kind.startswith("OBJECT")
-        inner = _entries(value)
+        fits = _col("m", at).isNotNull()
         for f in t.fields:
-            fits = fits & _typed(_member(inner, f.name), f.name, f.dataType)[1]
+            fits = fits & _col("f", (*at, f.name))
     else:
-        got, fits = F.try_variant_get(value, "$", "string"), kind == "STRING"
-    return F.when(~void & fits, got).otherwise(_zero(t)), void | F.coalesce(fits, F.lit(False))
+        fits = kind == "STRING"
+    return (kind == "VOID") | F.coalesce(fits, F.lit(False))
+
+
+def _read(at: tuple, t: T.DataType) -> Column:
+    """The value of a field that fits; inside an object names count as they are spelled."""
+    if not isinstance(t, T.StructType):
+        return _col("g", at)
+    built = F.struct(*[F.when(_col("k", (*at, f.name)) != "VOID", _read((*at, f.name), f.dataType)).alias(f.name) for f in t.fields])
+    return F.when(_col("c", at), F.from_json(F.to_json(_col("v", at)), t)).otherwise(built)
 
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType, column: str = "value",
@@ -76,26 +113,35 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType, column: str = "valu
 
     A field in ``soft`` does not fail its line: a boolean ``<field>_ok`` says
     whether it was there (``null`` counts as there) and had the right type.
+
+    Every line is parsed once and every field looked up, read and checked once,
+    level by level for nested objects; each level is a projection of its own.
     """
     rows = lines.select(F.trim(F.col(column)).alias("_line")).where(F.col("_line") != "")
     # The line stands alone in an array, so that nothing may follow the object.
     rows = rows.withColumn("_a", F.try_parse_json(F.concat(F.lit("["), F.col("_line"), F.lit("]"))))
-    rows = rows.withColumn("_n", F.size(F.try_variant_get("_a", "$", "array<variant>")))
-    rows = rows.withColumn("_r", F.when(F.col("_n") == 1, F.try_variant_get("_a", "$[0]", "variant")))
-    empty = F.col("_line") == "null"
-    rows = rows.withColumn("_e", _entries(F.col("_r")))
-    rows = rows.select("_line", "_e", *[_member(F.col("_e"), f.name).alias(f"_v_{f.name}") for f in schema.fields])
-    bad = F.col("_e").isNull() & ~empty
+    alone = F.try_variant_get("_a", "$[1]", "variant").isNull()
+    rows = rows.select((F.col("_line") == "null").alias("_empty"), F.when(alone, _members(F.col("_a"), "$[0]")).alias(_name("m", ())))
+    rows = rows.withColumn(_name("c", ()), _cased(_col("m", ())))
+    leaves = _leaves(schema)
+    deepest = max(len(at) for at, _ in leaves)
+    for depth in range(1, deepest + 1):
+        level = [(at, t) for at, t in leaves if len(at) == depth]
+        rows = rows.select("*", *[_member(_col("m", at[:-1]), _col("c", at[:-1]), at[-1]).alias(_name("v", at)) for at, _ in level])
+        rows = rows.select("*", *[c for at, t in level for c in _looked_up(at, t)])
+        rows = rows.select("*", *[_cased(_col("m", at)).alias(_name("c", at)) for at, t in level if isinstance(t, T.StructType)])
+    for depth in range(deepest, 0, -1):
+        rows = rows.select("*", *[_fits(at, t).alias(_name("f", at)) for at, t in leaves if len(at) == depth])
+    bad = _col("m", ()).isNull() & ~F.col("_empty")
     cols = []
     for f in schema.fields:
-        v = F.col(f"_v_{f.name}")
-        value, fits = _typed(v, f.name, f.dataType)
-        cols.append(value.alias(f.name))
+        at = (f.name,)
+        cols.append(F.when((_col("k", at) != "VOID") & _col("f", at), _read(at, f.dataType)).otherwise(_zero(f.dataType)).alias(f.name))
         if f.name in soft:
-            cols.append((_has(F.col("_e"), f.name) & fits).alias(f"{f.name}_ok"))
+            cols.append((_col("v", at).isNotNull() & _col("f", at)).alias(f"{f.name}_ok"))
         else:
-            bad = bad | ~fits
-    return rows.select(*cols, F.when(bad, F.lit(PARSE_ERROR)).alias("_parse_error"))
+            bad = bad | ~_col("f", at)
+    return settled(rows.select(*cols, F.when(bad, F.lit(PARSE_ERROR)).alias("_parse_error")))
 
 
 def read_raw_logs_jsonl(spark: SparkSession, path: str) -> DataFrame:
