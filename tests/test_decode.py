@@ -141,3 +141,12 @@ def test_a_new_kind_is_a_new_row(spark):
     assert D.decode_by_spec(logs, D.spec_table(spark)).first().outcome == "skipped"
     r = D.decode_by_spec(logs, D.spec_table(spark, (note, *D.EVENTS.values()))).first()
     assert r.fields == {"who": SENDER, "x": "-7", "t": "-2", "y": str(2 ** 256 - 1), "z": "0", "u": A, "v": "9"}
+
+
+def test_layouts_are_broadcast_and_only_kept_rows_converted(spark):
+    logs = raw_df(spark, [raw_log("Swap", [addr_topic("0x" + "22" * 20)] * 2, [-1000, 2000, 3, 4, -15], "0x" + "11" * 20)])
+    kept = D.decode_by_spec(logs, D.spec_table(spark)).where("event_name = 'Swap' AND outcome = 'decoded'")
+    assert kept.first().fields["amount0"] == "-1000"
+    plan = kept.select("fields")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "SortMergeJoin" not in plan
+    assert plan.index("ArrowEvalPython") < plan.index("Filter")

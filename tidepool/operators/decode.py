@@ -11,10 +11,12 @@ data hex -> word count -> int24 range (P15).
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool import schemas as S
 from tidepool.functions import bigint as B
@@ -22,7 +24,7 @@ from tidepool.functions import hexcodec as H
 from tidepool.functions.hexwords import word_array_text, words_text
 from tidepool.operators.asof import asof_rows
 from tidepool.operators.ingest import first_copy
-from tidepool.plans.joins import bounded_broadcast
+from tidepool.plans.joins import bounded_broadcast, settled
 
 
 @dataclass(frozen=True)
@@ -348,8 +350,11 @@ SPEC_SCHEMA = ("topic0 string, event_name string, indexed array<struct<name:stri
 
 
 def spec_table(spark, specs=tuple(EVENTS.values())) -> DataFrame:
-    """The layouts of ``specs`` as rows."""
-    return spark.createDataFrame([(e.topic0.lower(), e.name, list(e.indexed), list(e.data)) for e in specs], SPEC_SCHEMA)
+    """The layouts of ``specs`` as rows of a known, small size, so that they can be broadcast."""
+    rows = [dict(topic0=e.topic0.lower(), event_name=e.name, **{
+        side: [dict(name=n, kind=k) for n, k in fields] for side, fields in (("indexed", e.indexed), ("data", e.data))}) for e in specs]
+    table = T._parse_datatype_string(SPEC_SCHEMA)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), T.ArrayType(table))))
 
 
 def decode_by_spec(logs: DataFrame, specs: DataFrame) -> DataFrame:
@@ -389,6 +394,11 @@ def decode_by_spec(logs: DataFrame, specs: DataFrame) -> DataFrame:
     ticks = F.transform("_words", lambda w, i: F.when(F.get("_kinds", i)["kind"] == "int24", H.word_int24(w)))
     staged = staged.withColumn("_ticks", ticks).withColumn("_wide", F.get(F.filter(F.transform("_words", lambda w, i: F.when(
         (F.get("_kinds", i)["kind"] == "int24") & F.get("_ticks", i).isNull(), w)), lambda w: w.isNotNull()), 0))
+    # The outcome is settled before any conversion, so only the rows a caller keeps are converted.
+    failed = (F.size("_topics") == 0) | (F.col("_s0").isNotNull() & (F.col("_error").isNotNull() | F.col("_wide").isNotNull()))
+    outcome = F.when(failed, OUTCOME_FAILED).when(F.col("_s0").isNull(), OUTCOME_SKIPPED).otherwise(OUTCOME_DECODED)
+    staged = settled(staged.select("chain_id", "block_number", "tx_hash", "log_index", "address", "event_name", "_s0", "_kinds", "_words",
+                                   "_ticks", "_wide", "_error", (F.size("_topics") == 0).alias("_bare"), outcome.alias("outcome")))
     read = F.col("_s0").isNotNull() & F.col("_error").isNull()
     integers = F.transform("_words", lambda w, i: F.when(~F.get("_kinds", i)["kind"].isin("address", "int24"), w))
     flags = F.transform("_kinds", lambda k: k["kind"] == "int256")
@@ -396,10 +406,8 @@ def decode_by_spec(logs: DataFrame, specs: DataFrame) -> DataFrame:
     staged = staged.withColumn("_texts", texts)
     value = F.transform("_words", lambda w, i: F.when(F.get("_kinds", i)["kind"] == "address", H.word_address(w))
                         .when(F.get("_kinds", i)["kind"] == "int24", F.get("_ticks", i).cast("string")).otherwise(F.get("_texts", i)))
-    error = F.when(F.size("_topics") == 0, F.lit("missing topic0")).when(F.col("_s0").isNotNull(), F.coalesce(
+    error = F.when(F.col("_bare"), F.lit("missing topic0")).when(F.col("_s0").isNotNull(), F.coalesce(
         F.col("_error"), F.when(F.col("_wide").isNotNull(), F.concat(F.lit("int24 overflow: "), F.element_at("_texts", -1)))))
-    out = staged.withColumn("error", error)
-    outcome = F.when(F.col("error").isNotNull(), OUTCOME_FAILED).when(F.col("_s0").isNull(), OUTCOME_SKIPPED).otherwise(OUTCOME_DECODED)
     fields = F.map_from_arrays(F.transform("_kinds", lambda k: k["name"]), value)
-    return out.select("chain_id", "block_number", "tx_hash", "log_index", "address", "event_name", outcome.alias("outcome"), "error",
-                      F.when(F.col("_s0").isNotNull() & F.col("error").isNull(), fields).alias("fields"))
+    return staged.select("chain_id", "block_number", "tx_hash", "log_index", "address", "event_name", "outcome", error.alias("error"),
+                         F.when(F.col("outcome") == OUTCOME_DECODED, fields).alias("fields"))
