@@ -209,3 +209,13 @@ def test_counters_in_passing(spark):
     ev, seen = A.observe_counters(typed(spark, rows), 300, 5)
     A.window_aggregate(ev, 300, 5, dedup=True)
     assert seen.get == {"total": 3, "skipped": 1, "failed": 1}
+
+
+def test_unnamed_window_takes_its_pools_metadata(spark):
+    blank = dict(token0="", token1="", fee=0)
+    ev = typed(spark, [dict(timestamp=301, amount0="1000000", amount1="-1", fee=500),
+                       dict(timestamp=901, amount0="2000000", amount1="-1", **blank),
+                       dict(timestamp=901, address="0xother", amount0="5", amount1="-1", **blank)])
+    got = A.drop_missing_meta(A.window_aggregate(ev, 300, fill_meta=True)).orderBy("window_start").collect()
+    assert [(r.window_start, r.token0, r.fee, r.fee0_raw) for r in got] == [(300, "0xaaaa", 500, "500"), (900, "0xaaaa", 500, "1000")]
+    assert A.drop_missing_meta(A.window_aggregate(ev, 300)).count() == 1

@@ -210,9 +210,22 @@ def roll_up(buffers: DataFrame, window_seconds: int) -> DataFrame:
     return merge_buffers(buffers.withColumn("window_start", window_start(F.col("window_start"), window_seconds)))
 
 
-def finish_windows(buffers: DataFrame, window_seconds: int, events: DataFrame) -> DataFrame:
+def _pool_fill(picked: DataFrame, buffers: DataFrame) -> DataFrame:
+    """``picked`` where a window without known tokens carries the best spelling among all events of its pool."""
+    named = buffers.where((F.col("token0") != "") & (F.col("token1") != "")).select("chain_id", "pool_address", *META).distinct()
+    pools = first_copy(named, ["chain_id", "pool_address"], [F.col("token0"), F.col("token1"), F.desc("fee"), F.desc("tick_spacing")])
+    pools = pools.withColumnsRenamed({c: f"_q_{c}" for c in pools.columns})
+    j = picked.join(bounded_broadcast(pools), F.col("chain_id").eqNullSafe(F.col("_q_chain_id"))
+                    & F.col("pool_address").eqNullSafe(F.col("_q_pool_address")), "left")
+    blank = ((F.col("_p_token0") == "") | (F.col("_p_token1") == "")) & F.col("_q_token0").isNotNull()
+    return j.select(*buffers.columns, *[F.when(blank, F.col(f"_q_{c}")).otherwise(F.col(f"_p_{c}")).alias(f"_p_{c}") for c in META])
+
+
+def finish_windows(buffers: DataFrame, window_seconds: int, events: DataFrame, fill_meta: bool = False) -> DataFrame:
     """Window rows from materialised buffers, one per GROUP_KEYS.
 
+    With ``fill_meta`` a window whose own events all lack metadata takes its pool's.
+
     ``events`` (those the buffers were made of) are only read where buffers
     cannot tell: swaps counted under another fee tier than their window's, and
     amounts of more than 80 digits.
@@ -221,11 +234,12 @@ def finish_windows(buffers: DataFrame, window_seconds: int, events: DataFrame) -
     per = buffers.groupBy(*GROUP_KEYS).agg(F.count(F.lit(1)).alias("n"), F.max("has_wide").alias("wide"))
     facts = per.agg(F.max("n").alias("n"), F.max("wide").alias("wide")).first()
     rows, picks = buffers, buffers.select(*BUFFER_KEYS, "has_wide")
-    if facts.n is not None and facts.n > 1:
+    if fill_meta or (facts.n is not None and facts.n > 1):
         complete = (F.col("token0") != "") & (F.col("token1") != "")
         best = Window.partitionBy(*GROUP_KEYS).orderBy(complete.desc(), "token0", "token1", F.desc("fee"), F.desc("tick_spacing"))
         every = best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         picked = buffers.select("*", *[F.first(c).over(every).alias(f"_p_{c}") for c in META])
+        picked = _pool_fill(picked, buffers) if fill_meta else picked
         odd = cut_lineage(picked.where((F.col("fee") != F.col("_p_fee")) & (F.col("swap_count") > 0)).select(*BUFFER_KEYS, "_p_fee"))
         off = F.col("fee") != F.col("_p_fee")
         plain = picked.select(*GROUP_KEYS, *[F.col(f"_p_{c}").alias(c) for c in META], *[
@@ -323,7 +337,7 @@ def events_after(events: DataFrame, start_ts: int | Column = 0, dedup: bool = Fa
 
 
 def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Column = 0,
-                     dedup: bool = False) -> DataFrame:
+                     dedup: bool = False, fill_meta: bool = False) -> DataFrame:
     """Aggregate typed events into one row per (chain, pool, window).
 
     Output: chain_id, pool_address, window_size_seconds, window_start,
@@ -332,12 +346,12 @@ def window_aggregate(events: DataFrame, window_seconds: int, start_ts: int | Col
     first_block, last_block, max_ts (highest accepted timestamp), n_events,
     n_failed.
 
-    ``start_ts``, ``dedup``: see ``events_after``.  The buffers are
+    ``start_ts``, ``dedup``: see ``events_after``; ``fill_meta``: see ``finish_windows``.  The buffers are
     checkpointed once, so the events are read once, deduplicated once, and
     what the buffers hold decides whether any of them is read again.
     """
     ev = events_after(events, start_ts, dedup)
-    return finish_windows(cut_lineage(window_buffers(ev, window_seconds)), window_seconds, ev)
+    return finish_windows(cut_lineage(window_buffers(ev, window_seconds)), window_seconds, ev, fill_meta)
 
 
 def swap_fees(events: DataFrame) -> DataFrame:

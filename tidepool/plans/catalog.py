@@ -319,8 +319,9 @@ def live_meta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_mixed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of events whose metadata differs in spelling or is missing."""
-    return A.drop_missing_meta(A.window_aggregate(X.typed_events_mixed_meta(spark, sf_dir), DAY)).select(*_MIXED_COLS)
+    """Windows of events whose metadata differs in spelling or is missing, by their pool's where they have none."""
+    windows = A.window_aggregate(X.typed_events_mixed_meta(spark, sf_dir), DAY, fill_meta=True)
+    return A.drop_missing_meta(windows).select(*_MIXED_COLS)
 
 
 def wide_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,7 +406,7 @@ ORACLES.update({
     "state_after_run": O.state_after_run(),
     "run_counters": O.run_counters(),
     "upsert_latest_wins": O.window_swap_metrics(DAY),
-    "incremental_mixed_meta": O.window_mixed_meta(),
+    "incremental_mixed_meta": O.window_mixed_meta(per_window=True),
     "incremental_merge": O.window_metrics_full(DAY),
     "window_rollup": O.window_rollup(ROLLUP_WIDTHS),
     "bad_amounts": O.bad_amounts(),

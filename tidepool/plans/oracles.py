@@ -421,7 +421,9 @@ FROM e ASOF LEFT JOIN pl ON e.address = pl.address AND e.block_number >= pl.bloc
 # ---------------------------------------------------------------------------
 # Inputs that disagree, repeat or exceed the usual widths.
 
-def window_mixed_meta(w: int = 86400) -> str:
+def window_mixed_meta(w: int = 86400, per_window: bool = False) -> str:
+    """Windows of named pools; ``per_window``: only those named by an event of their own."""
+    named_by = f"chain_id, address, timestamp - timestamp % {w}" if per_window else "chain_id, address"
     return f"""WITH {E_CTE},
 em AS (
   SELECT * REPLACE (
@@ -430,7 +432,7 @@ em AS (
            CAST(CASE WHEN event_id % 17 = 0 THEN 0 ELSE block_number END AS BIGINT) AS block_number)
   FROM e),
 ep AS (
-  SELECT *, bool_or(event_id % 7 <> 0 AND token0 <> '') OVER (PARTITION BY chain_id, address, timestamp - timestamp % {w}) AS named
+  SELECT *, bool_or(event_id % 7 <> 0 AND token0 <> '') OVER (PARTITION BY {named_by}) AS named
   FROM em WHERE timestamp > 0)
 SELECT chain_id, address AS pool_address, timestamp - timestamp % {w} AS window_start, token0, token1, fee,
        CAST(count(*) FILTER (WHERE event_name = 'Swap') AS BIGINT) AS swap_count,
