@@ -253,3 +253,11 @@ def test_filtered_lines_are_parsed_once(spark, tmp_dir):
     ev = L.read_typed_events_jsonl(spark, f"{tmp_dir}/ev").where("timestamp > 0 and decoded.amount0 = '-1000'")
     assert ev._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
     assert [r.block_number for r in ev.collect()] == [1]
+
+
+def test_partitioned_append_writes_one_file_per_folder(spark, tmp_dir):
+    import glob
+    from tidepool.sources import sinks as K
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id", "56L AS chain_id", "id % 5 AS block_bucket")
+    K.append_logs(rows, f"{tmp_dir}/t", partition_by=("chain_id", "block_bucket"))
+    assert len(glob.glob(f"{tmp_dir}/t/*/*/*.parquet")) == 5 and spark.read.parquet(f"{tmp_dir}/t").count() == 4000

@@ -14,11 +14,15 @@ from tidepool.operators import decode as D
 
 
 def append_logs(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ()) -> None:
-    """Append a batch of raw logs (S4); an empty batch writes nothing."""
-    w = df.write.mode("append").format(fmt)
+    """Append a batch of raw logs (S4); an empty batch writes nothing.
+
+    Rows are dealt by ``partition_by`` first, so a batch adds one file to each
+    folder it touches, not one per folder and task.
+    """
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+        df.repartition(*partition_by).write.mode("append").format(fmt).partitionBy(*partition_by).save(path)
+    else:
+        df.write.mode("append").format(fmt).save(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
