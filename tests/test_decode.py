@@ -150,3 +150,13 @@ def test_layouts_are_broadcast_and_only_kept_rows_converted(spark):
     plan = kept.select("fields")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "SortMergeJoin" not in plan
     assert plan.index("ArrowEvalPython") < plan.index("Filter")
+
+
+def test_only_the_fields_read_are_converted(spark):
+    good = raw_log("Swap", [addr_topic("0x" + "aa" * 20)] * 2, [-1000, 2000, 3, 4, 5], POOL1)
+    bad = raw_log("Swap", [addr_topic("0x" + "aa" * 20)] * 2, [-1000, 2000, 3, 4, 1 << 23], POOL1, log_index=2)
+    meta = meta_df(spark, [(56, POOL1, "0xaa", "0xbb", 2500, 60)])
+    rows = D.decode_logs(raw_df(spark, [good, bad]), meta, fields=("amount0", "amount1")).orderBy("log_index").collect()
+    assert [r.outcome for r in rows] == ["decoded", "failed"] and rows[1].error.startswith("int24 overflow")
+    got = {k: v for k, v in rows[0].decoded.asDict().items() if v is not None}
+    assert got == {"amount0": "-1000", "amount1": "2000"}

@@ -130,13 +130,15 @@ def idiv_floor(a: Column, b: int) -> Column:
 
 
 def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] | None = None,
-                pool_live: DataFrame | None = None, bucket_size: int = 10_000) -> DataFrame:
+                pool_live: DataFrame | None = None, bucket_size: int = 10_000, fields: tuple = ()) -> DataFrame:
     """Classify and decode raw logs.
 
     ``logs`` has the RAW_LOG columns (an optional ``_parse_error`` column
     marks lines that were not valid JSON).  ``pool_meta``: chain_id,
     address, token0, token1, fee, tick_spacing.  ``pool_live`` (optional,
     J5): chain_id, address, block_number, liquidity, sqrt_price_x96, tick.
+    ``fields``: the decoded fields that the caller reads, all by default; the
+    others are NULL.  Every log is checked in full either way.
 
     Returns the log key columns plus event_name, outcome, error, decoded,
     pool_meta, raw.
@@ -185,8 +187,8 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
     positions: dict[tuple, str] = {}
     per_event: dict[str, list] = {}
     for e in EVENTS.values():
-        for where, fields in (("topic", e.indexed), ("word", e.data)):
-            for i, (_, kind) in enumerate(fields):
+        for where, layout in (("topic", e.indexed), ("word", e.data)):
+            for i, (_, kind) in enumerate(layout):
                 if kind == "int24":
                     key = (where, i + 1 if where == "topic" else i)
                     positions.setdefault(key, f"_tick_{where}{key[1]}")
@@ -197,9 +199,9 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
     staged = staged.select(*base.columns, *positions.values(),
                            *[H.word_int24(F.col(c)).alias(f"{c}_v") for c in positions.values()])
 
-    # Outcome from cheap boolean checks only, materialised before any
-    # conversion: a filter on it is pushed below the conversions without
-    # dragging message text or big-integer work into the predicate.
+    # Outcome from cheap boolean checks only, settled before any conversion:
+    # a filter on it reads the finished column, below the conversions, and
+    # none of the checks is made again for it.
     tick_bad = _by_name(name, {n: F.greatest(*[F.col(f"{c}_v").isNull() for c in cols])
                                if len(cols) > 1 else F.col(f"{cols[0]}_v").isNull()
                                for n, cols in per_event.items()})
@@ -213,17 +215,18 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
                .when(name.isNull(), F.lit(OUTCOME_SKIPPED))
                .when(failed_decode, F.lit(OUTCOME_FAILED))
                .otherwise(F.lit(OUTCOME_DECODED)))
-    staged = staged.withColumn("outcome", outcome)
+    staged = settled(staged.withColumn("outcome", outcome))
 
     # Integer words -> exact text (signed only where the field is int256).
     # Only words that hold an integer of the row's event are sent.
-    integer_events = {i: [e.name for e in EVENTS.values() if i < len(e.data) and e.data[i][1] not in ("address", "int24")]
-                      for i in range(MAX_WORDS)}
+    wanted = set(fields or S.DECODED.fieldNames())
+    integer_events = {i: [e.name for e in EVENTS.values() if i < len(e.data) and e.data[i][0] in wanted
+                          and e.data[i][1] not in ("address", "int24")] for i in range(MAX_WORDS)}
     signed_events = {i: [e.name for e in EVENTS.values() if i < len(e.data) and e.data[i][1] == "int256"]
                      for i in range(MAX_WORDS)}
     decoded_row = F.col("outcome") == OUTCOME_DECODED
     words, signs, outs = [], [], []
-    for i in range(MAX_WORDS):
+    for i in (i for i in range(MAX_WORDS) if integer_events[i]):
         ev = signed_events[i]
         words.append(F.when(decoded_row & name.isin(*integer_events[i]), F.lower(F.col(f"_w{i}"))))
         signs.append(name.isin(*ev) if ev else F.lit(False))
@@ -259,10 +262,10 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
 
     # Assemble the decoded struct per event kind.
     tick_value = {k: f"{c}_v" for k, c in positions.items()}
-    fields = []
+    values = []
     for f in S.DECODED.fieldNames():
         per_ev = {}
-        for ev, (where, i, kind) in _field_sources().get(f, {}).items():
+        for ev, (where, i, kind) in _field_sources().get(f, {}).items() if f in wanted else ():
             if kind == "address":
                 w = H.topic_word(F.col(f"_t{i}")) if where == "topic" else F.col(f"_w{i}")
                 v = H.word_address(w)
@@ -273,13 +276,13 @@ def decode_logs(logs: DataFrame, pool_meta: DataFrame, routes: dict[str, str] |
             per_ev[ev] = v
         typ = S.DECODED[f].dataType
         col = _by_name(name, per_ev) if per_ev else None
-        fields.append((col if col is not None else F.lit(None)).cast(typ).alias(f))
+        values.append((col if col is not None else F.lit(None)).cast(typ).alias(f))
     ok = F.col("outcome") == OUTCOME_DECODED
     out = dec.select(
         "chain_id", "block_number", "block_hash", "tx_hash", "log_index", "address", "timestamp",
         "event_name", "outcome", "error",
         F.coalesce(F.col("_t0"), F.lit("")).alias("topic0"),
-        F.when(ok, F.struct(*fields)).alias("decoded"),
+        F.when(ok, F.struct(*values)).alias("decoded"),
         F.when(ok, F.col("_meta")).alias("_meta"),
         F.when(ok, F.struct(F.col("_t0").alias("topic0"), F.col("data").alias("data"))).alias("raw"),
     )

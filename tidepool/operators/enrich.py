@@ -67,9 +67,10 @@ def attach_tvl(windows: DataFrame, balances: DataFrame, bucket_size: int = 10_00
     bal = balances.select(
         "chain_id", address_key(F.col("token")).alias("token"), address_key(F.col("owner")).alias("owner"),
         "block_number", "balance")
-    # One as-of pass for both tokens; its answers are joined once per side, on one partitioning.
-    found = asof_answers(tvl_sides(windows), bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
-                         "last_block", "block_number", ["balance"], bucket_size)
+    # One as-of pass for both tokens, written once: its answers are joined once per side, and the
+    # balances are not read again for the second one.
+    found = cut_lineage(asof_answers(tvl_sides(windows), bal, ["chain_id", "token", "owner"], ["chain_id", "token", "owner"],
+                                     "last_block", "block_number", ["balance"], bucket_size))
     w = windows
     for side in (0, 1):
         c, t, o, at = (f"_a{side}{x}" for x in "ctop")

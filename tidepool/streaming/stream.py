@@ -57,12 +57,14 @@ def windowed_stream(logs: DataFrame, pool_meta: DataFrame, window_seconds: int,
     """Streaming aggregate: one row per (chain, pool, window) with raw buffers.
 
     Every event's metadata comes from ``pool_meta``, so its own fee tier is the pool's.
+    Only what the windows add up is converted and shuffled to the dedup.
     """
     w = int(window_seconds)
-    decoded = D.decode_logs(logs, pool_meta, D.routing_map(extra_map))
-    ev = (D.typed_events(decoded).where(F.col("timestamp") > 0)
-          .withColumn("event_time", F.timestamp_seconds("timestamp"))
-          .withWatermark("event_time", lateness))
+    decoded = D.decode_logs(logs, pool_meta, D.routing_map(extra_map), fields=("amount0", "amount1"))
+    ev = D.typed_events(decoded).where(F.col("timestamp") > 0).select(
+        *I.LOG_KEY, "address", "event_name", "timestamp", F.struct("decoded.amount0", "decoded.amount1").alias("decoded"),
+        F.struct("pool_meta.fee").alias("pool_meta"), F.timestamp_seconds("timestamp").alias("event_time"))
+    ev = ev.withWatermark("event_time", lateness)
     if dedup:
         ev = ev.dropDuplicatesWithinWatermark(I.LOG_KEY)
     terms = A.event_terms(ev, w, carry=("event_time",))
@@ -116,6 +118,8 @@ def start_metrics_stream(spark: SparkSession, source_dir: str, pool_meta: DataFr
                 kept = windows
             if kept.isEmpty():      # Spark also runs batches without data, to move the watermark
                 return
+            # The state's partitions are many and its windows few.
+            kept = kept.coalesce(spark.sparkContext.defaultParallelism)
             U.write_version(A.pool_registry(kept), paths["pools"], batch_id)
             # Only the balances of the batch's pools take part.
             own = A.drop_missing_meta(kept).select(F.col("chain_id").alias("_c"),
