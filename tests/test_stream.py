@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from helpers import addr_topic, meta_df, raw_log
 from tidepool import schemas as S
 from tidepool.operators import upsert as U
+from tidepool.plans import catalog
+from tidepool.plans import fixtures as X
 from tidepool.streaming import stream as ST
 
 POOL = "0x" + "11" * 20
@@ -47,3 +49,17 @@ def test_stream_dead_letters(spark, tmp_dir):
     got = ST.run_errors_once(spark, src, meta_df(spark, [(56, POOL, T0, T1, 2500, 60)]), f"{tmp_dir}/work")
     assert sorted((r.block_number, r.error) for r in got.collect()) == [
         (0, "invalid json line"), (9, "expected 3 topics, got 1")]
+
+
+def test_stream_input_is_dealt_out_and_dimensions_have_a_size(spark, tmp_dir):
+    rows = spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_seconds(1700000000 + id) AS ts", "id AS user_id", "'view' AS event_type",
+        "1.5D AS value", "'{\"k\": 3}' AS props")
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    part = X.raw_logs(spark, tmp_dir, blocks=(11, 20))
+    assert sorted(r.block_number for r in part.collect()) == list(range(11, 21))
+    assert part.exceptAll(X.raw_logs(spark, tmp_dir)).isEmpty()
+    assert part.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    meta = catalog._landed(X.pool_meta(spark, tmp_dir), f"{tmp_dir}/meta")
+    assert meta.count() == 20 and meta.exceptAll(X.pool_meta(spark, tmp_dir)).isEmpty()
+    assert "Aggregate" not in meta._jdf.queryExecution().optimizedPlan().toString()

@@ -425,6 +425,12 @@ ORACLES.update({
 STREAM_SLICES = 2
 
 
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    """A dimension as a table of its own, so that every micro-batch knows its size and none derives it again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _stream(spark: SparkSession, sf_dir: str) -> str:
     """Raw logs landed as time-ordered slices, each consumed before the next one lands; the work folder."""
     import uuid
@@ -433,13 +439,11 @@ def _stream(spark: SparkSession, sf_dir: str) -> str:
     from tidepool.streaming import stream as ST
 
     work = checkpoint_subdir(spark, f"stream-demo-{uuid.uuid4().hex}")
-    logs = X.raw_logs(spark, sf_dir)
-    lo, hi = logs.agg(F.min("block_number"), F.max("block_number")).first()
+    lo, hi = X.raw_logs(spark, sf_dir).agg(F.min("block_number"), F.max("block_number")).first()
     step = (hi - lo) // STREAM_SLICES + 1
-    meta, tokens, bal = X.pool_meta(spark, sf_dir), X.tokens(spark, sf_dir), X.balances(spark, sf_dir)
+    meta, tokens, bal = (_landed(make(spark, sf_dir), f"{work}/{make.__name__}") for make in (X.pool_meta, X.tokens, X.balances))
     for i in range(STREAM_SLICES):
-        part = logs.where(F.col("block_number").between(lo + i * step, lo + (i + 1) * step - 1))
-        ST.append_files(part, f"{work}/landing")
+        ST.append_files(X.raw_logs(spark, sf_dir, blocks=(lo + i * step, lo + (i + 1) * step - 1)), f"{work}/landing")
         ST.run_once(spark, f"{work}/landing", meta, tokens, bal, work, DAY, lateness="1 day")
     return work
 
@@ -464,7 +468,7 @@ def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidepool.streaming import stream as ST
     work = checkpoint_subdir(spark, f"stream-errors-{uuid.uuid4().hex}")
     ST.append_files(X.raw_logs(spark, sf_dir, faults=True), f"{work}/landing")
-    return ST.run_errors_once(spark, f"{work}/landing", X.pool_meta(spark, sf_dir), work)
+    return ST.run_errors_once(spark, f"{work}/landing", _landed(X.pool_meta(spark, sf_dir), f"{work}/pool_meta"), work)
 
 
 QUERIES.update({"stream_window_metrics": stream_window_metrics, "stream_pools": stream_pools,

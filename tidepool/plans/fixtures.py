@@ -219,8 +219,8 @@ def addr_word(a: Column) -> Column:
     return F.lpad(a.substr(3, 40), 64, "0")
 
 
-def raw_logs(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
-    """Adapter R: every event as a raw log (RAW_LOG schema).
+def raw_logs(spark: SparkSession, sf_dir: str, faults: bool = False, blocks: tuple | None = None) -> DataFrame:
+    """Adapter R: every event as a raw log (RAW_LOG schema), or those of the blocks from ``blocks[0]`` to ``blocks[1]``.
 
     With ``faults`` the event with event_id % 101 = f is damaged by kind f:
     1 no topics, 2 unknown topic0, 3 bad pool address, 4 pool without
@@ -232,6 +232,8 @@ def raw_logs(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFram
     from tidepool.operators.decode import EVENTS
 
     b = event_base(spark, sf_dir)
+    if blocks:      # a range of blocks lies in few splits: dealt out over the cores before the encoding
+        b = b.where(F.col("block_number").between(*blocks)).repartition(spark.sparkContext.defaultParallelism)
     b = b.withColumn("decoded", _decoded(b))
     f = (F.col("event_id") % FAULT_MOD) if faults else F.lit(0)
     name = F.col("event_name")
